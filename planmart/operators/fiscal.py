@@ -19,9 +19,11 @@ MAX_BROADCAST_ROWS = 2_000_000
 class Calendar:
     """Day-level calendar: Date_Value, Fiscal_Month, Fiscal_Quarter, Fiscal_Year, Month_ID."""
 
-    def __init__(self, df: DataFrame, max_days: int | None = None):
+    def __init__(self, df: DataFrame, max_days: int | None = None, unique_days: bool = False):
         self.df = df
         self._bound = max_days
+        # A generated calendar has one row per day: day-level DISTINCTs are no-ops.
+        self.unique_days = unique_days
 
     def row_bound(self) -> int:
         if self._bound is None:
@@ -30,7 +32,9 @@ class Calendar:
         return self._bound
 
     def _dim(self, *cols: str) -> DataFrame:
-        dim = self.df.select(*cols).distinct()
+        dim = self.df.select(*cols)
+        if not (self.unique_days and "Date_Value" in cols):
+            dim = dim.distinct()
         return F.broadcast(dim) if self.row_bound() <= MAX_BROADCAST_ROWS else dim
 
     def days(self) -> DataFrame:
@@ -67,47 +71,87 @@ def to_fiscal_month(df: DataFrame, cal: Calendar, date_col: str, keep_date: bool
 class FiscalContext:
     """Cutoff of a revenue snapshot and the fiscal month/year it falls in.
 
-    Each value is a scalar subquery: evaluated once per query, lazily, and it
-    fails like the worksheet if the calendar maps the cutoff to several rows.
+    The four values are fetched once per plan by one small job (a global
+    MAX over the revenue aggregate, one calendar row) and bound into the
+    pipeline as literals, so date filters push down to the scans and no step
+    carries a nested subquery.  Like the worksheet's scalar subqueries, a
+    cutoff that the calendar maps to several months is an error, and a
+    missing cutoff selects nothing.
     """
 
-    def __init__(self, cutoff: Column, cal: Calendar):
+    def __init__(self, cutoff: DataFrame, cal: Calendar):
         self.cal = cal
-        self.cutoff = cutoff
-        on_cutoff = cal.df.filter(F.col("Date_Value") == cutoff)
-        self.fiscal_month = on_cutoff.select("Fiscal_Month").distinct().scalar()
-        self.fiscal_year = on_cutoff.select("Fiscal_Year").distinct().scalar()
-        self.month_id = on_cutoff.select("Month_ID").distinct().scalar()
+        days = cal.days_wide()
+        ctx = (cutoff.join(days, cutoff["Cutoff_Date"] == days["Date_Value"], "left")
+               .select("Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID").distinct())
+        # Date spans of the cutoff's fiscal month and year, for scan pre-filters.
+        span = cal.df.select(F.col("Date_Value").alias("_d"), F.col("Fiscal_Month").alias("_m"),
+                             F.col("Fiscal_Year").alias("_y"))
+        month_span = (ctx.join(span, ctx["Fiscal_Month"] == span["_m"], "left")
+                      .groupBy("Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID")
+                      .agg(F.min("_d").alias("Month_Start"), F.max("_d").alias("Month_End")))
+        year_span = (ctx.join(span, ctx["Fiscal_Year"] == span["_y"], "left")
+                     .groupBy("Fiscal_Year").agg(F.max("_d").alias("Year_End")))
+        rows = month_span.join(year_span, "Fiscal_Year", "left").limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError(f"cutoff {rows[0]['Cutoff_Date']} maps to several fiscal months")
+        r = rows[0]
+        self.cutoff_date, self.fiscal_month, self.fiscal_year, self.month_id = (
+            r["Cutoff_Date"], r["Fiscal_Month"], r["Fiscal_Year"], r["Month_ID"])
+        self.month_start, self.month_end, self.year_end = (
+            r["Month_Start"], r["Month_End"], r["Year_End"])
+
+    def in_cutoff_month(self, date_col: str) -> Column:
+        """Superset pre-filter: dates within the cutoff fiscal month's span."""
+        return F.col(date_col).between(F.lit(self.month_start).cast("date"),
+                                       F.lit(self.month_end).cast("date"))
+
+    def after_cutoff_in_year(self, date_col: str) -> Column:
+        """Superset pre-filter: dates after the cutoff, up to the fiscal year's end."""
+        return ((F.col(date_col) > self.cutoff)
+                & (F.col(date_col) <= F.lit(self.year_end).cast("date")))
+
+    @property
+    def cutoff(self) -> Column:
+        return F.lit(self.cutoff_date).cast("date")
+
+    def lit(self, name: str) -> Column:
+        value = getattr(self, name)
+        dtype = {"fiscal_month": "string", "fiscal_year": "string", "month_id": "int"}[name]
+        return F.lit(value).cast(dtype)
 
     def future_months(self) -> DataFrame:
         """Months of the cutoff's fiscal year after the cutoff month."""
         d = self.cal.df
         fut = (d.filter((F.col("Date_Value") > self.cutoff)
-                        & (F.col("Fiscal_Year") == self.fiscal_year)
-                        & (F.col("Fiscal_Month") != self.fiscal_month))
+                        & (F.col("Fiscal_Year") == self.lit("fiscal_year"))
+                        & (F.col("Fiscal_Month") != self.lit("fiscal_month")))
                .select("Fiscal_Month", "Month_ID").distinct())
         # At most the days of one fiscal year: a bounded broadcast.
         return F.broadcast(fut)
 
     def as_frame(self) -> DataFrame:
-        """One row: Cutoff_Date, Fiscal_Month, Fiscal_Year, Month_ID."""
+        """One row: Cutoff_Date, Fiscal_Month, Fiscal_Year, Month_ID (from the calendar)."""
         return (self.cal.df.filter(F.col("Date_Value") == self.cutoff)
                 .select(F.col("Date_Value").alias("Cutoff_Date"),
                         "Fiscal_Month", "Fiscal_Year", "Month_ID")
                 .distinct())
 
 
-def cutoff_of(revenue_summed: DataFrame) -> Column:
-    """Last month with any non-zero revenue row (scalar subquery).
+def cutoff_of(revenue_summed: DataFrame) -> DataFrame:
+    """Last month with any non-zero revenue row, as a one-row frame.
 
-    Computed from the revenue aggregate's ``_nonzero`` flag, so the fact table
-    is scanned once and its aggregation exchange can be reused.
+    Computed from the revenue aggregate's ``_nonzero`` flag (any raw row with
+    Revenue <> 0), which equals MAX(Month) WHERE Revenue <> 0 on the feed.
     """
     return (revenue_summed.filter(F.col("_nonzero"))
-            .agg(F.max("Fiscal_Month").alias("cutoff")).scalar())
+            .agg(F.max("Fiscal_Month").alias("Cutoff_Date")))
 
 
-def cutoff_from_raw(revenue_raw: DataFrame) -> Column:
-    """Same cutoff straight from the raw feed: MAX(Month) WHERE Revenue <> 0."""
+def cutoff_from_raw(revenue_raw: DataFrame) -> DataFrame:
+    """Same cutoff straight from the raw feed: MAX(Month) WHERE Revenue <> 0.
+
+    Reads two columns of the feed; the partial aggregate leaves one row per task.
+    """
     return (revenue_raw.filter(F.col("Revenue") != 0)
-            .agg(F.max("Month").alias("cutoff")).scalar())
+            .agg(F.max("Month").alias("Cutoff_Date")))

@@ -82,14 +82,14 @@ def forecast_year_end(plan: Plan) -> DataFrame:
         F.sum(F.col("Revenue") + F.col("Partner_Fee")).alias("Actual"),
         F.sum(F.col("Baseline") + F.col("Opportunity_Usage")
               + F.col("Opportunities_Into_RR")).alias("Projected"))
-    year = (plan.cal.month_dim().filter(F.col("Fiscal_Year") == plan.ctx.fiscal_year)
+    year = (plan.cal.month_dim().filter(F.col("Fiscal_Year") == plan.ctx.lit("fiscal_year"))
             .select(*MONTH_KEYS))
     zero = F.lit(0).cast("decimal(38,2)")
     joined = year.join(by_month, "Fiscal_Month", "left").select(
         *MONTH_KEYS,
         F.coalesce("Actual", zero).alias("Actual"),
         F.coalesce("Projected", zero).alias("Projected"))
-    forecast = F.when(F.col("Month_ID") <= plan.ctx.month_id, F.col("Actual")) \
+    forecast = F.when(F.col("Month_ID") <= plan.ctx.lit("month_id"), F.col("Actual")) \
                 .otherwise(F.col("Projected"))
     w = (Window.partitionBy("Fiscal_Year").orderBy("Month_ID")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

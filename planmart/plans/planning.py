@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.operators.fiscal import FiscalContext, cutoff_of, to_fiscal_month
+from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, to_fiscal_month
 from planmart.operators.joins import full_outer_coalesce, union_combine
 from planmart.options import DEFAULT, PlanOptions
 from planmart.plans import clean
@@ -54,7 +54,7 @@ class Plan:
     # -- fiscal context (P4, P5) ---------------------------------------------
     @cached_property
     def ctx(self) -> FiscalContext:
-        return FiscalContext(cutoff_of(self.p1), self.cal)
+        return FiscalContext(cutoff_from_raw(self.inputs.revenue), self.cal)
 
     def future_months(self) -> DataFrame:
         return self.ctx.future_months()
@@ -68,7 +68,10 @@ class Plan:
     # -- P7 ------------------------------------------------------------------
     def baseline(self) -> DataFrame:
         """Last closed month's Partner_Fee + Revenue repeated over the future months."""
-        last = (self.p2.filter(F.col("Fiscal_Month") == self.ctx.fiscal_month)
+        # Only the cutoff month is read: the span filter reaches the revenue scan.
+        month_rev = self.inputs.revenue.filter(self.ctx.in_cutoff_month("Month"))
+        p2 = clean.revenue_by_fiscal_month(clean.clean_revenue(month_rev, self.opts), self.cal)
+        last = (p2.filter(F.col("Fiscal_Month") == self.ctx.lit("fiscal_month"))
                 .select("Account_No", "Product_Category",
                         (F.col("Partner_Fee") + F.col("Revenue")).alias("Baseline")))
         months = self.future_months().select("Fiscal_Month")
@@ -76,12 +79,11 @@ class Plan:
 
     def baseline_avg(self, months: int) -> DataFrame:
         """Mean of the last ``months`` months up to the cutoff (missing month = 0)."""
-        first_id = self.ctx.month_id - (months - 1)
         dated = to_fiscal_month(
             self.p1.withColumnRenamed("Fiscal_Month", "_month_date"),
             self.cal, "_month_date", wide=True)
-        window = dated.filter((F.col("Month_ID") >= first_id)
-                              & (F.col("Month_ID") <= self.ctx.month_id))
+        cur = self.ctx.lit("month_id")
+        window = dated.filter((F.col("Month_ID") >= cur - (months - 1)) & (F.col("Month_ID") <= cur))
         avg = (window.groupBy("Account_No", "Product_Category")
                .agg((F.sum(F.col("Partner_Fee") + F.col("Revenue")).cast("double")
                      / F.lit(float(months))).alias("Baseline")))
@@ -94,13 +96,16 @@ class Plan:
     # -- P10 -----------------------------------------------------------------
     def run_rate_origins(self) -> DataFrame:
         """Future opportunities of the current FY summed by origin month."""
-        rows = clean.opportunity_rows(self.inputs.opportunities, True, self.opts).select(
+        opps = self.inputs.opportunities.filter(
+            self.ctx.after_cutoff_in_year("Opportunity_Est_Date"))
+        rows = clean.opportunity_rows(opps, True, self.opts).select(
             "Account_No", "Product_Category", "Opportunity_Est_Date", "Opportunity_Usage")
         dated = to_fiscal_month(rows, self.cal, "Opportunity_Est_Date", keep_date=True, wide=True)
-        cond = ((F.col("Opportunity_Est_Date") > self.ctx.cutoff)
-                & (F.col("Fiscal_Year") == self.ctx.fiscal_year))
+        ctx = self.ctx
+        cond = ((F.col("Opportunity_Est_Date") > ctx.cutoff)
+                & (F.col("Fiscal_Year") == ctx.lit("fiscal_year")))
         if not self.opts.include_current_month:
-            cond = cond & (F.col("Fiscal_Month") != self.ctx.fiscal_month)
+            cond = cond & (F.col("Fiscal_Month") != ctx.lit("fiscal_month"))
         return (dated.filter(cond)
                 .groupBy("Account_No", "Product_Category", "Fiscal_Month", "Month_ID")
                 .agg(F.sum("Opportunity_Usage").alias("Opportunity_Usage")))
@@ -117,8 +122,8 @@ class Plan:
             (F.col("_future_id") + 1).alias("_est_id"),
             R.clamp_negative("Opportunity_Usage").alias("Opportunities_Into_RR"))
         if self.opts.clip_to_fy:
-            last_id = self.future_months().agg(F.max("Month_ID")).scalar()
-            shifted = shifted.filter(F.col("_est_id") <= last_id)
+            last = F.broadcast(self.future_months().agg(F.max("Month_ID").alias("_last_id")))
+            shifted = shifted.join(last, F.col("_est_id") <= F.col("_last_id")).drop("_last_id")
         months = self.cal.months()
         rr = (shifted.join(months, shifted["_est_id"] == months["Month_ID"], "left")
               .select("Account_No", "Product_Category", "Fiscal_Month", "Opportunities_Into_RR"))

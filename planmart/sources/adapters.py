@@ -55,8 +55,17 @@ class Inputs:
     opportunities_prev: DataFrame | None = None
 
 
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table handle, reused per session (listing and footer read once)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
 
 
 def account_code(c: str | Column) -> Column:
@@ -88,28 +97,33 @@ def calendar(spark: SparkSession, start: dt.date = CALENDAR_START,
               F.concat(F.lit("FY"), (year + F.when(month >= 7, 1).otherwise(0)).cast("string"))
                .alias("Fiscal_Year"),
               (year * 12 + month).cast("int").alias("Month_ID")))
-    return Calendar(df, max_days=n_days)
+    return Calendar(df, max_days=n_days, unique_days=True)
 
 
 def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long-form revenue: one row per line item, typed like the weekly feed."""
+    """Long-form revenue: one row per line item, typed like the weekly feed.
+
+    Order- and part-level attributes are derived on their own (smaller)
+    tables before the join, so the per-line work is two probes and a few
+    column expressions.
+    """
     li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus",
-        "l_extendedprice", "l_shipdate")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-                .join(part, li.l_partkey == part.p_partkey))
-    price = F.col("l_extendedprice").cast(MONEY)
-    return joined.select(
-        account_code("o_custkey").alias("StoreNo"),
+        "l_orderkey", "l_partkey",
         F.trunc(F.to_date("l_shipdate"), "month").alias("Month"),
         lookup("l_returnflag", RETURNFLAG_TO_TYPE).alias("Revenue_Type"),
         F.col("l_linestatus").alias("Revenue_Motion"),
-        lookup(F.split("p_type", " ").getItem(0), PART_TYPE_TO_CATEGORY).alias("Product_Category"),
-        F.col("o_orderpriority").alias("Motion"),
-        F.when(F.col("l_shipdate") < _ts(REVENUE_ZERO_FROM), price)
+        F.when(F.col("l_shipdate") < _ts(REVENUE_ZERO_FROM), F.col("l_extendedprice").cast(MONEY))
          .otherwise(F.lit(0).cast(MONEY)).alias("Revenue"))
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", account_code("o_custkey").alias("StoreNo"),
+        F.col("o_orderpriority").alias("Motion"))
+    part = _table(spark, sf_dir, "part").select(
+        "p_partkey",
+        lookup(F.substring_index("p_type", " ", 1), PART_TYPE_TO_CATEGORY).alias("Product_Category"))
+    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+                .join(part, li.l_partkey == part.p_partkey))
+    return joined.select("StoreNo", "Month", "Revenue_Type", "Revenue_Motion",
+                         "Product_Category", "Motion", "Revenue")
 
 
 def _usage_text(amount: Column) -> Column:
