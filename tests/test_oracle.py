@@ -1,0 +1,30 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as E
+from tools.compare import compare, duck
+
+QUERIES = E.queries()
+ORACLE = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(small_dir):
+    return duck(small_dir)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, small_dir, name):
+    ok, detail = compare(QUERIES[name](spark, small_dir), con, ORACLE[name])
+    assert ok, detail
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert len(df.columns) == 25
+    assert df.count() > 0
