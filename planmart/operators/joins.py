@@ -29,12 +29,13 @@ def full_outer_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def union_combine(parts: Sequence[tuple[DataFrame, Sequence[str]]],
-                  keys: Sequence[str]) -> DataFrame:
+                  keys: Sequence[str], partition_by: str | None = None) -> DataFrame:
     """Union-form merge: align the measure columns, UNION ALL, one grouped SUM.
 
-    One shuffle for any number of inputs (partial sums are combined map-side)
-    instead of one per FULL OUTER JOIN level.  Rows with the same key from the
-    same input are added up, and NULL key parts group together.
+    One shuffle for any number of inputs instead of one per FULL OUTER JOIN
+    level.  Rows with the same key from the same input are added up, and NULL
+    key parts group together.  With ``partition_by`` the shuffle is on that
+    key column alone, so later joins on it (the account lookups) reuse it.
     """
     measures: list[str] = []
     for _, ms in parts:
@@ -44,9 +45,46 @@ def union_combine(parts: Sequence[tuple[DataFrame, Sequence[str]]],
                                   for m in measures])
                for df, ms in parts]
     unioned = reduce(DataFrame.unionByName, aligned)
+    if partition_by:
+        unioned = unioned.repartition(partition_by)
     return unioned.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def cogroup_full_outer(parts: Sequence[tuple[DataFrame, Sequence[str]]],
+                       keys: Sequence[str], partition_by: str | None = None) -> DataFrame:
+    """Nested FULL OUTER JOINs on ``keys`` computed with a single shuffle.
+
+    For a key present in some inputs, chained full joins return the cross
+    product of each input's rows for that key (an absent input counts as one
+    row of NULLs); rows whose key has a NULL part never match anything.  Here
+    every input is tagged, unioned and grouped once: ``collect_list`` gathers
+    each input's rows per key and ``explode_outer`` rebuilds the cross
+    product.  Inputs are pre-aggregated to (nearly) one row per key, so each
+    list is bounded by the calendar (origin months, days of a month), never
+    by data volume.  NULL-key rows are grouped per input only, which keeps
+    them unmatched exactly like the joins do.
+    """
+    n = len(parts)
+    structs = [F.struct(*[F.col(m) for m in ms]) for _, ms in parts]
+    types = [df.select(st.alias("s")).schema["s"].dataType for (df, _), st in zip(parts, structs)]
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    tagged = [df.select(*keys,
+                        F.when(any_null, F.lit(i)).otherwise(F.lit(-1)).alias("_null_side"),
+                        *[(structs[j] if j == i else F.lit(None).cast(types[j])).alias(f"_s{j}")
+                          for j in range(n)])
+              for i, (df, _) in enumerate(parts)]
+    unioned = reduce(DataFrame.unionByName, tagged)
+    if partition_by:
+        unioned = unioned.repartition(partition_by)
+    out = unioned.groupBy(*keys, "_null_side").agg(
+        *[F.collect_list(f"_s{j}").alias(f"_l{j}") for j in range(n)])
+    for j in range(n):
+        rest = [c for c in out.columns if c != f"_l{j}"]
+        out = out.select(*rest, F.explode_outer(f"_l{j}").alias(f"_e{j}"))
+    return out.select(*keys, *[F.coalesce(F.col(f"_e{j}.{m}"), F.lit(0)).alias(m)
+                               for j, (_, ms) in enumerate(parts) for m in ms])
+
+
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
                 columns: Sequence[str]) -> DataFrame:
     """LEFT JOIN a dimension by key and append its ``columns``.

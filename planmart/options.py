@@ -22,8 +22,9 @@ class PlanOptions:
     collation: str | None = None
     # "null": unparsable amounts become NULL (and show in the audit); "fail": raise.
     on_bad: str = "null"
-    # "join": nested FULL OUTER JOINs; "union": one union + groupBy (summed grain).
-    combine: str = "join"
+    # How P12 merges its five inputs: "cogroup" (FULL OUTER JOIN semantics, one
+    # shuffle), "join" (nested FULL OUTER JOINs), "union" (summed, one shuffle).
+    combine: str = "cogroup"
 
     def with_(self, **kw) -> "PlanOptions":
         return replace(self, **kw)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
 from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, to_fiscal_month
-from planmart.operators.joins import full_outer_coalesce, union_combine
+from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, union_combine
 from planmart.options import DEFAULT, PlanOptions
 from planmart.plans import clean
 from planmart.plans.clean import KEYS, REVENUE_MEASURES
@@ -137,22 +137,34 @@ class Plan:
         return full_outer_coalesce(self.baseline_target(), self.run_rate(grain), KEYS,
                                    ("Baseline", "Target"), ("Opportunities_Into_RR",))
 
+    def _fact_parts(self, grain: str) -> list:
+        return [
+            (self.p2.drop("_nonzero"), REVENUE_MEASURES),
+            (self.p3.select(*KEYS, *OPPORTUNITY_MEASURES), OPPORTUNITY_MEASURES),
+            (self.baseline(), ("Baseline",)),
+            (self.p8.select(*KEYS, "Target"), ("Target",)),
+            (self.run_rate(grain).select(*KEYS, "Opportunities_Into_RR"), ("Opportunities_Into_RR",)),
+        ]
+
     def all_transactional(self, grain: str | None = None, combine: str | None = None) -> DataFrame:
         """Every measure by account, fiscal month and category.
 
-        ``combine="join"`` nests the FULL OUTER JOINs like the worksheet;
-        ``combine="union"`` (summed grain) merges all five inputs in one shuffle.
+        ``combine``:
+          * ``"cogroup"`` (default) — the worksheet's nested FULL OUTER JOINs,
+            row for row, with one shuffle on Account_No;
+          * ``"join"`` — the nested FULL OUTER JOINs themselves (a shuffle per level);
+          * ``"union"`` — summed grain: UNION ALL + one grouped SUM.
+        The cogroup and union forms leave the result partitioned by Account_No,
+        so the account and seller lookups of the mart add no shuffle of facts.
         """
         grain = grain or self.opts.rr_grain
         combine = combine or self.opts.combine
         if combine == "union":
-            return union_combine([
-                (self.p2, REVENUE_MEASURES),
-                (self.p3, OPPORTUNITY_MEASURES),
-                (self.baseline(), ("Baseline",)),
-                (self.p8, ("Target",)),
-                (self.run_rate("origin"), ("Opportunities_Into_RR",)),
-            ], KEYS).select(*KEYS, *P12_MEASURES)
+            return union_combine(self._fact_parts("origin"), KEYS,
+                                 partition_by="Account_No").select(*KEYS, *P12_MEASURES)
+        if combine == "cogroup":
+            return cogroup_full_outer(self._fact_parts(grain), KEYS,
+                                      partition_by="Account_No").select(*KEYS, *P12_MEASURES)
         return full_outer_coalesce(self.revenue_opportunity(),
                                    self.baseline_target_run_rate(grain), KEYS,
                                    (*REVENUE_MEASURES, *OPPORTUNITY_MEASURES),

@@ -1,5 +1,7 @@
 """Plan shape checks, invariants and the FIXTURES row counts at sf0.001."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,30 @@ def test_run_rate_rows_are_origins_times_remaining_months(plan):
     fut = plan.future_months().select(F.col("Month_ID").alias("_f"))
     expected = origins.join(fut, origins["Month_ID"] <= fut["_f"]).count()
     assert plan.run_rate("origin").count() == expected
+
+
+def test_cogroup_equals_nested_full_joins(plan):
+    a = plan.all_transactional("origin", "cogroup")
+    b = plan.all_transactional("origin", "join").select(*a.columns)
+    assert a.count() == b.count() == 6812
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_lookups_reuse_account_partitioning(spark, plan):
+    """With broadcasts off (large dimensions), only the dimensions are shuffled
+    for the account/seller lookups: the facts keep their Account_No partitioning."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = marts.revenue_summary(Plan(plan.inputs))
+        assert df.count() == 6812
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert text.count("SortMergeJoin [Account_No") == 2
+    # one shuffle on Account_No alone (the merge); the lookups shuffle the dimensions only
+    assert len(re.findall(r"Exchange hashpartitioning\(Account_No#\d+, \d+\)", text)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_dim_key#\d+, \d+\)", text)) == 2
