@@ -488,3 +488,16 @@ def audit_key_uniqueness(spark, sf_dir):
 @query("row_ledger")
 def row_ledger(spark, sf_dir):
     return quality.row_ledger(plan_for(spark, sf_dir))
+
+
+# -- streaming ---------------------------------------------------------------------------
+@query("wow_stream")
+def wow_stream(spark, sf_dir):
+    """O10 as a stream: weeks 24 and 25 land as files, a Structured Streaming
+    query tracks the changes; returns the tracked changes of week 25."""
+    from planmart.streaming import snapshots
+    landing, out = shared_dir(spark, "wow_landing"), shared_dir(spark, "wow_out")
+    snapshots.write_snapshot(adapters.opportunities_prev(spark, sf_dir), landing, 24)
+    snapshots.write_snapshot(adapters.opportunities(spark, sf_dir), landing, 25)
+    snapshots.start_wow_stream(spark, landing, out).awaitTermination()
+    return snapshots.read_changes(spark, out).filter(F.col("Week") == 25)

@@ -533,6 +533,7 @@ SELECT COALESCE(p.Opportunity_ID, c.Opportunity_ID) AS Opportunity_ID,
        CAST(p.Opportunity_Usage AS DOUBLE) AS Usage_Prev, CAST(c.Opportunity_Usage AS DOUBLE) AS Usage_Cur,
        CAST(COALESCE(c.Opportunity_Usage, 0) - COALESCE(p.Opportunity_Usage, 0) AS DOUBLE) AS Usage_Change
 FROM snap_prev p FULL JOIN snap_cur c ON p.Opportunity_ID = c.Opportunity_ID"""
+    b["wow_stream"] = f"SELECT *, 25 AS Week FROM ({b['wow_tracking']}) w"
     b["wow_fields"] = """
 WITH s AS (SELECT *, 24 AS Week FROM snap_prev UNION ALL SELECT *, 25 AS Week FROM snap_cur),
 l AS (
