@@ -50,3 +50,31 @@ def test_preview_is_ordered_top_k(spark):
     out = readers.preview(df, 3, "k")
     assert [r["k"] for r in out.collect()] == ["0", "1", "10"]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plan_from_csv_tables_matches_adapters(spark, small_dir):
+    from planmart.plans import marts
+    from planmart.plans.planning import Plan
+    from planmart.sources import adapters, tables
+    inp = adapters.load(spark, small_dir)
+    folder = shared_dir(spark, "t_tables")
+    tables.to_csv(inp, folder)
+    loaded = tables.from_csv(spark, folder)
+    assert loaded.sellers.filter(F.col("Store_ID").startswith("0")).count() > 0
+    a = marts.revenue_summary(Plan(loaded))
+    b = marts.revenue_summary(Plan(inp)).select(*a.columns)
+    assert a.count() == 6812
+    assert a.exceptAll(b).count() == 0
+
+
+def test_plan_from_catalog(spark, small_dir):
+    from planmart.plans.planning import Plan
+    from planmart.sources import adapters, tables
+    inp = adapters.load(spark, small_dir)
+    frames = {"Revenue_Wk25": inp.revenue, "Opportunities_Wk25": inp.opportunities,
+              "Business_Targets": inp.targets, "Calendar_Lookup": inp.calendar.df,
+              "Account_Lookup": inp.accounts, "Sellers_Lookup": inp.sellers}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    plan = Plan(tables.from_catalog(spark))
+    assert plan.all_transactional().count() == 6812
