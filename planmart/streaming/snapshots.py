@@ -34,6 +34,12 @@ def _overwrite_weeks(df: DataFrame, path: str) -> None:
        .partitionBy("Week").parquet(path))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Path check through the Hadoop FileSystem of the path (HDFS, object stores, local)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def _process(spark: SparkSession, out_dir: str):
     snapshots, changes = f"{out_dir}/snapshots", f"{out_dir}/changes"
 
@@ -42,10 +48,10 @@ def _process(spark: SparkSession, out_dir: str):
         weeks = sorted(r["Week"] for r in batch.select("Week").distinct().collect())
         for week in weeks:
             cur = batch.filter(F.col("Week") == week).drop("Week")
-            try:
+            if _exists(spark, snapshots):
                 prev = (spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots)
                         .filter(F.col("Week") == week - 1).drop("Week"))
-            except Exception:  # no earlier snapshot stored yet
+            else:  # the first week: nothing stored yet
                 prev = spark.createDataFrame([], schemas.OPPORTUNITIES)
             tracked = insights.wow_tracking(prev, cur).withColumn("Week", F.lit(week))
             _overwrite_weeks(tracked, changes)
