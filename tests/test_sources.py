@@ -78,3 +78,12 @@ def test_plan_from_catalog(spark, small_dir):
         df.createOrReplaceTempView(name)
     plan = Plan(tables.from_catalog(spark))
     assert plan.all_transactional().count() == 6812
+
+
+def test_publish_marts_with_observed_counts(spark, small_dir):
+    from planmart.plans.planning import Plan
+    from planmart.plans.publish import VIEW_NAMES, publish_marts
+    from planmart.sources import adapters
+    counts = publish_marts(Plan(adapters.load(spark, small_dir)))
+    assert counts == {"revenue": 6812, "opportunity": 1135}
+    assert spark.table(VIEW_NAMES["revenue"]).count() == 6812
