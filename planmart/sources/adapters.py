@@ -202,7 +202,9 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    # nation and region have a fixed size (25 and 5 rows) at every scale factor.
+    j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+          .join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
     return j.select(
         account_code("c_custkey").alias("AccountNo"),
         F.col("c_name").alias("Store"),
