@@ -20,6 +20,24 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (about 1,000 executors, ~100 TB of facts).
+# Scans: 512 MB splits keep a 100 TB scan near 200k tasks (a few dozen waves).
+# Shuffles: many initial partitions, then AQE coalesces them towards the advisory
+# size, so the revenue aggregate (a few TB) and the small merges both get
+# partitions of a few hundred MB that sort and aggregate in memory without
+# spilling.  Skewed partitions of the left-outer lookups are split by AQE.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "planmart", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
