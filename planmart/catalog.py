@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
+from planmart.operators import joins
 from planmart.operators.fiscal import to_fiscal_month
 from planmart.options import PlanOptions
 from planmart.plans import clean, insights, marts, quality
@@ -234,39 +235,35 @@ def left_next_month(spark, sf_dir):
 
 
 def _lookup_base(p: Plan) -> DataFrame:
-    return p.p2.drop("_nonzero")
+    return p.p2
 
 
 @query("lookup_calendar")
 def lookup_calendar(spark, sf_dir):
-    from planmart.operators.joins import left_lookup
     p = plan_for(spark, sf_dir)
-    return left_lookup(_lookup_base(p), p.cal.month_dim(), "Fiscal_Month", "Fiscal_Month",
+    return joins.left_lookup(_lookup_base(p), p.cal.month_dim(), "Fiscal_Month", "Fiscal_Month",
                        marts.MONTH_ATTRS)
 
 
 @query("lookup_account")
 def lookup_account(spark, sf_dir):
-    from planmart.operators.joins import left_lookup
     p = plan_for(spark, sf_dir)
     acc = p.inputs.accounts.withColumnRenamed("Store", "Account_Name")
-    return left_lookup(_lookup_base(p), acc, "Account_No", "AccountNo", marts.ACCOUNT_ATTRS)
+    return joins.left_lookup(_lookup_base(p), acc, "Account_No", "AccountNo", marts.ACCOUNT_ATTRS)
 
 
 @query("lookup_seller")
 def lookup_seller(spark, sf_dir):
-    from planmart.operators.joins import left_lookup
     p = plan_for(spark, sf_dir)
-    return left_lookup(_lookup_base(p), p.inputs.sellers, "Account_No", "Store_ID",
+    return joins.left_lookup(_lookup_base(p), p.inputs.sellers, "Account_No", "Store_ID",
                        marts.SELLER_ATTRS)
 
 
 @query("full_outer_coalesce")
 def full_outer_coalesce(spark, sf_dir):
     """J7 on revenue ⟗ targets: coalesced keys, zero-filled measures."""
-    from planmart.operators.joins import full_outer_coalesce as foc
     p = plan_for(spark, sf_dir)
-    return foc(p.p2.drop("_nonzero"), p.p8, KEYS, clean.REVENUE_MEASURES, ("Target",))
+    return joins.full_outer_coalesce(p.p2, p.p8, KEYS, clean.REVENUE_MEASURES, ("Target",))
 
 
 # -- aggregation, distinct, subqueries (G, U) --------------------------------------
@@ -315,12 +312,12 @@ def fiscal_context(spark, sf_dir):
 # -- pipelines (P1-P14) --------------------------------------------------------------
 @query("clean_revenue")
 def clean_revenue(spark, sf_dir):
-    return plan_for(spark, sf_dir).p1.drop("_nonzero")
+    return plan_for(spark, sf_dir).p1
 
 
 @query("revenue_by_fiscal_month")
 def revenue_by_fiscal_month(spark, sf_dir):
-    return plan_for(spark, sf_dir).p2.drop("_nonzero")
+    return plan_for(spark, sf_dir).p2
 
 
 @query("clean_opportunity")

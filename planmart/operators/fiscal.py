@@ -138,16 +138,6 @@ class FiscalContext:
                 .distinct())
 
 
-def cutoff_of(revenue_summed: DataFrame) -> DataFrame:
-    """Last month with any non-zero revenue row, as a one-row frame.
-
-    Computed from the revenue aggregate's ``_nonzero`` flag (any raw row with
-    Revenue <> 0), which equals MAX(Month) WHERE Revenue <> 0 on the feed.
-    """
-    return (revenue_summed.filter(F.col("_nonzero"))
-            .agg(F.max("Fiscal_Month").alias("Cutoff_Date")))
-
-
 def cutoff_from_raw(revenue_raw: DataFrame) -> DataFrame:
     """Same cutoff straight from the raw feed: MAX(Month) WHERE Revenue <> 0.
 

@@ -30,30 +30,24 @@ def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT) -> DataFrame
          .alias("Product_Category_2"),
         R.measure_split("Revenue_Type", "Revenue", R.ACTUALS).alias("Revenue_Actuals"),
         R.measure_split("Revenue_Type", "Revenue", R.PARTNER_FEE).alias("Partner_Fee"),
-        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE).alias("Registration_Fee"),
-        (F.col("Revenue") != 0).alias("_nonzero"))
+        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE).alias("Registration_Fee"))
 
 
 def clean_revenue(revenue: DataFrame, opts: PlanOptions = DEFAULT) -> DataFrame:
-    """SUM of the three measures by account, month date and mapped category.
-
-    Carries ``_nonzero`` (any raw row with Revenue <> 0) so the cutoff month
-    can be read from this aggregate instead of a second scan of the feed.
-    """
+    """SUM of the three measures by account, month date and mapped category."""
     rows = split_measures(revenue, opts)
     return (rows.groupBy("Account_No", "Fiscal_Month",
                          F.col("Product_Category_2").alias("Product_Category"))
             .agg(F.sum("Revenue_Actuals").alias("Revenue"),
                  F.sum("Partner_Fee").alias("Partner_Fee"),
-                 F.sum("Registration_Fee").alias("Registration_Fee"),
-                 F.max("_nonzero").alias("_nonzero")))
+                 F.sum("Registration_Fee").alias("Registration_Fee")))
 
 
 def revenue_by_fiscal_month(p1: DataFrame, cal: Calendar) -> DataFrame:
     """Month date → fiscal month name (LEFT JOIN on the broadcast calendar)."""
     dated = p1.withColumnRenamed("Fiscal_Month", "_month_date")
     out = to_fiscal_month(dated, cal, "_month_date")
-    return out.select(*KEYS, *REVENUE_MEASURES, "_nonzero")
+    return out.select(*KEYS, *REVENUE_MEASURES)
 
 
 def _status_ok(opts: PlanOptions) -> Column:

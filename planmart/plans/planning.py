@@ -61,7 +61,7 @@ class Plan:
 
     # -- P6 ------------------------------------------------------------------
     def revenue_opportunity(self) -> DataFrame:
-        return full_outer_coalesce(self.p2.drop("_nonzero"),
+        return full_outer_coalesce(self.p2,
                                    self.p3.select(*KEYS, *OPPORTUNITY_MEASURES),
                                    KEYS, REVENUE_MEASURES, OPPORTUNITY_MEASURES)
 
@@ -139,7 +139,7 @@ class Plan:
 
     def _fact_parts(self, grain: str) -> list:
         return [
-            (self.p2.drop("_nonzero"), REVENUE_MEASURES),
+            (self.p2, REVENUE_MEASURES),
             (self.p3.select(*KEYS, *OPPORTUNITY_MEASURES), OPPORTUNITY_MEASURES),
             (self.baseline(), ("Baseline",)),
             (self.p8.select(*KEYS, "Target"), ("Target",)),
