@@ -62,10 +62,8 @@ def to_fiscal_month(df: DataFrame, cal: Calendar, date_col: str, keep_date: bool
                     wide: bool = False) -> DataFrame:
     """LEFT JOIN a date column to its fiscal month (NULL when outside the calendar)."""
     days = cal.days_wide() if wide else cal.days()
-    out = df.join(days, df[date_col] == days["Date_Value"], "left").drop("Date_Value")
-    if not keep_date:
-        out = out.drop(date_col)
-    return out
+    out = df.join(days, df[date_col] == days["Date_Value"], "left")
+    return out.drop("Date_Value") if keep_date else out.drop("Date_Value", date_col)
 
 
 class FiscalContext:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WIDE_MONEY = "decimal(38,2)"
 
@@ -66,7 +67,9 @@ def cogroup_full_outer(parts: Sequence[tuple[DataFrame, Sequence[str]]],
     """
     n = len(parts)
     structs = [F.struct(*[F.col(m) for m in ms]) for _, ms in parts]
-    types = [df.select(st.alias("s")).schema["s"].dataType for (df, _), st in zip(parts, structs)]
+    # Struct types straight from the schemas (no extra plan per input).
+    types = [T.StructType([T.StructField(m, df.schema[m].dataType) for m in ms])
+             for df, ms in parts]
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     tagged = [df.select(*keys,
                         F.when(any_null, F.lit(i)).otherwise(F.lit(-1)).alias("_null_side"),
@@ -86,12 +89,15 @@ def cogroup_full_outer(parts: Sequence[tuple[DataFrame, Sequence[str]]],
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-                columns: Sequence[str]) -> DataFrame:
+                columns: Sequence[str], keep_key: bool = False) -> DataFrame:
     """LEFT JOIN a dimension by key and append its ``columns``.
 
     No broadcast hint: the planner broadcasts by its size statistics, and
     adaptive execution re-plans from the real shuffle size (or splits skewed
     partitions of ``df``) when the dimension is large.
     """
-    d = dim.select(F.col(dim_key).alias("_dim_key"), *columns)
-    return df.join(d, df[left_key] == d["_dim_key"], "left").drop("_dim_key")
+    key = f"_key_{dim_key}"
+    d = dim.select(F.col(dim_key).alias(key), *columns)
+    out = df.join(d, df[left_key] == d[key], "left")
+    # ``keep_key`` leaves the helper column to the caller's final projection.
+    return out if keep_key else out.drop(key)

@@ -26,11 +26,12 @@ def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: Dat
 
     Each dimension has one row per key, so the joins never add rows.
     """
-    out = left_lookup(df, cal.month_dim(), "Fiscal_Month", "Fiscal_Month", MONTH_ATTRS)
+    out = left_lookup(df, cal.month_dim(), "Fiscal_Month", "Fiscal_Month", MONTH_ATTRS, True)
     acc = accounts.select("AccountNo", F.col("Store").alias("Account_Name"),
                           *ACCOUNT_ATTRS[1:])
-    out = left_lookup(out, acc, "Account_No", "AccountNo", ACCOUNT_ATTRS)
-    return left_lookup(out, sellers, "Account_No", "Store_ID", SELLER_ATTRS)
+    out = left_lookup(out, acc, "Account_No", "AccountNo", ACCOUNT_ATTRS, True)
+    # Callers project the final columns, which drops the helper key columns.
+    return left_lookup(out, sellers, "Account_No", "Store_ID", SELLER_ATTRS, True)
 
 
 def revenue_summary(plan: Plan, grain: str | None = None, combine: str | None = None) -> DataFrame:
