@@ -157,3 +157,28 @@ def test_cutoff_when_all_revenue_zero(spark):
     assert p.ctx.cutoff_date is None
     assert p.baseline().count() == 0 and p.future_months().count() == 0
     assert p.ctx.as_frame().count() == 0
+
+
+def _tgt(acct, cat, month, amount):
+    return (acct, cat, D(month), M(amount))
+
+
+def test_cogroup_cross_product_and_null_keys_match_nested_joins(spark):
+    """K9: several dates of one fiscal month on two inputs fan out as a cross
+    product; K10: NULL-month rows of different inputs never merge."""
+    revenue = [rev_row("A", "2001-01-01", "Actuals", "Services X", 10),
+               rev_row("A", "2001-01-15", "Actuals", "Services X", 20),   # same fiscal month
+               rev_row("A", "1990-01-01", "Actuals", "Services X", 5),    # outside the calendar
+               rev_row("A", "1990-02-01", "Actuals", "Services X", 6)]    # outside, second date
+    opps = [opp_row("A", "1990-03-01", "Services: x", "o1", "Active", "7.00"),   # NULL month
+            opp_row("A", "2001-02-10", "Services: x", "o2", "Active", "50.00")]
+    targets = [_tgt("A", "Services", "2001-01-01", 100), _tgt("A", "Services", "2001-01-20", 200)]
+    inp = make_inputs(spark, revenue=revenue, opportunities=opps, targets=targets)
+    plan = Plan(inp)
+    cog = plan.all_transactional("origin", "cogroup")
+    join = plan.all_transactional("origin", "join").select(*cog.columns)
+    assert cog.exceptAll(join).count() == 0 and join.exceptAll(cog).count() == 0
+    jan = cog.filter(F.col("Fiscal_Month") == "January, 2001").collect()
+    assert sorted((r["Revenue"], r["Target"]) for r in jan) == [(10, 100), (10, 200), (20, 100), (20, 200)]
+    nulls = cog.filter(F.col("Fiscal_Month").isNull()).collect()
+    assert sorted((r["Revenue"], r["Opportunity_Usage"]) for r in nulls) == [(0, 7), (5, 0), (6, 0)]
