@@ -136,6 +136,16 @@ class FiscalContext:
                 .distinct())
 
 
+def cutoff_of(revenue_summed: DataFrame) -> DataFrame:
+    """The same cutoff from the revenue aggregate's ``_nonzero`` flag.
+
+    MAX over groups of their month, among groups holding a raw row with
+    Revenue <> 0, equals MAX(Month) WHERE Revenue <> 0 over the feed.
+    """
+    return (revenue_summed.filter(F.col("_nonzero"))
+            .agg(F.max("Fiscal_Month").alias("Cutoff_Date")))
+
+
 def cutoff_from_raw(revenue_raw: DataFrame) -> DataFrame:
     """Same cutoff straight from the raw feed: MAX(Month) WHERE Revenue <> 0.
 

@@ -18,8 +18,10 @@ KEYS = ("Account_No", "Fiscal_Month", "Product_Category")
 REVENUE_MEASURES = ("Revenue", "Partner_Fee", "Registration_Fee")
 
 
-def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT) -> DataFrame:
+def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT,
+                   with_activity: bool = False) -> DataFrame:
     """Rename, map the category and split the measure by revenue type (row level)."""
+    activity = [(F.col("Revenue") != 0).alias("_nz")] if with_activity else []
     return revenue.select(
         F.col("StoreNo").alias("Account_No"),
         F.col("Month").alias("Fiscal_Month"),
@@ -30,17 +32,26 @@ def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT) -> DataFrame
          .alias("Product_Category_2"),
         R.measure_split("Revenue_Type", "Revenue", R.ACTUALS).alias("Revenue_Actuals"),
         R.measure_split("Revenue_Type", "Revenue", R.PARTNER_FEE).alias("Partner_Fee"),
-        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE).alias("Registration_Fee"))
-
-
-def clean_revenue(revenue: DataFrame, opts: PlanOptions = DEFAULT) -> DataFrame:
-    """SUM of the three measures by account, month date and mapped category."""
-    rows = split_measures(revenue, opts)
+        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE).alias("Registration_Fee"),
+        *activity)
+
+
+def clean_revenue(revenue: DataFrame, opts: PlanOptions = DEFAULT,
+                  with_activity: bool = False) -> DataFrame:
+    """SUM of the three measures by account, month date and mapped category.
+
+    ``with_activity`` adds ``_nonzero`` (some raw row has Revenue <> 0), from
+    which the cutoff month can be read without another pass over the feed.
+    """
+    rows = split_measures(revenue, opts, with_activity)
+    aggs = [F.sum("Revenue_Actuals").alias("Revenue"),
+            F.sum("Partner_Fee").alias("Partner_Fee"),
+            F.sum("Registration_Fee").alias("Registration_Fee")]
+    if with_activity:
+        aggs.append(F.max("_nz").alias("_nonzero"))
     return (rows.groupBy("Account_No", "Fiscal_Month",
                          F.col("Product_Category_2").alias("Product_Category"))
-            .agg(F.sum("Revenue_Actuals").alias("Revenue"),
-                 F.sum("Partner_Fee").alias("Partner_Fee"),
-                 F.sum("Registration_Fee").alias("Registration_Fee")))
+            .agg(*aggs))
 
 
 def revenue_by_fiscal_month(p1: DataFrame, cal: Calendar) -> DataFrame:

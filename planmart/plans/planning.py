@@ -8,13 +8,15 @@ share one lazily evaluated DAG.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, to_fiscal_month
+from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, cutoff_of, to_fiscal_month
 from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, union_combine
 from planmart.options import DEFAULT, PlanOptions
 from planmart.plans import clean
@@ -33,10 +35,32 @@ class Plan:
         self.inputs = inputs
         self.opts = opts
         self.cal = inputs.calendar
+        self._p1_shared: DataFrame | None = None
+
+    @contextmanager
+    def persisted(self):
+        """Scan the revenue feed once for a whole build (both marts, audits).
+
+        The revenue aggregate is persisted (memory, spilling to disk; lost
+        blocks are recomputed from lineage) and the cutoff, the baseline and
+        the merge all read it.  Registered single queries stay lazy instead.
+        """
+        shared = clean.clean_revenue(self.inputs.revenue, self.opts, with_activity=True) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        self._p1_shared = shared
+        for name in ("p1", "p2", "ctx"):
+            self.__dict__.pop(name, None)
+        try:
+            yield self
+        finally:
+            self._p1_shared = None
+            shared.unpersist()
 
     # -- cleaned feeds -----------------------------------------------------
     @cached_property
     def p1(self) -> DataFrame:
+        if self._p1_shared is not None:
+            return self._p1_shared.drop("_nonzero")
         return clean.clean_revenue(self.inputs.revenue, self.opts)
 
     @cached_property
@@ -54,6 +78,8 @@ class Plan:
     # -- fiscal context (P4, P5) ---------------------------------------------
     @cached_property
     def ctx(self) -> FiscalContext:
+        if self._p1_shared is not None:
+            return FiscalContext(cutoff_of(self._p1_shared), self.cal)
         return FiscalContext(cutoff_from_raw(self.inputs.revenue), self.cal)
 
     def future_months(self) -> DataFrame:
@@ -68,9 +94,13 @@ class Plan:
     # -- P7 ------------------------------------------------------------------
     def baseline(self) -> DataFrame:
         """Last closed month's Partner_Fee + Revenue repeated over the future months."""
-        # Only the cutoff month is read: the span filter reaches the revenue scan.
-        month_rev = self.inputs.revenue.filter(self.ctx.in_cutoff_month("Month"))
-        p2 = clean.revenue_by_fiscal_month(clean.clean_revenue(month_rev, self.opts), self.cal)
+        if self._p1_shared is not None:
+            month_p1 = self.p1.filter(self.ctx.in_cutoff_month("Fiscal_Month"))
+        else:
+            # Only the cutoff month is read: the span filter reaches the revenue scan.
+            month_rev = self.inputs.revenue.filter(self.ctx.in_cutoff_month("Month"))
+            month_p1 = clean.clean_revenue(month_rev, self.opts)
+        p2 = clean.revenue_by_fiscal_month(month_p1, self.cal)
         last = (p2.filter(F.col("Fiscal_Month") == self.ctx.lit("fiscal_month"))
                 .select("Account_No", "Product_Category",
                         (F.col("Partner_Fee") + F.col("Revenue")).alias("Baseline")))

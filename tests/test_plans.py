@@ -138,4 +138,14 @@ def test_lookups_reuse_account_partitioning(spark, plan):
     assert text.count("SortMergeJoin [Account_No") == 2
     # one shuffle on Account_No alone (the merge); the lookups shuffle the dimensions only
     assert len(re.findall(r"Exchange hashpartitioning\(Account_No#\d+, \d+\)", text)) == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(_dim_key#\d+, \d+\)", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(_key_\w+#\d+, \d+\)", text)) == 2
+
+
+def test_persisted_plan_gives_the_same_marts(spark, small_dir):
+    lazy = Plan(adapters.load(spark, small_dir))
+    shared = Plan(adapters.load(spark, small_dir))
+    a = marts.revenue_summary(lazy)
+    with shared.persisted():
+        assert shared.ctx.cutoff_date == lazy.ctx.cutoff_date
+        b = marts.revenue_summary(shared).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
