@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.operators.fiscal import MAX_BROADCAST_ROWS, to_fiscal_month
+from planmart.operators.fiscal import MAX_BROADCAST_ROWS
 from planmart.operators.joins import union_combine
 from planmart.plans import marts
 from planmart.plans.planning import Plan
@@ -193,5 +193,5 @@ def baseline_variant(plan: Plan, months: int) -> DataFrame:
 
 __all__ = [
     "revenue_trend", "fee_trend", "revenue_vs_target", "forecast_year_end",
-    "slice_facts", "wow_tracking", "wow_fields", "baseline_variant", "to_fiscal_month",
+    "slice_facts", "wow_tracking", "wow_fields", "baseline_variant",
 ]
