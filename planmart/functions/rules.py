@@ -135,10 +135,13 @@ def clamp_negative(c: str | Column) -> Column:
     return F.when(c < 0, F.lit(0)).otherwise(c)
 
 
-def value_band(c: str | Column) -> Column:
-    """Six value bands, first match wins; NULL lands in the top band."""
+def value_band(c: str | Column, null_label: str | None = None) -> Column:
+    """Six value bands, first match wins; NULL lands in the top band
+    (the worksheet's ELSE), or in ``null_label`` when one is given."""
     c = _col(c)
     out = F.when(c < 0, F.lit(BAND_BELOW))
+    if null_label is not None:
+        out = F.when(c.isNull(), F.lit(null_label)).when(c < 0, F.lit(BAND_BELOW))
     for label, low, high in VALUE_BANDS:
         out = out.when(c.between(low, high), F.lit(label))
     return out.otherwise(F.lit(BAND_TOP))

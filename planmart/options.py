@@ -18,6 +18,8 @@ class PlanOptions:
     compat_aliases: bool = False
     # Drop Inactive projects from the opportunity view (the worksheet keeps them).
     drop_inactive_in_summary: bool = False
+    # Label for NULL amounts in the value bands (None: the top band, as the worksheet).
+    null_band: str | None = None
     # Optional Spark collation for text rules, e.g. "UTF8_LCASE_RTRIM".
     collation: str | None = None
     # "null": unparsable amounts become NULL (and show in the audit); "fail": raise.

@@ -66,8 +66,9 @@ def opportunity_summary(plan: Plan, compat_aliases: bool | None = None,
         compat_aliases = plan.opts.compat_aliases
     detail = opportunity_detail(plan, drop_inactive)
     banded = detail.withColumns({
-        "Opportunity_Usage_Range": R.value_band("Opportunity_Usage"),
-        "Opportunity_Extrapolation_Range": R.value_band("Opportunity_Extrapolation"),
+        "Opportunity_Usage_Range": R.value_band("Opportunity_Usage", plan.opts.null_band),
+        "Opportunity_Extrapolation_Range": R.value_band("Opportunity_Extrapolation",
+                                                        plan.opts.null_band),
     })
     i = plan.inputs
     full = with_lookups(banded, plan.cal, i.accounts, i.sellers)

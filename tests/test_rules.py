@@ -91,6 +91,8 @@ def test_value_bands_boundaries(spark):
     got = one_col(df.select(R.value_band("v").alias("b")), "b")
     assert got == ["Below $0", "$0 to $10,000", "$0 to $10,000", "$10000 to $50,000",
                    "$100,000 to $200,000", "$200,000 +", "$200,000 +"]
+    flagged = one_col(df.select(R.value_band("v", "Unknown").alias("b")), "b")
+    assert flagged[:-1] == got[:-1] and flagged[-1] == "Unknown"
 
 
 def _rr_inputs(spark, origins):
