@@ -204,13 +204,7 @@ def left_wide_calendar(spark, sf_dir):
 
 
 def _spread(p: Plan, theta: bool) -> DataFrame:
-    origins = p.run_rate_origins()
-    fut = p.future_months().select(F.col("Fiscal_Month").alias("Future_Fiscal_Months"),
-                                   F.col("Month_ID").alias("Future_Month_ID"))
-    out = (origins.join(fut, origins["Month_ID"] <= fut["Future_Month_ID"]) if theta
-           else origins.crossJoin(fut))
-    return out.select("Account_No", "Product_Category", "Fiscal_Month", "Month_ID",
-                      "Future_Fiscal_Months", "Future_Month_ID", "Opportunity_Usage")
+    return p.spread_origins(all_months=not theta)
 
 
 @query("cross_future_months")

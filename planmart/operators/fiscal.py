@@ -98,6 +98,10 @@ class FiscalContext:
             r["Cutoff_Date"], r["Fiscal_Month"], r["Fiscal_Year"], r["Month_ID"])
         self.month_start, self.month_end, self.year_end = (
             r["Month_Start"], r["Month_End"], r["Year_End"])
+        # The remaining months of the fiscal year: at most twelve (one per month of
+        # one fiscal year), fetched once and used as a literal array.
+        self.future = sorted((m["Month_ID"], m["Fiscal_Month"])
+                             for m in self.future_months().collect())
 
     def in_cutoff_month(self, date_col: str) -> Column:
         """Superset pre-filter: dates within the cutoff fiscal month's span."""
@@ -109,6 +113,22 @@ class FiscalContext:
         return ((F.col(date_col) > self.cutoff)
                 & (F.col(date_col) <= F.lit(self.year_end).cast("date")))
 
+    FUTURE_TYPE = "array<struct<Fiscal_Month:string,Month_ID:int>>"
+
+    def future_array(self) -> Column:
+        """The future months as a literal ``array<struct<Fiscal_Month, Month_ID>>``.
+
+        Repeating a row for each remaining month is then an ``explode`` of this
+        array (a generator inside the row's own stage), not a join.
+        """
+        items = [F.struct(F.lit(name).alias("Fiscal_Month"), F.lit(mid).cast("int").alias("Month_ID"))
+                 for mid, name in self.future]
+        return F.array(*items).cast(self.FUTURE_TYPE)
+
+    @property
+    def last_future_id(self) -> int | None:
+        return self.future[-1][0] if self.future else None
+
     @property
     def cutoff(self) -> Column:
         return F.lit(self.cutoff_date).cast("date")

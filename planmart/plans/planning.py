@@ -104,8 +104,16 @@ class Plan:
         last = (p2.filter(F.col("Fiscal_Month") == self.ctx.lit("fiscal_month"))
                 .select("Account_No", "Product_Category",
                         (F.col("Partner_Fee") + F.col("Revenue")).alias("Baseline")))
-        months = self.future_months().select("Fiscal_Month")
-        return last.crossJoin(months).select(*KEYS, "Baseline")
+        return self._over_future_months(last).select(*KEYS, "Baseline")
+
+    def _over_future_months(self, df: DataFrame) -> DataFrame:
+        """Each row once per remaining month of the fiscal year (``Fiscal_Month``).
+
+        The worksheet's CROSS JOIN with at most eleven months, as an explode of
+        a literal array: no join, the row count grows linearly.
+        """
+        out = df.withColumn("_f", F.explode(self.ctx.future_array()))
+        return out.withColumn("Fiscal_Month", F.col("_f.Fiscal_Month")).drop("_f")
 
     def baseline_avg(self, months: int) -> DataFrame:
         """Mean of the last ``months`` months up to the cutoff (missing month = 0)."""
@@ -117,7 +125,7 @@ class Plan:
         avg = (window.groupBy("Account_No", "Product_Category")
                .agg((F.sum(F.col("Partner_Fee") + F.col("Revenue")).cast("double")
                      / F.lit(float(months))).alias("Baseline")))
-        return avg.crossJoin(self.future_months().select("Fiscal_Month")).select(*KEYS, "Baseline")
+        return self._over_future_months(avg).select(*KEYS, "Baseline")
 
     # -- P9 ------------------------------------------------------------------
     def baseline_target(self) -> DataFrame:
@@ -140,20 +148,32 @@ class Plan:
                 .groupBy("Account_No", "Product_Category", "Fiscal_Month", "Month_ID")
                 .agg(F.sum("Opportunity_Usage").alias("Opportunity_Usage")))
 
+    def spread_origins(self, all_months: bool = False) -> DataFrame:
+        """Each origin once per remaining month at or after its own month.
+
+        The worksheet's CROSS JOIN + ``Month_ID <=`` filter, as an explode of the
+        (at most eleven) future months filtered per row; ``all_months`` skips the
+        filter (the plain cross product of the worksheet's intermediate step).
+        """
+        months = self.ctx.future_array()
+        if not all_months:
+            months = F.filter(months, lambda m: m["Month_ID"] >= F.col("Month_ID"))
+        out = self.run_rate_origins().withColumn("_f", F.explode(months))
+        return out.select("Account_No", "Product_Category", "Fiscal_Month", "Month_ID",
+                          F.col("_f.Fiscal_Month").alias("Future_Fiscal_Months"),
+                          F.col("_f.Month_ID").alias("Future_Month_ID"), "Opportunity_Usage")
+
     def run_rate(self, grain: str | None = None) -> DataFrame:
         """P10: each origin repeated for every remaining month ≥ its own, shifted +1."""
         grain = grain or self.opts.rr_grain
-        origins = self.run_rate_origins()
-        future = self.future_months().select(F.col("Month_ID").alias("_future_id"))
-        # Theta join against at most one fiscal year of months (broadcast).
-        spread = origins.join(future, origins["Month_ID"] <= future["_future_id"], "inner")
+        spread = self.spread_origins()
         shifted = spread.select(
             "Account_No", "Product_Category",
-            (F.col("_future_id") + 1).alias("_est_id"),
+            (F.col("Future_Month_ID") + 1).alias("_est_id"),
             R.clamp_negative("Opportunity_Usage").alias("Opportunities_Into_RR"))
         if self.opts.clip_to_fy:
-            last = F.broadcast(self.future_months().agg(F.max("Month_ID").alias("_last_id")))
-            shifted = shifted.join(last, F.col("_est_id") <= F.col("_last_id")).drop("_last_id")
+            last = self.ctx.last_future_id
+            shifted = shifted.filter(F.col("_est_id") <= F.lit(last).cast("int"))
         months = self.cal.months()
         rr = (shifted.join(months, shifted["_est_id"] == months["Month_ID"], "left")
               .select("Account_No", "Product_Category", "Fiscal_Month", "Opportunities_Into_RR"))

@@ -36,8 +36,11 @@ def test_calendar_is_broadcast(plan):
     assert "BroadcastHashJoin" in text and "BroadcastExchange" in text
 
 
-def test_theta_join_is_broadcast_nested_loop(plan):
-    assert "BroadcastNestedLoopJoin" in physical(plan.run_rate())
+def test_future_months_expand_without_joins(plan):
+    for df in (plan.run_rate(), plan.baseline(), plan.baseline_avg(3)):
+        text = physical(df)
+        assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
+        assert "Generate explode" in text
 
 
 def test_filters_reach_the_scan(spark, small_dir):
