@@ -11,6 +11,7 @@ the shared folder makes the stream restartable.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,18 +45,24 @@ def _process(spark: SparkSession, out_dir: str):
     snapshots, changes = f"{out_dir}/snapshots", f"{out_dir}/changes"
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # The week numbers of one micro-batch: a handful of integers.
-        weeks = sorted(r["Week"] for r in batch.select("Week").distinct().collect())
-        for week in weeks:
-            cur = batch.filter(F.col("Week") == week).drop("Week")
-            if _exists(spark, snapshots):
-                prev = (spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots)
-                        .filter(F.col("Week") == week - 1).drop("Week"))
-            else:  # the first week: nothing stored yet
-                prev = spark.createDataFrame([], schemas.OPPORTUNITIES)
-            tracked = insights.wow_tracking(prev, cur).withColumn("Week", F.lit(week))
-            _overwrite_weeks(tracked, changes)
-            _overwrite_weeks(cur.withColumn("Week", F.lit(week)), snapshots)
+        # The batch is used three times (weeks, changes, stored snapshot): read the
+        # landed files once (memory, spilling to disk; recomputable from the files).
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # The week numbers of one micro-batch: a handful of integers.
+            weeks = sorted(r["Week"] for r in batch.select("Week").distinct().collect())
+            for week in weeks:
+                cur = batch.filter(F.col("Week") == week).drop("Week")
+                if _exists(spark, snapshots):
+                    prev = (spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots)
+                            .filter(F.col("Week") == week - 1).drop("Week"))
+                else:  # the first week: nothing stored yet
+                    prev = spark.createDataFrame([], schemas.OPPORTUNITIES)
+                tracked = insights.wow_tracking(prev, cur).withColumn("Week", F.lit(week))
+                _overwrite_weeks(tracked, changes)
+                _overwrite_weeks(cur.withColumn("Week", F.lit(week)), snapshots)
+        finally:
+            batch.unpersist()
     return run
 
 
