@@ -87,3 +87,17 @@ def test_publish_marts_with_observed_counts(spark, small_dir):
     counts = publish_marts(Plan(adapters.load(spark, small_dir)))
     assert counts == {"revenue": 6812, "opportunity": 1135}
     assert spark.table(VIEW_NAMES["revenue"]).count() == 6812
+
+
+def test_catalog_columns_conformed_by_name_and_type(spark):
+    from planmart.sources import tables
+    raw = spark.createDataFrame(
+        [("00001234", "2001-01-01", "Actuals", "O", "Services", "1-URGENT", "12.50")],
+        "storeno string, month string, revenue_type string, revenue_motion string, "
+        "product_category string, motion string, revenue string")
+    got = tables._conform(raw, "revenue")
+    assert [f.name for f in got.schema.fields] == [
+        "StoreNo", "Month", "Revenue_Type", "Revenue_Motion", "Product_Category", "Motion", "Revenue"]
+    row = got.first()
+    assert row["StoreNo"] == "00001234" and str(row["Month"]) == "2001-01-01"
+    assert str(row["Revenue"]) == "12.50"
