@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from planmart import catalog, oracle
 from tools.compare import compare, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.REGISTRY
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(small_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
