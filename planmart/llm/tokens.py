@@ -1,7 +1,7 @@
 """Token counts and token ids with public tokenizer files.
 
 Whole columns of texts go through Arrow functions that return lengths only (or
-ids, for packing).  Texts are encoded in runs of about RUN_BYTES, and a long
+ids, for packing).  Texts are encoded in runs of balanced size, and a long
 text is cut at boundaries that no token crosses, so neither one huge document
 nor many at once decide a task's memory.
 """
@@ -9,6 +9,8 @@ nor many at once decide a task's memory.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -17,23 +19,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RUN_BYTES = 4 << 20
-CACHE_ENTRIES = 1_000_000
-_SPACE = re.compile(r"[ \t\n\v\f\r]")
-#: Separators that str.split() takes for white space and the tokenizers' \s does not.
-_ODD_SPACE = re.compile(r"[\x1c-\x1f]")
+from planmart.llm.pieces import runs, split
 
+CACHE_ENTRIES = 600_000
 
-def segments(text: str, size: int, spaces: re.Pattern = _SPACE) -> Iterator[str]:
-    """`text` in parts of about `size` characters, cut before white space; joined they are `text`."""
-    start = 0
-    while len(text) - start > size:
-        cut = spaces.search(text, start + size)
-        if cut is None:
-            break
-        yield text[start:cut.start()]
-        start = cut.start()
-    yield text[start:]
+
+END = (".", ",")
+
+
+def _byte_level() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+BYTE_LEVEL = _byte_level()
+
+
+def _plain(char: str) -> bool:
+    """Latin characters that normalization leaves alone and whose lower case is one character."""
+    return char < "\u0250" and char != "\u0130"
 
 
 class WordEncoder:
@@ -48,67 +54,63 @@ class WordEncoder:
         self.tokenizer, self.keep = tokenizer, keep
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, object] = {}
+        # whether one word of plain letters may go straight to the model, as bytes in their byte-level form
+        probes = ("Hello", "\u00c9clair", "na\u00efvet\u00e9", "\u00f1and\u00fa", "stra\u00dfe", "\u0142\u00f3d\u017a")
+        self.direct = all(self.letters(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
+
+    def letters(self, word: str) -> list[int]:
+        lower = word.lower()
+        if not lower.isascii():
+            lower = lower.encode().decode("latin-1").translate(BYTE_LEVEL)
+        return [t.id for t in self.tokenizer.model.tokenize(lower)]
 
-    def words(self, text: str) -> list[str]:
-        if text.isascii() and "<" not in text:
-            text = text.lower()      # the tokenizer does so too; fewer different words to remember
-        if _ODD_SPACE.search(text):
-            return re.split(r"[ \t\n\v\f\r]+", text)
-        return text.split()
+    def prepared(self, text: str) -> str:
+        """Lower case where the tokenizer does the same, for fewer different words to remember."""
+        return text.lower() if text.isascii() and "<" not in text else text
 
     def learn(self, words: set[str]) -> dict[str, object]:
         """Encode `words`; one that ends in full stops or commas as its stem and that run."""
-        cut = {w: self.stem(w) for w in words}
-        ids = self.encode_all({p for w, n in cut.items() for p in (w[:n], w[n:])} - {""})
-        ids[""] = []
-        return {w: self.keep(ids[w[:n]] + ids[w[n:]]) for w, n in cut.items()}
+        cut = {w: n for w in words if w[-1:] in END and (n := self.stem(w)) < len(w)}
+        whole = words - cut.keys()
+        ids = self.encode_all(whole | {p for w, n in cut.items() for p in (w[:n], w[n:])})
+        made = {w: self.keep(ids[w]) for w in whole}
+        made.update((w, self.keep(ids[w[:n]] + ids[w[n:]])) for w, n in cut.items())
+        return made
 
     def stem(self, word: str) -> int:
         """Where the trailing run of full stops and commas begins; the end, if what
         stands before it might join it in one pre-token."""
         n = len(word.rstrip(".,"))
-        if n and n < len(word) and word[n - 1] < "\u0250" and word[n - 1].isalnum() and word[n - 1] != "\u0130" \
-                and not any(s in word for s in self.specials):
+        if n and _plain(word[n - 1]) and word[n - 1].isalnum() and not any(s in word for s in self.specials):
             return n
         return len(word)
 
     def encode_all(self, parts: set[str]) -> dict[str, list[int]]:
-        model, out = self.tokenizer.model, {}
-        letters, others = [], []
+        out, others = {}, []
         for p in parts:
-            if p.isascii() and p.isalpha():       # one pre-token that the byte map leaves as it is
-                out[p] = [t.id for t in model.tokenize(p.lower())]
-            elif p.isalpha():
-                letters.append(p)
+            if self.direct and p.isalpha() and (p.isascii() or all(map(_plain, p))):
+                out[p] = self.letters(p)
             else:
                 others.append(p)
-        for i in range(0, len(letters), 256):     # letters only: one pre-token a word, told apart by word ids
-            run = letters[i:i + 256]
-            found = self.tokenizer.encode(" ".join(run), add_special_tokens=False)
-            at = found.word_ids
-            if at and None not in at and at[-1] == len(run) - 1:
-                made: list[list[int]] = [[] for _ in run]
-                for k, token in zip(at, found.ids, strict=True):
-                    made[k].append(token)
-                out.update(zip(run, made, strict=True))
-            else:                                 # a letter that normalizes into other kinds of characters
-                others += run
         for i in range(0, len(others), 1024):
             run = others[i:i + 1024]
             found = self.tokenizer.encode_batch(run, add_special_tokens=False)
             out.update((w, e.ids) for w, e in zip(run, found, strict=True))
         return out
 
-    def encode(self, texts: list[str]) -> list[list[object]]:
-        """What `keep` made of each word of each text."""
-        words = [self.words(t) for t in texts]
-        need = set().union(*words)
-        new = need - self.known.keys()
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = need
-        self.known.update(self.learn(new))
-        return [list(map(self.known.__getitem__, w)) for w in words]
+    def encode(self, parts: list[str]) -> tuple[list[object], np.ndarray, np.ndarray]:
+        """(what `keep` made of the different words, for each word its number among them, where
+        each part's words begin and the last ends)."""
+        words, codes, offsets = split(list(map(self.prepared, parts)))
+        found = list(map(self.known.get, words))
+        new = {w for w, x in zip(words, found, strict=True) if x is None}
+        if new:
+            if len(self.known) + len(new) > CACHE_ENTRIES:
+                self.known.clear()
+                new = set(words)
+            self.known.update(self.learn(new))
+            found = list(map(self.known.__getitem__, words))
+        return found, codes, offsets
 
 
 class TextEncoder:
@@ -145,30 +147,17 @@ def encoder(path: str, keep: Callable[[list[int]], object] = len):
                        re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])"))
 
 
-def counts(texts: list[str | None], path: str) -> list[int]:
-    """Tokens of each text (None: empty), encoded in runs of about RUN_BYTES."""
-    made, out = encoder(path), [0] * len(texts)
-    words = isinstance(made, WordEncoder)
-
-    def flush(run: list[tuple[int, str]]) -> None:
-        if words:
-            found = [sum(x) for x in made.encode([t for _, t in run])]
-        else:
-            found = made.encode_counts([t for _, t in run])
-        for (i, _), n in zip(run, found, strict=True):
-            out[i] += n
-
-    run: list[tuple[int, str]] = []
-    size = 0
-    for i, text in enumerate(texts):
-        cut = _SPACE if words else made.cut
-        for part in segments(text, RUN_BYTES, cut) if text and cut else [text] if text else []:
-            run.append((i, part))
-            size += len(part)
-            if size >= RUN_BYTES:
-                flush(run)
-                run, size = [], 0
-    flush(run)
+def counts(texts: list[str | None], path: str) -> np.ndarray:
+    """Tokens of each text (None: empty), encoded in runs of about as many characters."""
+    made, out = encoder(path), np.zeros(len(texts), np.int64)
+    if isinstance(made, WordEncoder):
+        for owners, parts in runs(texts):
+            sizes, codes, offsets = made.encode(parts)
+            upto = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64)[codes])])
+            np.add.at(out, owners, upto[offsets[1:]] - upto[offsets[:-1]])
+    else:
+        for owners, parts in runs(texts, made.cut):
+            np.add.at(out, owners, made.encode_counts(parts))
     return out
 
 
@@ -195,26 +184,33 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
 
 
 def id_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    made = array("I", ids)
+    if sys.byteorder == "big":
+        made.byteswap()
+    return made.tobytes()
 
 
 def text_ids(texts: list[str | None], path: str) -> Iterator[bytes]:
-    """Little-endian ids of each text, for files that drop white space."""
+    """Little-endian ids of each text in order, for files that drop white space."""
     made = encoder(path, id_bytes)
     if not isinstance(made, WordEncoder):
         raise ValueError(f"ids are given by word; {path} joins white space to words")
-    run: list[str] = []
-    size = 0
-    for text in texts:
-        text = text or ""
-        if len(text) > RUN_BYTES:
-            yield from (b"".join(x) for x in made.encode(run))
-            run, size = [], 0
-            yield b"".join(b"".join(x) for part in segments(text, RUN_BYTES) for x in made.encode([part]))
-            continue
-        run.append(text)
-        size += len(text)
-        if size >= RUN_BYTES:
-            yield from (b"".join(x) for x in made.encode(run))
-            run, size = [], 0
-    yield from (b"".join(x) for x in made.encode(run))
+    at, held = 0, []                                   # the next text, what is there of it so far
+
+    def upto(owner: int) -> Iterator[bytes]:
+        nonlocal at, held
+        while at < owner:
+            yield b"".join(held)
+            at, held = at + 1, []
+
+    for owners, parts in runs(texts):
+        found, codes, offsets = made.encode(parts)
+        sizes = np.array([len(x) // 4 for x in found], np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        by_word = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(found), "<u4")))
+        ids = by_word.take(pa.array(codes)).flatten().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])[offsets]
+        for k, owner in enumerate(owners):
+            yield from upto(owner)
+            held.append(ids[ends[k]:ends[k + 1]].tobytes())
+    yield from upto(len(texts))
