@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.langid import words_of
+from planmart.llm.langid import piece_words, words_of
+from planmart.llm.pieces import runs, split
 
 SYMBOLS = "#*$%&|<>!"
 CAPITALS = bytes(range(65, 91))
 VOCABULARY = 1000
 BEGIN = 4
+REMEMBERED = 400_000
 LEAST_DOCS = 5          # documents of the sample that hold a feature
 LEAST_CHI = 25.0        # weaker differences between classes are taken for chance
 
@@ -90,33 +92,59 @@ def vocabulary(sample: DataFrame, classes: list[int], limit: int = VOCABULARY, m
 
 
 class Vectors:
-    """Texts as sparse rows over a vocabulary: log(1 + count)."""
+    """Texts as sparse rows over a vocabulary: log(1 + count).
+
+    A text is split at white space; which features a piece holds is looked up
+    once and remembered (at most REMEMBERED pieces).
+    """
 
     def __init__(self, names: list[str], marks: bool = True):
         self.index, self.marks = {n: i for i, n in enumerate(names)}, marks
-
-    def row(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found = [(i, n) for f, n in self.counts(text).items() if (i := self.index.get(f)) is not None]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0)
-        at, n = zip(*sorted(found), strict=True)
-        return np.array(at, np.int64), np.log1p(np.array(n, float))
-
-    def counts(self, text: str | None) -> Counter:
-        if not self.index:
-            return Counter()
-        found = Counter(words_of(text))
-        found.update(beginnings(found))
-        if self.marks and text:
-            found.update(style(text))
+        self.known = Pieces(self.index)
+
+    def rows(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(indices, values) of each text."""
+        found = [Counter() for _ in texts]
+        for owners, parts in runs(texts) if self.index else ():
+            pieces, codes, offsets = split([p.lower() for p in parts])
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            features = list(map(self.known.__getitem__, pieces))
+            hits = np.flatnonzero(np.fromiter(map(bool, features), bool, len(features))[codes])
+            owner = np.searchsorted(offsets, hits, side="right") - 1
+            for k, code in zip(owner.tolist(), codes[hits].tolist(), strict=True):
+                found[owners[k]].update(features[code])
+        out = []
+        for text, counts in zip(texts, found, strict=True):
+            if self.marks and text:
+                counts.update(i for m in style(text) if (i := self.index.get(m)) is not None)
+            at = sorted(counts)
+            out.append((np.array(at, np.int64), np.log1p(np.array([counts[i] for i in at], float))))
+        return out
+
+
+class Pieces(dict):
+    """The features of a piece of lower-case text, as a tuple of indices (usually empty)."""
+
+    def __init__(self, index: dict[str, int]):
+        super().__init__()
+        self.index = index
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        words = piece_words(piece)
+        names = [*words, *(w[:BEGIN] + "-" for w in words if len(w) > BEGIN)]
+        found = self[piece] = tuple(i for n in names if (i := self.index.get(n)) is not None)
         return found
 
+    def __reduce__(self):
+        return Pieces, (self.index,)          # what is remembered stays with its worker
+
 
 def sample_rows(sample: DataFrame, vectors: Vectors) -> list[tuple[int, float, np.ndarray, np.ndarray]]:
     """The bounded fit sample (text, y, weight) as (y, weight, indices, values), in a fixed order."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            made = [vectors.row(t) for t in rows["text"]]
+            made = vectors.rows(list(rows["text"]))
             yield pd.DataFrame({"y": rows["y"], "weight": rows["weight"], "at": [a.tolist() for a, _ in made],
                                 "x": [x.tolist() for _, x in made]})
 

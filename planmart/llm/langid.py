@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,14 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import bounded_sample
+from planmart.llm.common import bounded_sample, written
+from planmart.llm.pieces import runs, split
 
-FIT_TEXTS = 1500        # sampled texts per language, at most (about)
+FIT_TEXTS = 1000        # sampled texts per language, at most (about)
 KNOWN_WORDS = 30_000    # most frequent words of the sample
 KNOWN_GRAMS = 30_000    # most frequent n-grams of the sample
 LONGEST = 4             # n-grams of 4, 3, 2 and 1 characters, word ends marked
 SMOOTH = 0.5
-REMEMBERED = 200_000    # unseen words whose scores a worker remembers
+REMEMBERED = 400_000    # pieces of text whose scores a worker remembers, at most,
+REMEMBERED_BYTES = 64 << 20     # and the bytes of those scores
 UNKNOWN = "und"
 
 _ASCII_WORD = re.compile(r"[a-z]+")
@@ -44,6 +47,12 @@ def words_of(text: str | None) -> list[str]:
     return _ASCII_WORD.findall(text.lower()) if text.isascii() else _WORD.findall(text.lower())
 
 
+def piece_words(piece: str) -> list[str]:
+    """`words_of` a lower-case piece without white space; quick for a word with its punctuation."""
+    bare = piece.strip(".,!?;:")
+    return [bare] if bare.isalpha() else words_of(piece)
+
+
 def grams(word: str, n: int) -> list[str]:
     marked = f"^{word}$"
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
@@ -51,56 +60,94 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies by language; `rows` grows by the unseen words met."""
+    """Log frequencies by language, of known words and of known n-grams."""
     langs: list[str]
     words: dict[str, int] = field(default_factory=dict)
     gram_ids: dict[str, int] = field(default_factory=dict)
     word_logs: np.ndarray | None = None
     gram_logs: np.ndarray | None = None
 
-    def backoff(self, word: str) -> np.ndarray:
-        """Mean log frequency of the longest n-grams of which any is known; zeros if none is."""
+    def longest_known(self, word: str) -> list[int]:
+        """The known n-grams of the greatest n for which there are any."""
+        marked = f"^{word}$"
         for n in range(LONGEST, 0, -1):
-            ids = [i for g in grams(word, n) if (i := self.gram_ids.get(g)) is not None]
+            ids = [i for k in range(len(marked) - n + 1) if (i := self.gram_ids.get(marked[k:k + n])) is not None]
             if ids:
-                return self.gram_logs[ids].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return ids
+        return []
+
+    def score_words(self, groups: list[list[str]]) -> np.ndarray:
+        """A row for each group of words: the sum over its words of a known word's log
+        frequencies, else of the mean of its longest known n-grams' (zero if none is known)."""
+        out = np.zeros((len(groups), len(self.langs)))
+        known = [(k, i) for k, ws in enumerate(groups) for w in ws if (i := self.words.get(w)) is not None]
+        if known:
+            at, ids = map(np.array, zip(*known, strict=True))
+            np.add.at(out, at, self.word_logs[ids])
+        unseen = [(k, ids) for k, ws in enumerate(groups) for w in ws
+                  if w not in self.words and (ids := self.longest_known(w))]
+        if unseen:
+            sizes = np.array([len(ids) for _, ids in unseen])
+            flat = np.fromiter(chain.from_iterable(ids for _, ids in unseen), np.int64, int(sizes.sum()))
+            means = np.add.reduceat(self.gram_logs[flat], np.cumsum(sizes) - sizes) / sizes[:, None]
+            np.add.at(out, np.array([k for k, _ in unseen]), means)
+        return out
 
 
 class Scorer:
-    """Scores texts with a model; remembers the rows of unseen words."""
+    """Scores texts with a model; remembers the scores of pieces between white space."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.most = max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, len(model.langs)))))
         self.reset()
 
     def reset(self) -> None:
-        self.index = dict(self.model.words)
-        self.rows = np.zeros((len(self.index) + 4096, max(1, len(self.model.langs))))
-        if self.index:
-            self.rows[:len(self.index)] = self.model.word_logs
-
-    def score(self, text: str | None) -> tuple[str, float]:
-        """(language, posterior) of one text; ('und', 0) without letter or model. Ties: the first name."""
-        words = words_of(text)
+        self.index: dict[str, int] = {}
+        self.rows = np.zeros((1024, max(1, len(self.model.langs))))
+        self.letters: list[bool] = []
+
+    def learn(self, pieces: list[str]) -> None:
+        groups = [piece_words(x) for x in pieces]
+        first = len(self.index)
+        while first + len(pieces) > len(self.rows):
+            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+        self.rows[first:first + len(pieces)] = self.model.score_words(groups)
+        self.index.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.letters += map(bool, groups)
+
+    def rows_of(self, pieces: list[str]) -> np.ndarray:
+        """Where each of these different pieces has its row."""
+        new = [x for x in pieces if x not in self.index]
+        if new:
+            if len(self.index) + len(new) > self.most:
+                self.reset()
+                new = pieces
+            self.learn(new)
+        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+
+    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, posterior) of each text; ('und', 0) without letter or model. Ties: the first name."""
         langs = self.model.langs
-        if not words or not langs:
-            return UNKNOWN, 0.0
-        new = set(words) - self.index.keys()
-        if len(self.index) - len(self.model.words) + len(new) > REMEMBERED and len(self.index) > len(self.model.words):
-            self.reset()
-            new = set(words) - self.index.keys()
-        for w in new:
-            at = self.index[w] = len(self.index)
-            if at >= len(self.rows):
-                self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-            self.rows[at] = self.model.backoff(w)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        total = np.zeros(len(langs))
-        for i in range(0, len(at), 1 << 16):
-            total += self.rows[at[i:i + (1 << 16)]].sum(axis=0)
+        total = np.zeros((len(texts), len(langs)))
+        lettered = np.zeros(len(texts), bool)
+        for owners, parts in runs(texts) if langs else ():
+            pieces, codes, offsets = split([p.lower() for p in parts])
+            at = self.rows_of(pieces)
+            letters = np.fromiter(map(self.letters.__getitem__, at.tolist()), bool, len(at))
+            for k, owner in enumerate(owners):
+                part = codes[offsets[k]:offsets[k + 1]]
+                lettered[owner] |= letters[part].any()
+                for i in range(0, len(part), 1 << 16):
+                    total[owner] += self.rows[at[part[i:i + (1 << 16)]]].sum(axis=0)
+        return [self.verdict(t) if seen else (UNKNOWN, 0.0) for t, seen in zip(total, lettered, strict=True)]
+
+    def verdict(self, total: np.ndarray) -> tuple[str, float]:
         best = int(np.argmax(total))
-        return langs[best], float(1.0 / np.exp(total - total[best]).sum())
+        return self.model.langs[best], float(1.0 / np.exp(total - total[best]).sum())
+
+    def score(self, text: str | None) -> tuple[str, float]:
+        return self.score_all([text])[0]
 
 
 def _top(counts: DataFrame, limit: int) -> list:
@@ -120,37 +167,51 @@ def _logs(items: list, langs: list[str], totals: dict[str, float]) -> np.ndarray
     return out
 
 
+_COUNTS = "kind string, lang string, item string, n long"
+
+
+def _count_batches(kind: str, found: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, counts in found.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([kind] * len(counts), pa.string()), pa.array([lang] * len(counts), pa.string()),
+             pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+            ["kind", "lang", "item", "n"])
+
+
 def fit(labelled: DataFrame, texts: int = FIT_TEXTS, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAMS) -> Model:
     """A model from `labelled` (text, lang); rows without text or lang don't count.
 
     At most about `texts` texts per language are used (chosen by the text's
     hash), each word weighing as many texts as its own stands for in the
     sample only, so frequent languages don't outweigh rare ones.  Each
-    partition counts its words, then the counts meet by word.
+    partition counts its words, the counts meet by word, and n-grams are counted
+    once for each word, weighted by its count.
     """
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = bounded_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", texts, F.col("text"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[str, Counter] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 found.setdefault(lang, Counter()).update(words_of(text))
-            out = [("w", lang, w, n) for lang, c in found.items() for w, n in c.items()]
-            for lang, c in found.items():
-                by_gram: Counter = Counter()
-                for w, n in c.items():
-                    for size in range(1, LONGEST + 1):
-                        for g in grams(w, size):
-                            by_gram[g] += n
-                out += [("g", lang, g, n) for g, n in by_gram.items()]
-            yield pa.RecordBatch.from_pylist([dict(zip(("kind", "lang", "item", "n"), x, strict=True)) for x in out],
-                                             schema=pa.schema([("kind", pa.string()), ("lang", pa.string()),
-                                                               ("item", pa.string()), ("n", pa.int64())]))
-
-    from planmart.llm.common import written
-    counts = written(rows.select("text", "lang").mapInArrow(count, "kind string, lang string, item string, n long")
-                     .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
+            yield from _count_batches("w", found)
+
+    def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, Counter] = {}
+            for word, lang, n in zip(*(batch.column(c).to_pylist() for c in ("item", "lang", "n")), strict=True):
+                into = found.setdefault(lang, Counter())
+                for size in range(1, LONGEST + 1):
+                    for g in grams(word, size):
+                        into[g] += n
+            yield from _count_batches("g", found)
+
+    of_words = written(rows.select("text", "lang").mapInArrow(word_counts, _COUNTS)
+                       .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
+    of_grams = (of_words.select("item", "lang", "n").mapInArrow(gram_counts, _COUNTS)
+                .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
+    counts = of_words.unionByName(written(of_grams))
     totals = {(r["kind"], r["lang"]): float(r["n"])
               for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for _, lang in totals})
@@ -168,7 +229,7 @@ def predict(text: Column, model: Model, spark) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value)
         for texts in batches:
-            yield pd.DataFrame([scorer.score(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame(scorer.score_all(list(texts)), columns=["lang_pred", "score"])
 
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return F.pandas_udf(of, kind)(text)
