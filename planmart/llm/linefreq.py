@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.common import without
-
 MAX_RATIO = 0.1
 MIN_PAGES = 5
 
@@ -57,21 +55,19 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str,
     texts stay NULL with zero lines.  Repeated rows count as pages each.
     Columns named n_lines or n_dropped before are replaced.
     """
-    bad = boilerplate(pages, host, text, max_ratio, min_pages).toDF("_host", "_bad")
-    rows = without(pages, "n_lines", "n_dropped", "_host", "_bad")
-    rows = rows.join(bad, F.col(f"`{host}`").eqNullSafe(F.col("_host")), "left")
-    lines = _lines(F.col(f"`{text}`"))
-    kept = F.when(F.col("_bad").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_bad"), _key(x))))
-    names = [c for c in rows.columns if c not in ("_host", "_bad")]
-    rows = rows.withColumn("_kept", kept).select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text else F.col(f"`{c}`") for c in names],
-        F.coalesce(F.size(lines), F.lit(0)).alias("_n"),
-        F.coalesce(F.size("_kept"), F.lit(0)).alias("_k"))
-    size = F.when(F.col("_n") < 0, 0).otherwise(F.col("_n")).cast("long")
-    left = F.when(F.col("_k") < 0, 0).otherwise(F.col("_k")).cast("long")
-    return rows.select(*[F.col(f"`{c}`") for c in names], size.alias("n_lines"),
-                       (size - left).alias("n_dropped"))
+    bad = boilerplate(pages, host, text, max_ratio, min_pages).toDF("of", "bad")
+    names = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
+    rows = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    site, body = f"c{names.index(host)}", f"c{names.index(text)}"
+    lines = _lines(F.col(body))
+    kept = F.when(F.col("bad").isNull(), lines).otherwise(
+        F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("bad"), _key(x))))
+    rows = rows.join(bad, F.col(site).eqNullSafe(F.col("of")), "left").withColumn("kept", kept)
+    size = F.when(F.col(body).isNull(), 0).otherwise(F.size(lines)).cast("long")
+    left = F.when(F.col(body).isNull(), 0).otherwise(F.size("kept")).cast("long")
+    return rows.select(*[F.array_join("kept", "\n").alias(c) if c == text else F.col(f"c{i}").alias(c)
+                         for i, c in enumerate(names)],
+                       size.alias("n_lines"), (size - left).alias("n_dropped"))
 
 
 def url_host(url: Column) -> Column:

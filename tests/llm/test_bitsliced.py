@@ -1,0 +1,66 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from planmart.llm import bitsliced
+
+
+def brute(rows, k, is_query):
+    """{(query_id, rank): (vec_id, score)} by plain integer products."""
+    sound = {(v, tuple(math.floor(256 * float(np.float32(x))) for x in e)) for v, e in rows
+             if v is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)}
+    out = {}
+    for v, q in sound:
+        if is_query(v):
+            scored = sorted((-sum(a * b for a, b in zip(q, c)), w) for w, c in sound if w != v and len(c) == len(q))
+            for rank, (s, w) in enumerate(scored[:k], 1):
+                out[v, rank] = (w, -s)
+    return out
+
+
+def run(session, rows, k=5, every=5, **blocks):
+    df = session.createDataFrame([(v, e, "x") for v, e in rows], "vec_id long, embedding array<float>, score string")
+    got = bitsliced.top_k(df, F.col("vec_id") % every == 0, k=k, **blocks).collect()
+    made = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got}
+    assert len(made) == len(got)
+    return made
+
+
+def test_against_plain_products(session):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=24) * rng.choice([0.1, 1, 30])).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[i % 7][1]) for i in range(60)]              # ties, over the edge of k
+    expected = brute(rows, 5, lambda v: v % 5 == 0)
+    assert run(session, rows) == expected
+    assert run(session, rows, rows_per_block=70, queries_per_block=13) == expected
+
+
+def test_odd_rows(session):
+    rows = [(0, [1.0, 2.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]),
+            (5, [-1.0, 0.0]), (6, [1.0]), (None, [1.0, 1.0]), (7, [float("inf"), 0.0]), (8, []), (10, []), (15, [0.0, 0.0]),
+            (20, [-3.0, 2.0])]
+    assert run(session, rows) == brute(rows, 5, lambda v: v % 5 == 0)
+    assert run(session, [(0, [1.0])]) == {}
+    assert run(session, rows[:0]) == {}
+
+
+def test_several_vectors_of_one_id(session):
+    df = session.createDataFrame([(0, [1.0]), (0, [2.0]), (1, [1.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in bitsliced.top_k(df, F.col("vec_id") == 0).collect())
+    assert got == [(0, 1, 1, 65536), (0, 1, 1, 131072)]
+
+
+def test_bitmap_sums_and_selection():
+    rng = np.random.default_rng(1)
+    values = rng.integers(-300, 300, (130, 9))
+    values[5:90] = values[4]
+    query = rng.integers(-200, 200, 9)
+    low, bits, slices = bitsliced.build_slices(values)
+    ids = np.arange(130) * 3
+    scores = values @ query
+    for k in (1, 3, 64, 130, 200):
+        got = sorted(bitsliced.block_top(ids, low, slices, 9, query, k), key=lambda x: (-x[1], x[0]))
+        order = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != 9)[:k]
+        assert got == [(i, -s) for s, i in order]
+    assert bitsliced.block_top(ids, low, slices, -1, np.zeros(9, np.int64), 2) == [(0, 0), (3, 0)]
