@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,21 +46,11 @@ def style(text: str) -> list[str]:
     return [f"{name} {sum(x > edge for edge in edges)}>" for name, x, edges in bins]
 
 
-def beginnings(words: Counter) -> Counter:
-    """The first BEGIN letters of each longer word."""
-    found: Counter = Counter()
-    for w, n in words.items():
-        if len(w) > BEGIN:
-            found[w[:BEGIN] + "-"] += n
-    return found
-
-
-def features_of(text: str | None, marks: bool = True) -> Counter:
-    found = Counter(words_of(text))
-    found.update(beginnings(found))
-    if marks and text:
-        found.update(style(text))
-    return found
+def feature_set(text: str | None, marks: bool = True) -> set[str]:
+    """The features that a text holds."""
+    words = set(words_of(text))
+    words |= {w[:BEGIN] + "-" for w in words if len(w) > BEGIN}
+    return words.union(style(text)) if marks and text else words
 
 
 def vocabulary(sample: DataFrame, classes: list[int], limit: int = VOCABULARY, marks: bool = True) -> list[str]:
@@ -70,12 +61,13 @@ def vocabulary(sample: DataFrame, classes: list[int], limit: int = VOCABULARY, m
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
+            found: dict[int, Counter] = {}
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                found.update((f, y) for f in features_of(text, marks))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in found], pa.string()), pa.array([y for _, y in found], pa.int32()),
-                 pa.array(list(found.values()), pa.int64())], ["feature", "y", "n"])
+                found.setdefault(y, Counter()).update(feature_set(text, marks))
+            for y, counted in found.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(counted), pa.string()), pa.array([y] * len(counted), pa.int32()),
+                     pa.array(list(counted.values()), pa.int64())], ["feature", "y", "n"])
 
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     whole = float(sum(totals.values()) or 1)
@@ -100,27 +92,41 @@ class Vectors:
 
     def __init__(self, names: list[str], marks: bool = True):
         self.index, self.marks = {n: i for i, n in enumerate(names)}, marks
-        self.known = Pieces(self.index)
 
-    def rows(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(indices, values) of each text."""
-        found = [Counter() for _ in texts]
+    def matrix(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, feature, value) of every feature that a text holds, in that order."""
+        width = max(1, len(self.index))
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for owners, parts in runs(texts) if self.index else ():
             pieces, codes, offsets = split([p.lower() for p in parts])
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            features = list(map(self.known.__getitem__, pieces))
-            hits = np.flatnonzero(np.fromiter(map(bool, features), bool, len(features))[codes])
-            owner = np.searchsorted(offsets, hits, side="right") - 1
-            for k, code in zip(owner.tolist(), codes[hits].tolist(), strict=True):
-                found[owners[k]].update(features[code])
-        out = []
-        for text, counts in zip(texts, found, strict=True):
-            if self.marks and text:
-                counts.update(i for m in style(text) if (i := self.index.get(m)) is not None)
-            at = sorted(counts)
-            out.append((np.array(at, np.int64), np.log1p(np.array([counts[i] for i in at], float))))
-        return out
+            known = remembered(self.index)
+            if len(known) > REMEMBERED:
+                known.clear()
+            features = list(map(known.__getitem__, pieces))
+            sizes = np.fromiter(map(len, features), np.int64, len(features))
+            flat = np.fromiter(chain.from_iterable(features), np.int64, int(sizes.sum()))
+            hits = np.flatnonzero(sizes[codes])
+            code = codes[hits]
+            n = sizes[code]
+            at = np.repeat((np.cumsum(sizes) - sizes)[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            owner = np.array(owners, np.int64)[np.searchsorted(offsets, hits, side="right") - 1]
+            key, count = np.unique(np.repeat(owner, n) * width + flat[at], return_counts=True)
+            keys.append(key)
+            counts.append(count)
+        if self.marks and self.index:
+            marked = [i * width + k for i, text in enumerate(texts) if text
+                      for m in style(text) if (k := self.index.get(m)) is not None]
+            keys.append(np.array(marked, np.int64))
+            counts.append(np.ones(len(marked), np.int64))
+        key, where = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(where, np.concatenate(counts), len(key))
+        return key // width, key % width, np.log1p(total)
+
+    def scores(self, texts: list[str | None], weights: np.ndarray) -> np.ndarray:
+        """Sum of value times weight of each text, for each column of `weights`."""
+        row, col, x = self.matrix(texts)
+        return np.stack([np.bincount(row, x * w[col], len(texts)) if len(row) else np.zeros(len(texts))
+                         for w in weights.T], axis=1) if weights.shape[1] else np.zeros((len(texts), 0))
 
 
 class Pieces(dict):
@@ -136,17 +142,27 @@ class Pieces(dict):
         found = self[piece] = tuple(i for n in names if (i := self.index.get(n)) is not None)
         return found
 
-    def __reduce__(self):
-        return Pieces, (self.index,)          # what is remembered stays with its worker
+
+_OF_WORKER: dict[tuple[str, ...], Pieces] = {}
+
+
+def remembered(index: dict[str, int]) -> Pieces:
+    """What this Python worker knows about pieces, kept from task to task for the last vocabulary."""
+    names = tuple(index)
+    if names not in _OF_WORKER:
+        _OF_WORKER.clear()
+        _OF_WORKER[names] = Pieces(index)
+    return _OF_WORKER[names]
 
 
 def sample_rows(sample: DataFrame, vectors: Vectors) -> list[tuple[int, float, np.ndarray, np.ndarray]]:
     """The bounded fit sample (text, y, weight) as (y, weight, indices, values), in a fixed order."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            made = vectors.rows(list(rows["text"]))
-            yield pd.DataFrame({"y": rows["y"], "weight": rows["weight"], "at": [a.tolist() for a, _ in made],
-                                "x": [x.tolist() for _, x in made]})
+            row, col, x = vectors.matrix(list(rows["text"]))
+            ends = np.searchsorted(row, np.arange(1, len(rows)))
+            yield pd.DataFrame({"y": rows["y"], "weight": rows["weight"],
+                                "at": [v.tolist() for v in np.split(col, ends)], "x": [v.tolist() for v in np.split(x, ends)]})
 
     table = (sample.select("text", F.col("y").cast("int").alias("y"), "weight")
              .mapInPandas(of, "y int, weight double, at array<long>, x array<double>"))

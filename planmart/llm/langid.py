@@ -150,6 +150,16 @@ class Scorer:
         return self.score_all([text])[0]
 
 
+_LAST: list[Scorer] = []
+
+
+def of_worker(model: Model) -> Scorer:
+    """The scorer of this Python worker, kept from task to task while the model is the same."""
+    if not _LAST or _LAST[0].model is not model:
+        _LAST[:] = [Scorer(model)]
+    return _LAST[0]
+
+
 def _top(counts: DataFrame, limit: int) -> list:
     """The `limit` most frequent items with their counts by language (bounded, so it may reach the driver)."""
     return (counts.groupBy("item")
@@ -227,7 +237,7 @@ def predict(text: Column, model: Model, spark) -> Column:
     sent = spark.sparkContext.broadcast(model)
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(sent.value)
+        scorer = of_worker(sent.value)
         for texts in batches:
             yield pd.DataFrame(scorer.score_all(list(texts)), columns=["lang_pred", "score"])
 

@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 from planmart.llm.common import bounded_sample, hash_share, written
 from planmart.llm.features import Vectors, adam, sample_rows, stacked, vocabulary
 
-FIT_DOCS = 4000          # sampled documents per domain, at most (about)
+FIT_DOCS = 1500          # sampled documents per domain, at most (about)
 VOCABULARY = 600
-STEPS, RATE, RIDGE = 300, 0.1, 1e-3
+STEPS, RATE, RIDGE = 150, 0.15, 1e-3
 MOST_STEPS, CLOSE = 25, 2e-3      # gradient steps at most; relative residual to stop at
 
 #: Domains of the labelled table, and the share of all tokens that each should have.
@@ -44,19 +44,21 @@ class Softmax:
     domains: list[str]
     weights: np.ndarray          # (features + 1, domains); the last row is the intercept
 
-    def posterior(self, vectors: Vectors, texts) -> np.ndarray:
-        z = np.array([self.weights[-1] + (x @ self.weights[at] if len(at) else 0.0)
-                      for at, x in vectors.rows(list(texts))]).reshape(-1, len(self.domains))
+    def posterior(self, vectors: Vectors, texts: list[str | None]) -> np.ndarray:
+        z = vectors.scores(texts, self.weights[:-1]) + self.weights[-1]
         e = np.exp(z - z.max(axis=1, keepdims=True)) if len(z) else z
         return e / e.sum(axis=1, keepdims=True) if len(z) else z
 
 
 def fit(labelled: DataFrame, domains: list[str], docs: int = FIT_DOCS, limit: int = VOCABULARY) -> Softmax:
-    """Multinomial logistic regression on `labelled` (text, domain); a bounded sample per domain,
-    weighted by what each document stands for.  Domains without a labelled document stay near zero."""
+    """Multinomial logistic regression on `labelled` (text, domain, and weight if it is a sample
+    already; else about `docs` documents per domain are sampled).  Domains without a
+    labelled document stay near zero."""
     number = F.create_map(*[x for i, d in enumerate(domains) for x in (F.lit(d), F.lit(i))])
-    rows = labelled.select(F.col("text").cast("string").alias("text"), number[F.col("domain")].alias("y"))
-    sample = written(bounded_sample(rows.where("text IS NOT NULL AND y IS NOT NULL"), "y", docs, F.col("text")))
+    rows = labelled.withColumn("y", number[F.col("domain")]).where("text IS NOT NULL AND y IS NOT NULL")
+    if "weight" not in labelled.columns:
+        rows = bounded_sample(rows, "y", docs, F.col("text"))
+    sample = written(rows.select(F.col("text").cast("string").alias("text"), "y", "weight"))
     names = vocabulary(sample, list(range(len(domains))), limit)
     y, w, row, col, x = stacked(sample_rows(sample, Vectors(names)))
     n, m, k = len(y), len(names), len(domains)
@@ -89,7 +91,7 @@ def posteriors(text: Column, model: Softmax) -> Column:
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(list(model.posterior(vectors, texts)))
+            yield pd.Series(list(model.posterior(vectors, list(texts))))
 
     return F.pandas_udf(of, T.ArrayType(T.DoubleType()))(text)
 
@@ -128,11 +130,13 @@ def rates(table: DataFrame, targets: list[float], tokens: str, p: str, floor: fl
     return rate
 
 
-def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, domain) of the labelled documents; of repeated labels the worst counts."""
+def labelled_domains(docs: DataFrame, labels: DataFrame, each: int = FIT_DOCS) -> DataFrame:
+    """(text, domain, weight) of about `each` labelled documents per domain at most, chosen by
+    doc_id; of repeated labels the worst counts."""
     known = (labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
              .select("doc_id", domain(F.col("quality"), F.col("toxic")).alias("domain")).where("domain IS NOT NULL"))
-    return docs.select("doc_id", "text").join(known, "doc_id")
+    chosen = written(bounded_sample(known, "domain", each, F.col("doc_id")))
+    return docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "domain", "weight")
 
 
 def copies(rate: Column, *key: Column) -> Column:
