@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planmart.llm.langid import piece_words, words_of
-from planmart.llm.pieces import runs, split
+from planmart.llm.pieces import of_worker, runs, split
 
 SYMBOLS = "#*$%&|<>!"
 CAPITALS = bytes(range(65, 91))
 VOCABULARY = 1000
 BEGIN = 4
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 LEAST_DOCS = 5          # documents of the sample that hold a feature
 LEAST_CHI = 25.0        # weaker differences between classes are taken for chance
 
@@ -143,16 +143,9 @@ class Pieces(dict):
         return found
 
 
-_OF_WORKER: dict[tuple[str, ...], Pieces] = {}
-
-
 def remembered(index: dict[str, int]) -> Pieces:
-    """What this Python worker knows about pieces, kept from task to task for the last vocabulary."""
-    names = tuple(index)
-    if names not in _OF_WORKER:
-        _OF_WORKER.clear()
-        _OF_WORKER[names] = Pieces(index)
-    return _OF_WORKER[names]
+    """What this Python worker knows about pieces, for the vocabulary at hand."""
+    return of_worker(("features", *index), lambda: Pieces(index))
 
 
 def sample_rows(sample: DataFrame, vectors: Vectors) -> list[tuple[int, float, np.ndarray, np.ndarray]]:

@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -25,15 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planmart.llm.common import bounded_sample, written
-from planmart.llm.pieces import runs, split
+from planmart.llm.pieces import of_worker, runs, split, texts_of
 
 FIT_TEXTS = 1000        # sampled texts per language, at most (about)
 KNOWN_WORDS = 30_000    # most frequent words of the sample
 KNOWN_GRAMS = 30_000    # most frequent n-grams of the sample
 LONGEST = 4             # n-grams of 4, 3, 2 and 1 characters, word ends marked
 SMOOTH = 0.5
-REMEMBERED = 400_000    # pieces of text whose scores a worker remembers, at most,
-REMEMBERED_BYTES = 64 << 20     # and the bytes of those scores
+REMEMBERED = 200_000    # pieces of text whose scores a worker remembers, at most,
+REMEMBERED_BYTES = 32 << 20     # and the bytes of those scores
 UNKNOWN = "und"
 
 _ASCII_WORD = re.compile(r"[a-z]+")
@@ -150,16 +149,6 @@ class Scorer:
         return self.score_all([text])[0]
 
 
-_LAST: list[Scorer] = []
-
-
-def of_worker(model: Model) -> Scorer:
-    """The scorer of this Python worker, kept from task to task while the model is the same."""
-    if not _LAST or _LAST[0].model is not model:
-        _LAST[:] = [Scorer(model)]
-    return _LAST[0]
-
-
 def _top(counts: DataFrame, limit: int) -> list:
     """The `limit` most frequent items with their counts by language (bounded, so it may reach the driver)."""
     return (counts.groupBy("item")
@@ -236,13 +225,16 @@ def predict(text: Column, model: Model, spark) -> Column:
     """struct(lang_pred, score) of a text column.  The model's size is bounded by its parameters."""
     sent = spark.sparkContext.broadcast(model)
 
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = of_worker(sent.value)
-        for texts in batches:
-            yield pd.DataFrame(scorer.score_all(list(texts)), columns=["lang_pred", "score"])
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = sent.value
+        scorer = of_worker(("language", id(model)), lambda: Scorer(model))
+        for column in columns:
+            found = [x for texts in texts_of(column) for x in scorer.score_all(texts)]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
+                                              pa.array([s for _, s in found], pa.float64())], ["lang_pred", "score"])
 
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return F.pandas_udf(of, kind)(text)
+    return F.arrow_udf(of, kind)(text)
 
 
 def identify(docs: DataFrame, labelled: DataFrame, *keep: str) -> DataFrame:

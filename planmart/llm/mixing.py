@@ -17,13 +17,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planmart.llm.common import bounded_sample, hash_share, written
 from planmart.llm.features import Vectors, adam, sample_rows, stacked, vocabulary
+from planmart.llm.pieces import texts_of
 
 FIT_DOCS = 1500          # sampled documents per domain, at most (about)
 VOCABULARY = 600
@@ -87,13 +88,14 @@ def fit(labelled: DataFrame, domains: list[str], docs: int = FIT_DOCS, limit: in
 
 
 def posteriors(text: Column, model: Softmax) -> Column:
-    vectors = Vectors(model.names)
+    vectors, k = Vectors(model.names), len(model.domains)
 
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(list(model.posterior(vectors, list(texts))))
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            p = np.concatenate([np.zeros((0, k)), *(model.posterior(vectors, texts) for texts in texts_of(column))])
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel()))
 
-    return F.pandas_udf(of, T.ArrayType(T.DoubleType()))(text)
+    return F.arrow_udf(of, T.ArrayType(T.DoubleType()))(text)
 
 
 def token_size(text: Column) -> Column:

@@ -7,16 +7,35 @@ space into several parts, so one huge document never decides a task's memory.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 RUN_CHARS = 12 << 20
+ROWS = 4096
 SPACE = re.compile(r"[ \t\n\v\f\r]")
 
 
+_SLOT: list[tuple[object, object]] = []
+
+
+def of_worker(key: object, make: Callable[[], object]) -> object:
+    """What `make` gives, kept by this Python worker from task to task until another key is asked
+    for: a worker that serves one operator after the other remembers for one at a time."""
+    if not _SLOT or _SLOT[0][0] != key:
+        _SLOT.clear()
+        _SLOT.append((key, make()))
+    return _SLOT[0][1]
+
+
+def texts_of(column: pa.Array) -> Iterator[list[str | None]]:
+    """A column as lists of ROWS texts at most, so that only a few are Python objects at a time."""
+    for i in range(0, len(column), ROWS):
+        yield column.slice(i, ROWS).to_pylist()
+
+
 def segments(text: str, size: int, spaces: re.Pattern = SPACE) -> Iterator[str]:
     """`text` in parts of about `size` characters, cut before white space; joined they are `text`."""
     start = 0

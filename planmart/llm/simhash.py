@@ -25,7 +25,7 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from planmart.llm.common import all_of, without, written
 from planmart.llm.components import connected_components
+from planmart.llm.pieces import texts_of
 
 SEED = 42
 BITS = 64
@@ -61,12 +62,12 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprint(text: Column, shingle: int) -> Column:
     """The fingerprint of a text column, as a signed long."""
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            made = [text_fingerprint(t, shingle) for t in texts]
-            yield pd.Series(np.array(made, dtype=np.uint64).view(np.int64))
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            made = [text_fingerprint(t, shingle) for texts in texts_of(column) for t in texts]
+            yield pa.array(np.array(made, dtype=np.uint64).view(np.int64))
 
-    return F.pandas_udf(of, T.LongType())(text)
+    return F.arrow_udf(of, T.LongType())(text)
 
 
 def pivot_table(prints: DataFrame, fp: str = "fp") -> DataFrame:

@@ -12,16 +12,15 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.pieces import runs, split
+from planmart.llm.pieces import of_worker, runs, split, texts_of
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 
 
 END = (".", ",")
@@ -37,23 +36,24 @@ def _byte_level() -> dict[int, int]:
 BYTE_LEVEL = _byte_level()
 
 
-def _plain(char: str) -> bool:
-    """Latin characters that normalization leaves alone and whose lower case is one character."""
-    return char < "\u0250" and char != "\u0130"
+#: Latin characters that normalization leaves alone and whose lower case is one character.
+PLAIN_BELOW, NOT_PLAIN = "\u0250", "\u0130"
 
 
 class WordEncoder:
     """Ids by a `tokenizers` file whose normalizer and pre-tokenizer drop white space.
 
     No token of such a file crosses white space, so a text's ids are those of
-    its words in order, and each word is encoded once and then remembered (at
-    most CACHE_ENTRIES words; a full memory is emptied).
+    its words in order, and each word is encoded once and then remembered.  The
+    memory has two halves of CACHE_ENTRIES / 2 words: when the newer is full the
+    older goes, so words met again and again stay.
     """
 
     def __init__(self, tokenizer, keep: Callable[[list[int]], object]):
         self.tokenizer, self.keep = tokenizer, keep
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
         # whether one word of plain letters may go straight to the model, as bytes in their byte-level form
         probes = ("Hello", "\u00c9clair", "na\u00efvet\u00e9", "\u00f1and\u00fa", "stra\u00dfe", "\u0142\u00f3d\u017a")
         self.direct = all(self.letters(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
@@ -71,25 +71,29 @@ class WordEncoder:
     def learn(self, words: set[str]) -> dict[str, object]:
         """Encode `words`; one that ends in full stops or commas as its stem and that run."""
         cut = {w: n for w in words if w[-1:] in END and (n := self.stem(w)) < len(w)}
-        whole = words - cut.keys()
-        ids = self.encode_all(whole | {p for w, n in cut.items() for p in (w[:n], w[n:])})
-        made = {w: self.keep(ids[w]) for w in whole}
-        made.update((w, self.keep(ids[w[:n]] + ids[w[n:]])) for w, n in cut.items())
-        return made
+        parts = words.difference(cut)
+        parts.update(w[:n] for w, n in cut.items())
+        parts.update(w[n:] for w, n in cut.items())
+        ids, keep = self.encode_all(parts), self.keep
+        return {w: keep(ids[w[:cut[w]]] + ids[w[cut[w]:]]) if w in cut else keep(ids[w]) for w in words}
 
     def stem(self, word: str) -> int:
         """Where the trailing run of full stops and commas begins; the end, if what
         stands before it might join it in one pre-token."""
         n = len(word.rstrip(".,"))
-        if n and _plain(word[n - 1]) and word[n - 1].isalnum() and not any(s in word for s in self.specials):
+        if n and word[n - 1].isalnum() and word[n - 1] < PLAIN_BELOW and word[n - 1] != NOT_PLAIN and not any(s in word for s in self.specials):
             return n
         return len(word)
 
     def encode_all(self, parts: set[str]) -> dict[str, list[int]]:
-        out, others = {}, []
+        out, others, tokenize, letters = {}, [], self.tokenizer.model.tokenize, self.letters
         for p in parts:
-            if self.direct and p.isalpha() and (p.isascii() or all(map(_plain, p))):
-                out[p] = self.letters(p)
+            if not (self.direct and p.isalpha()):
+                others.append(p)
+            elif p.isascii():
+                out[p] = [t.id for t in tokenize(p.lower())]
+            elif max(p) < PLAIN_BELOW and NOT_PLAIN not in p:
+                out[p] = letters(p)
             else:
                 others.append(p)
         for i in range(0, len(others), 1024):
@@ -103,13 +107,16 @@ class WordEncoder:
         each part's words begin and the last ends)."""
         words, codes, offsets = split(list(map(self.prepared, parts)))
         found = list(map(self.known.get, words))
-        new = {w for w, x in zip(words, found, strict=True) if x is None}
-        if new:
-            if len(self.known) + len(new) > CACHE_ENTRIES:
-                self.known.clear()
-                new = set(words)
-            self.known.update(self.learn(new))
-            found = list(map(self.known.__getitem__, words))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if missing:
+            again = {i: x for i in missing if (x := self.older.get(words[i])) is not None}
+            made = self.learn({words[i] for i in missing if i not in again})
+            if len(self.known) + len(missing) > CACHE_ENTRIES // 2:
+                self.known, self.older = {}, self.known
+            for i in missing:
+                found[i] = self.known[words[i]] = again[i] if i in again else made[words[i]]
+            if len(self.known) > CACHE_ENTRIES // 2:      # one run of more different words than that
+                self.known = {}
         return found, codes, offsets
 
 
@@ -127,9 +134,12 @@ def _drops_space(tokenizer) -> bool:
     return not probe and joined == apart[0] + apart[1]
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, keep: Callable[[list[int]], object] = len):
     """The encoder of a tokenizer file; one for each Python worker."""
+    return of_worker(("tokens", path, keep.__name__), lambda: load(path, keep))
+
+
+def load(path: str, keep: Callable[[list[int]], object]):
     if path.endswith(".model"):
         import sentencepiece
         pieces = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -171,7 +181,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = counts(batch.column("text").to_pylist(), path)
+            n = np.concatenate([np.zeros(0, np.int64), *(counts(x, path) for x in texts_of(batch.column("text")))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"])
