@@ -54,9 +54,14 @@ def query(name: str):
 @query("scan_preview")
 def scan_preview(spark, sf_dir):
     """A2-A4: USE a database, scan a lookup, TOP 10 ordered by key."""
-    readers.use_database(spark, spark.catalog.currentDatabase())
-    adapters.accounts(spark, sf_dir).createOrReplaceTempView("account_lookup")
-    return readers.preview(readers.scan(spark, "account_lookup"), 10, "AccountNo")
+    before = spark.catalog.currentDatabase()
+    spark.sql("CREATE DATABASE IF NOT EXISTS planmart_scan")
+    readers.use_database(spark, "planmart_scan")
+    try:
+        adapters.accounts(spark, sf_dir).createOrReplaceTempView("account_lookup")
+        return readers.preview(readers.scan(spark, "account_lookup"), 10, "AccountNo")
+    finally:
+        readers.use_database(spark, before)
 
 
 @query("csv_ingest")
@@ -203,24 +208,20 @@ def left_wide_calendar(spark, sf_dir):
     return to_fiscal_month(rows, p.cal, "Opportunity_Est_Date", keep_date=True, wide=True)
 
 
-def _spread(p: Plan, theta: bool) -> DataFrame:
-    return p.spread_origins(all_months=not theta)
-
-
 @query("cross_future_months")
 def cross_future_months(spark, sf_dir):
-    return _spread(plan_for(spark, sf_dir), theta=False)
+    return plan_for(spark, sf_dir).spread_origins(all_months=True)
 
 
 @query("theta_month_join")
 def theta_month_join(spark, sf_dir):
-    return _spread(plan_for(spark, sf_dir), theta=True)
+    return plan_for(spark, sf_dir).spread_origins()
 
 
 @query("left_next_month")
 def left_next_month(spark, sf_dir):
     p = plan_for(spark, sf_dir)
-    spread = _spread(p, theta=True).withColumn("Est_Month_Id", F.col("Future_Month_ID") + 1)
+    spread = p.spread_origins().withColumn("Est_Month_Id", F.col("Future_Month_ID") + 1)
     months = p.cal.months().select(F.col("Month_ID").alias("_id"),
                                    F.col("Fiscal_Month").alias("Est_Fiscal_Month"))
     return (spread.join(months, spread["Est_Month_Id"] == months["_id"], "left")
@@ -228,14 +229,10 @@ def left_next_month(spark, sf_dir):
                     "Est_Fiscal_Month", "Opportunity_Usage"))
 
 
-def _lookup_base(p: Plan) -> DataFrame:
-    return p.p2
-
-
 @query("lookup_calendar")
 def lookup_calendar(spark, sf_dir):
     p = plan_for(spark, sf_dir)
-    return joins.left_lookup(_lookup_base(p), p.cal.month_dim(), "Fiscal_Month", "Fiscal_Month",
+    return joins.left_lookup(p.p2, p.cal.month_dim(), "Fiscal_Month", "Fiscal_Month",
                        marts.MONTH_ATTRS)
 
 
@@ -243,13 +240,13 @@ def lookup_calendar(spark, sf_dir):
 def lookup_account(spark, sf_dir):
     p = plan_for(spark, sf_dir)
     acc = p.inputs.accounts.withColumnRenamed("Store", "Account_Name")
-    return joins.left_lookup(_lookup_base(p), acc, "Account_No", "AccountNo", marts.ACCOUNT_ATTRS)
+    return joins.left_lookup(p.p2, acc, "Account_No", "AccountNo", marts.ACCOUNT_ATTRS)
 
 
 @query("lookup_seller")
 def lookup_seller(spark, sf_dir):
     p = plan_for(spark, sf_dir)
-    return joins.left_lookup(_lookup_base(p), p.inputs.sellers, "Account_No", "Store_ID",
+    return joins.left_lookup(p.p2, p.inputs.sellers, "Account_No", "Store_ID",
                        marts.SELLER_ATTRS)
 
 
@@ -417,12 +414,12 @@ def forecast_year_end(spark, sf_dir):
 
 @query("baseline_avg3")
 def baseline_avg3(spark, sf_dir):
-    return insights.baseline_variant(plan_for(spark, sf_dir), 3)
+    return plan_for(spark, sf_dir).baseline_avg(3)
 
 
 @query("baseline_avg6")
 def baseline_avg6(spark, sf_dir):
-    return insights.baseline_variant(plan_for(spark, sf_dir), 6)
+    return plan_for(spark, sf_dir).baseline_avg(6)
 
 
 @query("slice_rollup")

@@ -38,6 +38,11 @@ OPPORTUNITY_CATEGORY_RULES = (
     ("Product:", "Products"),
 )
 
+# (month name, months left after it in a July-June fiscal year), first match wins.
+MONTHS_LEFT = (
+    ("July", 11), ("August", 10), ("September", 9), ("October", 8), ("November", 7), ("December", 6),
+    ("January", 5), ("February", 4), ("March", 3), ("April", 2), ("May", 1), ("June", 0),
+)
 MONTH_NAMES = (
     "January", "February", "March", "April", "May", "June",
     "July", "August", "September", "October", "November", "December",
@@ -55,7 +60,9 @@ BAND_TOP = "$200,000 +"
 # --- end of fixed values ----------------------------------------------------
 
 MONEY = "decimal(18,2)"
-FISCAL_YEAR_START_MONTH = 7
+# Amounts that come as text: every digit that a real amount has is kept.
+AMOUNT = "decimal(38,6)"
+MORE_DECIMALS = r"\.[0-9]{6}[0-9]*[1-9]"
 
 
 def _col(c: str | Column) -> Column:
@@ -91,21 +98,27 @@ def categorise(c: str | Column, rules=REVENUE_CATEGORY_RULES, collation: str | N
     return out.otherwise(F.lit(default))
 
 
-def measure_split(type_col: str | Column, value_col: str | Column, wanted: str) -> Column:
+def collated(c: str | Column, collation: str | None = None) -> Column:
+    """``c``, compared under a Spark collation if one is given."""
+    return F.collate(_col(c), collation) if collation else _col(c)
+
+
+def measure_split(type_col: str | Column, value_col: str | Column, wanted: str,
+                  collation: str | None = None) -> Column:
     """``IIF(type = wanted, value, 0)``: an unknown/NULL type yields 0."""
     value = _col(value_col)
-    return F.when(_col(type_col) == wanted, value).otherwise(F.lit(0).cast(MONEY))
+    return F.when(collated(type_col, collation) == wanted, value).otherwise(F.lit(0).cast(MONEY))
 
 
-def parse_amount(c: str | Column, scale_type: str = MONEY) -> Column:
+def parse_amount(c: str | Column, scale_type: str = AMOUNT) -> Column:
     """Text with thousands commas → exact decimal; unparsable text → NULL."""
     return F.replace(_col(c), F.lit(","), F.lit("")).try_cast(scale_type)
 
 
-def is_present(c: str | Column) -> Column:
+def is_present(c: str | Column, collation: str | None = None) -> Column:
     """Neither SQL NULL nor the text sentinel ``'NULL'``."""
     c = _col(c)
-    return c.isNotNull() & (c != NULL_TEXT)
+    return c.isNotNull() & (collated(c, collation) != NULL_TEXT)
 
 
 def months_left(fiscal_month: str | Column, include_current: bool = False,
@@ -116,8 +129,8 @@ def months_left(fiscal_month: str | Column, include_current: bool = False,
     NULL when no month name is found.
     """
     out = None
-    for idx, name in enumerate(MONTH_NAMES, start=1):
-        left = (FISCAL_YEAR_START_MONTH + 11 - idx) % 12 + (1 if include_current else 0)
+    for name, after in MONTHS_LEFT:
+        left = after + (1 if include_current else 0)
         cond = text_contains(fiscal_month, name, collation)
         out = F.when(cond, F.lit(left)) if out is None else out.when(cond, F.lit(left))
     return out

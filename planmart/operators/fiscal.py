@@ -1,41 +1,29 @@
 """Fiscal calendar dimension and the fiscal context of a revenue snapshot.
 
-The calendar is a day-level dimension.  Its size is bounded by the number of
-days it covers, so the derived month dimensions are broadcast once that bound
-is known (exactly for a generated calendar, by one count for a read one); a
-calendar beyond the bound is joined by shuffle instead.
+The calendar is a day-level dimension, bounded by the days it covers.  Its
+joins carry no hint: the planner broadcasts it by its size statistics, and
+adaptive execution decides again from the real size.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side must stay far below executor memory: 2M calendar rows is
-# ~5,000 years of days, i.e. any real calendar; beyond that we shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 class Calendar:
     """Day-level calendar: Date_Value, Fiscal_Month, Fiscal_Quarter, Fiscal_Year, Month_ID."""
 
-    def __init__(self, df: DataFrame, max_days: int | None = None, unique_days: bool = False):
+    def __init__(self, df: DataFrame, unique_days: bool = False):
         self.df = df
-        self._bound = max_days
         # A generated calendar has one row per day: day-level DISTINCTs are no-ops.
         self.unique_days = unique_days
 
-    def row_bound(self) -> int:
-        if self._bound is None:
-            # One cheap job, stopped as soon as the bound is exceeded.
-            self._bound = self.df.limit(MAX_BROADCAST_ROWS + 1).count()
-        return self._bound
-
     def _dim(self, *cols: str) -> DataFrame:
         dim = self.df.select(*cols)
-        if not (self.unique_days and "Date_Value" in cols):
-            dim = dim.distinct()
-        return F.broadcast(dim) if self.row_bound() <= MAX_BROADCAST_ROWS else dim
+        return dim if self.unique_days and "Date_Value" in cols else dim.distinct()
 
     def days(self) -> DataFrame:
         """DISTINCT (Date_Value, Fiscal_Month)."""
@@ -53,10 +41,6 @@ class Calendar:
         """DISTINCT month attributes: one row per fiscal month."""
         return self._dim("Fiscal_Month", "Fiscal_Quarter", "Fiscal_Year", "Month_ID")
 
-    def fiscal_months(self) -> DataFrame:
-        """DISTINCT Fiscal_Month."""
-        return self._dim("Fiscal_Month")
-
 
 def to_fiscal_month(df: DataFrame, cal: Calendar, date_col: str, keep_date: bool = False,
                     wide: bool = False) -> DataFrame:
@@ -69,91 +53,105 @@ def to_fiscal_month(df: DataFrame, cal: Calendar, date_col: str, keep_date: bool
 class FiscalContext:
     """Cutoff of a revenue snapshot and the fiscal month/year it falls in.
 
-    The four values are fetched once per plan by one small job (a global
-    MAX over the revenue aggregate, one calendar row) and bound into the
-    pipeline as literals, so date filters push down to the scans and no step
-    carries a nested subquery.  Like the worksheet's scalar subqueries, a
-    cutoff that the calendar maps to several months is an error, and a
-    missing cutoff selects nothing.
+    Everything is read from one scalar subquery over the revenue feed and the
+    calendar, so each plan holds its own cutoff and a view over it follows new
+    data.  Spark runs the subquery once per query, however often it is used.
+    As in the worksheet, a cutoff that the calendar maps to several months is
+    an error, and one that it doesn't hold has NULL month and year and selects
+    nothing.
     """
 
     def __init__(self, cutoff: DataFrame, cal: Calendar):
         self.cal = cal
-        days = cal.days_wide()
-        ctx = (cutoff.join(days, cutoff["Cutoff_Date"] == days["Date_Value"], "left")
-               .select("Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID").distinct())
-        # Date spans of the cutoff's fiscal month and year, for scan pre-filters.
-        span = cal.df.select(F.col("Date_Value").alias("_d"), F.col("Fiscal_Month").alias("_m"),
-                             F.col("Fiscal_Year").alias("_y"))
-        month_span = (ctx.join(span, ctx["Fiscal_Month"] == span["_m"], "left")
-                      .groupBy("Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID")
-                      .agg(F.min("_d").alias("Month_Start"), F.max("_d").alias("Month_End")))
-        year_span = (ctx.join(span, ctx["Fiscal_Year"] == span["_y"], "left")
-                     .groupBy("Fiscal_Year").agg(F.max("_d").alias("Year_End")))
-        rows = month_span.join(year_span, "Fiscal_Year", "left").limit(2).collect()
-        if len(rows) > 1:
-            raise ValueError(f"cutoff {rows[0]['Cutoff_Date']} maps to several fiscal months")
-        r = rows[0]
-        self.cutoff_date, self.fiscal_month, self.fiscal_year, self.month_id = (
-            r["Cutoff_Date"], r["Fiscal_Month"], r["Fiscal_Year"], r["Month_ID"])
-        self.month_start, self.month_end, self.year_end = (
-            r["Month_Start"], r["Month_End"], r["Year_End"])
-        # The remaining months of the fiscal year: at most twelve (one per month of
-        # one fiscal year), fetched once and used as a literal array.
-        self.future = sorted((m["Month_ID"], m["Fiscal_Month"])
-                             for m in self.future_months().collect())
+        self._cutoff = cutoff
+
+    @cached_property
+    def row(self) -> DataFrame:
+        """One row: Cutoff_Date, Fiscal_Month, Fiscal_Year, Month_ID (NULL where the calendar lacks it)."""
+        days = self.cal.days_wide()
+        return (self._cutoff.join(days, self._cutoff["Cutoff_Date"] == days["Date_Value"], "left")
+                .select("Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID"))
+
+    @cached_property
+    def value(self) -> Column:
+        """The row, its date spans and the months left in its year, as one scalar subquery.
+
+        The days of one fiscal year (366 at most) are folded into an array.
+        """
+        year = (self.cal.df.groupBy(F.col("Fiscal_Year").alias("_y"))
+                .agg(F.collect_set(F.struct("Date_Value", "Fiscal_Month", "Month_ID")).alias("_days")))
+        row = self.row.join(year, F.col("Fiscal_Year") == F.col("_y"), "left")
+        in_month = F.transform(F.filter("_days", lambda d: d["Fiscal_Month"] == F.col("Fiscal_Month")),
+                               lambda d: d["Date_Value"])
+        dates = F.transform("_days", lambda d: d["Date_Value"])
+        future = F.array_distinct(F.transform(
+            F.filter("_days", lambda d: (d["Date_Value"] > F.col("Cutoff_Date"))
+                     & (d["Fiscal_Month"] != F.col("Fiscal_Month"))),
+            lambda d: F.struct(d["Fiscal_Month"].alias("Fiscal_Month"), d["Month_ID"].alias("Month_ID"))))
+        return row.select(F.struct(
+            "Cutoff_Date", "Fiscal_Month", "Fiscal_Year", "Month_ID",
+            F.array_min(in_month).alias("Month_Start"), F.array_max(in_month).alias("Month_End"),
+            F.array_min(dates).alias("Year_Start"), F.array_max(dates).alias("Year_End"),
+            F.array_max(F.transform(future, lambda m: m["Month_ID"])).alias("Last_ID"),
+            future.alias("Future"))).scalar()
+
+    @property
+    def cutoff(self) -> Column:
+        return self.value["Cutoff_Date"]
+
+    @property
+    def fiscal_month(self) -> Column:
+        return self.value["Fiscal_Month"]
+
+    @property
+    def fiscal_year(self) -> Column:
+        return self.value["Fiscal_Year"]
+
+    @property
+    def month_id(self) -> Column:
+        return self.value["Month_ID"]
 
     def in_cutoff_month(self, date_col: str) -> Column:
         """Superset pre-filter: dates within the cutoff fiscal month's span."""
-        return F.col(date_col).between(F.lit(self.month_start).cast("date"),
-                                       F.lit(self.month_end).cast("date"))
+        return F.col(date_col).between(self.value["Month_Start"], self.value["Month_End"])
+
+    def in_year(self, date_col: str) -> Column:
+        """Superset pre-filter: dates within the cutoff's fiscal year."""
+        return F.col(date_col).between(self.value["Year_Start"], self.value["Year_End"])
 
     def after_cutoff_in_year(self, date_col: str) -> Column:
         """Superset pre-filter: dates after the cutoff, up to the fiscal year's end."""
-        return ((F.col(date_col) > self.cutoff)
-                & (F.col(date_col) <= F.lit(self.year_end).cast("date")))
+        return (F.col(date_col) > self.cutoff) & (F.col(date_col) <= self.value["Year_End"])
 
-    FUTURE_TYPE = "array<struct<Fiscal_Month:string,Month_ID:int>>"
+    def last_months(self, date_col: str, months: int) -> Column:
+        """Superset pre-filter: dates of the last `months` fiscal months up to the cutoff's."""
+        span = (self.cal.df.where((F.col("Month_ID") > self.month_id - months) & (F.col("Month_ID") <= self.month_id))
+                .agg(F.struct(F.min("Date_Value").alias("first"), F.max("Date_Value").alias("last"))).scalar())
+        return F.col(date_col).between(span["first"], span["last"])
 
     def future_array(self) -> Column:
-        """The future months as a literal ``array<struct<Fiscal_Month, Month_ID>>``.
+        """The months of the cutoff's fiscal year after the cutoff month, as an
+        ``array<struct<Fiscal_Month, Month_ID>>`` (eleven at most).
 
         Repeating a row for each remaining month is then an ``explode`` of this
         array (a generator inside the row's own stage), not a join.
         """
-        items = [F.struct(F.lit(name).alias("Fiscal_Month"), F.lit(mid).cast("int").alias("Month_ID"))
-                 for mid, name in self.future]
-        return F.array(*items).cast(self.FUTURE_TYPE)
-
-    @property
-    def last_future_id(self) -> int | None:
-        return self.future[-1][0] if self.future else None
+        return self.value["Future"]
 
     @property
-    def cutoff(self) -> Column:
-        return F.lit(self.cutoff_date).cast("date")
-
-    def lit(self, name: str) -> Column:
-        value = getattr(self, name)
-        dtype = {"fiscal_month": "string", "fiscal_year": "string", "month_id": "int"}[name]
-        return F.lit(value).cast(dtype)
+    def last_future_id(self) -> Column:
+        return self.value["Last_ID"]
 
     def future_months(self) -> DataFrame:
         """Months of the cutoff's fiscal year after the cutoff month."""
-        d = self.cal.df
-        fut = (d.filter((F.col("Date_Value") > self.cutoff)
-                        & (F.col("Fiscal_Year") == self.lit("fiscal_year"))
-                        & (F.col("Fiscal_Month") != self.lit("fiscal_month")))
-               .select("Fiscal_Month", "Month_ID").distinct())
-        # At most the days of one fiscal year: a bounded broadcast.
-        return F.broadcast(fut)
+        days = self.cal.df.select("Date_Value", "Fiscal_Month", "Month_ID", F.col("Fiscal_Year").alias("_y"))
+        now = self.row.select("Cutoff_Date", F.col("Fiscal_Month").alias("_m"), "Fiscal_Year")
+        return (days.join(now, F.col("_y") == F.col("Fiscal_Year"))
+                .where((F.col("Date_Value") > F.col("Cutoff_Date")) & (F.col("Fiscal_Month") != F.col("_m")))
+                .select("Fiscal_Month", "Month_ID").distinct())
 
     def as_frame(self) -> DataFrame:
-        """One row: Cutoff_Date, Fiscal_Month, Fiscal_Year, Month_ID (from the calendar)."""
-        return (self.cal.df.filter(F.col("Date_Value") == self.cutoff)
-                .select(F.col("Date_Value").alias("Cutoff_Date"),
-                        "Fiscal_Month", "Fiscal_Year", "Month_ID")
-                .distinct())
+        return self.row
 
 
 def cutoff_of(revenue_summed: DataFrame) -> DataFrame:

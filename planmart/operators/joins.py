@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WIDE_MONEY = "decimal(38,2)"
+WIDE_MONEY = "decimal(38,6)"
 
 
 def full_outer_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -34,8 +34,8 @@ def union_combine(parts: Sequence[tuple[DataFrame, Sequence[str]]],
     """Union-form merge: align the measure columns, UNION ALL, one grouped SUM.
 
     One shuffle for any number of inputs instead of one per FULL OUTER JOIN
-    level.  Rows with the same key from the same input are added up, and NULL
-    key parts group together.  With ``partition_by`` the shuffle is on that
+    level.  Rows with the same key from the same input are added up, NULL
+    key parts group together, and a sum of NULLs only is 0 as in the join form.  With ``partition_by`` the shuffle is on that
     key column alone, so later joins on it (the account lookups) reuse it.
     """
     measures: list[str] = []
@@ -48,10 +48,10 @@ def union_combine(parts: Sequence[tuple[DataFrame, Sequence[str]]],
     unioned = reduce(DataFrame.unionByName, aligned)
     if partition_by:
         unioned = unioned.repartition(partition_by)
-    return unioned.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return unioned.groupBy(*keys).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in measures])
 
 
-def cogroup_full_outer(parts: Sequence[tuple[DataFrame, Sequence[str]]],
+def cogroup_full_outer(sources: Sequence[tuple[DataFrame, dict[int, Sequence[str]]]],
                        keys: Sequence[str], partition_by: str | None = None) -> DataFrame:
     """Nested FULL OUTER JOINs on ``keys`` computed with a single shuffle.
 
@@ -60,32 +60,36 @@ def cogroup_full_outer(parts: Sequence[tuple[DataFrame, Sequence[str]]],
     row of NULLs); rows whose key has a NULL part never match anything.  Here
     every input is tagged, unioned and grouped once: ``collect_list`` gathers
     each input's rows per key and ``explode_outer`` rebuilds the cross
-    product.  Inputs are pre-aggregated to (nearly) one row per key, so each
-    list is bounded by the calendar (origin months, days of a month), never
-    by data volume.  NULL-key rows are grouped per input only, which keeps
-    them unmatched exactly like the joins do.
+    product.  Inputs are pre-aggregated to (nearly) one row per key; where a
+    user's targets repeat a key, the product repeats with them, as in the
+    joins.  NULL-key rows are grouped per input only, which keeps them
+    unmatched exactly like the joins do.
+
+    A source is a DataFrame and the inputs it holds: {number: measures}.  With
+    several inputs its column ``_side`` says which one a row belongs to, so one
+    pass over a feed can serve more than one input.
     """
-    n = len(parts)
-    structs = [F.struct(*[F.col(m) for m in ms]) for _, ms in parts]
-    # Struct types straight from the schemas (no extra plan per input).
-    types = [T.StructType([T.StructField(m, df.schema[m].dataType) for m in ms])
-             for df, ms in parts]
+    sides = dict(sorted((n, ms) for _, held in sources for n, ms in held.items()))
+    types = {n: T.StructType([T.StructField(m, df.schema[m].dataType) for m in ms])
+             for df, held in sources for n, ms in held.items()}
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    tagged = [df.select(*keys,
-                        F.when(any_null, F.lit(i)).otherwise(F.lit(-1)).alias("_null_side"),
-                        *[(structs[j] if j == i else F.lit(None).cast(types[j])).alias(f"_s{j}")
-                          for j in range(n)])
-              for i, (df, _) in enumerate(parts)]
+    tagged = []
+    for df, held in sources:
+        side = F.col("_side") if len(held) > 1 else F.lit(next(iter(held)))
+        tagged.append(df.select(
+            *keys, F.when(any_null, side).otherwise(F.lit(-1)).alias("_null_side"),
+            *[(F.when(side == n, F.struct(*ms)) if n in held else F.lit(None)).cast(types[n]).alias(f"_s{n}")
+              for n, ms in sides.items()]))
     unioned = reduce(DataFrame.unionByName, tagged)
     if partition_by:
         unioned = unioned.repartition(partition_by)
     out = unioned.groupBy(*keys, "_null_side").agg(
-        *[F.collect_list(f"_s{j}").alias(f"_l{j}") for j in range(n)])
-    for j in range(n):
-        rest = [c for c in out.columns if c != f"_l{j}"]
-        out = out.select(*rest, F.explode_outer(f"_l{j}").alias(f"_e{j}"))
-    return out.select(*keys, *[F.coalesce(F.col(f"_e{j}.{m}"), F.lit(0)).alias(m)
-                               for j, (_, ms) in enumerate(parts) for m in ms])
+        *[F.collect_list(f"_s{n}").alias(f"_l{n}") for n in sides])
+    for n in sides:
+        rest = [c for c in out.columns if c != f"_l{n}"]
+        out = out.select(*rest, F.explode_outer(f"_l{n}").alias(f"_e{n}"))
+    return out.select(*keys, *[F.coalesce(F.col(f"_e{n}.{m}"), F.lit(0)).alias(m)
+                               for n, ms in sides.items() for m in ms])
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,

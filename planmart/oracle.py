@@ -7,8 +7,27 @@ DECIMAL and published as DOUBLE, exactly as the Spark side does.
 
 from __future__ import annotations
 
-from planmart.functions import rules as R
-from planmart.sources import adapters as A
+
+# --- fixed values, written here a second time so that a slip on the Spark side shows ----
+UNMAPPED = "Need Mapping"
+REVENUE_CATEGORIES = (("Service", "Services"), ("Support", "Support"), ("Product", "Products"))
+OPPORTUNITY_CATEGORIES_V1 = (("Services:", "Services"), ("Support:", "Support"), ("Products:", "Products"))
+OPPORTUNITY_CATEGORIES = (*OPPORTUNITY_CATEGORIES_V1, ("Product:", "Products"))
+MONTHS_LEFT = (("July", 11), ("August", 10), ("September", 9), ("October", 8), ("November", 7),
+               ("December", 6), ("January", 5), ("February", 4), ("March", 3), ("April", 2),
+               ("May", 1), ("June", 0))
+CALENDAR_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August",
+                   "September", "October", "November", "December")
+BANDS = (("$0 to $10,000", 0, 10000), ("$10000 to $50,000", 10000, 50000),
+         ("$50000 to $100,000", 50000, 100000), ("$100,000 to $200,000", 100000, 200000))
+REVENUE_TYPES = {"A": "Actuals", "N": "Partner Fee", "R": "Registration Fee"}
+PART_CATEGORIES = {"STANDARD": "Standard Services", "MEDIUM": "Medium Service Desk",
+                   "LARGE": "Large Support", "SMALL": "Small Products",
+                   "ECONOMY": "Economy Product", "PROMO": "Promo Bundle"}
+PRODUCTS = {"1-URGENT": "Services: Urgent", "2-HIGH": "Support: High",
+            "3-MEDIUM": "Products: Medium", "4-NOT SPECIFIED": "Product: Unspecified"}
+TARGET_CATEGORIES = {0: "Services", 1: "Support", 2: "Products"}
+# --- end of fixed values ------------------------------------------------------------------
 
 
 def _q(s: str) -> str:
@@ -24,21 +43,21 @@ def _case_map(expr: str, mapping: dict) -> str:
 def _categorise(expr: str, rules) -> str:
     whens = " ".join(f"WHEN {expr} LIKE {_q('%' + needle + '%')} THEN {_q(cat)}"
                      for needle, cat in rules)
-    return f"CASE {whens} ELSE {_q(R.UNMAPPED)} END"
+    return f"CASE {whens} ELSE {_q(UNMAPPED)} END"
 
 
 def _months_left(expr: str, include_current: bool = False) -> str:
     whens = []
-    for idx, name in enumerate(R.MONTH_NAMES, start=1):
-        left = (R.FISCAL_YEAR_START_MONTH + 11 - idx) % 12 + (1 if include_current else 0)
+    for name, after in MONTHS_LEFT:
+        left = after + (1 if include_current else 0)
         whens.append(f"WHEN {expr} LIKE {_q('%' + name + '%')} THEN {left}")
     return "CASE " + " ".join(whens) + " END"
 
 
 def _band(expr: str) -> str:
-    whens = [f"WHEN {expr} < 0 THEN {_q(R.BAND_BELOW)}"]
-    whens += [f"WHEN {expr} BETWEEN {lo} AND {hi} THEN {_q(label)}" for label, lo, hi in R.VALUE_BANDS]
-    return "CASE " + " ".join(whens) + f" ELSE {_q(R.BAND_TOP)} END"
+    whens = [f"WHEN {expr} < 0 THEN 'Below $0'"]
+    whens += [f"WHEN {expr} BETWEEN {lo} AND {hi} THEN {_q(label)}" for label, lo, hi in BANDS]
+    return "CASE " + " ".join(whens) + " ELSE '$200,000 +' END"
 
 
 def _acct(expr: str) -> str:
@@ -54,7 +73,7 @@ def _fmt(expr: str) -> str:
 
 
 def _parse(expr: str) -> str:
-    return f"TRY_CAST(replace({expr}, ',', '') AS DECIMAL(18,2))"
+    return f"TRY_CAST(replace({expr}, ',', '') AS DECIMAL(38,6))"
 
 
 KEYS = ("Account_No", "Fiscal_Month", "Product_Category")
@@ -74,15 +93,15 @@ def _union_sum(parts, keys=KEYS) -> str:
         measures += [m for m in ms if m not in measures]
     sels = []
     for name, ms in parts:
-        cols = [*keys] + [(f"CAST({m} AS DECIMAL(38,2)) AS {m}" if m in ms
-                           else f"CAST(0 AS DECIMAL(38,2)) AS {m}") for m in measures]
+        cols = [*keys] + [(f"CAST({m} AS DECIMAL(38,6)) AS {m}" if m in ms
+                           else f"CAST(0 AS DECIMAL(38,6)) AS {m}") for m in measures]
         sels.append(f"SELECT {', '.join(cols)} FROM {name}")
-    sums = ", ".join(f"SUM({m}) AS {m}" for m in measures)
+    sums = ", ".join(f"COALESCE(SUM({m}), 0) AS {m}" for m in measures)
     k = ", ".join(keys)
     return f"SELECT {k}, {sums} FROM ({' UNION ALL '.join(sels)}) u GROUP BY {k}"
 
 
-_MONTH_ARRAY = "[" + ", ".join(_q(m) for m in R.MONTH_NAMES) + "]"
+_MONTH_ARRAY = "[" + ", ".join(_q(m) for m in CALENDAR_MONTHS) + "]"
 REV_M = ("Revenue", "Partner_Fee", "Registration_Fee")
 OPP_M = ("Opportunity_Usage", "Opportunity_Extrapolation")
 P12_M = (*REV_M, *OPP_M, "Baseline", "Target", "Opportunities_Into_RR")
@@ -105,16 +124,16 @@ SELECT CAST(d AS DATE) AS Date_Value,
        'Q' || CAST(((month(d) + 5) % 12) // 3 + 1 AS VARCHAR) AS Fiscal_Quarter,
        'FY' || CAST(year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END AS VARCHAR) AS Fiscal_Year,
        CAST(year(d) * 12 + month(d) AS INTEGER) AS Month_ID
-FROM (SELECT unnest(generate_series(DATE '{A.CALENDAR_START}', DATE '{A.CALENDAR_END}',
+FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-06-30',
                                     INTERVAL 1 DAY)) AS d) g""")
     add("rev_raw", f"""
 SELECT {_acct('o.o_custkey')} AS StoreNo,
        CAST(date_trunc('month', l.l_shipdate) AS DATE) AS "Month",
-       {_case_map('l.l_returnflag', A.RETURNFLAG_TO_TYPE)} AS Revenue_Type,
+       {_case_map('l.l_returnflag', REVENUE_TYPES)} AS Revenue_Type,
        l.l_linestatus AS Revenue_Motion,
-       {_case_map("split_part(p.p_type, ' ', 1)", A.PART_TYPE_TO_CATEGORY)} AS Product_Category,
+       {_case_map("split_part(p.p_type, ' ', 1)", PART_CATEGORIES)} AS Product_Category,
        o.o_orderpriority AS Motion,
-       CASE WHEN l.l_shipdate < TIMESTAMP '{A.REVENUE_ZERO_FROM}' THEN {_money('l.l_extendedprice')}
+       CASE WHEN l.l_shipdate < TIMESTAMP '2001-02-01' THEN {_money('l.l_extendedprice')}
             ELSE CAST(0 AS DECIMAL(18,2)) END AS Revenue
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                 JOIN part p ON l.l_partkey = p.p_partkey""")
@@ -123,16 +142,16 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 SELECT o_orderkey AS _key,
        {_acct('o_custkey')} AS Store_No,
        CAST(o_orderdate AS DATE) AS Opportunity_Est_Date,
-       CASE WHEN o_orderpriority = '{A.LOW_PRIORITY}'
-            THEN CASE WHEN o_orderkey % 2 = 0 THEN '{R.NULL_TEXT}' END
-            ELSE {_case_map('o_orderpriority', A.PRIORITY_TO_PRODUCT)} END AS Product,
+       CASE WHEN o_orderpriority = '5-LOW'
+            THEN CASE WHEN o_orderkey % 2 = 0 THEN 'NULL' END
+            ELSE {_case_map('o_orderpriority', PRODUCTS)} END AS Product,
        CAST(o_orderkey AS VARCHAR) AS Opportunity_ID,
        'Opportunity ' || CAST(o_orderkey AS VARCHAR) AS Opportunity_Name,
        CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'Inactive'
             ELSE 'Active' END AS Project_Status,
        o_orderstatus AS Opportunity_Status,
        o_orderpriority AS Opportunity_Stage,
-       CASE WHEN o_orderkey % 17 = 0 THEN '{R.NULL_TEXT}'
+       CASE WHEN o_orderkey % 17 = 0 THEN 'NULL'
             WHEN o_orderkey % 10 = 0 THEN '-' || {amount}
             ELSE {amount} END AS Opportunity_Usage
 FROM orders""")
@@ -144,20 +163,20 @@ SELECT Store_No,
          AS Opportunity_Est_Date,
        Product, Opportunity_ID, Opportunity_Name, Project_Status, Opportunity_Status,
        Opportunity_Stage,
-       CASE WHEN _key % 7 = 0 AND Opportunity_Usage <> '{R.NULL_TEXT}' THEN {scaled}
+       CASE WHEN _key % 7 = 0 AND Opportunity_Usage <> 'NULL' THEN {scaled}
             ELSE Opportunity_Usage END AS Opportunity_Usage
 FROM opp_base WHERE _key % 13 <> 0
 UNION ALL
-SELECT Store_No, Opportunity_Est_Date, Product, CAST(_key + {A.COPY_ID_OFFSET} AS VARCHAR),
+SELECT Store_No, Opportunity_Est_Date, Product, CAST(_key + 100000000 AS VARCHAR),
        Opportunity_Name, Project_Status, Opportunity_Status, Opportunity_Stage, Opportunity_Usage
 FROM opp_base WHERE _key % 23 = 0""")
     add("tgt_raw", f"""
 SELECT {_acct('o_custkey')} AS Store_Number,
-       {_case_map('o_orderkey % 3', A.TARGET_CATEGORY_BY_MOD3)} AS Product_Category,
+       {_case_map('o_orderkey % 3', TARGET_CATEGORIES)} AS Product_Category,
        CAST(date_trunc('month', o_orderdate) AS DATE) AS Fiscal_Month,
        CAST(SUM({_money('o_totalprice')}) AS DECIMAL(18,2)) AS Target
 FROM orders
-WHERE o_orderdate >= TIMESTAMP '{A.TARGET_FROM}' AND o_orderdate < TIMESTAMP '{A.TARGET_UNTIL}'
+WHERE o_orderdate >= TIMESTAMP '2000-07-01' AND o_orderdate < TIMESTAMP '2001-07-01'
 GROUP BY 1, 2, 3""")
     add("acct", f"""
 SELECT {_acct('c.c_custkey')} AS AccountNo, c.c_name AS Store, c.c_mktsegment AS Industry,
@@ -185,10 +204,10 @@ FROM customer WHERE c_custkey % 5 <> 0""")
     add("rev_rows", f"""
 SELECT StoreNo AS Account_No, "Month" AS Fiscal_Month, Revenue_Type, Revenue_Motion,
        Product_Category, Motion AS Account_Motion,
-       {_categorise('Product_Category', R.REVENUE_CATEGORY_RULES)} AS Product_Category_2,
-       CASE WHEN Revenue_Type = '{R.ACTUALS}' THEN Revenue ELSE 0 END AS Revenue_Actuals,
-       CASE WHEN Revenue_Type = '{R.PARTNER_FEE}' THEN Revenue ELSE 0 END AS Partner_Fee,
-       CASE WHEN Revenue_Type = '{R.REGISTRATION_FEE}' THEN Revenue ELSE 0 END AS Registration_Fee
+       {_categorise('Product_Category', REVENUE_CATEGORIES)} AS Product_Category_2,
+       CASE WHEN Revenue_Type = 'Actuals' THEN Revenue ELSE 0 END AS Revenue_Actuals,
+       CASE WHEN Revenue_Type = 'Partner Fee' THEN Revenue ELSE 0 END AS Partner_Fee,
+       CASE WHEN Revenue_Type = 'Registration Fee' THEN Revenue ELSE 0 END AS Registration_Fee
 FROM rev_raw""")
     add("p1", """
 SELECT Account_No, Fiscal_Month, Product_Category_2 AS Product_Category,
@@ -203,12 +222,12 @@ FROM p1 LEFT JOIN cal_days d ON p1.Fiscal_Month = d.Date_Value""")
     # ---- opportunities -----------------------------------------------------------
     add("opp_rows", f"""
 SELECT Store_No AS Account_No, Opportunity_Est_Date, Product,
-       {_categorise('Product', R.OPPORTUNITY_CATEGORY_RULES)} AS Product_Category,
+       {_categorise('Product', OPPORTUNITY_CATEGORIES)} AS Product_Category,
        Opportunity_ID, Opportunity_Name, Project_Status, Opportunity_Status, Opportunity_Stage,
        {_parse('Opportunity_Usage')} AS Opportunity_Usage
 FROM opp_raw
-WHERE Product IS NOT NULL AND Product <> '{R.NULL_TEXT}' AND Opportunity_Usage <> '{R.NULL_TEXT}'""")
-    add("opp_active", f"SELECT * FROM opp_rows WHERE Project_Status <> '{R.INACTIVE}'")
+WHERE Product IS NOT NULL AND Product <> 'NULL' AND Opportunity_Usage <> 'NULL'""")
+    add("opp_active", f"SELECT * FROM opp_rows WHERE Project_Status <> 'Inactive'")
     add("p3_sum", """
 SELECT o.Account_No, o.Product_Category, d.Fiscal_Month, SUM(o.Opportunity_Usage) AS Opportunity_Usage
 FROM opp_active o LEFT JOIN cal_days d ON o.Opportunity_Est_Date = d.Date_Value
@@ -222,8 +241,8 @@ FROM (SELECT *, {_months_left('Fiscal_Month')} AS Extrap_Month_Left_For_FY FROM
     # ---- fiscal context ------------------------------------------------------------
     add("cutoff", 'SELECT MAX("Month") AS Cutoff_Date FROM rev_raw WHERE Revenue <> 0')
     add("ctx", """
-SELECT DISTINCT c.Date_Value AS Cutoff_Date, c.Fiscal_Month, c.Fiscal_Year, c.Month_ID
-FROM cal c JOIN cutoff k ON c.Date_Value = k.Cutoff_Date""")
+SELECT DISTINCT k.Cutoff_Date, c.Fiscal_Month, c.Fiscal_Year, c.Month_ID
+FROM cutoff k LEFT JOIN cal c ON c.Date_Value = k.Cutoff_Date""")
     add("fut", """
 SELECT DISTINCT c.Fiscal_Month, c.Month_ID FROM cal c, ctx
 WHERE c.Date_Value > ctx.Cutoff_Date AND c.Fiscal_Year = ctx.Fiscal_Year
@@ -307,13 +326,14 @@ FROM p14_detail x LEFT JOIN month_dim m ON x.Fiscal_Month = m.Fiscal_Month
 
     # ---- week-on-week --------------------------------------------------------------------------
     for name, src in (("snap_prev", "opp_prev"), ("snap_cur", "opp_raw")):
+        fields = ("Opportunity_Est_Date", "Opportunity_Stage", "Opportunity_Status", "Project_Status")
         add(name, f"""
-SELECT Opportunity_ID, SUM({_parse('Opportunity_Usage')}) AS Opportunity_Usage,
-       MAX(Opportunity_Est_Date) AS Opportunity_Est_Date, MAX(Opportunity_Stage) AS Opportunity_Stage,
-       MAX(Opportunity_Status) AS Opportunity_Status, MAX(Project_Status) AS Project_Status
-FROM {src}
-WHERE Opportunity_Usage IS NOT NULL AND Opportunity_Usage <> '{R.NULL_TEXT}'
-GROUP BY Opportunity_ID""")
+SELECT Opportunity_ID, Product, SUM(amount) AS Opportunity_Usage,
+       {', '.join(f'MAX(CASE WHEN latest = 1 THEN {c} END) AS {c}' for c in fields)}
+FROM (SELECT *, {_parse('Opportunity_Usage')} AS amount,
+             row_number() OVER (PARTITION BY Opportunity_ID, Product
+                                ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in fields)}) AS latest FROM {src}) x
+GROUP BY Opportunity_ID, Product""")
     return ctes
 
 
@@ -355,12 +375,12 @@ SELECT Store_No AS Account_No, Opportunity_Est_Date, Product,
        {_categorise('Product', rules)} AS Product_Category,
        Opportunity_ID, Opportunity_Name, Project_Status, Opportunity_Status, Opportunity_Stage,
        Opportunity_Usage
-FROM opp_raw WHERE Product IS NOT NULL AND Product <> '{R.NULL_TEXT}'"""
-    b["category_map_opportunity"] = opp_text(R.OPPORTUNITY_CATEGORY_RULES)
+FROM opp_raw WHERE Product IS NOT NULL AND Product <> 'NULL'"""
+    b["category_map_opportunity"] = opp_text(OPPORTUNITY_CATEGORIES)
     b["sentinel_filter"] = f"""
-SELECT * FROM opp_raw WHERE Product IS NOT NULL AND Product <> '{R.NULL_TEXT}'
-  AND Opportunity_Usage <> '{R.NULL_TEXT}'"""
-    b["status_filter"] = f"SELECT * FROM opp_raw WHERE Project_Status <> '{R.INACTIVE}'"
+SELECT * FROM opp_raw WHERE Product IS NOT NULL AND Product <> 'NULL'
+  AND Opportunity_Usage <> 'NULL'"""
+    b["status_filter"] = f"SELECT * FROM opp_raw WHERE Project_Status <> 'Inactive'"
     opp_months = ("(SELECT DISTINCT d.Fiscal_Month FROM opp_raw o "
                   "LEFT JOIN cal_days d ON o.Opportunity_Est_Date = d.Date_Value) m")
     b["months_left"] = (f"SELECT Fiscal_Month, {_months_left('Fiscal_Month')} "
@@ -527,23 +547,24 @@ FROM p13u GROUP BY CUBE (Product_Category, Industry)"""
         "Opportunity_Usage", "Opportunity_Est_Date", "Opportunity_Stage",
         "Opportunity_Status", "Project_Status"))
     b["wow_tracking"] = f"""
-SELECT COALESCE(p.Opportunity_ID, c.Opportunity_ID) AS Opportunity_ID,
-       CASE WHEN p.Opportunity_ID IS NULL THEN 'New' WHEN c.Opportunity_ID IS NULL THEN 'Dropped'
+SELECT COALESCE(p.Opportunity_ID, c.Opportunity_ID) AS Opportunity_ID, COALESCE(p.Product, c.Product) AS Product,
+       CASE WHEN p.here IS NULL THEN 'New' WHEN c.here IS NULL THEN 'Dropped'
             WHEN {changed} THEN 'Changed' ELSE 'Unchanged' END AS Change_Type,
        CAST(p.Opportunity_Usage AS DOUBLE) AS Usage_Prev, CAST(c.Opportunity_Usage AS DOUBLE) AS Usage_Cur,
        CAST(COALESCE(c.Opportunity_Usage, 0) - COALESCE(p.Opportunity_Usage, 0) AS DOUBLE) AS Usage_Change
-FROM snap_prev p FULL JOIN snap_cur c ON p.Opportunity_ID = c.Opportunity_ID"""
+FROM (SELECT *, 1 AS here FROM snap_prev) p FULL JOIN (SELECT *, 1 AS here FROM snap_cur) c
+  ON p.Opportunity_ID IS NOT DISTINCT FROM c.Opportunity_ID AND p.Product IS NOT DISTINCT FROM c.Product"""
     b["wow_stream"] = f"SELECT *, 25 AS Week FROM ({b['wow_tracking']}) w"
     b["wow_fields"] = """
 WITH s AS (SELECT *, 24 AS Week FROM snap_prev UNION ALL SELECT *, 25 AS Week FROM snap_cur),
 l AS (
-  SELECT Opportunity_ID, Week, Opportunity_Usage, Opportunity_Est_Date, Opportunity_Stage,
+  SELECT Opportunity_ID, Product, Week, Opportunity_Usage, Opportunity_Est_Date, Opportunity_Stage,
          Opportunity_Status,
          LAG(Week) OVER w AS pw, LAG(Opportunity_Usage) OVER w AS pu,
          LAG(Opportunity_Est_Date) OVER w AS pd, LAG(Opportunity_Stage) OVER w AS pst,
          LAG(Opportunity_Status) OVER w AS pss
-  FROM s WINDOW w AS (PARTITION BY Opportunity_ID ORDER BY Week))
-SELECT Opportunity_ID, Week, CAST(pu AS DOUBLE) AS Usage_Prev,
+  FROM s WINDOW w AS (PARTITION BY Opportunity_ID, Product ORDER BY Week))
+SELECT Opportunity_ID, Product, Week, CAST(pu AS DOUBLE) AS Usage_Prev,
        CAST(Opportunity_Usage AS DOUBLE) AS Usage_Cur,
        CAST(Opportunity_Usage - pu AS DOUBLE) AS Usage_Delta,
        CASE WHEN CAST(pu AS DOUBLE) <> 0
@@ -557,23 +578,27 @@ FROM l WHERE pw = Week - 1"""
     b["audit_unmapped"] = f"""
 SELECT Source, Raw_Value, COUNT(*) AS Row_Count FROM (
   SELECT 'revenue' AS Source, Product_Category AS Raw_Value,
-         {_categorise('Product_Category', R.REVENUE_CATEGORY_RULES)} AS m FROM rev_raw
+         {_categorise('Product_Category', REVENUE_CATEGORIES)} AS m FROM rev_raw
   UNION ALL
-  SELECT 'opportunities', Product, {_categorise('Product', R.OPPORTUNITY_CATEGORY_RULES)}
-  FROM opp_raw WHERE Product IS NOT NULL AND Product <> '{R.NULL_TEXT}') u
-WHERE m = '{R.UNMAPPED}' GROUP BY Source, Raw_Value"""
+  SELECT 'opportunities', Product, {_categorise('Product', OPPORTUNITY_CATEGORIES)}
+  FROM opp_raw WHERE Product IS NOT NULL AND Product <> 'NULL') u
+WHERE m = 'Need Mapping' GROUP BY Source, Raw_Value"""
     b["audit_unmapped_v1"] = f"""
 SELECT Store_No AS Account_No, Opportunity_Est_Date, Product,
-       {_categorise('Product', R.OPPORTUNITY_CATEGORY_RULES_V1)} AS Product_Category,
+       {_categorise('Product', OPPORTUNITY_CATEGORIES_V1)} AS Product_Category,
        Opportunity_ID, Opportunity_Name, Project_Status, Opportunity_Status, Opportunity_Stage,
        CAST({_parse('Opportunity_Usage')} AS DOUBLE) AS Opportunity_Usage
 FROM opp_raw
-WHERE Product IS NOT NULL AND Product <> '{R.NULL_TEXT}' AND Opportunity_Usage <> '{R.NULL_TEXT}'
-  AND {_categorise('Product', R.OPPORTUNITY_CATEGORY_RULES_V1)} = '{R.UNMAPPED}'"""
+WHERE Product IS NOT NULL AND Product <> 'NULL' AND Opportunity_Usage <> 'NULL'
+  AND {_categorise('Product', OPPORTUNITY_CATEGORIES_V1)} = 'Need Mapping'"""
     b["audit_parse"] = f"""
-SELECT Opportunity_ID, Opportunity_Usage FROM opp_raw
-WHERE Opportunity_Usage IS NOT NULL AND Opportunity_Usage <> '{R.NULL_TEXT}'
-  AND {_parse('Opportunity_Usage')} IS NULL"""
+SELECT * FROM (
+  SELECT Opportunity_ID, Opportunity_Usage,
+    CASE WHEN TRY_CAST(replace(Opportunity_Usage, ',', '') AS DOUBLE) IS NULL THEN 'unparsable'
+         WHEN {_parse('Opportunity_Usage')} IS NULL THEN 'overflow'
+         WHEN regexp_matches(Opportunity_Usage, '\\.[0-9]{{6}}[0-9]*[1-9]') THEN 'rounded' END AS Issue
+  FROM opp_raw WHERE Opportunity_Usage IS NOT NULL AND Opportunity_Usage <> 'NULL') x
+WHERE Issue IS NOT NULL"""
     b["audit_category_coverage"] = """
 SELECT COALESCE(r.Product_Category, t.Product_Category) AS Product_Category,
        r.Product_Category IS NOT NULL AS In_Revenue, t.Product_Category IS NOT NULL AS In_Targets
@@ -582,9 +607,15 @@ FULL JOIN (SELECT DISTINCT Product_Category FROM tgt_raw) t ON r.Product_Categor
     dup = lambda step, src: (f"SELECT '{step}' AS Step, Account_No, Fiscal_Month, Product_Category, "
                              f"COUNT(*) AS Row_Count FROM {src} "
                              "GROUP BY Account_No, Fiscal_Month, Product_Category HAVING COUNT(*) > 1")
+    lookup = lambda t, account, month: (
+        f"(SELECT CAST({account} AS VARCHAR) AS Account_No, CAST({month} AS VARCHAR) AS Fiscal_Month, "
+        f"CAST(NULL AS VARCHAR) AS Product_Category FROM {t}) k")
     b["audit_key_uniqueness"] = " UNION ALL ".join(
         dup(s, t) for s, t in (("revenue", "p2"), ("opportunity", "p3"), ("baseline", "p7"),
-                               ("target", "p8"), ("run_rate", "rr")))
+                               ("target", "p8"), ("run_rate", "rr"),
+                               ("accounts", lookup("acct", "AccountNo", "NULL")),
+                               ("sellers", lookup("sell", "Store_ID", "NULL")),
+                               ("months", lookup("month_dim", "NULL", "Fiscal_Month"))))
     ledger = (("revenue_raw", "rev_raw"), ("p1_clean_revenue", "p1"), ("opportunities_raw", "opp_raw"),
               ("p3_clean_opportunity", "p3"), ("p5_future_months", "fut"), ("p7_baseline", "p7"),
               ("p8_targets", "p8"), ("p9_baseline_target", "p9"), ("p10_run_rate_origins", "rr_orig"),

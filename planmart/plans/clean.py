@@ -30,9 +30,10 @@ def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT,
         F.col("Motion").alias("Account_Motion"),
         R.categorise("Product_Category", R.REVENUE_CATEGORY_RULES, opts.collation)
          .alias("Product_Category_2"),
-        R.measure_split("Revenue_Type", "Revenue", R.ACTUALS).alias("Revenue_Actuals"),
-        R.measure_split("Revenue_Type", "Revenue", R.PARTNER_FEE).alias("Partner_Fee"),
-        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE).alias("Registration_Fee"),
+        R.measure_split("Revenue_Type", "Revenue", R.ACTUALS, opts.collation).alias("Revenue_Actuals"),
+        R.measure_split("Revenue_Type", "Revenue", R.PARTNER_FEE, opts.collation).alias("Partner_Fee"),
+        R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE, opts.collation)
+         .alias("Registration_Fee"),
         *activity)
 
 
@@ -55,17 +56,14 @@ def clean_revenue(revenue: DataFrame, opts: PlanOptions = DEFAULT,
 
 
 def revenue_by_fiscal_month(p1: DataFrame, cal: Calendar) -> DataFrame:
-    """Month date → fiscal month name (LEFT JOIN on the broadcast calendar)."""
+    """Month date → fiscal month name (LEFT JOIN on the calendar)."""
     dated = p1.withColumnRenamed("Fiscal_Month", "_month_date")
     out = to_fiscal_month(dated, cal, "_month_date")
     return out.select(*KEYS, *REVENUE_MEASURES)
 
 
 def _status_ok(opts: PlanOptions) -> Column:
-    status = F.col("Project_Status")
-    if opts.collation:
-        status = F.collate(status, opts.collation)
-    return status != R.INACTIVE
+    return R.collated("Project_Status", opts.collation) != R.INACTIVE
 
 
 def _parsed_usage(opts: PlanOptions) -> Column:
@@ -74,14 +72,15 @@ def _parsed_usage(opts: PlanOptions) -> Column:
     if opts.on_bad == "fail":
         parsed = F.when(parsed.isNull() & raw.isNotNull(),
                         F.raise_error(F.concat(F.lit("unparsable Opportunity_Usage: "), raw))
-                        .cast(R.MONEY)).otherwise(parsed)
+                        .cast(R.AMOUNT)).otherwise(parsed)
     return parsed
 
 
 def opportunity_rows(opps: DataFrame, drop_inactive: bool = True,
                      opts: PlanOptions = DEFAULT, rules=R.OPPORTUNITY_CATEGORY_RULES) -> DataFrame:
     """Filtered, categorised opportunity rows with the amount parsed (row level)."""
-    cond = R.is_present("Product") & (F.col("Opportunity_Usage") != R.NULL_TEXT)
+    cond = (R.is_present("Product", opts.collation)
+            & (R.collated("Opportunity_Usage", opts.collation) != R.NULL_TEXT))
     if drop_inactive:
         cond = cond & _status_ok(opts)
     return (opps.filter(cond)

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.operators.fiscal import MAX_BROADCAST_ROWS
 from planmart.operators.joins import union_combine
 from planmart.plans import marts
 from planmart.plans.planning import Plan
@@ -29,31 +28,37 @@ def _monthly(plan: Plan, df: DataFrame, measures: Sequence[str]) -> DataFrame:
     return by_month.join(months, "Fiscal_Month", "left").select(*MONTH_KEYS, *measures)
 
 
-def _with_previous(plan: Plan, monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
+def _with_previous(monthly: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Attach the calendar-previous month's values and the month-on-month change.
 
-    A self-join on ``Month_ID - 1`` instead of a global window, so no single
-    task sees every month; the monthly table has at most one row per calendar
-    month, which bounds the broadcast side.
+    One pass: each month also goes to the month after it as a previous value,
+    and the two meet in a grouping by month.  Months that only got a previous
+    value have no row of their own and go; rows outside the calendar have no
+    month after them.
     """
-    prev = monthly.select((F.col("Month_ID") + 1).alias("_next_id"),
-                          *[F.col(m).alias(f"{m}_Prev") for m in measures])
-    if plan.cal.row_bound() <= MAX_BROADCAST_ROWS:
-        prev = F.broadcast(prev)
-    out = monthly.join(prev, monthly["Month_ID"] == prev["_next_id"], "left").drop("_next_id")
+    shifted = F.array(F.lit(0), F.when(F.col("Month_ID").isNotNull(), F.lit(1)))
+    both = monthly.withColumn("_all", F.array_compact(shifted)).withColumn("_step", F.explode("_all"))
+    own = F.col("_step") == 0
+    rows = both.select((F.col("Month_ID") + F.col("_step")).alias("_month"), own.alias("_own"),
+                       *[F.when(own, F.col(k)).alias(k) for k in MONTH_KEYS],
+                       *[F.when(own, F.col(m)).alias(m) for m in measures],
+                       *[F.when(~own, F.col(m)).alias(f"{m}_Prev") for m in measures])
+    out = (rows.groupBy("_month").agg(
+        F.max("_own").alias("_own"), *[F.max(k).alias(k) for k in MONTH_KEYS],
+        *[F.max(c).alias(c) for m in measures for c in (m, f"{m}_Prev")]).where("_own"))
     return out.select(*MONTH_KEYS, *[c for m in measures for c in (
         F.col(m), F.col(f"{m}_Prev"), (F.col(m) - F.col(f"{m}_Prev")).alias(f"{m}_Change"))])
 
 
 def revenue_trend(plan: Plan) -> DataFrame:
     """O1: revenue per fiscal month and its month-on-month change."""
-    return _with_previous(plan, _monthly(plan, plan.p2, ["Revenue"]), ["Revenue"])
+    return _with_previous(_monthly(plan, plan.p2, ["Revenue"]), ["Revenue"])
 
 
 def fee_trend(plan: Plan) -> DataFrame:
     """O2: partner and registration fees per fiscal month, with changes."""
     ms = ["Partner_Fee", "Registration_Fee"]
-    return _with_previous(plan, _monthly(plan, plan.p2, ms), ms)
+    return _with_previous(_monthly(plan, plan.p2, ms), ms)
 
 
 def _ratio(num: str, den: str) -> Column:
@@ -74,22 +79,19 @@ def revenue_vs_target(plan: Plan) -> DataFrame:
 def forecast_year_end(plan: Plan) -> DataFrame:
     """Actuals up to the cutoff month, then baseline + opportunities + run rate.
 
-    Runs on the summed union form of the facts; the running total is a window
-    per fiscal year (at most twelve rows each).
+    Only the cutoff's fiscal year is read, and the facts are added up by month
+    at once; the running total is a window per fiscal year (at most twelve
+    rows each).
     """
-    facts = plan.all_transactional("summed", "union")
-    by_month = facts.groupBy("Fiscal_Month").agg(
-        F.sum(F.col("Revenue") + F.col("Partner_Fee")).alias("Actual"),
-        F.sum(F.col("Baseline") + F.col("Opportunity_Usage")
-              + F.col("Opportunities_Into_RR")).alias("Projected"))
-    year = (plan.cal.month_dim().filter(F.col("Fiscal_Year") == plan.ctx.lit("fiscal_year"))
+    year = (plan.cal.month_dim().filter(F.col("Fiscal_Year") == plan.ctx.fiscal_year)
             .select(*MONTH_KEYS))
-    zero = F.lit(0).cast("decimal(38,2)")
+    by_month = plan.facts_by_month()
+    zero = F.lit(0).cast("decimal(38,6)")
     joined = year.join(by_month, "Fiscal_Month", "left").select(
         *MONTH_KEYS,
         F.coalesce("Actual", zero).alias("Actual"),
         F.coalesce("Projected", zero).alias("Projected"))
-    forecast = F.when(F.col("Month_ID") <= plan.ctx.lit("month_id"), F.col("Actual")) \
+    forecast = F.when(F.col("Month_ID") <= plan.ctx.month_id, F.col("Actual")) \
                 .otherwise(F.col("Projected"))
     w = (Window.partitionBy("Fiscal_Year").orderBy("Month_ID")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -118,35 +120,40 @@ WOW_FIELDS = ("Opportunity_Usage", "Opportunity_Est_Date", "Opportunity_Stage",
               "Opportunity_Status", "Project_Status")
 
 
+WOW_KEYS = ("Opportunity_ID", "Product")
+
+
 def snapshot_by_id(snapshot: DataFrame) -> DataFrame:
-    """One row per Opportunity_ID (amount parsed), rows without an amount dropped.
+    """One row per Opportunity_ID and Product: amounts added up, the other fields of the latest row.
 
-    Aggregating first makes the week-to-week join one-to-one, whatever the
-    distribution of rows over ids.
+    Rows without an amount stay (their amount is NULL).  Aggregating first makes
+    the week-to-week join one-to-one, whatever the distribution of rows over ids.
     """
-    rows = snapshot.filter(R.is_present("Opportunity_Usage"))
-    return rows.groupBy("Opportunity_ID").agg(
-        F.sum(R.parse_amount("Opportunity_Usage")).alias("Opportunity_Usage"),
-        F.max("Opportunity_Est_Date").alias("Opportunity_Est_Date"),
-        F.max("Opportunity_Stage").alias("Opportunity_Stage"),
-        F.max("Opportunity_Status").alias("Opportunity_Status"),
-        F.max("Project_Status").alias("Project_Status"))
+    fields = ("Opportunity_Est_Date", "Opportunity_Stage", "Opportunity_Status", "Project_Status")
+    return (snapshot.groupBy(*WOW_KEYS)
+            .agg(F.sum(R.parse_amount("Opportunity_Usage")).alias("Opportunity_Usage"),
+                 F.max(F.struct(*fields)).alias("_latest"))
+            .select(*WOW_KEYS, "Opportunity_Usage", *[F.col(f"_latest.{f}").alias(f) for f in fields]))
 
 
 def wow_tracking(prev: DataFrame, cur: DataFrame) -> DataFrame:
-    """New / Dropped / Changed / Unchanged per opportunity between two weeks."""
-    p = snapshot_by_id(prev).alias("p")
-    c = snapshot_by_id(cur).alias("c")
-    j = p.join(c, F.col("p.Opportunity_ID") == F.col("c.Opportunity_ID"), "full")
+    """New / Dropped / Changed / Unchanged per opportunity and product between two weeks.
+
+    A NULL id or product is a value of its own; which week has a row is marked
+    per side, not read from the key.
+    """
+    p = snapshot_by_id(prev).withColumn("_in", F.lit(True)).alias("p")
+    c = snapshot_by_id(cur).withColumn("_in", F.lit(True)).alias("c")
+    j = p.join(c, reduce(lambda a, b: a & b, [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in WOW_KEYS]), "full")
     changed = reduce(lambda a, b: a | b,
                      [~F.col(f"p.{f}").eqNullSafe(F.col(f"c.{f}")) for f in WOW_FIELDS])
-    kind = (F.when(F.col("p.Opportunity_ID").isNull(), F.lit("New"))
-             .when(F.col("c.Opportunity_ID").isNull(), F.lit("Dropped"))
+    kind = (F.when(F.col("p._in").isNull(), F.lit("New"))
+             .when(F.col("c._in").isNull(), F.lit("Dropped"))
              .when(changed, F.lit("Changed"))
              .otherwise(F.lit("Unchanged")))
     zero = F.lit(0)
     return j.select(
-        F.coalesce(F.col("p.Opportunity_ID"), F.col("c.Opportunity_ID")).alias("Opportunity_ID"),
+        *[F.coalesce(F.col(f"p.{k}"), F.col(f"c.{k}")).alias(k) for k in WOW_KEYS],
         kind.alias("Change_Type"),
         F.col("p.Opportunity_Usage").alias("Usage_Prev"),
         F.col("c.Opportunity_Usage").alias("Usage_Cur"),
@@ -157,14 +164,14 @@ def wow_tracking(prev: DataFrame, cur: DataFrame) -> DataFrame:
 def wow_fields(snapshots: Sequence[tuple[int, DataFrame]]) -> DataFrame:
     """Week-on-week calculated fields over any number of weekly snapshots.
 
-    Rows: each opportunity in each week whose previous week also had it.
-    ``lag`` runs in a window per Opportunity_ID (one row per week).
+    Rows: each opportunity and product in each week whose previous week also had it.
+    ``lag`` runs in a window per opportunity and product (one row per week).
     """
     stacked = reduce(DataFrame.unionByName,
                      [snapshot_by_id(df).withColumn("Week", F.lit(week)) for week, df in snapshots])
-    w = Window.partitionBy("Opportunity_ID").orderBy("Week")
+    w = Window.partitionBy(*WOW_KEYS).orderBy("Week")
     lagged = stacked.select(
-        "Opportunity_ID", "Week", "Opportunity_Usage", "Opportunity_Est_Date",
+        *WOW_KEYS, "Week", "Opportunity_Usage", "Opportunity_Est_Date",
         "Opportunity_Stage", "Opportunity_Status",
         *[F.lag(c).over(w).alias(f"_prev_{c}") for c in (
             "Week", "Opportunity_Usage", "Opportunity_Est_Date",
@@ -172,7 +179,7 @@ def wow_fields(snapshots: Sequence[tuple[int, DataFrame]]) -> DataFrame:
     delta = F.col("Opportunity_Usage") - F.col("_prev_Opportunity_Usage")
     prev_usage = F.col("_prev_Opportunity_Usage").cast("double")
     return (lagged.filter(F.col("_prev_Week") == F.col("Week") - 1)
-            .select("Opportunity_ID", "Week",
+            .select(*WOW_KEYS, "Week",
                     F.col("_prev_Opportunity_Usage").alias("Usage_Prev"),
                     F.col("Opportunity_Usage").alias("Usage_Cur"),
                     delta.alias("Usage_Delta"),
@@ -184,14 +191,3 @@ def wow_fields(snapshots: Sequence[tuple[int, DataFrame]]) -> DataFrame:
                      .alias("Stage_Changed"),
                     (~F.col("Opportunity_Status").eqNullSafe(F.col("_prev_Opportunity_Status")))
                      .alias("Status_Changed")))
-
-
-def baseline_variant(plan: Plan, months: int) -> DataFrame:
-    """Baseline as the mean of the last ``months`` months (3 or 6)."""
-    return plan.baseline_avg(months)
-
-
-__all__ = [
-    "revenue_trend", "fee_trend", "revenue_vs_target", "forecast_year_end",
-    "slice_facts", "wow_tracking", "wow_fields", "baseline_variant",
-]

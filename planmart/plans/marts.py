@@ -22,16 +22,19 @@ OPPORTUNITY_DETAIL = ("Account_No", "Product_Category", "Fiscal_Month", "Product
 
 
 def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Month attributes (broadcast), account and seller attributes (LEFT JOINs).
+    """Month, account and seller attributes (LEFT JOINs).
 
-    Each dimension has one row per key, so the joins never add rows.
+    Accounts and sellers are joined to each other first (dimension by
+    dimension, one row per key), so the facts meet one lookup on Account_No: a
+    single join whose hot accounts adaptive execution can split.
     """
     out = left_lookup(df, cal.month_dim(), "Fiscal_Month", "Fiscal_Month", MONTH_ATTRS, True)
     acc = accounts.select("AccountNo", F.col("Store").alias("Account_Name"),
                           *ACCOUNT_ATTRS[1:])
-    out = left_lookup(out, acc, "Account_No", "AccountNo", ACCOUNT_ATTRS, True)
+    both = acc.join(sellers.select("Store_ID", *SELLER_ATTRS), F.col("AccountNo") == F.col("Store_ID"), "full")
+    both = both.withColumn("_account", F.coalesce("AccountNo", "Store_ID"))
     # Callers project the final columns, which drops the helper key columns.
-    return left_lookup(out, sellers, "Account_No", "Store_ID", SELLER_ATTRS, True)
+    return left_lookup(out, both, "Account_No", "_account", (*ACCOUNT_ATTRS, *SELLER_ATTRS), True)
 
 
 def revenue_summary(plan: Plan, grain: str | None = None, combine: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
@@ -36,6 +36,15 @@ class Plan:
         self.opts = opts
         self.cal = inputs.calendar
         self._p1_shared: DataFrame | None = None
+        # Filled while the plan's frames are written: rows per step (see `counting`).
+        self.observations: dict[str, Observation] | None = None
+
+    def counted(self, step: str, df: DataFrame) -> DataFrame:
+        """``df``, with its row count observed under ``step`` when a run asks for counts."""
+        if self.observations is None or step in self.observations:
+            return df
+        self.observations[step] = Observation(step)
+        return df.observe(self.observations[step], F.count(F.lit(1)).alias("rows"))
 
     @contextmanager
     def persisted(self):
@@ -48,7 +57,7 @@ class Plan:
         shared = clean.clean_revenue(self.inputs.revenue, self.opts, with_activity=True) \
             .persist(StorageLevel.MEMORY_AND_DISK)
         self._p1_shared = shared
-        for name in ("p1", "p2", "ctx"):
+        for name in ("p1", "p2", "p3", "p8", "ctx"):
             self.__dict__.pop(name, None)
         try:
             yield self
@@ -60,7 +69,7 @@ class Plan:
     @cached_property
     def p1(self) -> DataFrame:
         if self._p1_shared is not None:
-            return self._p1_shared.drop("_nonzero")
+            return self.counted("p1_clean_revenue", self._p1_shared.drop("_nonzero"))
         return clean.clean_revenue(self.inputs.revenue, self.opts)
 
     @cached_property
@@ -69,11 +78,12 @@ class Plan:
 
     @cached_property
     def p3(self) -> DataFrame:
-        return clean.clean_opportunity(self.inputs.opportunities, self.cal, self.opts)
+        return self.counted("p3_clean_opportunity",
+                            clean.clean_opportunity(self.inputs.opportunities, self.cal, self.opts))
 
     @cached_property
     def p8(self) -> DataFrame:
-        return clean.targets_by_fiscal_month(self.inputs.targets, self.cal)
+        return self.counted("p8_targets", clean.targets_by_fiscal_month(self.inputs.targets, self.cal))
 
     # -- fiscal context (P4, P5) ---------------------------------------------
     @cached_property
@@ -101,7 +111,7 @@ class Plan:
             month_rev = self.inputs.revenue.filter(self.ctx.in_cutoff_month("Month"))
             month_p1 = clean.clean_revenue(month_rev, self.opts)
         p2 = clean.revenue_by_fiscal_month(month_p1, self.cal)
-        last = (p2.filter(F.col("Fiscal_Month") == self.ctx.lit("fiscal_month"))
+        last = (p2.filter(F.col("Fiscal_Month") == self.ctx.fiscal_month)
                 .select("Account_No", "Product_Category",
                         (F.col("Partner_Fee") + F.col("Revenue")).alias("Baseline")))
         return self._over_future_months(last).select(*KEYS, "Baseline")
@@ -110,17 +120,18 @@ class Plan:
         """Each row once per remaining month of the fiscal year (``Fiscal_Month``).
 
         The worksheet's CROSS JOIN with at most eleven months, as an explode of
-        a literal array: no join, the row count grows linearly.
+        an array: no join, the row count grows linearly.
         """
-        out = df.withColumn("_f", F.explode(self.ctx.future_array()))
+        out = df.withColumn("_all", self.ctx.future_array()).withColumn("_f", F.explode("_all")).drop("_all")
         return out.withColumn("Fiscal_Month", F.col("_f.Fiscal_Month")).drop("_f")
 
     def baseline_avg(self, months: int) -> DataFrame:
         """Mean of the last ``months`` months up to the cutoff (missing month = 0)."""
-        dated = to_fiscal_month(
-            self.p1.withColumnRenamed("Fiscal_Month", "_month_date"),
-            self.cal, "_month_date", wide=True)
-        cur = self.ctx.lit("month_id")
+        p1 = (self.p1.filter(self.ctx.last_months("Fiscal_Month", months)) if self._p1_shared is not None
+              else clean.clean_revenue(self.inputs.revenue.filter(self.ctx.last_months("Month", months)), self.opts))
+        dated = to_fiscal_month(p1.withColumnRenamed("Fiscal_Month", "_month_date"),
+                                self.cal, "_month_date", wide=True)
+        cur = self.ctx.month_id
         window = dated.filter((F.col("Month_ID") >= cur - (months - 1)) & (F.col("Month_ID") <= cur))
         avg = (window.groupBy("Account_No", "Product_Category")
                .agg((F.sum(F.col("Partner_Fee") + F.col("Revenue")).cast("double")
@@ -141,12 +152,12 @@ class Plan:
         dated = to_fiscal_month(rows, self.cal, "Opportunity_Est_Date", keep_date=True, wide=True)
         ctx = self.ctx
         cond = ((F.col("Opportunity_Est_Date") > ctx.cutoff)
-                & (F.col("Fiscal_Year") == ctx.lit("fiscal_year")))
+                & (F.col("Fiscal_Year") == ctx.fiscal_year))
         if not self.opts.include_current_month:
-            cond = cond & (F.col("Fiscal_Month") != ctx.lit("fiscal_month"))
-        return (dated.filter(cond)
-                .groupBy("Account_No", "Product_Category", "Fiscal_Month", "Month_ID")
-                .agg(F.sum("Opportunity_Usage").alias("Opportunity_Usage")))
+            cond = cond & (F.col("Fiscal_Month") != ctx.fiscal_month)
+        return self.counted("p10_run_rate_origins", dated.filter(cond)
+                            .groupBy("Account_No", "Product_Category", "Fiscal_Month", "Month_ID")
+                            .agg(F.sum("Opportunity_Usage").alias("Opportunity_Usage")))
 
     def spread_origins(self, all_months: bool = False) -> DataFrame:
         """Each origin once per remaining month at or after its own month.
@@ -155,10 +166,11 @@ class Plan:
         (at most eleven) future months filtered per row; ``all_months`` skips the
         filter (the plain cross product of the worksheet's intermediate step).
         """
-        months = self.ctx.future_array()
+        months = F.col("_all")
         if not all_months:
             months = F.filter(months, lambda m: m["Month_ID"] >= F.col("Month_ID"))
-        out = self.run_rate_origins().withColumn("_f", F.explode(months))
+        out = (self.run_rate_origins().withColumn("_all", self.ctx.future_array())
+               .withColumn("_f", F.explode(months)))
         return out.select("Account_No", "Product_Category", "Fiscal_Month", "Month_ID",
                           F.col("_f.Fiscal_Month").alias("Future_Fiscal_Months"),
                           F.col("_f.Month_ID").alias("Future_Month_ID"), "Opportunity_Usage")
@@ -172,30 +184,66 @@ class Plan:
             (F.col("Future_Month_ID") + 1).alias("_est_id"),
             R.clamp_negative("Opportunity_Usage").alias("Opportunities_Into_RR"))
         if self.opts.clip_to_fy:
-            last = self.ctx.last_future_id
-            shifted = shifted.filter(F.col("_est_id") <= F.lit(last).cast("int"))
+            shifted = shifted.filter(F.col("_est_id") <= self.ctx.last_future_id)
         months = self.cal.months()
         rr = (shifted.join(months, shifted["_est_id"] == months["Month_ID"], "left")
               .select("Account_No", "Product_Category", "Fiscal_Month", "Opportunities_Into_RR"))
         if grain == "summed":
             rr = (rr.groupBy("Account_No", "Product_Category", "Fiscal_Month")
                   .agg(F.sum("Opportunities_Into_RR").alias("Opportunities_Into_RR")))
-        return rr
+        return self.counted("p10_run_rate", rr)
 
     # -- P11, P12 --------------------------------------------------------------
     def baseline_target_run_rate(self, grain: str | None = None) -> DataFrame:
         return full_outer_coalesce(self.baseline_target(), self.run_rate(grain), KEYS,
                                    ("Baseline", "Target"), ("Opportunities_Into_RR",))
 
-    def _fact_parts(self, grain: str) -> list:
+    def revenue_with_baseline(self) -> DataFrame:
+        """P2 and P7 from one pass over the revenue: each P2 row as itself (``_side`` 0), and rows
+        of the cutoff month once more for each remaining month (``_side`` 2) with Baseline.
+        Measures of the other side are 0."""
+        ctx = self.ctx
+        kind = "array<struct<Fiscal_Month:string,Month_ID:int>>"
+        own = F.array(F.struct("Fiscal_Month", F.lit(None).cast("int").alias("Month_ID"))).cast(kind)
+        later = F.when(F.col("Fiscal_Month") == ctx.fiscal_month, ctx.future_array().cast(kind))
+        rows = (self.p2.withColumn("_all", F.concat(own, F.coalesce(later, F.array().cast(kind))))
+                .withColumn("_x", F.explode("_all")))
+        side = F.when(F.col("_x.Month_ID").isNull(), 0).otherwise(2)      # a remaining month has its id
+        out = rows.select(
+            "Account_No", F.col("_x.Fiscal_Month").alias("Fiscal_Month"), "Product_Category", side.alias("_side"),
+            *[F.when(side == 0, F.col(m)).otherwise(F.lit(0)).alias(m) for m in REVENUE_MEASURES],
+            F.when(side == 2, F.col("Partner_Fee") + F.col("Revenue")).otherwise(F.lit(0)).alias("Baseline"))
+        return self.counted("p2_p7_revenue_and_baseline", out)
+
+    def _facts(self, grain: str) -> list[tuple[DataFrame, dict[int, tuple[str, ...]]]]:
+        """The five inputs of P12, by number, from four sources."""
         return [
-            (self.p2, REVENUE_MEASURES),
-            (self.p3.select(*KEYS, *OPPORTUNITY_MEASURES), OPPORTUNITY_MEASURES),
-            (self.baseline(), ("Baseline",)),
-            (self.p8.select(*KEYS, "Target"), ("Target",)),
-            (self.run_rate(grain).select(*KEYS, "Opportunities_Into_RR"), ("Opportunities_Into_RR",)),
+            (self.revenue_with_baseline(), {0: REVENUE_MEASURES, 2: ("Baseline",)}),
+            (self.p3.select(*KEYS, *OPPORTUNITY_MEASURES), {1: OPPORTUNITY_MEASURES}),
+            (self.p8.select(*KEYS, "Target"), {3: ("Target",)}),
+            (self.run_rate(grain).select(*KEYS, "Opportunities_Into_RR"), {4: ("Opportunities_Into_RR",)}),
         ]
 
+    def facts_by_month(self) -> DataFrame:
+        """Actual and Projected of the cutoff's fiscal year by fiscal month: only that year is read
+        from the revenue and the opportunities, and nothing is kept by account."""
+        ctx = self.ctx
+        p1 = (self.p1.filter(ctx.in_year("Fiscal_Month")) if self._p1_shared is not None
+              else clean.clean_revenue(self.inputs.revenue.filter(ctx.in_year("Month")), self.opts))
+        p2 = clean.revenue_by_fiscal_month(p1, self.cal)
+        month, amount = F.col("Fiscal_Month"), (F.col("Partner_Fee") + F.col("Revenue"))
+        by_month = p2.groupBy("Fiscal_Month").agg(F.sum(amount).alias("Actual"))
+        last = by_month.filter(month == ctx.fiscal_month).select(F.col("Actual").alias("Projected"))
+        later = self._over_future_months(last).select("Fiscal_Month", "Projected")
+        opps = clean.clean_opportunity(self.inputs.opportunities.filter(ctx.in_year("Opportunity_Est_Date")),
+                                       self.cal, self.opts)
+        rr = self.run_rate("origin")
+        return union_combine(
+            [(by_month, ("Actual",)), (later, ("Projected",)),
+             (opps.select("Fiscal_Month", F.col("Opportunity_Usage").alias("Projected")), ("Projected",)),
+             (rr.select("Fiscal_Month", F.col("Opportunities_Into_RR").alias("Projected")), ("Projected",))],
+            ["Fiscal_Month"])
+
     def all_transactional(self, grain: str | None = None, combine: str | None = None) -> DataFrame:
         """Every measure by account, fiscal month and category.
 
@@ -210,11 +258,14 @@ class Plan:
         grain = grain or self.opts.rr_grain
         combine = combine or self.opts.combine
         if combine == "union":
-            return union_combine(self._fact_parts("origin"), KEYS,
-                                 partition_by="Account_No").select(*KEYS, *P12_MEASURES)
+            if grain != "summed":
+                raise ValueError("the union form adds origins up: ask for grain 'summed'")
+            parts = [(df, [m for ms in held.values() for m in ms]) for df, held in self._facts("origin")]
+            out = union_combine(parts, KEYS, partition_by="Account_No").select(*KEYS, *P12_MEASURES)
+            return self.counted("p12_all_transactional", out)
         if combine == "cogroup":
-            return cogroup_full_outer(self._fact_parts(grain), KEYS,
-                                      partition_by="Account_No").select(*KEYS, *P12_MEASURES)
+            out = cogroup_full_outer(self._facts(grain), KEYS, partition_by="Account_No")
+            return self.counted("p12_all_transactional", out.select(*KEYS, *P12_MEASURES))
         return full_outer_coalesce(self.revenue_opportunity(),
                                    self.baseline_target_run_rate(grain), KEYS,
                                    (*REVENUE_MEASURES, *OPPORTUNITY_MEASURES),

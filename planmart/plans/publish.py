@@ -15,11 +15,12 @@ from planmart.plans.planning import Plan
 from planmart.session import shared_dir
 from planmart.sources import readers
 
-VIEW_NAMES = {"revenue": "ipi_revenue_summary", "opportunity": "ipi_opportunity_summary"}
+VIEW_NAMES = {"revenue": "revenue_summary", "opportunity": "opportunity_summary"}
 
 
 def publish_marts(plan: Plan, out_dir: str | None = None) -> dict[str, int]:
-    """Write view 1 and view 2; returns their row counts from observed metrics.
+    """Write view 1 and view 2; returns the row counts of both and of the steps behind
+    them, from metrics observed while they are written.
 
     The revenue aggregate is computed once for both (``Plan.persisted``).
     """
@@ -27,10 +28,13 @@ def publish_marts(plan: Plan, out_dir: str | None = None) -> dict[str, int]:
     out_dir = out_dir or shared_dir(spark, "marts")
     counts = {}
     with plan.persisted():
+        plan.observations = {}
         for key, mart in (("revenue", marts.revenue_summary(plan)),
                           ("opportunity", marts.opportunity_summary(plan))):
             observed, obs = quality.observed(mart, key)
             readers.publish(observed, VIEW_NAMES[key], f"{out_dir}/{key}_summary",
                             partition_by="Fiscal_Year")
             counts[key] = obs.get["rows"]
+        counts |= {step: obs.get["rows"] for step, obs in plan.observations.items()}
+        plan.observations = None
     return counts

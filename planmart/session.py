@@ -20,24 +20,6 @@ DEFAULT_CONF = {
 }
 
 
-# Starting points for a large cluster (about 1,000 executors, ~100 TB of facts).
-# Scans: 512 MB splits keep a 100 TB scan near 200k tasks (a few dozen waves).
-# Shuffles: many initial partitions, then AQE coalesces them towards the advisory
-# size, so the revenue aggregate (a few TB) and the small merges both get
-# partitions of a few hundred MB that sort and aggregate in memory without
-# spilling.  Skewed partitions of the left-outer lookups are split by AQE.
-CLUSTER_CONF = {
-    **DEFAULT_CONF,
-    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
-    "spark.sql.shuffle.partitions": "16000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    "spark.shuffle.service.enabled": "true",
-    "spark.decommission.enabled": "true",
-}
-
-
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "planmart", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -58,16 +40,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     ``spark.checkpoint.dir`` names storage every executor can reach; it is
-    read from the session.  Only when it is unset (local tests) a private
-    temporary folder is created and registered as the checkpoint directory.
+    read from the session.  Only a purely local session (tests) may do without
+    it: then a private temporary folder is used.  On a cluster a missing
+    setting is an error, because each machine would write to its own disk.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="planmart-")
         spark.sparkContext.setCheckpointDir(base)
     path = "/".join([base.rstrip("/"), "planmart", *parts, uuid.uuid4().hex])
-    if "://" not in path:
+    if "://" not in path and not path.startswith("file:"):
         os.makedirs(path, exist_ok=True)
     return path

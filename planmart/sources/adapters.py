@@ -55,17 +55,8 @@ class Inputs:
     opportunities_prev: DataFrame | None = None
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table handle, reused per session (listing and footer read once)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def account_code(c: str | Column) -> Column:
@@ -97,7 +88,7 @@ def calendar(spark: SparkSession, start: dt.date = CALENDAR_START,
               F.concat(F.lit("FY"), (year + F.when(month >= 7, 1).otherwise(0)).cast("string"))
                .alias("Fiscal_Year"),
               (year * 12 + month).cast("int").alias("Month_ID")))
-    return Calendar(df, max_days=n_days, unique_days=True)
+    return Calendar(df, unique_days=True)
 
 
 def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +161,7 @@ def opportunities_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _opportunity_rows(spark, sf_dir)
     key = F.col("_key")
     usage = F.col("Opportunity_Usage")
-    scaled = scale_money(parse_amount(usage), "0.9")
+    scaled = scale_money(parse_amount(usage, MONEY), "0.9")
     kept = (rows.filter(key % 13 != 0)
             .withColumns({
                 "Opportunity_Usage": F.when((key % 7 == 0) & (usage != NULL_TEXT),

@@ -10,18 +10,27 @@ from planmart.sources import schemas
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row, read with an explicit all-typed schema.
+    """CSV with a header row; columns are taken by name and cast to the schema's types.
 
-    The schema is applied by position, which also renames headers such as
-    ``Store ID`` to ``Store_ID``; no type is inferred, so codes with leading
-    zeros stay text.  The text ``NULL`` is left as data (it is not a marker
-    in these files).
+    Headers such as ``Store ID`` stand for ``Store_ID``, in any order; no type
+    is inferred, so codes with leading zeros stay text.  The text ``NULL`` is
+    left as data (it is not a marker in these files).
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    return conform(raw, schema)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns of ``df`` by name (case-insensitive, blanks as underscores), cast to its types.
+
+    A column that ``df`` lacks is an error, never a column of NULLs.
+    """
+    df = normalise_headers(df)
+    by_lower = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
+    if missing:
+        raise ValueError(f"missing columns {missing}; the table has {df.columns}")
+    return df.select(*[F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -65,16 +74,17 @@ def publish(df: DataFrame, name: str, path: str | None = None,
 
     With ``path`` the mart is materialised as Parquet (optionally partitioned,
     e.g. by ``Fiscal_Year`` so readers prune partitions) and the view reads the
-    written files, which also cuts the lineage of the long plan behind it.
+    written files with the mart's own types and column order, which also cuts
+    the lineage of the long plan behind it.  A partitioned mart is rebalanced
+    on its partition columns first: a few files per value, hot values split.
+    Without ``path`` the view holds the plan itself and follows new data.
     """
     spark = df.sparkSession
     if path is not None:
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)
-                                          else partition_by))
-        writer.parquet(path)
-        df = spark.read.parquet(path)
+        by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
+        (writer.partitionBy(*by) if by else writer).parquet(path)
+        df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     df.createOrReplaceTempView(name)
     return spark.table(name)
 

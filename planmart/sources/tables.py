@@ -8,7 +8,6 @@ dates are dates and money is exact.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from planmart.operators.fiscal import Calendar
 from planmart.sources import readers, schemas
@@ -26,14 +25,8 @@ DEFAULT_NAMES = {
 
 
 def _conform(df: DataFrame, kind: str) -> DataFrame:
-    """Select the schema's columns by name (case-insensitive), cast to its types."""
-    df = readers.normalise_headers(df)
-    by_lower = {c.lower(): c for c in df.columns}
-    cols = []
-    for f in schemas.BY_NAME[kind].fields:
-        src = by_lower.get(f.name.lower())
-        cols.append((F.col(src) if src else F.lit(None)).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    """The schema's columns of ``kind`` by name; a missing one is an error."""
+    return readers.conform(df, schemas.BY_NAME[kind])
 
 
 def from_catalog(spark: SparkSession, database: str | None = None,

@@ -1,17 +1,18 @@
 """Weekly opportunity snapshots as a stream, with week-on-week tracking.
 
-Snapshots land as Parquet folders ``<landing>/Week=<n>/``.  A Structured
-Streaming query picks up each new week and, in ``foreachBatch``, compares it
-with the previous week's stored snapshot using the same DataFrame operator as
-the batch mart (``insights.wow_tracking``).  Both outputs are written with
-dynamic partition overwrite per week, so replaying an epoch after a failure
-rewrites the same partitions: the sink is idempotent and the checkpoint in
-the shared folder makes the stream restartable.
+Snapshots land as Parquet folders ``<landing>/Week=<n>/``, in any number of
+files and in any order.  A Structured Streaming query stores the rows of each
+micro-batch under its own (week, batch) partition and then tracks the touched
+weeks, and the weeks after them, again from all stored rows, with the same
+DataFrame operator as the batch mart (``insights.wow_tracking``).  A week that
+lands in parts or late is therefore whole in the end.  Both outputs are
+written with dynamic partition overwrite, so replaying a batch after a failure
+rewrites the same partitions, and the checkpoint in the shared folder makes
+the stream restartable.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,49 +31,34 @@ def write_snapshot(df: DataFrame, landing: str, week: int) -> None:
        .partitionBy("Week").parquet(landing))
 
 
-def _overwrite_weeks(df: DataFrame, path: str) -> None:
+def _overwrite(df: DataFrame, path: str, *by: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("Week").parquet(path))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through the Hadoop FileSystem of the path (HDFS, object stores, local)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+       .partitionBy(*by).parquet(path))
 
 
 def _process(spark: SparkSession, out_dir: str):
     snapshots, changes = f"{out_dir}/snapshots", f"{out_dir}/changes"
+    stored_schema = T.StructType([*SNAPSHOT_SCHEMA.fields, T.StructField("Batch", T.LongType())])
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # The batch is used three times (weeks, changes, stored snapshot): read the
-        # landed files once (memory, spilling to disk; recomputable from the files).
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # The week numbers of one micro-batch: a handful of integers.
-            weeks = sorted(r["Week"] for r in batch.select("Week").distinct().collect())
-            for week in weeks:
-                cur = batch.filter(F.col("Week") == week).drop("Week")
-                if _exists(spark, snapshots):
-                    prev = (spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshots)
-                            .filter(F.col("Week") == week - 1).drop("Week"))
-                else:  # the first week: nothing stored yet
-                    prev = spark.createDataFrame([], schemas.OPPORTUNITIES)
+        _overwrite(batch.withColumn("Batch", F.lit(epoch_id).cast("long")), snapshots, "Week", "Batch")
+        stored = spark.read.schema(stored_schema).parquet(snapshots).drop("Batch")
+        # Week numbers: a handful of integers, from the folder names of the stored partitions.
+        new = {r["Week"] for r in batch.select("Week").distinct().collect()}
+        weeks = sorted(r["Week"] for r in stored.select("Week").distinct().collect())
+        before = dict(zip(weeks[1:], weeks))
+        for week in weeks:
+            if week in new or before.get(week) in new:
+                cur = stored.filter(F.col("Week") == week).drop("Week")
+                prev = stored.filter(F.col("Week") == before.get(week)).drop("Week")   # nothing for the first week
                 tracked = insights.wow_tracking(prev, cur).withColumn("Week", F.lit(week))
-                _overwrite_weeks(tracked, changes)
-                _overwrite_weeks(cur.withColumn("Week", F.lit(week)), snapshots)
-        finally:
-            batch.unpersist()
+                _overwrite(tracked, changes, "Week")
     return run
 
 
 def start_wow_stream(spark: SparkSession, landing: str, out_dir: str,
                      checkpoint: str | None = None, available_now: bool = True):
-    """Start the week-on-week stream; returns the StreamingQuery.
-
-    ``maxFilesPerTrigger`` keeps a backlog of weeks in order, one file set at a
-    time is enough since every week is one partition folder.
-    """
+    """Start the week-on-week stream; returns the StreamingQuery."""
     checkpoint = checkpoint or shared_dir(spark, "wow_checkpoint")
     stream = (spark.readStream.schema(SNAPSHOT_SCHEMA)
               .option("basePath", landing).parquet(landing))

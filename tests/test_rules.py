@@ -105,7 +105,8 @@ def _rr_inputs(spark, origins):
 
 def test_run_rate_months(spark):
     p = Plan(_rr_inputs(spark, ["2001-01-15", "2001-02-10", "2001-06-05"]))
-    assert p.ctx.cutoff_date == D("2001-01-01") and p.ctx.fiscal_month == "January, 2001"
+    ctx = p.ctx.as_frame().first()
+    assert ctx["Cutoff_Date"] == D("2001-01-01") and ctx["Fiscal_Month"] == "January, 2001"
     rr = sorted(r["Fiscal_Month"] for r in p.run_rate("origin").collect())
     jan_feb = ["March, 2001", "April, 2001", "May, 2001", "June, 2001", "July, 2001"]
     assert sorted(rr) == sorted(jan_feb * 2 + ["July, 2001"])
@@ -156,9 +157,84 @@ def test_date_outside_calendar_kept(spark):
 def test_cutoff_when_all_revenue_zero(spark):
     inp = make_inputs(spark, revenue=[rev_row("A", "2001-01-01", "Actuals", "Services", 0)])
     p = Plan(inp)
-    assert p.ctx.cutoff_date is None
     assert p.baseline().count() == 0 and p.future_months().count() == 0
-    assert p.ctx.as_frame().count() == 0
+    assert [tuple(r) for r in p.ctx.as_frame().collect()] == [(None, None, None, None)]
+
+
+def test_cutoff_outside_the_calendar_keeps_its_date(spark):
+    p = Plan(make_inputs(spark, revenue=[rev_row("A", "1990-01-01", "Actuals", "Services", 5)]))
+    assert [tuple(r) for r in p.ctx.as_frame().collect()] == [(D("1990-01-01"), None, None, None)]
+    assert p.baseline().count() == 0 and p.future_months().count() == 0
+
+
+def test_months_are_tested_from_july_on(spark):
+    df = spark.createDataFrame([("June (FY from July)",)], "m string")
+    assert df.select(R.months_left("m")).first()[0] == 11
+
+
+def test_collation_reaches_types_and_sentinels(spark):
+    lower = PlanOptions(collation="UTF8_LCASE_RTRIM")
+    inp = make_inputs(spark, revenue=[rev_row("A", "2001-01-01", "ACTUALS ", "services", 5)], opportunities=[
+        opp_row("1", "2001-02-01", "null", "a", "Active", "1.00"),
+        opp_row("1", "2001-02-01", "services: x", "b", "inactive", "1.00"),
+        opp_row("1", "2001-02-01", "services: x", "c", "Active", "1.00")])
+    assert [(r["Revenue"], r["Product_Category"]) for r in clean.clean_revenue(inp.revenue, lower).collect()] \
+        == [(5, "Services")]
+    assert one_col(clean.opportunity_rows(inp.opportunities, True, lower), "Opportunity_ID") == ["c"]
+
+
+def test_amounts_keep_their_digits(spark):
+    inp = make_inputs(spark, opportunities=[
+        opp_row("1", "2001-02-01", "Services: x", i, "Active", amount)
+        for i, amount in (("a", "12.3456"), ("b", "99999999999999999.00"), ("c", "1.00000001"), ("d", "x"),
+                          ("e", "9" * 33), ("f", "1e3"))])
+    rows = {r["Opportunity_ID"]: r["Opportunity_Usage"] for r in clean.opportunity_rows(inp.opportunities, False).collect()}
+    assert rows["a"] == M("12.3456") and rows["b"] == M("99999999999999999.00") and rows["f"] == 1000
+    issues = {r["Opportunity_ID"]: r["Issue"] for r in quality.audit_parse(Plan(inp)).collect()}
+    assert issues == {"c": "rounded", "d": "unparsable", "e": "overflow"}
+
+
+def test_merge_forms_agree_on_missing_amounts_and_dates(spark):
+    """An unparsable amount and a date outside the calendar: 0 in every form."""
+    inp = make_inputs(spark, revenue=[rev_row("A", "2001-01-01", "Actuals", "Services X", 10)], opportunities=[
+        opp_row("A", "2001-02-10", "Support: x", "o1", "Active", "n/a"),
+        opp_row("A", "1990-03-01", "Products: x", "o2", "Active", "7.00")])
+    cols = ["Opportunity_Usage", "Opportunity_Extrapolation"]
+    got = {}
+    for combine in ("join", "cogroup", "union"):
+        rows = Plan(inp).all_transactional("summed", combine).collect()
+        got[combine] = sorted((str(r["Fiscal_Month"]), r["Product_Category"], *(float(r[c]) for c in cols)) for r in rows)
+    assert got["join"] == got["cogroup"] == got["union"]
+    assert ("None", "Products", 7.0, 0.0) in got["union"]
+    with pytest.raises(ValueError):
+        Plan(inp).all_transactional("origin", "union")
+
+
+def test_wow_keeps_rows_without_amount_and_null_ids(spark):
+    from planmart.plans import insights
+    prev = [opp_row("1", "2001-02-01", "P", "a", "Active", "10"), opp_row("1", "2001-02-01", "P", "b", "Active", "NULL"),
+            opp_row("1", "2001-02-01", "P", None, "Active", "5"), opp_row("1", "2001-02-01", "Q", "d", "Active", "1")]
+    cur = [opp_row("1", "2001-02-01", "P", "a", "Active", "NULL"), opp_row("1", "2001-03-01", "P", "b", "Active", "NULL"),
+           opp_row("1", "2001-02-01", "P", "c", "Active", "2"), opp_row("1", "2001-02-01", "R", "d", "Active", "1")]
+    inp = make_inputs(spark, opportunities=cur, prev=prev)
+    got = {(r["Opportunity_ID"], r["Product"]): r["Change_Type"]
+           for r in insights.wow_tracking(inp.opportunities_prev, inp.opportunities).collect()}
+    assert got == {("a", "P"): "Changed", ("b", "P"): "Changed", (None, "P"): "Dropped", ("c", "P"): "New",
+                   ("d", "Q"): "Dropped", ("d", "R"): "New"}
+
+
+def test_a_lazy_plan_follows_new_revenue(spark, tmp_path):
+    path = str(tmp_path / "revenue")
+    inp = make_inputs(spark, revenue=[rev_row("A", "2001-01-01", "Actuals", "Services X", 10)])
+    inp.revenue.write.parquet(path)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW t_rev USING parquet OPTIONS (path '{path}')")
+    inp.revenue = spark.table("t_rev")
+    Plan(inp).baseline().createOrReplaceTempView("t_baseline")
+    assert spark.table("t_baseline").count() == 5
+    more = make_inputs(spark, revenue=[rev_row("A", "2001-03-01", "Actuals", "Services X", 7)])
+    more.revenue.write.mode("append").parquet(path)
+    spark.catalog.refreshTable("t_rev")
+    assert sorted(one_col(spark.table("t_baseline"), "Fiscal_Month")) == ["April, 2001", "June, 2001", "May, 2001"]
 
 
 def _tgt(acct, cat, month, amount):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from planmart.plans import marts
 from planmart.plans.planning import Plan
 from planmart.sources import adapters
 from planmart.sources.adapters import Inputs
@@ -44,3 +45,28 @@ def test_merge_shuffle_has_no_hot_partition(spark, small_dir):
     # a small share of the merge, however many raw rows it had.
     assert hot / sum(sizes) < 0.1
     assert max(sizes) / sum(sizes) < 0.2
+
+
+def test_hot_account_of_the_opportunity_view_is_split(spark, small_dir):
+    """80 % of the opportunities on one account: the one lookup of the facts is split at run time."""
+    base = adapters.load(spark, small_dir)
+    hot = F.pmod(F.xxhash64("Opportunity_ID"), F.lit(5)) != 0
+    opps = base.opportunities.withColumn("Store_No", F.when(hot, F.lit(HOT)).otherwise(F.col("Store_No")))
+    plan = Plan(Inputs(base.revenue, opps, base.targets, base.calendar, base.accounts, base.sellers))
+    expected = marts.opportunity_summary(plan).count()
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = marts.opportunity_summary(Plan(plan.inputs))
+        assert len(df.collect()) == expected
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true) [Account_No" in text

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from planmart.session import shared_dir
@@ -85,7 +87,10 @@ def test_publish_marts_with_observed_counts(spark, small_dir):
     from planmart.plans.publish import VIEW_NAMES, publish_marts
     from planmart.sources import adapters
     counts = publish_marts(Plan(adapters.load(spark, small_dir)))
-    assert counts == {"revenue": 6812, "opportunity": 1135}
+    assert {k: counts[k] for k in ("revenue", "opportunity", "p1_clean_revenue", "p3_clean_opportunity", "p8_targets",
+                                   "p10_run_rate_origins", "p10_run_rate", "p12_all_transactional")} == {
+        "revenue": 6812, "opportunity": 1135, "p1_clean_revenue": 5600, "p3_clean_opportunity": 720, "p8_targets": 199,
+        "p10_run_rate_origins": 47, "p10_run_rate": 157, "p12_all_transactional": 6812}
     assert spark.table(VIEW_NAMES["revenue"]).count() == 6812
 
 
@@ -101,3 +106,26 @@ def test_catalog_columns_conformed_by_name_and_type(spark):
     row = got.first()
     assert row["StoreNo"] == "00001234" and str(row["Month"]) == "2001-01-01"
     assert str(row["Revenue"]) == "12.50"
+
+
+def test_missing_columns_are_an_error(spark):
+    from planmart.sources import tables
+    raw = spark.createDataFrame([("1", "Services", "2001-01-01", "5")],
+                                "Store_Number string, Service_Comp_Group string, Fiscal_Month string, Target string")
+    with pytest.raises(ValueError, match="Product_Category"):
+        tables._conform(raw, "targets")
+
+
+def test_csv_columns_are_taken_by_name(spark):
+    folder = shared_dir(spark, "t_csv_order")
+    with open(os.path.join(folder, "sellers.csv"), "w") as fh:
+        fh.write("Product Seller,Store ID,Company,General Seller,Services Seller,Support Seller\np,00000001,c,g,s,u\n")
+    row = readers.read_sellers_csv(spark, folder).first()
+    assert (row["Store_ID"], row["Product_Seller"], row["Support_Seller"]) == ("00000001", "p", "u")
+
+
+def test_published_types_and_order_are_the_marts(spark):
+    df = spark.createDataFrame([("a", "02020", 1), ("b", "2019", 2)], "x string, Fiscal_Year string, v int")
+    got = readers.publish(df, "t_pub_types", shared_dir(spark, "t_pub_types"), partition_by="Fiscal_Year")
+    assert got.dtypes == df.dtypes
+    assert sorted(map(tuple, got.collect())) == [("a", "02020", 1), ("b", "2019", 2)]
