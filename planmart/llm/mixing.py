@@ -170,10 +170,10 @@ def take(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS
     text = F.col("text").cast("string")
     names = docs.columns
     table = written(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                                F.xxhash64("doc_id", text).alias("h"), token_size(text).alias("tokens"),
+                                F.col("doc_id").alias("id"), F.xxhash64(text).alias("h"), token_size(text).alias("tokens"),
                                 posteriors(text, model).alias("p")))
     rate = rates(table, list(targets.values()), "tokens", "p")
-    return (table.withColumn("_n", copies(rate, F.col("h"))).where("_n > 0")
+    return (table.withColumn("_n", copies(rate, F.col("id"), F.col("h"))).where("_n > 0")
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))
 
