@@ -1,11 +1,13 @@
 """Plan shape checks, invariants and the FIXTURES row counts at sf0.001."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from planmart.operators.fiscal import Calendar
 from planmart.plans import insights, marts
 from planmart.plans.planning import Plan
 from planmart.sources import adapters
@@ -132,7 +134,9 @@ def test_lookups_reuse_account_partitioning(spark, plan):
     for k in keys:
         spark.conf.set(k, "-1")
     try:
-        df = marts.revenue_summary(Plan(plan.inputs))
+        # the calendar stays a broadcast: it is small however large the other dimensions are
+        calendar = Calendar(F.broadcast(plan.inputs.calendar.df), unique_days=True)
+        df = marts.revenue_summary(Plan(replace(plan.inputs, calendar=calendar)))
         assert df.count() == 6812
         text = df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -153,3 +157,20 @@ def test_persisted_plan_gives_the_same_marts(spark, small_dir):
         assert shared.ctx.as_frame().collect() == lazy.ctx.as_frame().collect()
         b = marts.revenue_summary(shared).select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_revenue_is_read_once_for_the_merge_and_once_for_the_cutoff(plan):
+    """Revenue and baseline share one pass; the cutoff is a narrow subquery of the same plan."""
+    text = physical(marts.revenue_summary(Plan(plan.inputs)))
+    main = text.split("Subquery")[0]
+    assert main.count("lineitem.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["scalar_cutoff", "fiscal_context", "future_months"])
+def test_the_context_reads_revenue_in_its_own_plan(spark, small_dir, name):
+    assert "lineitem.parquet" in physical(E.queries()[name](spark, small_dir))
+
+
+@pytest.mark.parametrize("name", ["revenue_trend", "fee_trend"])
+def test_trends_read_revenue_once(spark, small_dir, name):
+    assert physical(E.queries()[name](spark, small_dir)).count("lineitem.parquet") == 1
