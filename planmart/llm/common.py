@@ -78,7 +78,8 @@ def bounded_sample(df: DataFrame, by: str, bound: int, key: F.Column) -> DataFra
     Rows whose hash of `key` falls below bound / count are taken, so the choice
     needs one count per class and no sort, and equal texts go together.
     """
-    counts = df.groupBy(F.col(by).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    # written, so that its size is known and the texts needn't move to meet a few classes
+    counts = written(df.groupBy(F.col(by).alias("_class")).agg(F.count(F.lit(1)).alias("_n")))
     share = F.least(F.lit(1.0), F.lit(float(bound)) / F.col("_n"))
     return (df.join(counts, F.col(by).eqNullSafe(F.col("_class")))
               .where(hash_share(F.lit(17), key) < share)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from planmart.llm.common import written
+
 MAX_RATIO = 0.1
 MIN_PAGES = 5
 
@@ -55,7 +57,8 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str,
     texts stay NULL with zero lines.  Repeated rows count as pages each.
     Columns named n_lines or n_dropped before are replaced.
     """
-    bad = boilerplate(pages, host, text, max_ratio, min_pages).toDF("of", "bad")
+    # written, so that its size is known: while it is small the texts needn't move to their hosts
+    bad = written(boilerplate(pages, host, text, max_ratio, min_pages).toDF("of", "bad"))
     names = [c for c in pages.columns if c.lower() not in ("n_lines", "n_dropped")]
     rows = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     site, body = f"c{names.index(host)}", f"c{names.index(text)}"
