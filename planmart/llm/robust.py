@@ -24,7 +24,7 @@ from planmart.llm.pieces import texts_of
 
 SHARE = 0.75                    # of a group's documents in the subset
 STEPS = 6                       # concentration steps
-LEAST = 50                      # documents; smaller groups reject nothing
+LEAST = 50                      # documents; smaller groups are measured against their language, then all documents
 CUT = 28.47                     # 0.99999 quantile of chi-square with DIMS dimensions
 FLOORS = (0.08, 0.06, 0.6, 0.12)    # standard deviations added to each statistic's own
 BINS_PER_DOUBLING, LEAST_BIN, MOST_BIN = 16, -320, 800
@@ -169,17 +169,24 @@ def quality(docs: DataFrame) -> DataFrame:
 
     base_failed: fewer than 50 words, or over half of the words in repeated
     windows.  The others are measured against their (lang, source) group, NULL
-    being a value of its own; groups of fewer than LEAST such documents reject
-    nothing.  NULL and empty texts fail the base; repeated rows count each; an
+    being a value of its own; where that has fewer than LEAST such documents,
+    against their language over all sources, and where that has fewer too,
+    against all documents, however few.  NULL and empty texts fail the base; repeated rows count each; an
     empty table gives no rows; other columns are ignored.
     """
     table = written(statistics(docs)
                     .withColumn("base_failed", (F.col("n_words") < 50)
                                 | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-                    .withColumn("g", F.to_json(F.struct("lang", "source")))
+                    .withColumns({"g0": F.concat(F.lit("0"), F.to_json(F.struct("lang", "source"))),
+                                  "g1": F.concat(F.lit("1"), F.to_json(F.struct("lang"))), "g2": F.lit("2")})
                     .withColumns({f"x{i}": x for i, x in enumerate(transformed())}))
-    model = estimates(table.where("NOT base_failed").select("g", *[f"x{i}" for i in range(DIMS)]))
-    rows = table.join(model, "g", "left").withColumn("distance", _distance("mu", "inverse"))
-    fits = (F.coalesce(F.col("n"), F.lit(0)) < LEAST) | (F.col("distance") <= CUT)
+    levels = [f"g{k}" for k in range(3)]
+    model = estimates(table.where("NOT base_failed")
+                      .select(F.explode(F.array(*levels)).alias("g"), *[f"x{i}" for i in range(DIMS)]))
+    rows = table
+    for g in levels:
+        rows = rows.join(model.select(F.col("g").alias(g), F.struct("n", "mu", "inverse").alias(f"m_{g}")), g, "left")
+    near = F.when(F.col("m_g0.n") >= LEAST, F.col("m_g0")).when(F.col("m_g1.n") >= LEAST, F.col("m_g1")).otherwise(F.col("m_g2"))
+    rows = rows.withColumn("m", near).withColumn("distance", _distance("m.mu", "m.inverse"))
     return rows.select("doc_id", *STAT_NAMES, "base_failed",
-                       (~F.col("base_failed") & F.coalesce(fits, F.lit(True))).alias("kept"), "distance")
+                       (~F.col("base_failed") & F.coalesce(F.col("distance") <= CUT, F.lit(True))).alias("kept"), "distance")

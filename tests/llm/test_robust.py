@@ -92,3 +92,17 @@ def test_large_groups_reject_junk(session):
     got = {r.doc_id: r.kept for r in robust.quality(session.createDataFrame(
         rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(got[i] for i in range(300)) and not any(got[1000 + i] for i in range(40))
+
+
+def test_small_groups_are_measured_too(session):
+    rng = np.random.default_rng(2)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "eta", "theta", "iota", "kappa", "lambda"]
+    def text(end):
+        return " ".join(f"{w}{rng.integers(1000)}{end}" for w in rng.choice(words, 80))
+    rows = [(i, text(""), "en", "s") for i in range(200)]
+    rows += [(1000 + i, text(""), lang, f"t{i % 3}") for i, lang in enumerate(["en", "fr", None] * 4)]
+    rows += [(2000 + i, text("%%% ***"), lang, f"t{i % 3}") for i, lang in enumerate(["en", "fr", None] * 4)]
+    got = {r.doc_id: r.kept for r in robust.quality(session.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows)
+    assert all(kept == (d < 2000) for d, kept in got.items())
