@@ -19,11 +19,12 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import bounded_sample, written
+from planmart.llm.common import bounded_sample, hash_share, written
 from planmart.llm.pieces import of_worker, runs, split, texts_of
 
 FIT_TEXTS = 1000        # sampled texts per language, at most (about)
@@ -31,8 +32,13 @@ KNOWN_WORDS = 30_000    # most frequent words of the sample
 KNOWN_GRAMS = 30_000    # most frequent n-grams of the sample
 LONGEST = 4             # n-grams of 4, 3, 2 and 1 characters, word ends marked
 SMOOTH = 0.5
+ASIDE = 0.2             # share of the labelled texts that `keep_known` learns its limits from, not its model
+ASIDE_TEXTS = 1000      # of them, per language, at most (about)
+LEAST_OWN = 0.001       # share of a language's own texts that its limit may be above
+DEVIATIONS = 4.0        # robust standard deviations below its median that a language's own texts may lie
 REMEMBERED = 200_000    # pieces of text whose scores a worker remembers, at most,
 REMEMBERED_BYTES = 32 << 20     # and the bytes of those scores
+AT_ONCE = 4096          # pieces whose words and n-grams are held while they are scored
 UNKNOWN = "und"
 
 _ASCII_WORD = re.compile(r"[a-z]+")
@@ -65,6 +71,8 @@ class Model:
     gram_ids: dict[str, int] = field(default_factory=dict)
     word_logs: np.ndarray | None = None
     gram_logs: np.ndarray | None = None
+    word_seen: np.ndarray | None = None
+    gram_seen: np.ndarray | None = None
 
     def longest_known(self, word: str) -> list[int]:
         """The known n-grams of the greatest n for which there are any."""
@@ -92,26 +100,61 @@ class Model:
             np.add.at(out, np.array([k for k, _ in unseen]), means)
         return out
 
+    def back_words(self, groups: list[list[str]]) -> np.ndarray:
+        """A row for each group of words: by language how many of them it backs, then how many there are.
+        A language backs a word that it was seen in, and else the share of the word's 3- and 4-grams seen in it."""
+        out = np.zeros((len(groups), len(self.langs) + 1))
+        out[:, -1] = [len(ws) for ws in groups]
+        words = list(dict.fromkeys(chain.from_iterable(groups)))
+        if not words:
+            return out
+        backed = np.zeros((len(words), len(self.langs)))
+        sizes = np.array([2 * len(w) - 1 for w in words])       # 3- and 4-grams of ^word$
+        known = [(k, i) for k, w in enumerate(words) for n in (3, 4) for g in grams(w, n)
+                 if (i := self.gram_ids.get(g)) is not None]
+        if known:
+            at, ids = map(np.array, zip(*known, strict=True))
+            np.add.at(backed, at, self.gram_seen[ids].astype(float))
+        backed /= sizes[:, None]
+        whole = [(k, i) for k, w in enumerate(words) if (i := self.words.get(w)) is not None]
+        if whole:
+            at, ids = map(np.array, zip(*whole, strict=True))
+            backed[at] = np.where(self.word_seen[ids], 1.0, backed[at])
+        number = {w: k for k, w in enumerate(words)}
+        pairs = [(k, number[w]) for k, ws in enumerate(groups) for w in ws]
+        at, ids = map(np.array, zip(*pairs, strict=True))
+        np.add.at(out[:, :-1], at, backed[ids])
+        return out
+
 
 class Scorer:
     """Scores texts with a model; remembers the scores of pieces between white space."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, backing: bool = False):
         self.model = model
-        self.most = max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, len(model.langs)))))
+        self.backing = backing
+        self.width = 2 * len(model.langs) + 1 if backing else len(model.langs)
+        self.most = max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, self.width))))
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.rows = np.zeros((1024, max(1, len(self.model.langs))))
+        self.rows = np.zeros((1024, max(1, self.width)))
         self.letters: list[bool] = []
 
     def learn(self, pieces: list[str]) -> None:
+        for i in range(0, len(pieces), AT_ONCE):
+            self.learn_some(pieces[i:i + AT_ONCE])
+
+    def learn_some(self, pieces: list[str]) -> None:
         groups = [piece_words(x) for x in pieces]
         first = len(self.index)
         while first + len(pieces) > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-        self.rows[first:first + len(pieces)] = self.model.score_words(groups)
+        made = self.model.score_words(groups)
+        if self.backing:
+            made = np.hstack([made, self.model.back_words(groups)])
+        self.rows[first:first + len(pieces)] = made
         self.index.update(zip(pieces, range(first, first + len(pieces)), strict=True))
         self.letters += map(bool, groups)
 
@@ -125,12 +168,11 @@ class Scorer:
             self.learn(new)
         return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
-    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, posterior) of each text; ('und', 0) without letter or model. Ties: the first name."""
-        langs = self.model.langs
-        total = np.zeros((len(texts), len(langs)))
+    def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of each text's rows, and whether it has a letter."""
+        total = np.zeros((len(texts), self.width))
         lettered = np.zeros(len(texts), bool)
-        for owners, parts in runs(texts) if langs else ():
+        for owners, parts in runs(texts) if self.model.langs else ():
             pieces, codes, offsets = split([p.lower() for p in parts])
             at = self.rows_of(pieces)
             letters = np.fromiter(map(self.letters.__getitem__, at.tolist()), bool, len(at))
@@ -139,7 +181,20 @@ class Scorer:
                 lettered[owner] |= letters[part].any()
                 for i in range(0, len(part), 1 << 16):
                     total[owner] += self.rows[at[part[i:i + (1 << 16)]]].sum(axis=0)
-        return [self.verdict(t) if seen else (UNKNOWN, 0.0) for t, seen in zip(total, lettered, strict=True)]
+        return total, lettered
+
+    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, posterior) of each text; ('und', 0) without letter or model. Ties: the first name."""
+        total, lettered = self.totals(texts)
+        return [self.verdict(t) if seen else (UNKNOWN, 0.0)
+                for t, seen in zip(total[:, :len(self.model.langs)], lettered, strict=True)]
+
+    def back_all(self, texts: list[str | None]) -> list[tuple[str, float, list[float]]]:
+        """(language, posterior, share of its words that each language backs) of each text."""
+        n = len(self.model.langs)
+        total, lettered = self.totals(texts)
+        return [(*self.verdict(t[:n]), (t[n:2 * n] / max(1.0, t[2 * n])).tolist()) if seen else (UNKNOWN, 0.0, [0.0] * n)
+                for t, seen in zip(total, lettered, strict=True)]
 
     def verdict(self, total: np.ndarray) -> tuple[str, float]:
         best = int(np.argmax(total))
@@ -166,6 +221,10 @@ def _logs(items: list, langs: list[str], totals: dict[str, float]) -> np.ndarray
     return out
 
 
+def _seen(items: list, langs: list[str]) -> np.ndarray:
+    return np.array([[row["by"].get(lang, 0) > 0 for lang in langs] for row in items], bool).reshape(len(items), len(langs))
+
+
 _COUNTS = "kind string, lang string, item string, n long"
 
 
@@ -218,7 +277,7 @@ def fit(labelled: DataFrame, texts: int = FIT_TEXTS, words: int = KNOWN_WORDS, n
     found = _top(counts.where("kind = 'g'"), n_grams)
     of = lambda kind: {lang: totals.get((kind, lang), 0.0) for lang in langs}
     return Model(langs, {r["item"]: i for i, r in enumerate(known)}, {r["item"]: i for i, r in enumerate(found)},
-                 _logs(known, langs, of("w")), _logs(found, langs, of("g")))
+                 _logs(known, langs, of("w")), _logs(found, langs, of("g")), _seen(known, langs), _seen(found, langs))
 
 
 def predict(text: Column, model: Model, spark) -> Column:
@@ -255,11 +314,70 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def backing(text: Column, sent: Broadcast) -> Column:
+    """struct(lang_pred, score, backing) of a text column; backing has a share for each language of the model sent."""
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = sent.value
+        scorer = of_worker(("backing", id(model)), lambda: Scorer(model, backing=True))
+        for column in columns:
+            found = [x for texts in texts_of(column) for x in scorer.back_all(texts)]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()),
+                                              pa.array([s for _, s, _ in found], pa.float64()),
+                                              pa.array([b for _, _, b in found], pa.list_(pa.float64()))],
+                                             ["lang_pred", "score", "backing"])
+
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                         T.StructField("backing", T.ArrayType(T.DoubleType()))])
+    return F.arrow_udf(of, kind)(text)
+
+
+def limits(langs: list[str], found: list[tuple[str, list[float]]]) -> list[float]:
+    """The least backing by each language that counts as text in it, from (label, backing) of texts it wasn't learned from.
+
+    Midway between the median of its own texts and that of the other language it backs most, which stands
+    for a language that wasn't learned; but DEVIATIONS robust deviations below its own texts at least, and
+    above LEAST_OWN of them at most, so that they stay.  A language without such texts takes those of all languages; without any, zero.
+    """
+    by: dict[str, list[list[float]]] = {}
+    for lang, shares in found:
+        by.setdefault(lang, []).append(shares)
+    every = [shares[j] for j, lang in enumerate(langs) for shares in by.get(lang, [])]
+    out = []
+    for j, lang in enumerate(langs):
+        own = np.array([shares[j] for shares in by.get(lang, [])] or every)
+        if not len(own):
+            out.append(0.0)
+            continue
+        middle = float(np.median(own))
+        spread = 1.4826 * float(np.median(np.abs(own - middle)))
+        others = max((float(np.median([shares[j] for shares in rows])) for x, rows in by.items() if x != lang), default=0.0)
+        out.append(max(0.0, min((middle + others) / 2, middle - DEVIATIONS * spread,
+                            float(np.quantile(own, LEAST_OWN)))))
+    return out
+
+
 def keep_known(docs: DataFrame, labelled: DataFrame, least: float = 0.5) -> DataFrame:
-    """Rows of `docs` whose language is told with a posterior of `least` or more; all columns."""
-    model = fit(labelled)
-    names = docs.columns
+    """Rows of `docs` whose language is told with a posterior of `least` or more and backs
+    enough of their words (`limits`); all columns.
+
+    The posterior only compares the learned languages and nears 1 within a few
+    words; the share of backed words doesn't depend on the length and is low
+    in another language and in random letters.
+    """
+    text = F.col("text").cast("string")
+    aside = hash_share(F.lit(23), text) < ASIDE
+    rest = labelled.where(F.coalesce(~aside, F.lit(True)))
+    model = fit(rest)
+    names, sent = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
+    # written, so that the filter on the function's result isn't moved ahead of the choice of the sample
+    sample = written(bounded_sample(labelled.where(aside).select(text.alias("text"), F.col("lang").cast("string").alias("lang"))
+                            .where("text IS NOT NULL AND lang IS NOT NULL"), "lang", ASIDE_TEXTS, F.col("text")).select("text", "lang"))
+    tried = sample.select("lang", backing(F.col("text"), sent).alias("_p")).where(F.col("_p.lang_pred") != UNKNOWN)
+    bounds = limits(model.langs, [(r["lang"], r["backing"]) for r in tried.select("lang", "_p.backing").collect()])
     found = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                        predict(F.col("text").cast("string"), model, docs.sparkSession).alias("_p"))
-    return (found.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least))
+                        backing(text, sent).alias("_p"))
+    enough = F.lit(False)
+    for j, lang in enumerate(model.langs):
+        enough = enough | ((F.col("_p.lang_pred") == lang) & (F.col("_p.backing")[j] >= bounds[j]))
+    return (found.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least) & enough)
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))

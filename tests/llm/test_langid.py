@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -102,3 +103,26 @@ def test_keep_known(session):
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 3]
     assert langid.keep_known(df.limit(0), train).count() == 0
     assert langid.keep_known(df, train.limit(0)).count() == 0
+
+
+def test_keep_known_rejects_what_was_not_learned(session):
+    docs = session.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(1)
+    letters = [(-1 - i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n)), "en")
+               for i, n in enumerate([5, 20, 50, 200] * 25)]
+    learned = docs.where("lang <> 'es'")
+    got = langid.keep_known(docs.unionByName(session.createDataFrame(letters, docs.schema)), learned.select("text", "lang"))
+    kept = Counter("letters" if r.doc_id < 0 else r.lang for r in got.collect())
+    total = Counter(r.lang for r in docs.collect())
+    assert kept["letters"] == 0
+    assert kept["es"] <= 0.02 * total["es"]
+    assert all(kept[lang] >= 0.99 * total[lang] for lang in total if lang != "es")
+
+
+def test_limits_of_backing():
+    near = [("a", [1.0, 0.4])] * 9 + [("a", [0.9, 0.4])] + [("b", [0.6, 1.0])] * 10
+    assert langid.limits(["a", "b"], near) == pytest.approx([0.8, 0.7])
+    close = [("a", [x, 0.9]) for x in (0.9, 0.95, 1.0)] + [("b", [0.94, 1.0])]
+    assert langid.limits(["a", "b"], close)[0] == pytest.approx(0.95 - 4 * 1.4826 * 0.05)
+    assert langid.limits(["a", "b"], [("a", [0.8, 0.0])]) == pytest.approx([0.4, 0.4])
+    assert langid.limits(["a"], []) == [0.0]
