@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmart.llm import (bitsliced, langid, linefreq, mixing, packing, robust, simhash, tokens,
+from planmart.llm import (bitsliced, interactions, langid, linefreq, mixing, packing, robust, simhash, tokens,
                           toolcalls, toxicity)
 from planmart.llm.common import importable, read_table
 
@@ -60,9 +60,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return interactions.audit(interactions.document_masks(docs, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: importable(f) for f in (op1_toxicity, op2_topk, op3_simhash, op4_toolcalls, op5_line_frequency, op6_language,
-                            op7_mixing, op8_quality, op9_packing, op10_token_counts)}
+                            op7_mixing, op8_quality, op9_packing, op10_token_counts, op13_filter_audit)}
 
 ORACLE: dict[str, str] = {"op2_topk": bitsliced.ORACLE_SQL, "op4_toolcalls": toolcalls.ORACLE_SQL,
-                          "op5_line_frequency": linefreq.ORACLE_SQL}
+                          "op5_line_frequency": linefreq.ORACLE_SQL, "op13_filter_audit": interactions.ORACLE_SQL}
