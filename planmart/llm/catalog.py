@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from planmart.llm import (bitsliced, interactions, langid, linefreq, mixing, packing, robust, sentencepieces, simhash, tokens,
+from planmart.llm import (bitsliced, interactions, langid, lexical, linefreq, mixing, packing, robust, sentencepieces, simhash, tokens,
                           toolcalls, toxicity)
 from planmart.llm.common import importable, read_table
 
@@ -61,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return sentencepieces.digests(sentencepieces.encode(docs, public_tokenizers.path(PIECES)))
@@ -73,8 +77,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: importable(f) for f in (op1_toxicity, op2_topk, op3_simhash, op4_toolcalls, op5_line_frequency, op6_language,
-                            op7_mixing, op8_quality, op9_packing, op10_token_counts, op12_sentencepiece,
-                            op13_filter_audit)}
+                            op7_mixing, op8_quality, op9_packing, op10_token_counts, op11_search,
+                            op12_sentencepiece, op13_filter_audit)}
 
 ORACLE: dict[str, str] = {"op2_topk": bitsliced.ORACLE_SQL, "op4_toolcalls": toolcalls.ORACLE_SQL,
-                          "op5_line_frequency": linefreq.ORACLE_SQL, "op13_filter_audit": interactions.ORACLE_SQL}
+                          "op5_line_frequency": linefreq.ORACLE_SQL, "op11_search": lexical.ORACLE_SQL, "op13_filter_audit": interactions.ORACLE_SQL}

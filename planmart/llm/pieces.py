@@ -36,6 +36,17 @@ def texts_of(column: pa.Array) -> Iterator[list[str | None]]:
         yield column.slice(i, ROWS).to_pylist()
 
 
+def slices_of(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """`batch` in slices whose `column` has about `size` bytes, or one row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().tolist()
+    start = held = 0
+    for i, n in enumerate(lengths, 1):
+        held += n
+        if held >= size or i == len(lengths) or i - start >= ROWS:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+
+
 def segments(text: str, size: int, spaces: re.Pattern = SPACE) -> Iterator[str]:
     """`text` in parts of about `size` characters, cut before white space; joined they are `text`."""
     start = 0

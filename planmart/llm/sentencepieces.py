@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.pieces import of_worker, runs, texts_of
+from planmart.llm.pieces import of_worker, runs, slices_of, texts_of
 
 MARK = "▁"
 RUN_CHARS = 2 << 20      # characters of text that are looked at together, about
@@ -149,19 +149,6 @@ def of_file(path: str) -> MarkedWords:
     return of_worker(("sentencepiece", path), lambda: MarkedWords(path))
 
 
-def _cuts(column: pa.Array) -> Iterator[int]:
-    """Where slices of `column` end that have about RUN_CHARS bytes or one row."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy()
-    held = 0
-    for i, n in enumerate(sizes.tolist(), 1):
-        held += n
-        if held >= RUN_CHARS:
-            yield i
-            held = 0
-    if held or not len(sizes) or sizes[-1] == 0:
-        yield len(sizes)
-
-
 def encode(docs: DataFrame, path: str, bos: bool = True, eos: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and decoded (the library's decode of
     these ids) of every row of `docs` (doc_id, text).
@@ -183,15 +170,12 @@ def encode(docs: DataFrame, path: str, bos: bool = True, eos: bool = True) -> Da
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = of_file(path)
         for batch in batches:
-            start = 0
-            for end in _cuts(batch.column("text")):
-                part = batch.slice(start, end - start)
+            for part in slices_of(batch, "text", RUN_CHARS):
                 found = list(chain.from_iterable(rows_of(made, texts) for texts in texts_of(part.column("text"))))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(x) // 4 for x, _ in found], pa.int64()),
                      pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.string())],
                     ["doc_id", "n_tokens", "ids", "decoded"])
-                start = end
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(of, _SCHEMA)

@@ -35,6 +35,7 @@ CONTRACT = {
     "op2_topk": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op13_filter_audit": {"part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint",
                           "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint", "shapley": "bigint"},
+    "op11_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
     "op12_sentencepiece": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op1_toxicity": {"doc_id": "bigint", "expected_severity": "double", "toxic": "boolean"},
     "op7_mixing": {"doc_id": "bigint", "rate": "double", "copies": "int"}}
