@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from planmart.llm import (bitsliced, interactions, langid, lexical, linefreq, mixing, packing, robust, sentencepieces, simhash, tokens,
                           toolcalls, toxicity)
-from planmart.llm.common import importable, read_table
+from planmart.llm.common import importable, read_table, written
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
@@ -37,7 +37,7 @@ def op4_toolcalls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linefreq.drop_boilerplate(linefreq.page_lines(read_table(spark, sf_dir, "pages")), "host", "text")
+    return linefreq.drop_boilerplate(written(linefreq.page_lines(read_table(spark, sf_dir, "pages"))), "host", "text")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from planmart.llm.common import written
 
 MAX_RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2           # a line on a single page isn't repeated at all
 
 
 def _lines(text: Column) -> Column:
@@ -33,7 +33,7 @@ def boilerplate(pages: DataFrame, host: str, text: str,
     """(host, lines): the keys of each host's lines on more than `max_ratio` of its pages.
 
     Blank lines are never boilerplate; a line on fewer than `min_pages` pages
-    isn't either, so a host of a few pages keeps its lines.  NULL is a host of
+    isn't either, so a line must be repeated to go.  NULL is a host of
     its own; pages without text count in the host's total.
     """
     rows = pages.select(F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
@@ -55,7 +55,8 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str,
 
     Every row stays, also one whose lines all go (its text is then empty).  NULL
     texts stay NULL with zero lines.  Repeated rows count as pages each.
-    Columns named n_lines or n_dropped before are replaced.
+    Columns named n_lines or n_dropped before are replaced.  `pages` is read
+    twice: hand in a table, or written rows where their text is costly to make.
     """
     # written, so that its size is known: while it is small the texts needn't move to their hosts
     bad = written(boilerplate(pages, host, text, max_ratio, min_pages).toDF("of", "bad"))

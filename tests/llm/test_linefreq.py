@@ -36,6 +36,15 @@ def test_against_brute_force(session):
     assert linefreq.drop_boilerplate(df.limit(0), "site", "body").count() == 0
 
 
+def test_small_hosts_have_the_ratio_too(session):
+    rows = [("small", f"menu\npage {i}") for i in range(4)] + [("one", "menu\nalone"), ("two", "menu\nx"), ("two", "menu\ny")]
+    df = session.createDataFrame(rows, "host string, text string")
+    got = linefreq.drop_boilerplate(df, "host", "text")
+    assert sorted((r.host, r.text) for r in got.collect()) == \
+        [("one", "menu\nalone"), *(("small", f"page {i}") for i in range(4)), ("two", "x"), ("two", "y")]
+    assert sorted(map(str, ((r.host, r.text, r.n_lines, r.n_dropped) for r in got.collect()))) == sorted(map(str, brute(rows, 0.1, 2)))
+
+
 def test_the_plan_has_no_python_and_partial_counts(session, small_dir):
     pages = linefreq.page_lines(session.read.parquet(f"{small_dir}/pages.parquet"))
     plan = linefreq.drop_boilerplate(pages, "host", "text")._jdf.queryExecution().executedPlan().toString()
