@@ -14,7 +14,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +38,7 @@ DEVIATIONS = 4.0        # robust standard deviations below its median that a lan
 REMEMBERED = 200_000    # pieces of text whose scores a worker remembers, at most,
 REMEMBERED_BYTES = 32 << 20     # and the bytes of those scores
 AT_ONCE = 4096          # pieces whose words and n-grams are held while they are scored
+RUN_CHARS = 2 << 20     # characters of text that are looked at together, about
 UNKNOWN = "und"
 
 _ASCII_WORD = re.compile(r"[a-z]+")
@@ -73,115 +73,129 @@ class Model:
     gram_logs: np.ndarray | None = None
     word_seen: np.ndarray | None = None
     gram_seen: np.ndarray | None = None
-
-    def longest_known(self, word: str) -> list[int]:
-        """The known n-grams of the greatest n for which there are any."""
-        marked = f"^{word}$"
-        for n in range(LONGEST, 0, -1):
-            ids = [i for k in range(len(marked) - n + 1) if (i := self.gram_ids.get(marked[k:k + n])) is not None]
-            if ids:
-                return ids
-        return []
-
-    def score_words(self, groups: list[list[str]]) -> np.ndarray:
-        """A row for each group of words: the sum over its words of a known word's log
-        frequencies, else of the mean of its longest known n-grams' (zero if none is known)."""
-        out = np.zeros((len(groups), len(self.langs)))
-        known = [(k, i) for k, ws in enumerate(groups) for w in ws if (i := self.words.get(w)) is not None]
-        if known:
-            at, ids = map(np.array, zip(*known, strict=True))
-            np.add.at(out, at, self.word_logs[ids])
-        unseen = [(k, ids) for k, ws in enumerate(groups) for w in ws
-                  if w not in self.words and (ids := self.longest_known(w))]
-        if unseen:
-            sizes = np.array([len(ids) for _, ids in unseen])
-            flat = np.fromiter(chain.from_iterable(ids for _, ids in unseen), np.int64, int(sizes.sum()))
-            means = np.add.reduceat(self.gram_logs[flat], np.cumsum(sizes) - sizes) / sizes[:, None]
-            np.add.at(out, np.array([k for k, _ in unseen]), means)
-        return out
-
-    def back_words(self, groups: list[list[str]]) -> np.ndarray:
-        """A row for each group of words: by language how many of them it backs, then how many there are.
-        A language backs a word that it was seen in, and else the share of the word's 3- and 4-grams seen in it."""
-        out = np.zeros((len(groups), len(self.langs) + 1))
-        out[:, -1] = [len(ws) for ws in groups]
-        words = list(dict.fromkeys(chain.from_iterable(groups)))
-        if not words:
-            return out
-        backed = np.zeros((len(words), len(self.langs)))
-        sizes = np.array([2 * len(w) - 1 for w in words])       # 3- and 4-grams of ^word$
-        known = [(k, i) for k, w in enumerate(words) for n in (3, 4) for g in grams(w, n)
-                 if (i := self.gram_ids.get(g)) is not None]
-        if known:
-            at, ids = map(np.array, zip(*known, strict=True))
-            np.add.at(backed, at, self.gram_seen[ids].astype(float))
-        backed /= sizes[:, None]
-        whole = [(k, i) for k, w in enumerate(words) if (i := self.words.get(w)) is not None]
-        if whole:
-            at, ids = map(np.array, zip(*whole, strict=True))
-            backed[at] = np.where(self.word_seen[ids], 1.0, backed[at])
-        number = {w: k for k, w in enumerate(words)}
-        pairs = [(k, number[w]) for k, ws in enumerate(groups) for w in ws]
-        at, ids = map(np.array, zip(*pairs, strict=True))
-        np.add.at(out[:, :-1], at, backed[ids])
-        return out
+    word_backed: np.ndarray | None = field(default=None, init=False)
+
+    def __post_init__(self) -> None:
+        # how much each language backs the known words, once for the model
+        if self.word_seen is not None and len(self.words):
+            self.word_backed = np.where(self.word_seen, 1.0, self.of_grams(list(self.words))[1])
+
+    def of_grams(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each word: the mean log frequency of its longest known n-grams (zero if none is
+        known), and by language the share of its 3- and 4-grams seen in it."""
+        logs, backed = np.zeros((len(words), len(self.langs))), np.zeros((len(words), len(self.langs)))
+        get = self.gram_ids.get
+        at: list[int] = []          # words with known n-grams of the longest size, how many, and these
+        sizes: list[int] = []
+        flat: list[int] = []
+        long_sizes = np.zeros(len(words), np.int64)
+        long_flat: list[int] = []
+        for k, word in enumerate(words):
+            marked = f"^{word}$"
+            longest: list[int] = []
+            for n in range(LONGEST, 0, -1):
+                if n < 3 and longest:
+                    break
+                ids = [i for j in range(len(marked) - n + 1) if (i := get(marked[j:j + n])) is not None]
+                if n >= 3:
+                    long_flat += ids
+                    long_sizes[k] += len(ids)
+                longest = longest or ids
+            if longest:
+                at.append(k)
+                sizes.append(len(longest))
+                flat += longest
+        if at:
+            n = np.array(sizes)
+            logs[at] = np.add.reduceat(self.gram_logs[flat], np.cumsum(n) - n) / n[:, None]
+        if long_flat:
+            some = np.flatnonzero(long_sizes)
+            n = long_sizes[some]
+            backed[some] = np.add.reduceat(self.gram_seen[long_flat].astype(float), np.cumsum(n) - n)
+        return logs, backed / np.array([[2 * len(w) - 1] for w in words])     # 3- and 4-grams of ^word$
+
+    def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each word: its log frequencies if it is known, else those of its n-grams; and by language
+        whether it backs the word: 1 if the word was seen in it, else the share of the word's n-grams."""
+        logs, backed = np.zeros((len(words), len(self.langs))), np.zeros((len(words), len(self.langs)))
+        ids = np.fromiter((self.words.get(w, -1) for w in words), np.int64, len(words))
+        known, unseen = np.flatnonzero(ids >= 0), np.flatnonzero(ids < 0)
+        if len(known):
+            logs[known], backed[known] = self.word_logs[ids[known]], self.word_backed[ids[known]]
+        if len(unseen):
+            logs[unseen], backed[unseen] = self.of_grams([words[i] for i in unseen])
+        return logs, backed
 
 
 class Scorer:
-    """Scores texts with a model; remembers the scores of pieces between white space."""
-
-    def __init__(self, model: Model, backing: bool = False):
-        self.model = model
-        self.backing = backing
-        self.width = 2 * len(model.langs) + 1 if backing else len(model.langs)
-        self.most = max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, self.width))))
-        self.reset()
+    """Scores texts with a model by a bounded table of pieces between white space.
 
-    def reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.rows = np.zeros((1024, max(1, self.width)))
-        self.letters: list[bool] = []
+    A piece's row has its words' summed log frequencies by language, how far each language
+    backs them, the number of words, and whether there is one.  The table has two halves:
+    when the newer is full the older goes, so pieces met again and again stay.
+    """
 
-    def learn(self, pieces: list[str]) -> None:
+    def __init__(self, model: Model):
+        self.model = model
+        self.width = 2 * len(model.langs) + 2
+        self.half = max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * self.width)) // 2)
+        self.new: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+        self.new_rows = np.empty((self.half, self.width))
+        self.old_rows = np.empty((self.half, self.width))
+
+    def learn(self, pieces: list[str]) -> np.ndarray:
+        """Rows of these pieces."""
+        out = np.zeros((len(pieces), self.width))
+        n = len(self.model.langs)
         for i in range(0, len(pieces), AT_ONCE):
-            self.learn_some(pieces[i:i + AT_ONCE])
-
-    def learn_some(self, pieces: list[str]) -> None:
-        groups = [piece_words(x) for x in pieces]
-        first = len(self.index)
-        while first + len(pieces) > len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-        made = self.model.score_words(groups)
-        if self.backing:
-            made = np.hstack([made, self.model.back_words(groups)])
-        self.rows[first:first + len(pieces)] = made
-        self.index.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self.letters += map(bool, groups)
+            groups = [piece_words(x) for x in pieces[i:i + AT_ONCE]]
+            number: dict[str, int] = {}
+            owner, at = [], []
+            for k, words in enumerate(groups, i):
+                for w in words:
+                    owner.append(k)
+                    at.append(number.setdefault(w, len(number)))
+            if owner:
+                logs, backed = self.model.score_words(list(number))
+                np.add.at(out[:, :n], owner, logs[at])
+                np.add.at(out[:, n:2 * n], owner, backed[at])
+                np.add.at(out[:, 2 * n], owner, 1.0)
+        out[:, -1] = out[:, 2 * n] > 0
+        return out
 
     def rows_of(self, pieces: list[str]) -> np.ndarray:
-        """Where each of these different pieces has its row."""
-        new = [x for x in pieces if x not in self.index]
-        if new:
-            if len(self.index) + len(new) > self.most:
-                self.reset()
-                new = pieces
-            self.learn(new)
-        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        """Rows of these different pieces, from the table or worked out now."""
+        out = np.empty((len(pieces), self.width))
+        at = np.fromiter((self.new.get(x, -1) for x in pieces), np.int64, len(pieces))
+        out[at >= 0] = self.new_rows[at[at >= 0]]
+        missing = np.flatnonzero(at < 0)
+        at = np.fromiter((self.old.get(pieces[i], -1) for i in missing), np.int64, len(missing))
+        out[missing[at >= 0]] = self.old_rows[at[at >= 0]]
+        unseen = missing[at < 0]
+        if len(unseen):
+            out[unseen] = self.learn([pieces[i] for i in unseen])
+        for i in range(0, len(missing), self.half):
+            part = missing[i:i + self.half]
+            if len(self.new) + len(part) > self.half:
+                self.new, self.old = {}, self.new
+                self.new_rows, self.old_rows = self.old_rows, self.new_rows
+            first = len(self.new)
+            self.new_rows[first:first + len(part)] = out[part]
+            self.new.update((pieces[k], first + j) for j, k in enumerate(part.tolist()))
+        return out
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The sums of each text's rows, and whether it has a letter."""
         total = np.zeros((len(texts), self.width))
-        lettered = np.zeros(len(texts), bool)
-        for owners, parts in runs(texts) if self.model.langs else ():
+        for owners, parts in runs(texts, size=RUN_CHARS) if self.model.langs else ():
             pieces, codes, offsets = split([p.lower() for p in parts])
-            at = self.rows_of(pieces)
-            letters = np.fromiter(map(self.letters.__getitem__, at.tolist()), bool, len(at))
+            rows = self.rows_of(pieces)
             for k, owner in enumerate(owners):
                 part = codes[offsets[k]:offsets[k + 1]]
-                lettered[owner] |= letters[part].any()
-                for i in range(0, len(part), 1 << 16):
-                    total[owner] += self.rows[at[part[i:i + (1 << 16)]]].sum(axis=0)
-        return total, lettered
+                for i in range(0, len(part), 1 << 14):
+                    total[owner] += rows[part[i:i + (1 << 14)]].sum(axis=0)
+        return total, total[:, -1] > 0
 
     def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, posterior) of each text; ('und', 0) without letter or model. Ties: the first name."""
@@ -318,7 +332,7 @@ def backing(text: Column, sent: Broadcast) -> Column:
     """struct(lang_pred, score, backing) of a text column; backing has a share for each language of the model sent."""
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
-        scorer = of_worker(("backing", id(model)), lambda: Scorer(model, backing=True))
+        scorer = of_worker(("language", id(model)), lambda: Scorer(model))
         for column in columns:
             found = [x for texts in texts_of(column) for x in scorer.back_all(texts)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()),

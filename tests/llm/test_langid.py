@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from planmart.llm import langid, pieces
+from planmart.llm import langid
 
 TRAIN = [("the cat and the dog", "en"), ("the house of the cat", "en"), ("der hund und die katze", "de"),
          ("das haus und der garten", "de"), ("le chat et le chien", "fr"), ("la maison et le jardin", "fr")]
@@ -70,13 +70,25 @@ def test_remembered_pieces_are_bounded(model, monkeypatch):
     for i in range(40):
         text = " ".join(f"q{chr(97 + i % 26)}{chr(97 + j)}" for j in range(15))
         assert scorer.score(text) == langid.Scorer(model).score(text)
-        assert len(scorer.index) <= 20
+        assert len(scorer.new) + len(scorer.old) <= 20
+
+
+def test_backing_of_words(model):
+    """1 for a word seen in a language, else the share of its 3- and 4-grams seen in it."""
+    seen = {lang: {w for t, x in TRAIN if x == lang for w in langid.words_of(t)} for lang in model.langs}
+    words = ["the", "katze", "katzen", "qqq", "x", "le", "maisons"]
+    _, backed = model.score_words(words)
+    for w, row in zip(words, backed, strict=True):
+        every = [g for n in (3, 4) for g in langid.grams(w, n)]
+        known = [{g for s in seen[x] for n in (3, 4) for g in langid.grams(s, n)} for x in model.langs]
+        assert row.tolist() == pytest.approx([1.0 if w in seen[x] else sum(g in k for g in every) / (2 * len(w) - 1)
+                                              for x, k in zip(model.langs, known, strict=True)])
 
 
 def test_long_texts_in_parts(model, monkeypatch):
     text = "the dog, und le chien " * 300
     whole = langid.Scorer(model).score_all([text, None, "jardin", text])
-    monkeypatch.setattr(pieces, "RUN_CHARS", 100)
+    monkeypatch.setattr(langid, "RUN_CHARS", 100)
     parts = langid.Scorer(model).score_all([text, None, "jardin", text])
     assert [x for x, _ in whole] == [x for x, _ in parts]
     assert [s for _, s in whole] == pytest.approx([s for _, s in parts])
