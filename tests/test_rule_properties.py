@@ -7,9 +7,10 @@ from hypothesis import strategies as st
 
 from planmart.functions import rules as R
 
+YEAR = [name for name, _ in R.MONTHS_LEFT]
 SETTINGS = settings(max_examples=8, deadline=None)
 WORDS = ["Service", "Services:", "Support", "Support:", "Product", "Products:", "Product:",
-         "Desk", "Bundle", "x", " ", "NULL", *R.MONTH_NAMES, ", 2001"]
+         "Desk", "Bundle", "x", " ", "NULL", *YEAR, ", 2001"]
 text = st.one_of(st.none(), st.lists(st.sampled_from(WORDS), max_size=4).map("".join))
 
 
@@ -22,9 +23,10 @@ def spec_categorise(s, rules):
 def spec_months_left(s, incl):
     if s is None:
         return None
-    for idx, name in enumerate(R.MONTH_NAMES, start=1):
+    # July has eleven months after it, June none; the first name that the text holds counts
+    for after, name in zip(range(11, -1, -1), YEAR, strict=True):
         if name in s:
-            return (R.FISCAL_YEAR_START_MONTH + 11 - idx) % 12 + (1 if incl else 0)
+            return after + (1 if incl else 0)
     return None
 
 
@@ -71,11 +73,11 @@ def test_bands_and_clamps(spark, values):
 
 
 @SETTINGS
-@given(st.lists(st.decimals(min_value=-10**12, max_value=10**12, places=3,
+@given(st.lists(st.decimals(min_value=-10**12, max_value=10**12, places=7,
                             allow_nan=False, allow_infinity=False), min_size=1, max_size=30))
 def test_parse_amount_with_thousands_separators(spark, values):
     texts = [f"{v:,}" for v in values]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["p"] for r in df.select(R.parse_amount("t").alias("p")).collect()]
-    want = [Decimal(t.replace(",", "")).quantize(Decimal("0.01"), ROUND_HALF_UP) for t in texts]
+    want = [Decimal(t.replace(",", "")).quantize(Decimal("0.000001"), ROUND_HALF_UP) for t in texts]
     assert got == want
