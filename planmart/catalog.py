@@ -21,6 +21,7 @@ from planmart.plans.clean import KEYS
 from planmart.plans.planning import Plan
 from planmart.session import shared_dir
 from planmart.sources import adapters, readers, schemas
+from planmart.sources.store import MartStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,13 +54,18 @@ def query(name: str):
 # -- sources and sinks (A1-A6) -------------------------------------------------
 @query("scan_preview")
 def scan_preview(spark, sf_dir):
-    """A2-A4: USE a database, scan a lookup, TOP 10 ordered by key."""
+    """A2-A4: USE the database that holds the lookup tables, scan one, TOP 10 ordered by key.
+
+    The account lookup is a table of two databases: week 24's has no account ending in 0.  The
+    name has no database in it, so USE decides which of them is read.
+    """
+    accounts = adapters.accounts(spark, sf_dir)
+    readers.save_table(accounts, "planmart_wk25", "Account_Lookup")
+    readers.save_table(accounts.where(~F.col("AccountNo").endswith("0")), "planmart_wk24", "Account_Lookup")
     before = spark.catalog.currentDatabase()
-    spark.sql("CREATE DATABASE IF NOT EXISTS planmart_scan")
-    readers.use_database(spark, "planmart_scan")
+    readers.use_database(spark, "planmart_wk25")
     try:
-        adapters.accounts(spark, sf_dir).createOrReplaceTempView("account_lookup")
-        return readers.preview(readers.scan(spark, "account_lookup"), 10, "AccountNo")
+        return readers.preview(readers.scan(spark, "Account_Lookup"), 10, "AccountNo")
     finally:
         readers.use_database(spark, before)
 
@@ -74,11 +80,11 @@ def csv_ingest(spark, sf_dir):
 
 @query("publish_view")
 def publish_view(spark, sf_dir):
-    """Materialise the revenue summary by Fiscal_Year, read one year back."""
-    mart = marts.revenue_summary(plan_for(spark, sf_dir))
-    path = shared_dir(spark, "revenue_summary")
-    readers.publish(mart, "revenue_summary", path, partition_by="Fiscal_Year")
-    return readers.read_view(spark, "revenue_summary").filter(F.col("Fiscal_Year") == "FY2001")
+    """Publish the revenue summary as a lasting view over a new version, then one
+    year of it from the catalog."""
+    store = MartStore(spark, shared_dir(spark, "marts"), "planmart_publish_view")
+    store.publish(marts.revenue_summary(plan_for(spark, sf_dir)), "revenue_summary", ("Fiscal_Year",))
+    return spark.table("planmart_publish_view.revenue_summary").filter(F.col("Fiscal_Year") == "FY2001")
 
 
 # -- projections, rules, filters (B1-B20) --------------------------------------

@@ -92,6 +92,20 @@ def cogroup_full_outer(sources: Sequence[tuple[DataFrame, dict[int, Sequence[str
                                for n, ms in sides.items() for m in ms])
 
 
+def unique_by(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """``dim`` with an assertion inside the plan: a key that it holds twice fails the job that
+    reads it.  A lookup by such a key can't add rows.  NULL keys, which never match, go.
+
+    Rows are counted before the shuffle on the key, which a large join then reuses.
+    """
+    rest = [c for c in dim.columns if c != key]
+    one = (dim.where(F.col(key).isNotNull()).groupBy(key)
+           .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest)).alias("_row")))
+    message = F.concat(F.lit(f"{name}: several rows of {key} "), F.col(key).cast("string"))
+    sure = F.when(F.col("_n") > 1, F.raise_error(message).cast(dim.schema[key].dataType)).otherwise(F.col(key))
+    return one.select(sure.alias(key), *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
 def left_lookup(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
                 columns: Sequence[str], keep_key: bool = False) -> DataFrame:
     """LEFT JOIN a dimension by key and append its ``columns``.

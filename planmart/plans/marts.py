@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
 from planmart.operators.fiscal import Calendar, to_fiscal_month
-from planmart.operators.joins import left_lookup
+from planmart.operators.joins import left_lookup, unique_by
 from planmart.plans import clean
 from planmart.plans.planning import P12_MEASURES, Plan
 from planmart.plans.clean import KEYS
@@ -21,17 +21,21 @@ OPPORTUNITY_DETAIL = ("Account_No", "Product_Category", "Fiscal_Month", "Product
                       "Opportunity_Status", "Opportunity_Stage")
 
 
-def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: DataFrame) -> DataFrame:
+def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: DataFrame,
+                 unique: bool = False) -> DataFrame:
     """Month, account and seller attributes (LEFT JOINs).
 
     Accounts and sellers are joined to each other first (dimension by
     dimension, one row per key), so the facts meet one lookup on Account_No: a
-    single join whose hot accounts adaptive execution can split.
+    single join whose hot accounts adaptive execution can split.  With ``unique``
+    a key that a lookup holds twice fails the job that reads the result.
     """
-    out = left_lookup(df, cal.month_dim(), "Fiscal_Month", "Fiscal_Month", MONTH_ATTRS, True)
-    acc = accounts.select("AccountNo", F.col("Store").alias("Account_Name"),
-                          *ACCOUNT_ATTRS[1:])
-    both = acc.join(sellers.select("Store_ID", *SELLER_ATTRS), F.col("AccountNo") == F.col("Store_ID"), "full")
+    once = unique_by if unique else lambda dim, key, name: dim
+    months = once(cal.month_dim(), "Fiscal_Month", "calendar")
+    out = left_lookup(df, months, "Fiscal_Month", "Fiscal_Month", MONTH_ATTRS, True)
+    acc = once(accounts.select("AccountNo", F.col("Store").alias("Account_Name"), *ACCOUNT_ATTRS[1:]), "AccountNo", "accounts")
+    sell = once(sellers.select("Store_ID", *SELLER_ATTRS), "Store_ID", "sellers")
+    both = acc.join(sell, F.col("AccountNo") == F.col("Store_ID"), "full")
     both = both.withColumn("_account", F.coalesce("AccountNo", "Store_ID"))
     # Callers project the final columns, which drops the helper key columns.
     return left_lookup(out, both, "Account_No", "_account", (*ACCOUNT_ATTRS, *SELLER_ATTRS), True)
@@ -41,7 +45,7 @@ def revenue_summary(plan: Plan, grain: str | None = None, combine: str | None =
     """All transactional facts + calendar, account and seller lookups (25 columns)."""
     facts = plan.all_transactional(grain, combine)
     i = plan.inputs
-    return with_lookups(facts, plan.cal, i.accounts, i.sellers).select(
+    return with_lookups(facts, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups).select(
         *KEYS, *P12_MEASURES, *MONTH_ATTRS, *ACCOUNT_ATTRS, *SELLER_ATTRS)
 
 
@@ -54,7 +58,7 @@ def opportunity_detail(plan: Plan, drop_inactive: bool | None = None) -> DataFra
     dated = to_fiscal_month(rows, plan.cal, "Opportunity_Est_Date")
     summed = (dated.groupBy(*OPPORTUNITY_DETAIL)
               .agg(F.sum("Opportunity_Usage").alias("Opportunity_Usage")))
-    return clean.with_extrapolation(summed, include_current=True, opts=opts)
+    return plan.counted("p14_opportunity_detail", clean.with_extrapolation(summed, include_current=True, opts=opts))
 
 
 def opportunity_summary(plan: Plan, compat_aliases: bool | None = None,
@@ -74,7 +78,7 @@ def opportunity_summary(plan: Plan, compat_aliases: bool | None = None,
                                                         plan.opts.null_band),
     })
     i = plan.inputs
-    full = with_lookups(banded, plan.cal, i.accounts, i.sellers)
+    full = with_lookups(banded, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups)
     head = (*OPPORTUNITY_DETAIL, "Opportunity_Usage", "Extrap_Month_Left_For_FY",
             "Opportunity_Extrapolation", "Opportunity_Usage_Range",
             "Opportunity_Extrapolation_Range")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from planmart.session import shared_dir
 from planmart.sources import schemas
 
 
@@ -56,7 +57,7 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
-    """Full scan of a catalog table or temp view (``SELECT * FROM t``)."""
+    """Full scan of a table or view of the used database (``SELECT * FROM t``)."""
     return spark.table(name)
 
 
@@ -68,30 +69,12 @@ def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
     return df.limit(n)
 
 
-def publish(df: DataFrame, name: str, path: str | None = None,
-            partition_by: str | list[str] | None = None) -> DataFrame:
-    """``CREATE VIEW``: register ``df`` under ``name``.
-
-    With ``path`` the mart is materialised as Parquet (optionally partitioned,
-    e.g. by ``Fiscal_Year`` so readers prune partitions) and the view reads the
-    written files with the mart's own types and column order, which also cuts
-    the lineage of the long plan behind it.  A partitioned mart is rebalanced
-    on its partition columns first: a few files per value, hot values split.
-    Without ``path`` the view holds the plan itself and follows new data.
-    """
+def save_table(df: DataFrame, database: str, name: str) -> None:
+    """Store ``df`` as the table ``name`` of ``database`` (made if it isn't there), in a folder on shared storage."""
     spark = df.sparkSession
-    if path is not None:
-        by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-        writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
-        (writer.partitionBy(*by) if by else writer).parquet(path)
-        df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-    df.createOrReplaceTempView(name)
-    return spark.table(name)
-
-
-def read_view(spark: SparkSession, name: str) -> DataFrame:
-    """``SELECT * FROM view``."""
-    return spark.table(name)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{shared_dir(spark, database)}'")
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+    df.write.format("parquet").option("path", shared_dir(spark, database, name) + "/rows").saveAsTable(f"`{database}`.`{name}`")
 
 
 def money_as_double(df: DataFrame) -> DataFrame:

@@ -37,16 +37,6 @@ def test_csv_roundtrip_and_header_normalisation(spark):
     assert readers.read_sellers_csv(spark, folder).collect() == src.collect()
 
 
-def test_publish_partitioned_view_prunes(spark):
-    path = shared_dir(spark, "t_pub")
-    df = spark.createDataFrame([("FY2000", 1), ("FY2001", 2)], "Fiscal_Year string, v int")
-    readers.publish(df, "t_pub_view", path, partition_by="Fiscal_Year")
-    read = readers.read_view(spark, "t_pub_view").filter(F.col("Fiscal_Year") == "FY2001")
-    assert [r["v"] for r in read.collect()] == [2]
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(Fiscal_Year" in plan
-
-
 def test_preview_is_ordered_top_k(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"))
     out = readers.preview(df, 3, "k")
@@ -82,18 +72,6 @@ def test_plan_from_catalog(spark, small_dir):
     assert plan.all_transactional().count() == 6812
 
 
-def test_publish_marts_with_observed_counts(spark, small_dir):
-    from planmart.plans.planning import Plan
-    from planmart.plans.publish import VIEW_NAMES, publish_marts
-    from planmart.sources import adapters
-    counts = publish_marts(Plan(adapters.load(spark, small_dir)))
-    assert {k: counts[k] for k in ("revenue", "opportunity", "p1_clean_revenue", "p3_clean_opportunity", "p8_targets",
-                                   "p10_run_rate_origins", "p10_run_rate", "p12_all_transactional")} == {
-        "revenue": 6812, "opportunity": 1135, "p1_clean_revenue": 5600, "p3_clean_opportunity": 720, "p8_targets": 199,
-        "p10_run_rate_origins": 47, "p10_run_rate": 157, "p12_all_transactional": 6812}
-    assert spark.table(VIEW_NAMES["revenue"]).count() == 6812
-
-
 def test_catalog_columns_conformed_by_name_and_type(spark):
     from planmart.sources import tables
     raw = spark.createDataFrame(
@@ -124,8 +102,19 @@ def test_csv_columns_are_taken_by_name(spark):
     assert (row["Store_ID"], row["Product_Seller"], row["Support_Seller"]) == ("00000001", "p", "u")
 
 
-def test_published_types_and_order_are_the_marts(spark):
-    df = spark.createDataFrame([("a", "02020", 1), ("b", "2019", 2)], "x string, Fiscal_Year string, v int")
-    got = readers.publish(df, "t_pub_types", shared_dir(spark, "t_pub_types"), partition_by="Fiscal_Year")
-    assert got.dtypes == df.dtypes
-    assert sorted(map(tuple, got.collect())) == [("a", "02020", 1), ("b", "2019", 2)]
+def test_used_database_decides_what_is_read(spark, small_dir):
+    """The scanned name has no database in it: another used database gives other rows."""
+    from planmart import catalog
+    before = spark.catalog.currentDatabase()
+    top = catalog.REGISTRY["scan_preview"](spark, small_dir)
+    assert spark.catalog.currentDatabase() == before
+    assert any(r["AccountNo"].endswith("0") for r in top.collect())
+    for database, some in (("planmart_wk24", False), ("planmart_wk25", True)):
+        readers.use_database(spark, database)
+        try:
+            rows = readers.scan(spark, "Account_Lookup")
+        finally:
+            readers.use_database(spark, before)
+        assert bool(rows.where("AccountNo LIKE '%0'").count()) is some
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        readers.scan(spark, "Account_Lookup")
