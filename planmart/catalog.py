@@ -16,7 +16,7 @@ from planmart.functions import rules as R
 from planmart.operators import joins
 from planmart.operators.fiscal import to_fiscal_month
 from planmart.options import PlanOptions
-from planmart.plans import clean, insights, marts, quality
+from planmart.plans import clean, insights, marts, quality, refresh
 from planmart.plans.clean import KEYS
 from planmart.plans.planning import Plan
 from planmart.session import shared_dir
@@ -453,6 +453,29 @@ def wow_fields(spark, sf_dir):
                                 (25, adapters.opportunities(spark, sf_dir))])
 
 
+# -- weekly refresh ------------------------------------------------------------------------
+def _refreshed(spark, sf_dir, database: str) -> refresh.RevenueRefresh:
+    """The revenue aggregate of week 24, brought to week 25 by the rows that differ."""
+    kept = refresh.RevenueRefresh(MartStore(spark, shared_dir(spark, database), database))
+    before, now = adapters.revenue_prev(spark, sf_dir), adapters.revenue(spark, sf_dir)
+    kept.start(before, 24)
+    kept.apply(refresh.row_changes(before, now), 25)
+    return kept
+
+
+@query("clean_revenue_refresh")
+def clean_revenue_refresh(spark, sf_dir):
+    """P1 of week 25 from week 24's aggregate and the signed changes between the two feeds."""
+    return _refreshed(spark, sf_dir, "planmart_refresh").p1().drop("_nonzero")
+
+
+@query("baseline_target_refresh")
+def baseline_target_refresh(spark, sf_dir):
+    """P9 on the maintained aggregate: cutoff and baseline without the revenue feed."""
+    p1 = _refreshed(spark, sf_dir, "planmart_refresh_baseline").p1()
+    return Plan(adapters.load(spark, sf_dir), p1=p1).baseline_target()
+
+
 # -- data quality (Q1-Q5) ------------------------------------------------------------------
 @query("audit_unmapped")
 def audit_unmapped(spark, sf_dir):

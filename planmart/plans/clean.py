@@ -7,6 +7,8 @@ later join sees at most one row per key and input.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ REVENUE_MEASURES = ("Revenue", "Partner_Fee", "Registration_Fee")
 
 
 def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT,
-                   with_activity: bool = False) -> DataFrame:
-    """Rename, map the category and split the measure by revenue type (row level)."""
+                   with_activity: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Rename, map the category and split the measure by revenue type (row level); `keep` columns stay."""
     activity = [(F.col("Revenue") != 0).alias("_nz")] if with_activity else []
     return revenue.select(
         F.col("StoreNo").alias("Account_No"),
@@ -34,7 +36,7 @@ def split_measures(revenue: DataFrame, opts: PlanOptions = DEFAULT,
         R.measure_split("Revenue_Type", "Revenue", R.PARTNER_FEE, opts.collation).alias("Partner_Fee"),
         R.measure_split("Revenue_Type", "Revenue", R.REGISTRATION_FEE, opts.collation)
          .alias("Registration_Fee"),
-        *activity)
+        *activity, *keep)
 
 
 def clean_revenue(revenue: DataFrame, opts: PlanOptions = DEFAULT,

@@ -31,11 +31,13 @@ P12_MEASURES = (*REVENUE_MEASURES, *OPPORTUNITY_MEASURES,
 class Plan:
     """All planning steps over one set of inputs."""
 
-    def __init__(self, inputs: Inputs, opts: PlanOptions = DEFAULT):
+    def __init__(self, inputs: Inputs, opts: PlanOptions = DEFAULT, p1: DataFrame | None = None):
+        """`p1`: a maintained revenue aggregate with `_nonzero` (`plans/refresh.py`); the plan
+        then reads it, also for the cutoff, in place of the revenue feed."""
         self.inputs = inputs
         self.opts = opts
         self.cal = inputs.calendar
-        self._p1_shared: DataFrame | None = None
+        self._p1_given = self._p1_shared = p1
         # Filled while the plan's frames are written: rows per step (see `counting`).
         self.observations: dict[str, Observation] | None = None
 
@@ -54,15 +56,16 @@ class Plan:
         blocks are recomputed from lineage) and the cutoff, the baseline and
         the merge all read it.  Registered single queries stay lazy instead.
         """
-        shared = clean.clean_revenue(self.inputs.revenue, self.opts, with_activity=True) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        whole = (self._p1_given if self._p1_given is not None
+                 else clean.clean_revenue(self.inputs.revenue, self.opts, with_activity=True))
+        shared = whole.persist(StorageLevel.MEMORY_AND_DISK)
         self._p1_shared = shared
         for name in ("p1", "p2", "p3", "p8", "ctx"):
             self.__dict__.pop(name, None)
         try:
             yield self
         finally:
-            self._p1_shared = None
+            self._p1_shared = self._p1_given
             shared.unpersist()
 
     # -- cleaned feeds -----------------------------------------------------

@@ -40,6 +40,7 @@ PRIORITY_TO_PRODUCT = {
 LOW_PRIORITY = "5-LOW"
 TARGET_CATEGORY_BY_MOD3 = {0: "Services", 1: "Support", 2: "Products"}
 COPY_ID_OFFSET = 100_000_000
+WRONG_ACCOUNT = "99999999"
 # --- end of fixed values ----------------------------------------------------
 
 
@@ -91,8 +92,8 @@ def calendar(spark: SparkSession, start: dt.date = CALENDAR_START,
     return Calendar(df, unique_days=True)
 
 
-def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long-form revenue: one row per line item, typed like the weekly feed.
+def _revenue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week-25 feed plus the numeric key ``_key`` used by the week-24 rules.
 
     Order- and part-level attributes are derived on their own (smaller)
     tables before the join, so the per-line work is two probes and a few
@@ -114,7 +115,23 @@ def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(part, li.l_partkey == part.p_partkey))
     return joined.select("StoreNo", "Month", "Revenue_Type", "Revenue_Motion",
-                         "Product_Category", "Motion", "Revenue")
+                         "Product_Category", "Motion", "Revenue", F.col("l_orderkey").alias("_key"))
+
+
+def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-form revenue: one row per line item, typed like the weekly feed."""
+    return _revenue_rows(spark, sf_dir).drop("_key")
+
+
+def revenue_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week-24 feed: rows that came late are missing, some amounts were corrected since, and
+    some rows were booked on a wrong account and withdrawn since."""
+    rows = _revenue_rows(spark, sf_dir)
+    key, amount = F.col("_key"), F.col("Revenue")
+    before = F.when(key % 17 == 0, scale_money(amount, "0.9").cast(MONEY)).otherwise(amount)
+    kept = rows.where(key % 13 != 0).withColumn("Revenue", before)
+    wrong = rows.where(key % 23 == 0).withColumn("StoreNo", F.lit(WRONG_ACCOUNT))
+    return kept.unionByName(wrong).drop("_key")
 
 
 def _usage_text(amount: Column) -> Column:
