@@ -260,7 +260,7 @@ def lookup_seller(spark, sf_dir):
 def full_outer_coalesce(spark, sf_dir):
     """J7 on revenue ⟗ targets: coalesced keys, zero-filled measures."""
     p = plan_for(spark, sf_dir)
-    return joins.full_outer_coalesce(p.p2, p.p8, KEYS, clean.REVENUE_MEASURES, ("Target",))
+    return joins.full_outer_repeating(p.p2, p.p8, KEYS, clean.REVENUE_MEASURES, ("Target",))
 
 
 # -- aggregation, distinct, subqueries (G, U) --------------------------------------

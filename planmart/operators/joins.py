@@ -29,6 +29,36 @@ def full_outer_coalesce(left: DataFrame, right: DataFrame, keys: Sequence[str],
         *[F.coalesce(F.col(f"_r.{m}"), F.lit(0)).alias(m) for m in right_measures])
 
 
+def full_outer_repeating(base: DataFrame, rows: DataFrame, keys: Sequence[str],
+                         base_measures: Sequence[str], row_measures: Sequence[str]) -> DataFrame:
+    """The same FULL OUTER JOIN where `rows` may repeat a key without bound (`base` has few rows a key).
+
+    A full join can't be split at run time, and gathering a key's rows puts all of them
+    into one task.  So the join is taken apart: `rows` LEFT JOIN `base`, where
+    adaptive execution splits a partition that a hot key fills and each part
+    meets the key's few base rows, and the `base` rows whose key `rows` lacks.
+    Both parts read the same shuffle of `base`: keys are compared null-safely (a filter on
+    NULLs would make the two differ) and a mark per input keeps NULL parts from matching.
+    """
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    lhs = rows.select(*keys, *row_measures, F.when(any_null, 1).otherwise(-1).alias("_part"))
+    rhs = base.select(*keys, *base_measures, F.when(any_null, 0).otherwise(-1).alias("_part"))
+
+    def on(a: str, b: str):
+        same = [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+        return reduce(lambda x, y: x & y, [*same, F.col(f"{a}._part") == F.col(f"{b}._part")])
+
+    met = lhs.alias("_r").join(rhs.alias("_b").hint("merge"), on("_r", "_b"), "left")
+    known = lhs.select(*keys, "_part").distinct()
+    alone = rhs.alias("_b").join(known.alias("_k").hint("merge"), on("_b", "_k"), "left_anti")
+    return met.select(
+        *[F.col(f"_r.{k}").alias(k) for k in keys],
+        *[F.coalesce(F.col(f"_b.{m}"), F.lit(0)).alias(m) for m in base_measures],
+        *[F.coalesce(F.col(f"_r.{m}"), F.lit(0)).alias(m) for m in row_measures]).unionByName(alone.select(
+            *keys, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in base_measures],
+            *[F.lit(0).cast(rows.schema[m].dataType).alias(m) for m in row_measures]))
+
+
 def union_combine(parts: Sequence[tuple[DataFrame, Sequence[str]]],
                   keys: Sequence[str], partition_by: str | None = None) -> DataFrame:
     """Union-form merge: align the measure columns, UNION ALL, one grouped SUM.
@@ -60,10 +90,9 @@ def cogroup_full_outer(sources: Sequence[tuple[DataFrame, dict[int, Sequence[str
     row of NULLs); rows whose key has a NULL part never match anything.  Here
     every input is tagged, unioned and grouped once: ``collect_list`` gathers
     each input's rows per key and ``explode_outer`` rebuilds the cross
-    product.  Inputs are pre-aggregated to (nearly) one row per key; where a
-    user's targets repeat a key, the product repeats with them, as in the
-    joins.  NULL-key rows are grouped per input only, which keeps them
-    unmatched exactly like the joins do.
+    product.  So inputs must be aggregated to a bounded number of rows per key; one that
+    may repeat a key joins by ``full_outer_repeating``.  NULL-key rows are grouped
+    per input only, which keeps them unmatched exactly like the joins do.
 
     A source is a DataFrame and the inputs it holds: {number: measures}.  With
     several inputs its column ``_side`` says which one a row belongs to, so one

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
 from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, cutoff_of, to_fiscal_month
-from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, union_combine
+from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, full_outer_repeating, union_combine
 from planmart.options import DEFAULT, PlanOptions
 from planmart.plans import clean
 from planmart.plans.clean import KEYS, REVENUE_MEASURES
@@ -143,7 +143,7 @@ class Plan:
 
     # -- P9 ------------------------------------------------------------------
     def baseline_target(self) -> DataFrame:
-        return full_outer_coalesce(self.baseline(), self.p8, KEYS, ("Baseline",), ("Target",))
+        return full_outer_repeating(self.baseline(), self.p8, KEYS, ("Baseline",), ("Target",))
 
     # -- P10 -----------------------------------------------------------------
     def run_rate_origins(self) -> DataFrame:
@@ -198,8 +198,11 @@ class Plan:
 
     # -- P11, P12 --------------------------------------------------------------
     def baseline_target_run_rate(self, grain: str | None = None) -> DataFrame:
-        return full_outer_coalesce(self.baseline_target(), self.run_rate(grain), KEYS,
-                                   ("Baseline", "Target"), ("Opportunities_Into_RR",))
+        """(baseline ⟗ targets) ⟗ run rate; the order of full joins on the same keys doesn't matter,
+        so the targets, which may repeat a key, come last."""
+        both = full_outer_coalesce(self.baseline(), self.run_rate(grain), KEYS, ("Baseline",), ("Opportunities_Into_RR",))
+        out = full_outer_repeating(both, self.p8, KEYS, ("Baseline", "Opportunities_Into_RR"), ("Target",))
+        return out.select(*KEYS, "Baseline", "Target", "Opportunities_Into_RR")
 
     def revenue_with_baseline(self) -> DataFrame:
         """P2 and P7 from one pass over the revenue: each P2 row as itself (``_side`` 0), and rows
@@ -251,12 +254,13 @@ class Plan:
         """Every measure by account, fiscal month and category.
 
         ``combine``:
-          * ``"cogroup"`` (default) — the worksheet's nested FULL OUTER JOINs,
-            row for row, with one shuffle on Account_No;
+          * ``"cogroup"`` (default) — the worksheet's nested FULL OUTER JOINs, row for
+            row: one shuffle on Account_No for the aggregated inputs, then the
+            targets, whose hot keys are split;
           * ``"join"`` — the nested FULL OUTER JOINs themselves (a shuffle per level);
           * ``"union"`` — summed grain: UNION ALL + one grouped SUM.
-        The cogroup and union forms leave the result partitioned by Account_No,
-        so the account and seller lookups of the mart add no shuffle of facts.
+        The union form leaves the result partitioned by Account_No, so the account
+        and seller lookups of the mart add no shuffle of facts.
         """
         grain = grain or self.opts.rr_grain
         combine = combine or self.opts.combine
@@ -267,7 +271,9 @@ class Plan:
             out = union_combine(parts, KEYS, partition_by="Account_No").select(*KEYS, *P12_MEASURES)
             return self.counted("p12_all_transactional", out)
         if combine == "cogroup":
-            out = cogroup_full_outer(self._facts(grain), KEYS, partition_by="Account_No")
+            bounded = [(df, held) for df, held in self._facts(grain) if 3 not in held]
+            facts = cogroup_full_outer(bounded, KEYS, partition_by="Account_No")
+            out = full_outer_repeating(facts, self.p8, KEYS, [m for m in P12_MEASURES if m != "Target"], ("Target",))
             return self.counted("p12_all_transactional", out.select(*KEYS, *P12_MEASURES))
         return full_outer_coalesce(self.revenue_opportunity(),
                                    self.baseline_target_run_rate(grain), KEYS,

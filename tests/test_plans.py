@@ -127,8 +127,8 @@ def test_cogroup_equals_nested_full_joins(plan):
 
 
 def test_lookups_reuse_account_partitioning(spark, plan):
-    """With broadcasts off (large dimensions), only the dimensions are shuffled
-    for the account/seller lookups: the facts keep their Account_No partitioning."""
+    """With broadcasts off (large dimensions), only the dimensions are shuffled for the account/seller
+    lookups of the summed form: the facts keep their Account_No partitioning."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     for k in keys:
@@ -136,8 +136,8 @@ def test_lookups_reuse_account_partitioning(spark, plan):
     try:
         # the calendar stays a broadcast: it is small however large the other dimensions are
         calendar = Calendar(F.broadcast(plan.inputs.calendar.df), unique_days=True)
-        df = marts.revenue_summary(Plan(replace(plan.inputs, calendar=calendar)))
-        assert df.count() == 6812
+        df = marts.revenue_summary(Plan(replace(plan.inputs, calendar=calendar)), "summed", "union")
+        assert df.count() == 6804
         text = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
@@ -161,11 +161,21 @@ def test_persisted_plan_gives_the_same_marts(spark, small_dir):
 
 def test_revenue_is_read_once_for_the_merge_and_once_for_the_cutoff(plan):
     """Revenue and baseline share one pass; the cutoff is a narrow subquery of the same plan."""
-    leaves = marts.revenue_summary(Plan(plan.inputs))._jdf.queryExecution().optimizedPlan().collectLeaves()
+    df = marts.revenue_summary(Plan(plan.inputs), "summed", "union")
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     scans = [leaves.apply(i).toString() for i in range(leaves.size())]       # without those of subqueries
     assert sum("l_extendedprice" in x for x in scans) == 1
 
 
+def test_facts_without_targets_are_made_once(plan):
+    """Both parts of the join with the targets read one shuffle of the other facts."""
+    df = marts.revenue_summary(plan)
+    df.collect()
+    text = physical(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_orderkey#\d+L,l_partkey#\d+L,l_extendedprice#\d+,l_retu", text)) == 1
+    assert "collect_list(_s3" not in text and "ReusedExchange" in text
+
+
 @pytest.mark.parametrize("name", ["scalar_cutoff", "fiscal_context", "future_months"])
 def test_the_context_reads_revenue_in_its_own_plan(spark, small_dir, name):
     assert "lineitem.parquet" in physical(E.queries()[name](spark, small_dir))

@@ -1,9 +1,12 @@
 """A hot account holding a third of all revenue rows: same results, no hot partition."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from planmart.operators.joins import full_outer_coalesce
 from planmart.plans import marts
-from planmart.plans.planning import Plan
+from planmart.plans.clean import KEYS, REVENUE_MEASURES
+from planmart.plans.planning import OPPORTUNITY_MEASURES, Plan
 from planmart.sources import adapters
 from planmart.sources.adapters import Inputs
 
@@ -70,3 +73,58 @@ def test_hot_account_of_the_opportunity_view_is_split(spark, small_dir):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true) [Account_No" in text
+
+
+SPLITTING = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+
+
+@pytest.fixture
+def splitting(spark):
+    old = {k: spark.conf.get(k, None) for k in SPLITTING}
+    for k, v in SPLITTING.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_targets(spark, base, rows=100_000):
+    """`rows` targets of one account, category and month, next to the others and some without a key."""
+    hot = spark.range(rows, numPartitions=16).select(
+        F.lit(HOT).alias("Store_Number"), F.lit("Services").alias("Product_Category"),
+        F.to_date(F.lit("2001-03-01")).alias("Fiscal_Month"), F.col("id").cast("decimal(18,2)").alias("Target"))
+    lost = hot.where("Target < 300").withColumn("Store_Number", F.lit(None).cast("string"))
+    return Inputs(base.revenue, base.opportunities, base.targets.unionByName(hot).unionByName(lost), base.calendar,
+                  base.accounts, base.sellers)
+
+
+@pytest.mark.parametrize("step", ["all_transactional", "baseline_target", "baseline_target_run_rate"])
+def test_a_key_with_very_many_targets_is_split(spark, small_dir, splitting, step):
+    plan = Plan(hot_targets(spark, adapters.load(spark, small_dir)))
+    merged = getattr(plan, step)()
+    parts = merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("Target"))
+    sizes = [r["n"] for r in parts.collect()]
+    assert sum(sizes) > 100_000 and max(sizes) < 30_000
+    out = getattr(plan, step)()
+    out.collect()
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_targets_equal_nested_joins(spark, small_dir):
+    plan = Plan(hot_targets(spark, adapters.load(spark, small_dir), 2_000))
+    got = plan.all_transactional("origin", "cogroup")
+    want = full_joins(plan).select(*got.columns)
+    assert got.count() == want.count() > 8_000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def full_joins(plan):
+    """The worksheet's nested FULL OUTER JOINs."""
+    bt = full_outer_coalesce(plan.baseline(), plan.p8, KEYS, ("Baseline",), ("Target",))
+    btr = full_outer_coalesce(bt, plan.run_rate("origin"), KEYS, ("Baseline", "Target"), ("Opportunities_Into_RR",))
+    return full_outer_coalesce(plan.revenue_opportunity(), btr, KEYS, (*REVENUE_MEASURES, *OPPORTUNITY_MEASURES),
+                               ("Baseline", "Target", "Opportunities_Into_RR"))
