@@ -302,7 +302,7 @@ def predict(text: Column, model: Model, spark) -> Column:
         model = sent.value
         scorer = of_worker(("language", id(model)), lambda: Scorer(model))
         for column in columns:
-            found = [x for texts in texts_of(column) for x in scorer.score_all(texts)]
+            found = [x for texts in texts_of(column, RUN_CHARS) for x in scorer.score_all(texts)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
                                               pa.array([s for _, s in found], pa.float64())], ["lang_pred", "score"])
 
@@ -334,7 +334,7 @@ def backing(text: Column, sent: Broadcast) -> Column:
         model = sent.value
         scorer = of_worker(("language", id(model)), lambda: Scorer(model))
         for column in columns:
-            found = [x for texts in texts_of(column) for x in scorer.back_all(texts)]
+            found = [x for texts in texts_of(column, RUN_CHARS) for x in scorer.back_all(texts)]
             yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()),
                                               pa.array([s for _, s, _ in found], pa.float64()),
                                               pa.array([b for _, _, b in found], pa.list_(pa.float64()))],

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from planmart.llm.common import written
-from planmart.llm.pieces import runs, slices_of
+from planmart.llm.pieces import forget, runs, slices_of, trim
 
 ITEM_BYTES = 256 << 10   # text of different items that one pass over the documents serves, about
 RUN_BYTES = 4 << 20      # text that is cut into terms together, about
@@ -73,6 +73,7 @@ def vectors(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = pa.array(sent.value, pa.large_binary()).view(pa.large_string())
         for batch in batches:
             for part in slices_of(batch, "text", RUN_BYTES):
@@ -83,6 +84,7 @@ def vectors(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
                      pa.ListArray.from_arrays(offsets, pa.array(term.astype(np.int32))),
                      pa.ListArray.from_arrays(offsets, pa.array(often))], ["doc_id", "n", "terms", "counts"])
                 yield out.filter(pa.array(n > 0))
+            trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(of, "doc_id long, n long, terms array<int>, counts array<long>")

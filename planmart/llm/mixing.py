@@ -92,7 +92,7 @@ def posteriors(text: Column, model: Softmax) -> Column:
 
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            p = np.concatenate([np.zeros((0, k)), *(model.posterior(vectors, texts) for texts in texts_of(column))])
+            p = np.concatenate([np.zeros((0, k)), *(model.posterior(vectors, texts) for texts in texts_of(column, 4 << 20))])
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel()))
 
     return F.arrow_udf(of, T.ArrayType(T.DoubleType()))(text)

@@ -6,8 +6,10 @@ space into several parts, so one huge document never decides a task's memory.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,30 @@ def of_worker(key: object, make: Callable[[], object]) -> object:
     return _SLOT[0][1]
 
 
-def texts_of(column: pa.Array) -> Iterator[list[str | None]]:
-    """A column as lists of ROWS texts at most, so that only a few are Python objects at a time."""
-    for i in range(0, len(column), ROWS):
-        yield column.slice(i, ROWS).to_pylist()
+def forget() -> None:
+    """Drop what this worker remembers: for functions that remember nothing themselves."""
+    _SLOT.clear()
+
+
+def trim() -> None:
+    """Give freed memory back to the machine: workers that wait for later tasks share it with those that run."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):            # only the GNU library has this call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def texts_of(column: pa.Array, size: int | None = None) -> Iterator[list[str | None]]:
+    """A column as lists of about `size` bytes and ROWS texts at most, so that only a few are
+    Python objects at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(column):
+        held = int(ends[start - 1]) if start else 0
+        end = int(np.searchsorted(ends, held + (size or RUN_CHARS), side="right"))
+        end = min(max(end, start + 1), start + ROWS)
+        yield column.slice(start, end - start).to_pylist()
+        start = end
+    trim()
 
 
 def slices_of(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:

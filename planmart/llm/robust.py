@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from planmart.llm.common import ASCII_SPACE, written
-from planmart.llm.pieces import texts_of
+from planmart.llm.pieces import forget, texts_of
 
 SHARE = 0.75                    # of a group's documents in the subset
 STEPS = 6                       # concentration steps
@@ -67,6 +67,7 @@ STAT_NAMES = [x.split()[0] for x in STATS.split(", ")]
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the base statistics of every row of `docs`."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             made = [text_stats(t) for texts in texts_of(batch.column("text")) for t in texts]
             cols = zip(*made, strict=True) if made else [[]] * len(STAT_NAMES)

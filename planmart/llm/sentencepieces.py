@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.pieces import of_worker, runs, slices_of, texts_of
+from planmart.llm.pieces import of_worker, runs, slices_of
 
 MARK = "▁"
 RUN_CHARS = 2 << 20      # characters of text that are looked at together, about
@@ -171,7 +170,7 @@ def encode(docs: DataFrame, path: str, bos: bool = True, eos: bool = True) -> Da
         made = of_file(path)
         for batch in batches:
             for part in slices_of(batch, "text", RUN_CHARS):
-                found = list(chain.from_iterable(rows_of(made, texts) for texts in texts_of(part.column("text"))))
+                found = list(rows_of(made, part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(x) // 4 for x, _ in found], pa.int64()),
                      pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.string())],

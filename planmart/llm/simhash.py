@@ -33,10 +33,11 @@ from pyspark.sql import types as T
 
 from planmart.llm.common import all_of, without, written
 from planmart.llm.components import connected_components
-from planmart.llm.pieces import texts_of
+from planmart.llm.pieces import forget, texts_of
 
 SEED = 42
 BITS = 64
+RUN_BYTES = 2 << 20  # of texts that are Python objects at a time, about
 PIVOTS = 16          # reference fingerprints: XXH64 of 0..15
 PER_LONG = 8         # distances of 0..64, eight bits each, packed into longs
 
@@ -63,8 +64,9 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
 def fingerprint(text: Column, shingle: int) -> Column:
     """The fingerprint of a text column, as a signed long."""
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         for column in columns:
-            made = [text_fingerprint(t, shingle) for texts in texts_of(column) for t in texts]
+            made = [text_fingerprint(t, shingle) for texts in texts_of(column, RUN_BYTES) for t in texts]
             yield pa.array(np.array(made, dtype=np.uint64).view(np.int64))
 
     return F.arrow_udf(of, T.LongType())(text)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from planmart.llm.pieces import of_worker, runs, split, texts_of
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 
 
 END = (".", ",")
