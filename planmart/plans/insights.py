@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.operators.joins import union_combine
+from planmart.operators.joins import WIDE_MONEY, left_lookup, union_combine
 from planmart.plans import marts
+from planmart.plans.clean import KEYS
 from planmart.plans.planning import Plan
 
 MONTH_KEYS = ("Fiscal_Year", "Month_ID", "Fiscal_Month")
@@ -101,13 +102,34 @@ def forecast_year_end(plan: Plan) -> DataFrame:
 
 def slice_facts(plan: Plan, dims: Sequence[str], measures: Sequence[str],
                 mode: str = "rollup") -> DataFrame:
-    """Slice the summed revenue summary by any dimensions.
+    """Slice the summed revenue summary by any of its dimensions.
 
     ``mode`` is ``groupby``, ``rollup`` or ``cube``; ``Grouping_Level`` is the
     SQL grouping id of each subtotal row.
+
+    Only inputs that hold one of ``measures`` are read.  They are added up below the
+    lookups, by account, category and the month attributes that are asked for (the
+    month lookup has a row per fiscal month), so account and seller attributes are
+    looked up once for each of those sums, and only the columns in ``dims``.
     """
-    mart = marts.revenue_summary(plan, "summed", "union")
-    grouped = {"groupby": mart.groupBy, "rollup": mart.rollup, "cube": mart.cube}[mode](*dims)
+    known = (*KEYS, *marts.MONTH_ATTRS, *marts.ACCOUNT_ATTRS, *marts.SELLER_ATTRS)
+    unknown = [d for d in dims if d not in known]
+    if unknown:
+        raise ValueError(f"no dimensions of the marts: {unknown}")
+    by_account = [d for d in dims if d in (*marts.ACCOUNT_ATTRS, *marts.SELLER_ATTRS)]
+    by_month = [d for d in dims if d in marts.MONTH_ATTRS]
+    keys = [k for k in KEYS if k in dims or (k == "Account_No" and by_account) or (k == "Fiscal_Month" and by_month)]
+    zero = F.lit(0).cast(WIDE_MONEY)
+    rows = reduce(DataFrame.unionByName, [
+        df.select(*keys, *[(F.col(m).cast(WIDE_MONEY) if m in held else zero).alias(m) for m in measures])
+        for df, held in plan.facts_with(measures)])
+    if by_month:
+        rows = left_lookup(rows, plan.cal.month_dim(), "Fiscal_Month", "Fiscal_Month", by_month)
+    below = [*[k for k in keys if k != "Fiscal_Month" or k in dims], *by_month]
+    summed = rows.groupBy(*below).agg(*[F.coalesce(F.sum(m), zero).alias(m) for m in measures])
+    if by_account:
+        summed = marts.account_lookup(summed, plan, by_account)
+    grouped = {"groupby": summed.groupBy, "rollup": summed.rollup, "cube": summed.cube}[mode](*dims)
     aggs = [F.sum(m).alias(m) for m in measures]
     if mode != "groupby":
         aggs.append(F.grouping_id(*dims).cast("int").alias("Grouping_Level"))

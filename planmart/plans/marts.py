@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,17 @@ def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: Dat
     return left_lookup(out, both, "Account_No", "_account", (*ACCOUNT_ATTRS, *SELLER_ATTRS), True)
 
 
+def account_lookup(df: DataFrame, plan: Plan, columns: Sequence[str]) -> DataFrame:
+    """`columns` of the account and seller lookups by Account_No; only the lookups that hold one are read."""
+    i, out = plan.inputs, df
+    of_account, of_seller = ([c for c in columns if c in names] for names in (ACCOUNT_ATTRS, SELLER_ATTRS))
+    if of_account:
+        out = left_lookup(out, i.accounts.withColumnRenamed("Store", "Account_Name"), "Account_No", "AccountNo", of_account)
+    if of_seller:
+        out = left_lookup(out, i.sellers, "Account_No", "Store_ID", of_seller)
+    return out
+
+
 def revenue_summary(plan: Plan, grain: str | None = None, combine: str | None = None) -> DataFrame:
     """All transactional facts + calendar, account and seller lookups (25 columns)."""
     facts = plan.all_transactional(grain, combine)

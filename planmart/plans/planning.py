@@ -8,6 +8,7 @@ share one lazily evaluated DAG.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 from functools import cached_property
 
@@ -230,6 +231,26 @@ class Plan:
             (self.run_rate(grain).select(*KEYS, "Opportunities_Into_RR"), {4: ("Opportunities_Into_RR",)}),
         ]
 
+    def facts_with(self, measures: Sequence[str]) -> list[tuple[DataFrame, list[str]]]:
+        """The inputs of P12 that hold any of `measures`, each with those; the others aren't read.
+        Run rates are by origin month, so they are for adding up."""
+        held = lambda names: [m for m in names if m in measures]
+        unknown = set(measures) - set(P12_MEASURES)
+        if unknown:
+            raise ValueError(f"no measures of the marts: {sorted(unknown)}")
+        parts: list[tuple[DataFrame, list[str]]] = []
+        if "Baseline" in measures:
+            parts.append((self.revenue_with_baseline(), [*held(REVENUE_MEASURES), "Baseline"]))
+        elif held(REVENUE_MEASURES):
+            parts.append((self.p2, held(REVENUE_MEASURES)))
+        if held(OPPORTUNITY_MEASURES):
+            parts.append((self.p3, held(OPPORTUNITY_MEASURES)))
+        if "Target" in measures:
+            parts.append((self.p8, ["Target"]))
+        if "Opportunities_Into_RR" in measures:
+            parts.append((self.run_rate("origin"), ["Opportunities_Into_RR"]))
+        return parts
+
     def facts_by_month(self) -> DataFrame:
         """Actual and Projected of the cutoff's fiscal year by fiscal month: only that year is read
         from the revenue and the opportunities, and nothing is kept by account."""
@@ -238,14 +259,21 @@ class Plan:
               else clean.clean_revenue(self.inputs.revenue.filter(ctx.in_year("Month")), self.opts))
         p2 = clean.revenue_by_fiscal_month(p1, self.cal)
         month, amount = F.col("Fiscal_Month"), (F.col("Partner_Fee") + F.col("Revenue"))
-        by_month = p2.groupBy("Fiscal_Month").agg(F.sum(amount).alias("Actual"))
-        last = by_month.filter(month == ctx.fiscal_month).select(F.col("Actual").alias("Projected"))
-        later = self._over_future_months(last).select("Fiscal_Month", "Projected")
+        by_month = p2.groupBy("Fiscal_Month").agg(F.sum(amount).alias("Amount"))
+        # one pass: each month as itself, the cutoff month once more for each remaining month
+        kind = "array<struct<Fiscal_Month:string,Month_ID:int>>"
+        own = F.array(F.struct(month, F.lit(None).cast("int").alias("Month_ID"))).cast(kind)
+        later = F.when(month == ctx.fiscal_month, ctx.future_array().cast(kind))
+        spread = (by_month.withColumn("_all", F.concat(own, F.coalesce(later, F.array().cast(kind))))
+                  .withColumn("_x", F.explode("_all")))
+        is_own = F.col("_x.Month_ID").isNull()
+        revenue = spread.select(F.col("_x.Fiscal_Month").alias("Fiscal_Month"), F.when(is_own, F.col("Amount")).alias("Actual"),
+                                F.when(~is_own, F.col("Amount")).alias("Projected"))
         opps = clean.clean_opportunity(self.inputs.opportunities.filter(ctx.in_year("Opportunity_Est_Date")),
                                        self.cal, self.opts)
         rr = self.run_rate("origin")
         return union_combine(
-            [(by_month, ("Actual",)), (later, ("Projected",)),
+            [(revenue, ("Actual", "Projected")),
              (opps.select("Fiscal_Month", F.col("Opportunity_Usage").alias("Projected")), ("Projected",)),
              (rr.select("Fiscal_Month", F.col("Opportunities_Into_RR").alias("Projected")), ("Projected",))],
             ["Fiscal_Month"])

@@ -1,6 +1,7 @@
 """Plan shape checks, invariants and the FIXTURES row counts at sf0.001."""
 
 import re
+from collections import Counter
 from dataclasses import replace
 
 import pytest
@@ -181,6 +182,36 @@ def test_the_context_reads_revenue_in_its_own_plan(spark, small_dir, name):
     assert "lineitem.parquet" in physical(E.queries()[name](spark, small_dir))
 
 
+def feed_scans(df, column="l_extendedprice"):
+    df.collect()
+    return len(re.findall(rf"FileScan parquet \[[^\]]*{column}", physical(df).split("== Initial Plan ==")[0]))
+
+
+def test_forecast_and_slices_read_revenue_once_besides_the_cutoff(spark, small_dir, plan):
+    leaves = E.queries()["forecast_year_end"](spark, small_dir)._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("l_extendedprice" in leaves.apply(i).toString() for i in range(leaves.size())) == 1     # the cutoff is a subquery
+    assert feed_scans(E.queries()["slice_rollup"](spark, small_dir)) == 2
+    # no measure that needs the cutoff: one pass
+    assert feed_scans(E.queries()["slice_cube"](spark, small_dir)) == 1
+    # targets only: the feed isn't read
+    assert feed_scans(insights.slice_facts(plan, ["Vertical"], ["Target"], "groupby")) == 0
+
+
+@pytest.mark.parametrize("dims, mode", [(["General_Seller", "Fiscal_Month"], "cube"), (["Account_No", "Month_ID"], "groupby"),
+                                        (["Product_Category"], "rollup"), (["Fiscal_Quarter", "Segment", "Support_Seller"], "rollup")])
+def test_slices_equal_grouping_the_mart(plan, dims, mode):
+    measures = ["Revenue", "Baseline", "Target", "Opportunities_Into_RR", "Opportunity_Extrapolation"]
+    mart = marts.revenue_summary(plan, "summed", "union")
+    want = getattr(mart, "groupBy" if mode == "groupby" else mode)(*dims).agg(
+        *[F.sum(m).alias(m) for m in measures], *([F.grouping_id(*dims).cast("int").alias("Grouping_Level")] if mode != "groupby" else []))
+    got = insights.slice_facts(plan, dims, measures, mode)
+    same = lambda df: Counter(map(tuple, df.select(*[F.col(c).cast("double") if t.startswith("decimal") else c
+                                                      for c, t in want.dtypes]).collect()))
+    assert same(got) == same(want)
+    with pytest.raises(ValueError):
+        insights.slice_facts(plan, ["Nothing"], measures)
+
+
 @pytest.mark.parametrize("name", ["revenue_trend", "fee_trend"])
 def test_trends_read_revenue_once(spark, small_dir, name):
     assert physical(E.queries()[name](spark, small_dir)).count("lineitem.parquet") == 1
