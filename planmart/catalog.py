@@ -8,6 +8,7 @@ are published as double.  Column names match ``planmart.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from planmart.plans import clean, insights, marts, quality, refresh
 from planmart.plans.clean import KEYS
 from planmart.plans.planning import Plan
 from planmart.session import shared_dir
-from planmart.sources import adapters, readers, schemas
+from planmart.sources import adapters, readers, rejects, schemas
 from planmart.sources.store import MartStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +79,24 @@ def csv_ingest(spark, sf_dir):
     return readers.read_sellers_csv(spark, path)
 
 
+def _ingested(spark, sf_dir) -> rejects.Ingest:
+    path = shared_dir(spark, "csv_rejects")
+    readers.write_csv_table(adapters.revenue_dirty(spark, sf_dir), path)
+    return rejects.ingest_csv(spark, path, schemas.REVENUE, max_share=0.2)
+
+
+@query("csv_accepted")
+def csv_accepted(spark, sf_dir):
+    """A1: the typed rows of a revenue file with bad lines."""
+    return _ingested(spark, sf_dir).rows
+
+
+@query("csv_rejects")
+def csv_rejects(spark, sf_dir):
+    """Q2: its rejected lines, with column and reason."""
+    return _ingested(spark, sf_dir).rejects.drop("file")
+
+
 @query("publish_view")
 def publish_view(spark, sf_dir):
     """Publish the revenue summary as a lasting view over a new version, then one
@@ -489,7 +508,8 @@ def audit_unmapped_v1(spark, sf_dir):
 
 @query("audit_parse")
 def audit_parse(spark, sf_dir):
-    return quality.audit_parse(plan_for(spark, sf_dir))
+    dirty = replace(adapters.load(spark, sf_dir), opportunities=adapters.opportunities_dirty(spark, sf_dir))
+    return quality.audit_parse(Plan(dirty))
 
 
 @query("audit_category_coverage")

@@ -115,6 +115,15 @@ def parse_amount(c: str | Column, scale_type: str = AMOUNT) -> Column:
     return F.replace(_col(c), F.lit(","), F.lit("")).try_cast(scale_type)
 
 
+def amount_issue(c: str | Column) -> Column:
+    """What `parse_amount` loses of a text: unparsable, overflow or rounded; NULL if nothing."""
+    text = F.replace(_col(c), F.lit(","), F.lit(""))
+    return (F.when(_col(c).isNull(), F.lit(None).cast("string"))
+             .when(text.try_cast("double").isNull(), F.lit("unparsable"))
+             .when(parse_amount(c).isNull(), F.lit("overflow"))
+             .when(text.rlike(MORE_DECIMALS), F.lit("rounded")))
+
+
 def is_present(c: str | Column, collation: str | None = None) -> Column:
     """Neither SQL NULL nor the text sentinel ``'NULL'``."""
     c = _col(c)

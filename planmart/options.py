@@ -25,7 +25,7 @@ class PlanOptions:
     # Fail a build in which a calendar, account or seller lookup holds a key twice (its
     # rows would multiply); off, rows multiply as in the worksheet.  `publish_marts` turns it on.
     unique_lookups: bool = False
-    # "null": unparsable amounts become NULL (and show in the audit); "fail": raise.
+    # "null": unparsable amounts become NULL (and show in the audit); "fail": raise on whatever the audit lists.
     on_bad: str = "null"
     # How P12 merges its five inputs: "cogroup" (FULL OUTER JOIN semantics, one
     # shuffle), "join" (nested FULL OUTER JOINs), "union" (summed, one shuffle).

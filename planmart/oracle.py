@@ -135,6 +135,20 @@ SELECT {_acct('o.o_custkey')} AS StoreNo,
        o.o_orderpriority AS Motion,
        CASE WHEN l.l_shipdate < TIMESTAMP '2001-02-01' THEN {_money('l.l_extendedprice')}
             ELSE CAST(0 AS DECIMAL(18,2)) END AS Revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                JOIN part p ON l.l_partkey = p.p_partkey""")
+    add("rev_dirty", f"""
+SELECT {_acct('o.o_custkey')} AS StoreNo,
+       CASE WHEN l.l_orderkey % 79 = 0 THEN '2001-13-01'
+            ELSE CAST(CAST(date_trunc('month', l.l_shipdate) AS DATE) AS VARCHAR) END AS "Month",
+       {_case_map('l.l_returnflag', REVENUE_TYPES)} AS Revenue_Type,
+       l.l_linestatus AS Revenue_Motion,
+       {_case_map("split_part(p.p_type, ' ', 1)", PART_CATEGORIES)} AS Product_Category,
+       o.o_orderpriority AS Motion,
+       CASE WHEN l.l_orderkey % 97 = 0 THEN 'n/a' WHEN l.l_orderkey % 89 = 0 THEN '12.345'
+            WHEN l.l_orderkey % 83 = 0 THEN '1e30'
+            WHEN l.l_shipdate < TIMESTAMP '2001-02-01' THEN CAST({_money('l.l_extendedprice')} AS VARCHAR)
+            ELSE '0.00' END AS Revenue
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                 JOIN part p ON l.l_partkey = p.p_partkey""")
     amount = _fmt(_money("o_totalprice"))
@@ -156,6 +170,9 @@ SELECT o_orderkey AS _key,
             ELSE {amount} END AS Opportunity_Usage
 FROM orders""")
     add("opp_raw", "SELECT * EXCLUDE (_key) FROM opp_base")
+    add("opp_dirty", """
+SELECT * EXCLUDE (_key) REPLACE (CASE WHEN _key % 97 = 0 THEN 'n/a' WHEN _key % 89 = 0 THEN '1e60'
+  WHEN _key % 83 = 0 THEN '1,234.5600001' ELSE Opportunity_Usage END AS Opportunity_Usage) FROM opp_base""")
     scaled = _fmt(f"CAST({_parse('Opportunity_Usage')} * 0.9 AS DECIMAL(18,2))")
     add("opp_prev", f"""
 SELECT Store_No,
@@ -597,8 +614,20 @@ SELECT * FROM (
     CASE WHEN TRY_CAST(replace(Opportunity_Usage, ',', '') AS DOUBLE) IS NULL THEN 'unparsable'
          WHEN {_parse('Opportunity_Usage')} IS NULL THEN 'overflow'
          WHEN regexp_matches(Opportunity_Usage, '\\.[0-9]{{6}}[0-9]*[1-9]') THEN 'rounded' END AS Issue
-  FROM opp_raw WHERE Opportunity_Usage IS NOT NULL AND Opportunity_Usage <> 'NULL') x
+  FROM opp_dirty WHERE Opportunity_Usage IS NOT NULL AND Opportunity_Usage <> 'NULL') x
 WHERE Issue IS NOT NULL"""
+    b["csv_accepted"] = """
+SELECT StoreNo, CAST("Month" AS DATE) AS "Month", Revenue_Type, Revenue_Motion, Product_Category, Motion,
+       CAST(CAST(Revenue AS DECIMAL(18,2)) AS DOUBLE) AS Revenue
+FROM rev_dirty WHERE "Month" <> '2001-13-01' AND Revenue NOT IN ('n/a', '12.345', '1e30')"""
+    line = " || ',' || ".join(f"COALESCE({c}, '')" for c in (
+        "StoreNo", '"Month"', "Revenue_Type", "Revenue_Motion", "Product_Category", "Motion", "Revenue"))
+    b["csv_rejects"] = f"""
+SELECT {line} AS line, 'Month' AS "column", 'not a date' AS reason FROM rev_dirty WHERE "Month" = '2001-13-01'
+UNION ALL
+SELECT {line}, 'Revenue', CASE Revenue WHEN 'n/a' THEN 'not a decimal(18,2)' WHEN '12.345' THEN 'more than 2 decimals'
+  ELSE 'too large for decimal(18,2)' END
+FROM rev_dirty WHERE Revenue IN ('n/a', '12.345', '1e30')"""
     b["audit_category_coverage"] = """
 SELECT COALESCE(r.Product_Category, t.Product_Category) AS Product_Category,
        r.Product_Category IS NOT NULL AS In_Revenue, t.Product_Category IS NOT NULL AS In_Targets

@@ -72,8 +72,9 @@ def _parsed_usage(opts: PlanOptions) -> Column:
     raw = F.col("Opportunity_Usage")
     parsed = R.parse_amount(raw)
     if opts.on_bad == "fail":
-        parsed = F.when(parsed.isNull() & raw.isNotNull(),
-                        F.raise_error(F.concat(F.lit("unparsable Opportunity_Usage: "), raw))
+        issue = R.amount_issue(raw)
+        parsed = F.when(issue.isNotNull(),
+                        F.raise_error(F.concat(issue, F.lit(" Opportunity_Usage: "), raw))
                         .cast(R.AMOUNT)).otherwise(parsed)
     return parsed
 

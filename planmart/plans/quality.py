@@ -37,13 +37,9 @@ def unmapped_rows(plan: Plan, rules=R.OPPORTUNITY_CATEGORY_RULES_V1) -> DataFram
 
 def audit_parse(plan: Plan) -> DataFrame:
     """Q2: amounts present as text that aren't a number, don't fit, or have more decimals than are kept."""
-    amount = R.parse_amount("Opportunity_Usage")
-    text = F.replace(F.col("Opportunity_Usage"), F.lit(","), F.lit(""))
-    number = text.try_cast("double")
-    issue = (F.when(number.isNull(), F.lit("unparsable")).when(amount.isNull(), F.lit("overflow"))
-             .when(text.rlike(R.MORE_DECIMALS), F.lit("rounded")))
     return (plan.inputs.opportunities.filter(R.is_present("Opportunity_Usage"))
-            .select("Opportunity_ID", "Opportunity_Usage", issue.alias("Issue")).where("Issue IS NOT NULL"))
+            .select("Opportunity_ID", "Opportunity_Usage", R.amount_issue("Opportunity_Usage").alias("Issue"))
+            .where("Issue IS NOT NULL"))
 
 
 def audit_category_coverage(plan: Plan) -> DataFrame:

@@ -192,6 +192,23 @@ def opportunities_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(copies).drop("_key")
 
 
+def opportunities_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week 25 as a feed that nobody has looked through: some amounts are no numbers, too large or too fine."""
+    key, usage = F.col("_key"), F.col("Opportunity_Usage")
+    bad = (F.when(key % 97 == 0, F.lit("n/a")).when(key % 89 == 0, F.lit("1e60"))
+            .when(key % 83 == 0, F.lit("1,234.5600001")).otherwise(usage))
+    return _opportunity_rows(spark, sf_dir).withColumn("Opportunity_Usage", bad).drop("_key")
+
+
+def revenue_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The week-25 revenue feed as text, with amounts and months that aren't ones."""
+    key = F.col("_key")
+    amount = (F.when(key % 97 == 0, F.lit("n/a")).when(key % 89 == 0, F.lit("12.345"))
+               .when(key % 83 == 0, F.lit("1e30")).otherwise(F.col("Revenue").cast("string")))
+    month = F.when(key % 79 == 0, F.lit("2001-13-01")).otherwise(F.col("Month").cast("string"))
+    return _revenue_rows(spark, sf_dir).withColumns({"Revenue": amount, "Month": month}).drop("_key")
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly targets per account and category for one fiscal year."""
     o = (_table(spark, sf_dir, "orders")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from planmart.operators.fiscal import Calendar
-from planmart.sources import readers, schemas
+from planmart.sources import readers, rejects, schemas
 from planmart.sources.adapters import Inputs
 
 # Table names of the worksheet's database.
@@ -61,6 +61,20 @@ def from_csv(spark: SparkSession, folder: str, names: dict[str, str] | None = No
                   accounts=read("accounts"), sellers=read("sellers"))
 
 
+def ingest_csv(spark: SparkSession, folder: str, names: dict[str, str] | None = None,
+               max_share: float = 0.01) -> tuple[Inputs, dict[str, rejects.Ingest]]:
+    """Inputs from CSV files through the reject channel: a bad line doesn't end the load.
+
+    Returns the inputs and, by input, what came in and what was rejected; an
+    input with more than `max_share` rejected lines is an error.
+    """
+    names = {**DEFAULT_NAMES, **(names or {})}
+    read = {kind: rejects.ingest_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schemas.BY_NAME[kind], max_share)
+            for kind, name in names.items()}
+    rows = {kind: found.rows for kind, found in read.items()}
+    return Inputs(**(rows | {"calendar": Calendar(rows["calendar"])})), read
+
+
 def to_csv(inputs: Inputs, folder: str, names: dict[str, str] | None = None) -> None:
     """Write the six inputs as CSV files in the worksheet's layout (for exchange)."""
     names = {**DEFAULT_NAMES, **(names or {})}
