@@ -205,21 +205,26 @@ class Plan:
         out = full_outer_repeating(both, self.p8, KEYS, ("Baseline", "Opportunities_Into_RR"), ("Target",))
         return out.select(*KEYS, "Baseline", "Target", "Opportunities_Into_RR")
 
+    def with_remaining_months(self, df: DataFrame) -> DataFrame:
+        """Each row as itself (`_own`), and rows of the cutoff month once more for each remaining
+        month of the year, with that as Fiscal_Month."""
+        kind = "array<struct<Fiscal_Month:string,Month_ID:int>>"
+        own = F.array(F.struct("Fiscal_Month", F.lit(None).cast("int").alias("Month_ID"))).cast(kind)
+        later = F.when(F.col("Fiscal_Month") == self.ctx.fiscal_month, self.ctx.future_array().cast(kind))
+        rows = (df.withColumn("_all", F.concat(own, F.coalesce(later, F.array().cast(kind))))
+                .withColumn("_x", F.explode("_all")))
+        # a remaining month has its id
+        return rows.withColumns({"Fiscal_Month": F.col("_x.Fiscal_Month"), "_own": F.col("_x.Month_ID").isNull()}).drop("_all", "_x")
+
     def revenue_with_baseline(self) -> DataFrame:
         """P2 and P7 from one pass over the revenue: each P2 row as itself (``_side`` 0), and rows
         of the cutoff month once more for each remaining month (``_side`` 2) with Baseline.
         Measures of the other side are 0."""
-        ctx = self.ctx
-        kind = "array<struct<Fiscal_Month:string,Month_ID:int>>"
-        own = F.array(F.struct("Fiscal_Month", F.lit(None).cast("int").alias("Month_ID"))).cast(kind)
-        later = F.when(F.col("Fiscal_Month") == ctx.fiscal_month, ctx.future_array().cast(kind))
-        rows = (self.p2.withColumn("_all", F.concat(own, F.coalesce(later, F.array().cast(kind))))
-                .withColumn("_x", F.explode("_all")))
-        side = F.when(F.col("_x.Month_ID").isNull(), 0).otherwise(2)      # a remaining month has its id
-        out = rows.select(
-            "Account_No", F.col("_x.Fiscal_Month").alias("Fiscal_Month"), "Product_Category", side.alias("_side"),
-            *[F.when(side == 0, F.col(m)).otherwise(F.lit(0)).alias(m) for m in REVENUE_MEASURES],
-            F.when(side == 2, F.col("Partner_Fee") + F.col("Revenue")).otherwise(F.lit(0)).alias("Baseline"))
+        side = F.when(F.col("_own"), 0).otherwise(2)
+        out = self.with_remaining_months(self.p2).select(
+            *KEYS, side.alias("_side"),
+            *[F.when(F.col("_own"), F.col(m)).otherwise(F.lit(0)).alias(m) for m in REVENUE_MEASURES],
+            F.when(~F.col("_own"), F.col("Partner_Fee") + F.col("Revenue")).otherwise(F.lit(0)).alias("Baseline"))
         return self.counted("p2_p7_revenue_and_baseline", out)
 
     def _facts(self, grain: str) -> list[tuple[DataFrame, dict[int, tuple[str, ...]]]]:
@@ -258,17 +263,12 @@ class Plan:
         p1 = (self.p1.filter(ctx.in_year("Fiscal_Month")) if self._p1_shared is not None
               else clean.clean_revenue(self.inputs.revenue.filter(ctx.in_year("Month")), self.opts))
         p2 = clean.revenue_by_fiscal_month(p1, self.cal)
-        month, amount = F.col("Fiscal_Month"), (F.col("Partner_Fee") + F.col("Revenue"))
+        amount = F.col("Partner_Fee") + F.col("Revenue")
         by_month = p2.groupBy("Fiscal_Month").agg(F.sum(amount).alias("Amount"))
         # one pass: each month as itself, the cutoff month once more for each remaining month
-        kind = "array<struct<Fiscal_Month:string,Month_ID:int>>"
-        own = F.array(F.struct(month, F.lit(None).cast("int").alias("Month_ID"))).cast(kind)
-        later = F.when(month == ctx.fiscal_month, ctx.future_array().cast(kind))
-        spread = (by_month.withColumn("_all", F.concat(own, F.coalesce(later, F.array().cast(kind))))
-                  .withColumn("_x", F.explode("_all")))
-        is_own = F.col("_x.Month_ID").isNull()
-        revenue = spread.select(F.col("_x.Fiscal_Month").alias("Fiscal_Month"), F.when(is_own, F.col("Amount")).alias("Actual"),
-                                F.when(~is_own, F.col("Amount")).alias("Projected"))
+        revenue = self.with_remaining_months(by_month).select(
+            "Fiscal_Month", F.when(F.col("_own"), F.col("Amount")).alias("Actual"),
+            F.when(~F.col("_own"), F.col("Amount")).alias("Projected"))
         opps = clean.clean_opportunity(self.inputs.opportunities.filter(ctx.in_year("Opportunity_Est_Date")),
                                        self.cal, self.opts)
         rr = self.run_rate("origin")

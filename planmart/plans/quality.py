@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
-from planmart.plans import clean, marts
+from planmart.operators.fiscal import to_fiscal_month
+from planmart.plans import clean
 from planmart.plans.clean import KEYS
 from planmart.plans.planning import Plan
+from planmart.sources.store import MartStore
 
 
 def audit_unmapped(plan: Plan) -> DataFrame:
@@ -77,31 +79,107 @@ def audit_key_uniqueness(plan: Plan) -> DataFrame:
                   [duplicate_keys(df.select(*KEYS), name) for name, df in steps])
 
 
-def ledger_steps(plan: Plan) -> list[tuple[str, DataFrame]]:
-    return [
-        ("revenue_raw", plan.inputs.revenue),
-        ("p1_clean_revenue", plan.p1),
-        ("opportunities_raw", plan.inputs.opportunities),
-        ("p3_clean_opportunity", plan.p3),
-        ("p5_future_months", plan.future_months()),
-        ("p7_baseline", plan.baseline()),
-        ("p8_targets", plan.p8),
-        ("p9_baseline_target", plan.baseline_target()),
-        ("p10_run_rate_origins", plan.run_rate_origins()),
-        ("p10_run_rate", plan.run_rate("origin")),
-        ("p11_baseline_target_run_rate", plan.baseline_target_run_rate("origin")),
-        ("p6_revenue_opportunity", plan.revenue_opportunity()),
-        ("p12_all_transactional", plan.all_transactional("origin", "join")),
-        ("p14_opportunity_summary", marts.opportunity_summary(plan)),
-    ]
+# -- Q5: the row ledger ------------------------------------------------------------------
+#
+# The rows of every step follow from one grouped table: how many rows each input of the merge has
+# per planning key.  A full join has a * b rows of a key that both sides hold, else the rows of the
+# one that does; keys with a NULL part never match.
+
+_PER_KEY = ("p2", "p3", "p7", "p8", "rr")           # rows of the inputs of the merge, by key
+_PLAIN = ("revenue_raw", "opportunities_raw", "p10_origins", "p14")
+
+
+def _tallied(df: DataFrame, **counts) -> DataFrame:
+    """`df`'s keys with a count (a Column) for some of the tallies, 0 for the others."""
+    return df.select(*KEYS, *[(counts[c] if c in counts else F.lit(0)).cast("long").alias(c) for c in (*_PER_KEY, *_PLAIN)])
+
+
+def _revenue_tally(plan: Plan) -> DataFrame:
+    rows = (clean.split_measures(plan.inputs.revenue, plan.opts)
+            .groupBy("Account_No", F.col("Fiscal_Month").alias("_date"), F.col("Product_Category_2").alias("Product_Category"))
+            .agg(F.count(F.lit(1)).alias("_n")))
+    spread = plan.with_remaining_months(to_fiscal_month(rows, plan.cal, "_date"))
+    own = F.col("_own")
+    return _tallied(spread, p2=own.cast("int"), p7=(~own).cast("int"), revenue_raw=F.when(own, F.col("_n")).otherwise(0))
+
+
+def _opportunity_tally(plan: Plan) -> DataFrame:
+    """One pass: each row goes to the steps whose groups it belongs to, and groups are counted."""
+    opts, ctx = plan.opts, plan.ctx
+    used = (R.is_present("Product", opts.collation)
+            & (R.collated("Opportunity_Usage", opts.collation) != R.NULL_TEXT))
+    active = R.collated("Project_Status", opts.collation) != R.INACTIVE
+    ahead = (F.col("Opportunity_Est_Date") > ctx.cutoff) & (F.col("Fiscal_Year") == ctx.fiscal_year)
+    if not opts.include_current_month:
+        ahead = ahead & (F.col("Fiscal_Month") != ctx.fiscal_month)
+    detail = F.struct("Product", "Opportunity_ID", "Opportunity_Name", "Project_Status", "Opportunity_Status", "Opportunity_Stage")
+    # raw rows are one group, the others groups by the step's own keys
+    blank = {"Account_No": "string", "Product_Category": "string", "Fiscal_Month": "string", "Month_ID": "int"}
+
+    def tag(step: str, *cols: str, more=None):
+        keys = [(F.col(c) if c in cols else F.lit(None)).cast(t).alias(c) for c, t in blank.items()]
+        return F.struct(F.lit(step).alias("step"), *keys, (detail if more is not None else F.lit(None).cast(kind)).alias("detail"))
+
+    rows = to_fiscal_month(plan.inputs.opportunities, plan.cal, "Opportunity_Est_Date", keep_date=True, wide=True).withColumns({
+        "Account_No": F.col("Store_No"), "Product_Category": R.categorise("Product", R.OPPORTUNITY_CATEGORY_RULES, opts.collation)})
+    kind = rows.select(detail.alias("d")).schema["d"].dataType
+    keys = ("Account_No", "Product_Category", "Fiscal_Month")
+    summed = used & active if opts.drop_inactive_in_summary else used
+    tags = F.array_compact(F.array(
+        tag("raw"), F.when(used & active, tag("p3", *keys)), F.when(used & active & ahead, tag("origin", *keys, "Month_ID")),
+        F.when(summed, tag("p14", *keys, more=detail))))
+    groups = (rows.select(F.explode(tags).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("_n")).select("t.*", "_n")
+              .withColumns({"_later": ctx.future_array(), "_last": ctx.last_future_id}))
+    step = F.col("step")
+    # an origin month is one row of the run rate for each remaining month from its own on
+    later = F.filter("_later", lambda m: m["Month_ID"] >= F.col("Month_ID"))
+    ids = F.when(step == "origin", F.transform(later, lambda m: m["Month_ID"] + 1))
+    if opts.clip_to_fy:
+        ids = F.filter(ids, lambda i: i <= F.col("_last"))
+    spread = groups.withColumn("_ids", F.concat(F.array(F.lit(-1)), F.coalesce(ids, F.array().cast("array<int>"))))
+    spread = spread.withColumn("_est", F.explode("_ids"))
+    months = plan.cal.months().select(F.col("Month_ID").alias("_id"), F.col("Fiscal_Month").alias("_month"))
+    spread = spread.join(months, F.col("_est") == F.col("_id"), "left")
+    own = F.col("_est") == -1
+    spread = spread.withColumn("Fiscal_Month", F.when(own, F.col("Fiscal_Month")).otherwise(F.col("_month")))
+    return _tallied(spread, p3=(own & (step == "p3")).cast("int"), rr=(~own).cast("int"),
+                    opportunities_raw=F.when(own & (step == "raw"), F.col("_n")).otherwise(0),
+                    p10_origins=(own & (step == "origin")).cast("int"), p14=(own & (step == "p14")).cast("int"))
 
 
 def row_ledger(plan: Plan) -> DataFrame:
-    """Q5: row count of every pipeline step, as one DataFrame."""
-    counts = [df.agg(F.count(F.lit(1)).alias("Row_Count")).select(F.lit(name).alias("Step"),
-                                                                   "Row_Count")
-              for name, df in ledger_steps(plan)]
-    return reduce(DataFrame.unionByName, counts)
+    """Q5: row count of every pipeline step, as one DataFrame (Step, Row_Count).
+
+    One plan: each feed is read once (and the cutoff once), no step is built for its
+    count, and what is shuffled has been added up by planning key.  The calendar
+    has one row per day and month, as everywhere.
+    """
+    parts = [_revenue_tally(plan), _opportunity_tally(plan), _tallied(plan.p8, p8=F.lit(1))]
+    by_key = reduce(DataFrame.unionByName, parts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in (*_PER_KEY, *_PLAIN)])
+    lost = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in KEYS])
+
+    def full(a: str, b: str):
+        alone = lost | (F.col(a) == 0) | (F.col(b) == 0)
+        return F.when(alone, F.col(a) + F.col(b)).otherwise(F.col(a) * F.col(b))
+
+    joined = (by_key.withColumns({"p9": full("p7", "p8"), "p6": full("p2", "p3")})
+              .withColumn("p11", full("p9", "rr")).withColumn("p12", full("p6", "p11")))
+    steps = {"revenue_raw": "revenue_raw", "p1_clean_revenue": "p2", "opportunities_raw": "opportunities_raw",
+             "p3_clean_opportunity": "p3", "p7_baseline": "p7", "p8_targets": "p8", "p9_baseline_target": "p9",
+             "p10_run_rate_origins": "p10_origins", "p10_run_rate": "rr", "p11_baseline_target_run_rate": "p11",
+             "p6_revenue_opportunity": "p6", "p12_all_transactional": "p12", "p14_opportunity_summary": "p14"}
+    total = joined.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name) for name, c in steps.items()])
+    months = F.coalesce(F.size(plan.ctx.future_array()), F.lit(0)).cast("long")
+    rows = [F.struct(F.lit(name).alias("Step"), F.col(name).alias("Row_Count")) for name in steps]
+    rows.append(F.struct(F.lit("p5_future_months").alias("Step"), months.alias("Row_Count")))
+    return total.select(F.explode(F.array(*rows)).alias("r")).select("r.Step", "r.Row_Count")
+
+
+def keep_ledger(plan: Plan, store: MartStore, run: str, name: str = "row_ledger") -> DataFrame:
+    """The ledger of a run, next to those of the runs before, in a new version of `name`."""
+    now = row_ledger(plan).select(F.lit(run).alias("Run"), "Step", "Row_Count")
+    before = store.read(name).where(F.col("Run") != run) if store.current(name) else now.limit(0)
+    return store.publish(before.unionByName(now), name)
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
