@@ -536,5 +536,5 @@ def wow_stream(spark, sf_dir):
     landing, out = shared_dir(spark, "wow_landing"), shared_dir(spark, "wow_out")
     snapshots.write_snapshot(adapters.opportunities_prev(spark, sf_dir), landing, 24)
     snapshots.write_snapshot(adapters.opportunities(spark, sf_dir), landing, 25)
-    snapshots.start_wow_stream(spark, landing, out).awaitTermination()
+    snapshots.start_wow_stream(spark, landing, out, buckets=16).awaitTermination()
     return snapshots.read_changes(spark, out).filter(F.col("Week") == 25)

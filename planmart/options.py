@@ -22,6 +22,9 @@ class PlanOptions:
     null_band: str | None = None
     # Optional Spark collation for text rules, e.g. "UTF8_LCASE_RTRIM".
     collation: str | None = None
+    # Collation of the planning keys (account numbers, target categories) in joins and groupings,
+    # e.g. "UTF8_LCASE_RTRIM": keys that are equal under it are one key.  None: binary.
+    key_collation: str | None = None
     # Fail a build in which a calendar, account or seller lookup holds a key twice (its
     # rows would multiply); off, rows multiply as in the worksheet.  `publish_marts` turns it on.
     unique_lookups: bool = False

@@ -13,6 +13,7 @@ from planmart.operators.joins import left_lookup, unique_by
 from planmart.plans import clean
 from planmart.plans.planning import P12_MEASURES, Plan
 from planmart.plans.clean import KEYS
+from planmart.plans.keys import spellings
 
 MONTH_ATTRS = ("Fiscal_Quarter", "Fiscal_Year", "Month_ID")
 ACCOUNT_ATTRS = ("Account_Name", "Industry", "Vertical", "Segment",
@@ -43,6 +44,15 @@ def with_lookups(df: DataFrame, cal: Calendar, accounts: DataFrame, sellers: Dat
     return left_lookup(out, both, "Account_No", "_account", (*ACCOUNT_ATTRS, *SELLER_ATTRS), True)
 
 
+def spelled(df: DataFrame, plan: Plan) -> DataFrame:
+    """`df` with account numbers as the account lookup spells them, where keys were normalised."""
+    if not plan.opts.key_collation:
+        return df
+    names = spellings(plan.raw.accounts, plan.opts.key_collation)
+    out = left_lookup(df, names, "Account_No", "Normal_No", ["Spelled_No"], True)
+    return out.withColumn("Account_No", F.coalesce("Spelled_No", "Account_No"))
+
+
 def account_lookup(df: DataFrame, plan: Plan, columns: Sequence[str]) -> DataFrame:
     """`columns` of the account and seller lookups by Account_No; only the lookups that hold one are read."""
     i, out = plan.inputs, df
@@ -58,8 +68,8 @@ def revenue_summary(plan: Plan, grain: str | None = None, combine: str | None =
     """All transactional facts + calendar, account and seller lookups (25 columns)."""
     facts = plan.all_transactional(grain, combine)
     i = plan.inputs
-    return with_lookups(facts, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups).select(
-        *KEYS, *P12_MEASURES, *MONTH_ATTRS, *ACCOUNT_ATTRS, *SELLER_ATTRS)
+    full = with_lookups(facts, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups)
+    return spelled(full, plan).select(*KEYS, *P12_MEASURES, *MONTH_ATTRS, *ACCOUNT_ATTRS, *SELLER_ATTRS)
 
 
 def opportunity_detail(plan: Plan, drop_inactive: bool | None = None) -> DataFrame:
@@ -91,7 +101,7 @@ def opportunity_summary(plan: Plan, compat_aliases: bool | None = None,
                                                         plan.opts.null_band),
     })
     i = plan.inputs
-    full = with_lookups(banded, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups)
+    full = spelled(with_lookups(banded, plan.cal, i.accounts, i.sellers, plan.opts.unique_lookups), plan)
     head = (*OPPORTUNITY_DETAIL, "Opportunity_Usage", "Extrap_Month_Left_For_FY",
             "Opportunity_Extrapolation", "Opportunity_Usage_Range",
             "Opportunity_Extrapolation_Range")

@@ -21,6 +21,7 @@ from planmart.operators.fiscal import FiscalContext, cutoff_from_raw, cutoff_of,
 from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, full_outer_repeating, union_combine
 from planmart.options import DEFAULT, PlanOptions
 from planmart.plans import clean
+from planmart.plans import keys as keys_of
 from planmart.plans.clean import KEYS, REVENUE_MEASURES
 from planmart.sources.adapters import Inputs
 
@@ -35,10 +36,11 @@ class Plan:
     def __init__(self, inputs: Inputs, opts: PlanOptions = DEFAULT, p1: DataFrame | None = None):
         """`p1`: a maintained revenue aggregate with `_nonzero` (`plans/refresh.py`); the plan
         then reads it, also for the cutoff, in place of the revenue feed."""
-        self.inputs = inputs
+        self.raw = inputs
+        self.inputs = keys_of.with_normal_keys(inputs, opts.key_collation) if opts.key_collation else inputs
         self.opts = opts
         self.cal = inputs.calendar
-        self._p1_given = self._p1_shared = p1
+        self.given_p1 = self._p1_shared = p1
         # Filled while the plan's frames are written: rows per step (see `counting`).
         self.observations: dict[str, Observation] | None = None
 
@@ -57,7 +59,7 @@ class Plan:
         blocks are recomputed from lineage) and the cutoff, the baseline and
         the merge all read it.  Registered single queries stay lazy instead.
         """
-        whole = (self._p1_given if self._p1_given is not None
+        whole = (self.given_p1 if self.given_p1 is not None
                  else clean.clean_revenue(self.inputs.revenue, self.opts, with_activity=True))
         shared = whole.persist(StorageLevel.MEMORY_AND_DISK)
         self._p1_shared = shared
@@ -66,7 +68,7 @@ class Plan:
         try:
             yield self
         finally:
-            self._p1_shared = self._p1_given
+            self._p1_shared = self.given_p1
             shared.unpersist()
 
     # -- cleaned feeds -----------------------------------------------------

@@ -35,7 +35,7 @@ def publish_marts(plan: Plan, out_dir: str | None = None, store: MartStore | Non
     """
     spark: SparkSession = plan.inputs.revenue.sparkSession
     store = store or MartStore(spark, out_dir or shared_dir(spark, "marts"))
-    checked = Plan(plan.inputs, plan.opts.with_(unique_lookups=True))
+    checked = Plan(plan.raw, plan.opts.with_(unique_lookups=True), plan.given_p1)
     counts: dict[str, int] = {}
     staged: list[Version] = []
     with checked.persisted():
