@@ -22,24 +22,26 @@ from pyspark.sql import functions as F
 from planmart.llm.common import written
 
 SCALE = 256.0
-LIMIT = 1 << 26            # quantised components beyond this could overflow a long score
+LONG = float(1 << 63)      # a quantised component must be a long
 ROWS_PER_BLOCK = 16384
-QUERIES_PER_BLOCK = 256
+QUERIES_PER_BLOCK = 1024
 _INDEX = "dims int, block int, n int, bits int, low long, ids binary, slices binary"
 _QUERIES = "dims int, part int, ids binary, marks binary, vectors binary"
 
 
 def quantised(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """(vec_id, dims, q): floor(256 * x) of each component.  Vectors that are NULL, have a
-    NULL or non-finite component or one beyond 2^18, or no vec_id, take no part;
-    rows repeated in full count once."""
+    NULL or non-finite component, or no vec_id, take no part; rows repeated in full
+    count once.  A component that isn't a long once quantised is an error."""
     x = F.col("e")
-    sound = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < LIMIT / SCALE))
+    sound = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    wide = F.raise_error(F.lit("a quantised component doesn't fit 64 bits")).cast("long")
     return (vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"),
                            F.col(f"`{embedding}`").cast("array<double>").alias("e"))
             .where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
             .select("vec_id", F.size(x).alias("dims"),
-                    F.transform(x, lambda v: F.floor(v * SCALE)).alias("q")).distinct())
+                    F.transform(x, lambda v: F.when((v * SCALE >= LONG) | (v * SCALE < -LONG), wide)
+                                .otherwise(F.floor(v * SCALE))).alias("q")).distinct())
 
 
 def build_slices(values: np.ndarray) -> tuple[int, int, np.ndarray]:
@@ -47,7 +49,7 @@ def build_slices(values: np.ndarray) -> tuple[int, int, np.ndarray]:
     64 rows to a word."""
     n, dims = values.shape
     low = int(values.min()) if values.size else 0
-    up = (values - low).astype(np.uint64)
+    up = values.astype(np.uint64) - np.uint64(low % (1 << 64))         # below 2^64, also where values - low isn't a long
     bits = max(1, int(up.max()).bit_length()) if values.size else 1
     words = -(-max(n, 1) // 64)
     slices = np.zeros((dims, bits, words * 8), np.uint8)
@@ -61,9 +63,9 @@ def add_up(slices: np.ndarray, query: np.ndarray) -> tuple[list[np.ndarray], np.
     """Slices (least significant first) of sum |q_d| * v_d over the rows, where v_d is component d, or
     its complement where q_d < 0; addends of one weight meet in full adders three at a time."""
     dims, bits, words = slices.shape
-    size = np.abs(query)
+    size = np.where(query < 0, -query, query).astype(np.uint64)         # also of the least long
     signed = slices ^ np.where(query < 0, ~np.uint64(0), np.uint64(0))[:, None, None]
-    chosen = [np.flatnonzero((size >> j) & 1) for j in range(int(size.max()).bit_length() if dims else 0)]
+    chosen = [np.flatnonzero((size >> np.uint64(j)) & np.uint64(1)) for j in range(int(size.max()).bit_length() if dims else 0)]
     carried: list[np.ndarray] = []
     total: list[np.ndarray] = []
     weight = 0
@@ -118,11 +120,15 @@ def block_top(ids: np.ndarray, low: int, slices: np.ndarray, query_id: int, quer
     sure, tied = select_top(total, np.packbits(rows, bitorder="little").view(np.uint64), k)
     at = positions(sure)
     at = np.concatenate([at, positions(tied)[:max(0, k - len(at))]])
-    back = low * int(query.sum()) - ((1 << bits) - 1) * int(-query[query < 0].sum())
-    score = np.zeros(len(at), np.int64)
+    exact = query.tolist()                       # Python's integers have no bound
+    back = low * sum(exact) - ((1 << bits) - 1) * sum(-x for x in exact if x < 0)
+    score = np.zeros(len(at), object if len(total) > 62 else np.int64)
     for w, s in enumerate(total):
-        score += (((s[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)) << w
-    return [(int(ids[i]), int(x) + back) for i, x in zip(at, score, strict=True)]
+        score += ((s[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(score.dtype) << w
+    found = [(int(ids[i]), int(x) + back) for i, x in zip(at, score, strict=True)]
+    if any(not -(1 << 63) <= x < 1 << 63 for _, x in found):
+        raise OverflowError(f"a score of query {query_id} doesn't fit 64 bits")
+    return found
 
 
 def build_index(rows: DataFrame, blocks: int) -> DataFrame:
@@ -160,6 +166,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     Only vectors of equal length are compared.  Of a vec_id with several
     vectors each is a candidate, and each is a query with ranks of its own.
     Fewer candidates than k give as many rows as there are; none gives none.
+    Components may have any size; a result whose score doesn't fit a long is an error.
     """
     rows = written(quantised(vectors, vec_id, embedding))
     queries = rows.where(is_query)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from planmart.llm import bitsliced
@@ -64,3 +65,31 @@ def test_bitmap_sums_and_selection():
         order = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != 9)[:k]
         assert got == [(i, -s) for s, i in order]
     assert bitsliced.block_top(ids, low, slices, -1, np.zeros(9, np.int64), 2) == [(0, 0), (3, 0)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 300_000.0, 2.0**20, 2.0**40])
+def test_large_components_take_part(session, scale):
+    rng = np.random.default_rng(int(scale) % 1000)
+    rows = [(i, [float(x) for x in rng.normal(size=3) * scale ** (i % 2 if scale > 2**30 else 1)]) for i in range(60)]
+    rows += [(100, [1.0, float("inf"), 0.0]), (101, [float("nan"), 1.0, 2.0]), (102, None), (103, [1.0, None, 2.0])]
+    if scale > 2**30:                       # one large factor a product, so that scores fit
+        rows = [r for r in rows if r[0] >= 100 or r[0] % 2 == 1 or r[0] % 4 == 0]
+    is_query = F.col("vec_id") % 4 == 0
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in bitsliced.top_k(
+        session.createDataFrame(rows, "vec_id long, embedding array<double>"), is_query, k=3, rows_per_block=25).collect()}
+    q = {i: [math.floor(256 * x) for x in e] for i, e in rows if i < 100}
+    want = {}
+    for i in (x for x in q if x % 4 == 0):
+        scores = sorted(((-sum(a * b for a, b in zip(q[i], v)), j) for j, v in q.items() if j != i))[:3]
+        want |= {(i, n): (j, -s) for n, (s, j) in enumerate(scores, 1)}
+    assert got == want
+
+
+def test_what_fits_no_long_is_an_error(session):
+    frame = lambda *rows: session.createDataFrame(list(rows), "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        bitsliced.top_k(frame((0, [1e18]), (1, [1.0])), F.col("vec_id") == 1).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        bitsliced.top_k(frame((0, [1e15]), (1, [1e15])), F.col("vec_id") == 1).collect()
+    got = bitsliced.top_k(frame((0, [1.0, 2.0]), (1, [300000.0, 1.0]), (2, [1.0, 1.0])), F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 256 * 256 * 300002), (2, 3 * 256 * 256)]
