@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from planmart.llm.common import written
 
-#: Type names a schema may use, and how the value's own type must begin.
-TYPES = {"integer": "^BIGINT$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT)", "string": "^STRING$",
+#: Type names a schema may use, and how the value's own type must begin (5.0 is written as 5 and counts as an integer).
+TYPES = {"integer": r"^(BIGINT|DECIMAL\([0-9]+,0\))$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT)", "string": "^STRING$",
          "boolean": "^BOOLEAN$", "array": "^ARRAY", "object": "^OBJECT", "null": "^VOID$"}
 
 
@@ -40,19 +40,37 @@ def depths(calls: DataFrame) -> DataFrame:
     return nodes.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
+def parsed(arguments: Column) -> Column:
+    """The value of a JSON text; NULL for what isn't one JSON text.
+
+    The parser stops behind the first value, so the text must also stand as the only
+    item of an array and as the only member of an object: nothing may follow
+    it.  Repeated members aren't JSON here, nor are numbers beyond a double
+    (which would be written as the text Infinity).
+    """
+    value = F.try_parse_json(arguments)
+    item = F.try_parse_json(F.concat(F.lit("["), arguments, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"":'), arguments, F.lit("}")))
+    alone = member.isNotNull() & item.isNotNull() & F.try_variant_get(item, "$[1]", "variant").isNull()
+    infinite = r'"-?Infinity"'
+    finite = F.regexp_count(F.to_json(value), F.lit(infinite)) <= F.regexp_count(arguments, F.lit(infinite))
+    return F.when(alone & finite, value)
+
+
 def errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """`calls` (name, arguments, ...) with errors, sorted and joined by commas: bad_json,
     unknown_tool, missing:<p>, unknown:<p>, type:<p>; empty for valid calls.
 
     `schemas` (name, params: map of parameter to a name in TYPES, required:
-    array); of repeated names the smallest row counts.
+    array); of repeated names the smallest row counts.  Arguments are parsed as they are for
+    the output (`parsed`); what isn't an object is bad_json.
     """
     one = (schemas.groupBy("name").agg(F.min(F.struct(
         F.array_sort(F.map_entries("params")).alias("params"), F.array_sort("required").alias("required"))).alias("_s"))
         .withColumnRenamed("name", "_tool"))
     rows = calls.join(one, F.col("name") == F.col("_tool"), "left").withColumn(
-        "_a", F.when(F.substring(F.ltrim(F.col("arguments")), 1, 1) == "{",
-                     F.from_json("arguments", "map<string,variant>")))
+        "_v", parsed(F.col("arguments"))).withColumn(
+        "_a", F.when(F.startswith(F.schema_of_variant("_v"), F.lit("OBJECT")), F.col("_v").cast("map<string,variant>")))
     rows = rows.withColumns({
         "_p": F.map_from_entries("_s.params"),
         "_t": F.transform_values("_a", lambda _, v: F.schema_of_variant(v))})
@@ -68,12 +86,12 @@ def errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     found = (F.when(F.col("_a").isNull(), F.array(F.lit("bad_json")))
              .when(F.col("_tool").isNull(), F.array(F.lit("unknown_tool")))
              .otherwise(F.array_sort(F.concat(missing, unknown, wrong))))
-    return rows.withColumn("errors", F.array_join(found, ",")).drop("_a", "_p", "_t", "_s", "_tool")
+    return rows.withColumn("errors", F.array_join(found, ",")).drop("_a", "_v", "_p", "_t", "_s", "_tool")
 
 
 def canonical(arguments: Column) -> Column:
     """JSON with sorted keys and no blanks, at every depth; NULL for what isn't JSON."""
-    return F.to_json(F.try_parse_json(arguments))
+    return F.to_json(parsed(arguments))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -110,7 +128,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     def text(**fields: Column) -> Column:
         return F.to_json(F.struct(*[c.alias(k) for k, c in sorted(fields.items())]), {"ignoreNullFields": "false"})
 
-    arguments = F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant"))
+    arguments = F.coalesce(parsed(F.col("arguments")), F.col("arguments").cast("variant"))
     made = joined(calls).select(
         "conv_id", "turn", F.lit("call").alias("kind"), "call_id", (2 * F.col("depth")).alias("level"),
         F.col("_first").isNotNull().alias("linked"),
@@ -141,7 +159,12 @@ def schema_table(spark) -> DataFrame:
 
 
 def conversation_calls(turns: DataFrame) -> DataFrame:
-    """Assistant turns as calls: each uses the result of the assistant turn two turns before."""
+    """Assistant turns as calls: each uses the result of the assistant turn two turns before.
+
+    Some are bad, by the length of the text: arguments with text behind them or with a member twice; and
+    by the conversation: a first turn that uses its own result (every third of ten), and
+    calls whose identifier another turn has used (turn 3 of every seventh).
+    """
     n = F.length("text")
     pick = F.pmod(n, F.lit(4))
     arguments = (F.when(pick == 0, F.to_json(F.struct(F.col("text").alias("query"), (n % 50).alias("limit"))))
@@ -150,10 +173,15 @@ def conversation_calls(turns: DataFrame) -> DataFrame:
                  .when(pick == 2, F.to_json(F.struct(F.col("text").alias("key"),
                                                      F.when(n % 5 == 0, F.lit("yes")).otherwise(F.lit("no")).alias("exact"))))
                  .otherwise(F.to_json(F.struct("text"))))
+    arguments = (F.when(n % 17 == 3, F.concat(arguments, F.lit(" and more"))).when(n % 19 == 4, F.lit('{"text":"a","text":"b"}'))
+                 .otherwise(arguments))
     name = F.element_at(F.array(F.lit("search"), F.lit("summarise"), F.lit("lookup"), F.lit("translate")),
                         (pick + 1).cast("int"))
-    call = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    parent = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - 2).cast("string"))
+    again = (F.col("conv_id") % 7 == 0) & (F.col("turn") == 3)
+    loop = (F.col("conv_id") % 10 == 3) & (F.col("turn") == 1)
+    of = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    call = of(F.when(again, 1).otherwise(F.col("turn")))
+    parent = of(F.when(loop, 1).otherwise(F.col("turn") - 2))
     return turns.where("role = 'assistant'").select("conv_id", "turn", call.alias("call_id"),
                                                     parent.alias("parent_id"), name.alias("name"),
                                                     arguments.alias("arguments"))
@@ -168,7 +196,8 @@ def conversation_results(turns: DataFrame) -> DataFrame:
 
 ORACLE_SQL = """
 WITH RECURSIVE a AS (
-  SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, 'c' || conv_id || '-' || (turn - 2) AS parent_id,
+  SELECT conv_id, turn, 'c' || conv_id || '-' || CASE WHEN conv_id % 7 = 0 AND turn = 3 THEN 1 ELSE turn END AS call_id,
+    'c' || conv_id || '-' || CASE WHEN conv_id % 10 = 3 AND turn = 1 THEN 1 ELSE turn - 2 END AS parent_id,
     length(text) AS n, length(text) % 4 AS pick, CAST(to_json(text) AS VARCHAR) AS t
   FROM conversations WHERE role = 'assistant'),
 c AS (
@@ -176,23 +205,31 @@ c AS (
     CASE pick WHEN 0 THEN '{"limit":' || (n % 50) || ',"query":' || t || '}'
       WHEN 1 THEN CASE WHEN n % 3 = 0 THEN '{"text":' || t || '}' ELSE '{"max_words":' || n || ',"text":' || t || '}' END
       WHEN 2 THEN '{"exact":"' || CASE WHEN n % 5 = 0 THEN 'yes' ELSE 'no' END || '","key":' || t || '}'
-      ELSE '{"text":' || t || '}' END AS arguments,
-    CASE WHEN pick = 1 AND n % 3 = 0 THEN 'missing:max_words' WHEN pick = 2 THEN 'type:exact'
-      WHEN pick = 3 THEN 'unknown_tool' ELSE '' END AS errors
+      ELSE '{"text":' || t || '}' END AS good,
+    CASE pick WHEN 0 THEN '{"query":' || t || ',"limit":' || (n % 50) || '}'
+      WHEN 1 THEN CASE WHEN n % 3 = 0 THEN '{"text":' || t || '}' ELSE '{"text":' || t || ',"max_words":' || n || '}' END
+      WHEN 2 THEN '{"key":' || t || ',"exact":"' || CASE WHEN n % 5 = 0 THEN 'yes' ELSE 'no' END || '"}'
+      ELSE '{"text":' || t || '}' END || ' and more' AS tailed,
+    n % 17 = 3 AS tail, n % 17 <> 3 AND n % 19 = 4 AS twice,
+    CASE WHEN n % 17 = 3 OR n % 19 = 4 THEN 'bad_json' WHEN pick = 1 AND n % 3 = 0 THEN 'missing:max_words'
+      WHEN pick = 2 THEN 'type:exact' WHEN pick = 3 THEN 'unknown_tool' ELSE '' END AS errors
   FROM a),
+f AS (SELECT call_id, min(turn) AS turn, arg_min(parent_id, turn) AS parent_id FROM c GROUP BY call_id),
 u AS (
   SELECT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, CAST(to_json(text) AS VARCHAR) AS t
   FROM conversations WHERE role <> 'assistant' OR role IS NULL),
 d(call_id, depth) AS (
-  SELECT call_id, CAST(0 AS BIGINT) FROM c WHERE parent_id NOT IN (SELECT call_id FROM c)
-  UNION ALL SELECT c.call_id, d.depth + 1 FROM c JOIN d ON c.parent_id = d.call_id)
-SELECT conv_id, turn, 'call' AS kind, call_id, 2 * depth AS level,
-  call_id IN (SELECT call_id FROM u) AS linked, false AS repeated, errors,
-  '{"arguments":' || arguments || ',"call_id":"' || call_id || '","conv_id":' || conv_id || ',"kind":"call","name":"'
-    || name || '","turn":' || turn || '}' AS json
-FROM c JOIN d USING (call_id)
+  SELECT call_id, CAST(0 AS BIGINT) FROM f WHERE parent_id NOT IN (SELECT call_id FROM f)
+  UNION ALL SELECT f.call_id, d.depth + 1 FROM f JOIN d ON f.parent_id = d.call_id)
+SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, 2 * depth AS level,
+  c.call_id IN (SELECT call_id FROM u) AS linked, c.turn <> f.turn AS repeated, errors,
+  '{"arguments":' || CASE WHEN tail THEN CAST(to_json(tailed) AS VARCHAR)
+      WHEN twice THEN CAST(to_json('{"text":"a","text":"b"}') AS VARCHAR) ELSE good END
+    || ',"call_id":"' || c.call_id || '","conv_id":' || c.conv_id || ',"kind":"call","name":"'
+    || name || '","turn":' || c.turn || '}' AS json
+FROM c JOIN f USING (call_id) LEFT JOIN d USING (call_id)
 UNION ALL
-SELECT conv_id, turn, 'result', call_id, 2 * depth + 1, depth IS NOT NULL, false, NULL,
+SELECT conv_id, turn, 'result', call_id, 2 * depth + 1, call_id IN (SELECT call_id FROM f), false, NULL,
   '{"call_id":"' || call_id || '","content":' || t || ',"conv_id":' || conv_id || ',"kind":"result","turn":' || turn || '}'
 FROM u LEFT JOIN d USING (call_id)
 """

@@ -42,6 +42,24 @@ def test_order_links_and_errors(session):
         assert r.json == json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def test_one_parser_for_checks_and_output(session):
+    """What is kept as a JSON string is bad_json, and the other way round; nothing is lost silently."""
+    long = json.dumps({"text": "ab " * 200_000})
+    cases = {'{"x":1} trailing': "bad_json", '{"x":1,"x":2}': "bad_json", '{"x":1e400}': "bad_json", '{"x":1}] x': "bad_json",
+             '{"x":1}} x': "bad_json", '{"x":1},{"x":2}': "bad_json", '{"x":1},"y":{}': "bad_json", '{"x":5.0}': "", '{"x":12345678901234567890}': "",
+             '{"x":1.5}': "type:x", '{"x":1e3}': "type:x", ' {"x" : 1 , "y":-0.5e-3} ': "", '{"x":1,"y":"Infinity"}': "type:y",
+             "{}": "missing:x", "": "bad_json", "[]": "bad_json", "5": "bad_json", '{"x":null}': "type:x", long: "missing:x,unknown:text"}
+    rows = run(session, [(1, i, f"c{i}", None, "add", text) for i, text in enumerate(cases)], [])
+    for r in rows:
+        text = list(cases)[r.turn]
+        assert (text[:40], r.errors) == (text[:40], cases[text])
+        out = json.loads(r.json)["arguments"]
+        if r.errors == "bad_json" and text not in ("[]", "5"):
+            assert out == text
+        else:
+            assert out == json.loads(text)
+
+
 def test_long_chains_take_few_joins(session):
     calls = [(1, i, f"c{i}", f"c{i - 1}" if i else None, "say", "{}") for i in range(300)]
     rows = run(session, calls[::-1], [])
