@@ -25,8 +25,9 @@ from planmart.llm.pieces import forget, texts_of
 SHARE = 0.75                    # of a group's documents in the subset
 STEPS = 6                       # concentration steps
 LEAST = 50                      # documents; smaller groups are measured against their language, then all documents
-CUT = 28.47                     # 0.99999 quantile of chi-square with DIMS dimensions
-FLOORS = (0.08, 0.06, 0.6, 0.12)    # standard deviations added to each statistic's own
+CUT = 18.47                     # 0.999 quantile of chi-square with DIMS dimensions
+EVENTS = 4                      # counted events that a document of its group's median size may have by chance
+WORD_SPREAD = 0.5               # standard deviation of a word's length over its mean
 BINS_PER_DOUBLING, LEAST_BIN, MOST_BIN = 16, -320, 800
 DIMS = 4
 SYMBOLS = "#*$%&|<>"
@@ -104,6 +105,17 @@ def consistency(share: float) -> float:
     return share / max(_chi2(DIMS + 2, low), 1e-12)
 
 
+def noise(n_words: float, word_chars: float) -> list[float]:
+    """Variance that counting alone gives the statistics of a document of that size: EVENTS times the mean length's
+    own, EVENTS symbols, one repeated line, EVENTS windows of three words.
+
+    It is added to every covariance: most documents of a group may have no symbol or repeated
+    line at all, and a few of them don't make an outlier.
+    """
+    n, chars = max(1.0, n_words), max(1.0, word_chars)
+    return [WORD_SPREAD ** 2 * EVENTS / n, EVENTS / chars, math.log(2) ** 2, 3 * EVENTS / n]
+
+
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 
 
@@ -113,12 +125,12 @@ def _distance(mu: str, inverse: str) -> Column:
                                        for k, (i, j) in enumerate(PAIRS)), F.lit(0.0)))
 
 
-def _params(mean: np.ndarray, cov: np.ndarray) -> tuple[list[float], list[float]]:
-    inverse = np.linalg.inv(cov + np.diag(np.square(FLOORS)))
+def _params(mean: np.ndarray, cov: np.ndarray, ridge: list[float]) -> tuple[list[float], list[float]]:
+    inverse = np.linalg.inv(cov + np.diag(ridge))
     return mean.tolist(), [float(inverse[i, j]) for i, j in PAIRS]
 
 
-_MODEL = "g string, n long, mu array<double>, inverse array<double>"
+_MODEL = "g string, n long, ridge array<double>, mu array<double>, inverse array<double>"
 
 
 def _concentrate(bins: DataFrame) -> DataFrame:
@@ -134,23 +146,26 @@ def _concentrate(bins: DataFrame) -> DataFrame:
         for i, j in PAIRS:
             cov[i, j] = cov[j, i] = inner[f"p{i}{j}"].sum() / h - mean[i] * mean[j]
         cov *= consistency(min(h / n, 0.999))
-        return pd.DataFrame([(key[0], n, *_params(mean, cov))], columns=["g", "n", "mu", "inverse"])
+        ridge = [float(x) for x in group["ridge"].iloc[0]]
+        return pd.DataFrame([(key[0], n, ridge, *_params(mean, cov, ridge))], columns=["g", "n", "ridge", "mu", "inverse"])
 
     return bins.groupBy("g").applyInPandas(of, _MODEL)
 
 
 def _start(table: DataFrame) -> DataFrame:
-    """Coordinate-wise medians, and the spread of their quartiles, per group."""
+    """Coordinate-wise medians, the spread of their quartiles, and the noise of the median size, per group."""
     quarters = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIMS)]
-    rows = table.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *quarters)
+    size = [F.greatest(F.percentile_approx(c, 0.5, 1000).cast("double"), F.lit(1.0)) for c in ("n_words", "word_chars")]
+    ridge = F.array(WORD_SPREAD ** 2 * EVENTS / size[0], EVENTS / size[1], F.lit(math.log(2) ** 2), 3 * EVENTS / size[0])
+    rows = table.groupBy("g").agg(F.count(F.lit(1)).alias("n"), ridge.alias("ridge"), *quarters)
     mu = F.array(*[F.col(f"q{i}")[1] for i in range(DIMS)])
-    spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2)) + FLOORS[i] ** 2 for i in range(DIMS)]
+    spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2)) + F.col("ridge")[i] for i in range(DIMS)]
     inverse = F.array(*[1 / spread[i] if i == j else F.lit(0.0) for i, j in PAIRS])
-    return rows.select("g", "n", mu.alias("mu"), inverse.alias("inverse"))
+    return rows.select("g", "n", "ridge", mu.alias("mu"), inverse.alias("inverse"))
 
 
 def estimates(table: DataFrame, steps: int = STEPS) -> DataFrame:
-    """g, n, mu, inverse for each group g of `table` (g, x0, x1, ...)."""
+    """g, n, ridge, mu, inverse for each group g of `table` (g, n_words, word_chars, x0, x1, ...)."""
     model = written(_start(table))
     sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)]
     products = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in PAIRS]
@@ -159,7 +174,7 @@ def estimates(table: DataFrame, steps: int = STEPS) -> DataFrame:
         number = F.floor(BINS_PER_DOUBLING * F.log2(d2 + 1e-6)).cast("int")
         bins = (table.join(model, "g")
                 .withColumn("bin", F.least(F.greatest(number, F.lit(LEAST_BIN)), F.lit(MOST_BIN)))
-                .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("c"), *sums, *products))
+                .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("c"), F.any_value("ridge").alias("ridge"), *sums, *products))
         model = written(_concentrate(bins))
     return model
 
@@ -183,10 +198,12 @@ def quality(docs: DataFrame) -> DataFrame:
                     .withColumns({f"x{i}": x for i, x in enumerate(transformed())}))
     levels = [f"g{k}" for k in range(3)]
     model = estimates(table.where("NOT base_failed")
-                      .select(F.explode(F.array(*levels)).alias("g"), *[f"x{i}" for i in range(DIMS)]))
+                      .select(F.explode(F.array(*levels)).alias("g"), "n_words", "word_chars", *[f"x{i}" for i in range(DIMS)]))
     rows = table
-    for g in levels:
+    for g in levels[:2]:
         rows = rows.join(model.select(F.col("g").alias(g), F.struct("n", "mu", "inverse").alias(f"m_{g}")), g, "left")
+    # one row for all documents: a scalar subquery, not a join of every row on one key
+    rows = rows.withColumn("m_g2", model.where("g = '2'").select(F.struct("n", "mu", "inverse")).scalar())
     near = F.when(F.col("m_g0.n") >= LEAST, F.col("m_g0")).when(F.col("m_g1.n") >= LEAST, F.col("m_g1")).otherwise(F.col("m_g2"))
     rows = rows.withColumn("m", near).withColumn("distance", _distance("m.mu", "m.inverse"))
     return rows.select("doc_id", *STAT_NAMES, "base_failed",
