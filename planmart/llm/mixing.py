@@ -13,6 +13,7 @@ other) and never a stored state.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -108,7 +109,8 @@ def rates(table: DataFrame, targets: list[float], tokens: str, p: str, floor: fl
 
     Targets are shares of all tokens.  Rows without tokens get the rate their
     posterior leads to as well.  A domain that no token has expected mass in
-    can't be met and is left out.
+    can't be met and is left out.  If the steps run out before the targets are met, a warning
+    says by how much.
     """
     k = len(targets)
     part = [F.col(p)[j] for j in range(k)]
@@ -129,6 +131,9 @@ def rates(table: DataFrame, targets: list[float], tokens: str, p: str, floor: fl
         if np.abs(gram @ move).max() <= CLOSE * whole * 0.01:       # the part of the residual that can be met
             break
         rate = F.greatest(F.lit(floor), rate - sum((part[j] * float(move[j]) for j in range(k)), F.lit(0.0)))
+    else:
+        left = np.abs(gram @ move).max() / whole
+        warnings.warn(f"domain totals missed their targets by {left:.2%} of all tokens at the last of {MOST_STEPS} steps", stacklevel=2)
     return rate
 
 

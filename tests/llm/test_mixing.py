@@ -40,6 +40,13 @@ def test_rates_meet_targets_and_match_numpy(session, targets):
     assert np.abs(total - goal).max() < 0.02 * t.sum()
 
 
+def test_targets_that_were_not_met_are_told(session, monkeypatch):
+    _, _, df = table(session)
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    with pytest.warns(UserWarning, match="missed their targets by"):
+        mixing.rates(df, [0.95, 0.04, 0.01], "tokens", "p")
+
+
 def test_without_tokens_or_mass(session):
     empty = session.createDataFrame([], "tokens double, p array<double>")
     assert empty.select(mixing.rates(empty, [1.0], "tokens", "p")).count() == 0
