@@ -57,8 +57,12 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
-    """Full scan of a table or view of the used database (``SELECT * FROM t``)."""
-    return spark.table(name)
+    """Full scan of a table or view of the used database (``SELECT * FROM t``).
+
+    A name without a database is looked up in the one that ``USE`` set, also where a temporary
+    view of the session has the same name.
+    """
+    return spark.table(name if "." in name else f"`{spark.catalog.currentDatabase()}`.`{name}`")
 
 
 def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:

@@ -106,6 +106,7 @@ def test_used_database_decides_what_is_read(spark, small_dir):
     """The scanned name has no database in it: another used database gives other rows."""
     from planmart import catalog
     before = spark.catalog.currentDatabase()
+    spark.range(3).createOrReplaceTempView("Account_Lookup")          # a name that the session uses otherwise
     top = catalog.REGISTRY["scan_preview"](spark, small_dir)
     assert spark.catalog.currentDatabase() == before
     assert any(r["AccountNo"].endswith("0") for r in top.collect())
@@ -118,3 +119,4 @@ def test_used_database_decides_what_is_read(spark, small_dir):
         assert bool(rows.where("AccountNo LIKE '%0'").count()) is some
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         readers.scan(spark, "Account_Lookup")
+    spark.catalog.dropTempView("Account_Lookup")
