@@ -17,12 +17,18 @@ How pairs are found, without comparing all with all:
 4. Within a key, rows are first compared with the key's smallest fingerprint
    only.  What that connects needs no further comparing with each other: the
    second pass compares rows of different groups, never all pairs of a group.
+5. A key that keeps more than CROWD rows outside its largest group isn't paired
+   at all.  Its rows get finer keys: the bits that the key leaves open are cut
+   into `blocks` runs again, `blocks - max_bits` of which agree for any link, and
+   steps 3 and 4 start over.  Under a key that leaves OPEN bits there are at most
+   2^OPEN different fingerprints, so refining ends and no link is lost.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ BITS = 64
 RUN_BYTES = 2 << 20  # of texts that are Python objects at a time, about
 PIVOTS = 16          # reference fingerprints: XXH64 of 0..15
 PER_LONG = 8         # distances of 0..64, eight bits each, packed into longs
+CROWD = 256          # rows outside a key's largest group, beyond which its rows get finer keys
+OPEN = 10            # bits that a key leaves open, from which on it isn't refined
 
 
 def text_fingerprint(text: str | None, shingle: int) -> int:
@@ -92,46 +100,77 @@ def _close(a: str, b: str, max_bits: int) -> Column:
     return all_of([*near, F.bit_count(F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))) <= max_bits])
 
 
-def _keyed(table: DataFrame, max_bits: int, blocks: int) -> DataFrame:
-    """A row for each fingerprint and choice of blocks that must agree: (choice, key, fp, d0, ...)."""
-    edges = [BITS * i // blocks for i in range(blocks + 1)]
-    masks = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(blocks)]
-    choices = itertools.combinations(masks, blocks - max_bits)
-    signed = [np.uint64(sum(c)).astype(np.int64).item() for c in choices]
-    keys = F.array(*[F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-                     for i, m in enumerate(signed)])
-    return (table.withColumn("_k", F.explode(keys))
-            .select("_k.choice", "_k.key", "fp", *[c for c in table.columns if c != "fp"]))
+def finer_masks(mask: int, max_bits: int, blocks: int) -> list[int]:
+    """Every choice of bits to agree besides those of `mask`: two fingerprints that agree in `mask` and
+    differ in `max_bits` bits at most agree in one of the masks returned."""
+    free = [b for b in range(BITS) if not mask >> b & 1]
+    edges = [len(free) * i // blocks for i in range(blocks + 1)]
+    runs = [sum(1 << b for b in free[lo:hi]) for lo, hi in itertools.pairwise(edges)]
+    return [mask | sum(chosen) for chosen in itertools.combinations(runs, blocks - max_bits)]
+
+
+def _signed(mask: int) -> int:
+    return np.uint64(mask).astype(np.int64).item()
+
+
+def _refined(rows: DataFrame, masks: list[int], max_bits: int, blocks: int) -> tuple[DataFrame, list[int]]:
+    """`rows` (mask: one of `masks`, fp, ...) under the finer keys (mask, key) of their masks, and these masks.
+
+    The table of masks has len(masks) rows, whatever the input.
+    """
+    finer = {m: finer_masks(m, max_bits, blocks) for m in masks}
+    steps = rows.sparkSession.createDataFrame(
+        [(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
+    table = (rows.join(F.broadcast(steps), "mask").drop("mask", "key")
+             .withColumn("mask", F.explode("finer")).drop("finer")
+             .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
+    return table, sorted({f for fs in finer.values() for f in fs})
 
 
 def link_components(prints: DataFrame, max_bits: int = 3, blocks: int = 5) -> DataFrame:
     """(fp, component) of the distinct fingerprints `prints` (fp) that have a link."""
     table = pivot_table(prints)
-    keyed = _keyed(table, max_bits, blocks)
-    on = ["choice", "key"]
-    shared = (keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n"),
-                                     F.min(F.struct(*table.columns)).alias("l"))
-              .where("n > 1").drop("n"))
-    rows = written(keyed.join(shared, on))
-    star = (rows.alias("r").where((F.col("r.fp") != F.col("l.fp")) & _close("r", "l", max_bits))
-            .select(F.col("r.fp").alias("a"), F.col("l.fp").alias("b")))
-    groups = connected_components(star)
-
-    # Second pass: under each key, rows outside its most frequent group against rows of other groups.
-    rows = (rows.drop("l").join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-            .withColumn("component", F.coalesce("component", "fp")))
-    sizes = rows.groupBy(*on, "component").agg(F.count(F.lit(1)).alias("n"))
-    main = (sizes.groupBy(*on).agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                   F.count(F.lit(1)).alias("groups"))
-            .where("groups > 1").drop("groups"))
-    mixed = written(rows.join(main, on))
-    rest = mixed.where("component != main")
-    cross = (rest.alias("x").join(mixed.alias("y"), on)
-             .where((F.col("x.component") != F.col("y.component")) & _close("x", "y", max_bits))
-             .select(F.col("x.component").alias("a"), F.col("y.component").alias("b")))
-    merged = connected_components(cross).toDF("component", "top")
-    # A fingerprint linked only in the second pass is its own group of one in `groups`.
-    named = groups.toDF("fp", "component").unionByName(
+    on = ["mask", "key"]
+    rows, masks = _refined(table.withColumn("mask", F.lit(0).cast("long")), [0], max_bits, blocks)
+    rows = rows.withColumn("component", F.col("fp"))
+    first, links = None, []
+    while True:
+        # First pass: rows against their key's smallest fingerprint.
+        shared = (rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n"),
+                                        F.min(F.struct(*table.columns, "component")).alias("l"))
+                  .where("n > 1").drop("n"))
+        rows = written(rows.join(shared, on))
+        star = (rows.alias("r").where((F.col("r.component") != F.col("l.component")) & _close("r", "l", max_bits))
+                .select(F.col("r.component").alias("a"), F.col("l.component").alias("b")))
+        if first is not None:
+            star = written(star.distinct())
+            links.append(star)
+        groups = connected_components(star)
+        first = groups if first is None else first
+
+        # Second pass: under each key, rows outside its most frequent group against rows of other groups.
+        rows = (rows.drop("l").join(groups.toDF("component", "group"), "component", "left")
+                .withColumn("component", F.coalesce("group", "component")).drop("group"))
+        sizes = rows.groupBy(*on, "component").agg(F.count(F.lit(1)).alias("n"))
+        main = (sizes.groupBy(*on).agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                       F.count(F.lit(1)).alias("groups"), (F.sum("n") - F.max("n")).alias("rest"))
+                .where("groups > 1").drop("groups"))
+        mixed = written(rows.join(main, on))
+        crowd = F.lit(False)
+        if BITS - min(m.bit_count() for m in masks) > OPEN:
+            crowd = F.col("rest") > CROWD
+        pairs = mixed.where(~crowd)
+        links.append(pairs.where("component != main").alias("x").join(pairs.alias("y"), on)
+                     .where((F.col("x.component") != F.col("y.component")) & _close("x", "y", max_bits))
+                     .select(F.col("x.component").alias("a"), F.col("y.component").alias("b")))
+        crowded = mixed.where(crowd).drop("main", "rest")
+        if crowded.isEmpty():
+            break
+        rows, masks = _refined(crowded, masks, max_bits, blocks)
+
+    # Later links are between components of the first pass; a fingerprint without one is its own there.
+    merged = connected_components(reduce(DataFrame.unionByName, links)).toDF("component", "top")
+    named = first.toDF("fp", "component").unionByName(
         merged.select(F.col("component").alias("fp"), "component")).distinct()
     return (named.join(merged, "component", "left")
             .select("fp", F.coalesce("top", "component").alias("component")))

@@ -53,6 +53,45 @@ def test_links_of_random_and_planted_fingerprints(session):
         assert len(set.union(*groups.values())) == len(groups)
 
 
+def test_finer_masks_lose_no_link():
+    rng = random.Random(7)
+    masks = [0]
+    while masks[0].bit_count() < 64 - simhash.OPEN:
+        finer = {m: simhash.finer_masks(m, 3, 5) for m in masks}
+        for m in rng.sample(masks, min(len(masks), 20)):
+            for _ in range(50):
+                free = [b for b in range(64) if not m >> b & 1]
+                differing = sum(1 << b for b in rng.sample(free, rng.randint(0, 3)))
+                assert any(not f & differing for f in finer[m])
+        assert all(f & m == m for m, fs in finer.items() for f in fs)
+        masks = sorted({f for fs in finer.values() for f in fs})
+
+
+def test_crowded_keys_are_refined(session, monkeypatch):
+    rng = random.Random(11)
+    high = rng.getrandbits(26) << 38                      # one key for all, far from each other below it
+    prints = {high | rng.getrandbits(38) for _ in range(900)}
+    for base in sorted(prints)[:80]:
+        x = base
+        for _ in range(3):
+            x ^= sum(1 << b for b in rng.sample(range(64), 3))
+            prints.add(x)
+    narrow = high | rng.getrandbits(24) << 14              # most of what fits under a key of 50 bits
+    prints |= {narrow | x for x in rng.sample(range(1 << 14), 700) if x.bit_count() % 4 == 0}
+    df = session.createDataFrame([(signed(p),) for p in prints], "fp long")
+    expected = {signed(p): min(map(signed, c)) for p, c in components(prints).items() if len(c) > 1}
+    calls, refined = [], simhash._refined
+    monkeypatch.setattr(simhash, "_refined", lambda *a: calls.append(len(a[1])) or refined(*a))
+    for crowd, levels in ((256, 2), (3, 4), (10 ** 9, 1)):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        calls.clear()
+        got = {r.fp: r.component for r in simhash.link_components(df, 3, 5).collect()}
+        assert got.keys() == expected.keys()
+        # components are named by one of their fingerprints: the same partition
+        assert len(set(got.values())) == len(set(expected.values())) == len({(got[f], expected[f]) for f in got})
+        assert len(calls) >= levels and (crowd < 10 ** 9 or len(calls) == 1)
+
+
 def test_pivot_distances_bound_the_distance(session):
     rng = random.Random(3)
     rows = [(signed(rng.getrandbits(64)),) for _ in range(20)]
