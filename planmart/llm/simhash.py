@@ -119,10 +119,13 @@ def _refined(rows: DataFrame, masks: list[int], max_bits: int, blocks: int) -> t
     The table of masks has len(masks) rows, whatever the input.
     """
     finer = {m: finer_masks(m, max_bits, blocks) for m in masks}
-    steps = rows.sparkSession.createDataFrame(
-        [(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
-    table = (rows.join(F.broadcast(steps), "mask").drop("mask", "key")
-             .withColumn("mask", F.explode("finer")).drop("finer")
+    if len(masks) == 1:                                # nothing to look up
+        table = rows.withColumn("finer", F.array(*[F.lit(_signed(f)) for f in finer[masks[0]]]))
+    else:
+        steps = rows.sparkSession.createDataFrame(
+            [(_signed(m), [_signed(f) for f in fs]) for m, fs in finer.items()], "mask long, finer array<long>")
+        table = rows.join(F.broadcast(steps), "mask")
+    table = (table.drop("mask", "key").withColumn("mask", F.explode("finer")).drop("finer")
              .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
     return table, sorted({f for fs in finer.values() for f in fs})
 
@@ -131,7 +134,7 @@ def link_components(prints: DataFrame, max_bits: int = 3, blocks: int = 5) -> Da
     """(fp, component) of the distinct fingerprints `prints` (fp) that have a link."""
     table = pivot_table(prints)
     on = ["mask", "key"]
-    rows, masks = _refined(table.withColumn("mask", F.lit(0).cast("long")), [0], max_bits, blocks)
+    rows, masks = _refined(table, [0], max_bits, blocks)
     rows = rows.withColumn("component", F.col("fp"))
     first, links = None, []
     while True:
