@@ -81,18 +81,25 @@ def segments(text: str, size: int, spaces: re.Pattern = SPACE) -> Iterator[str]:
     yield text[start:]
 
 
-def runs(texts: list[str | None], spaces: re.Pattern | None = SPACE,
-         size: int | None = None) -> Iterator[tuple[list[int], list[str]]]:
-    """(numbers of the texts, their parts) of about `size` characters at a time; None and '' give no part."""
+def utf8_length(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
+def runs(texts: list[str | None], spaces: re.Pattern | None = SPACE, size: int | None = None,
+         length: Callable[[str], int] = len) -> Iterator[tuple[list[int], list[str]]]:
+    """(numbers of the texts, their parts) of about `size` in `length` at a time: characters, or bytes
+    with utf8_length; None and '' give no part."""
     size = size or RUN_CHARS
     owners: list[int] = []
     parts: list[str] = []
     held = 0
     for i, text in enumerate(texts):
-        for part in segments(text, size, spaces) if text and spaces else [text] if text else []:
+        if not text:
+            continue
+        for part in segments(text, max(1, size * len(text) // length(text)), spaces) if spaces else [text]:
             owners.append(i)
             parts.append(part)
-            held += len(part)
+            held += length(part)
             if held >= size:
                 yield owners, parts
                 owners, parts, held = [], [], 0

@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.pieces import of_worker, runs, split, texts_of
+from planmart.llm.pieces import of_worker, runs, split, texts_of, utf8_length
 
 CACHE_ENTRIES = 500_000
+BATCH_BYTES = 16 << 10   # of words that the library encodes at a time, about
 
 
 END = (".", ",")
@@ -54,9 +55,10 @@ class WordEncoder:
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, object] = {}
         self.older: dict[str, object] = {}
-        # whether one word of plain letters may go straight to the model, as bytes in their byte-level form
+        # whether one word of plain letters may go straight to the model, as bytes in their byte-level form;
+        # counting takes the library's batches throughout
         probes = ("Hello", "\u00c9clair", "na\u00efvet\u00e9", "\u00f1and\u00fa", "stra\u00dfe", "\u0142\u00f3d\u017a")
-        self.direct = all(self.letters(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
+        self.direct = keep is not len and all(self.letters(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
 
     def letters(self, word: str) -> list[int]:
         lower = word.lower()
@@ -86,18 +88,21 @@ class WordEncoder:
         return len(word)
 
     def encode_all(self, parts: set[str]) -> dict[str, list[int]]:
-        out, others, tokenize, letters = {}, [], self.tokenizer.model.tokenize, self.letters
-        for p in parts:
-            if not (self.direct and p.isalpha()):
-                others.append(p)
-            elif p.isascii():
-                out[p] = [t.id for t in tokenize(p.lower())]
-            elif max(p) < PLAIN_BELOW and NOT_PLAIN not in p:
-                out[p] = letters(p)
-            else:
-                others.append(p)
-        for i in range(0, len(others), 1024):
-            run = others[i:i + 1024]
+        out, others = {"": []}, []
+        if self.direct:
+            tokenize, letters = self.tokenizer.model.tokenize, self.letters
+            for p in parts:
+                if not p.isalpha():
+                    others.append(p)
+                elif p.isascii():
+                    out[p] = [t.id for t in tokenize(p.lower())]
+                elif max(p) < PLAIN_BELOW and NOT_PLAIN not in p:
+                    out[p] = letters(p)
+                else:
+                    others.append(p)
+        else:
+            others = list(parts)
+        for _, run in runs(others, None, BATCH_BYTES, utf8_length):
             found = self.tokenizer.encode_batch(run, add_special_tokens=False)
             out.update((w, e.ids) for w, e in zip(run, found, strict=True))
         return out
@@ -158,15 +163,15 @@ def load(path: str, keep: Callable[[list[int]], object]):
 
 
 def counts(texts: list[str | None], path: str) -> np.ndarray:
-    """Tokens of each text (None: empty), encoded in runs of about as many characters."""
+    """Tokens of each text (None: empty), encoded in runs of about as many bytes."""
     made, out = encoder(path), np.zeros(len(texts), np.int64)
     if isinstance(made, WordEncoder):
-        for owners, parts in runs(texts):
+        for owners, parts in runs(texts, length=utf8_length):
             sizes, codes, offsets = made.encode(parts)
             upto = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64)[codes])])
             np.add.at(out, owners, upto[offsets[1:]] - upto[offsets[:-1]])
     else:
-        for owners, parts in runs(texts, made.cut):
+        for owners, parts in runs(texts, made.cut, length=utf8_length):
             np.add.at(out, owners, made.encode_counts(parts))
     return out
 

@@ -37,6 +37,33 @@ def test_long_texts_are_cut_without_changing_counts(monkeypatch):
     assert "".join(pieces.segments(text, 50)) == text
 
 
+def test_runs_are_balanced_by_bytes():
+    texts = ["a b c " * 40, "日本 語 " * 300, None, "", "é è " * 100, "x" * 500]
+    made = list(pieces.runs(texts, size=120, length=pieces.utf8_length))
+    assert all(sum(map(pieces.utf8_length, parts)) <= 2 * 120 for _, parts in made if parts != ["x" * 500])
+    for i, text in enumerate(texts):
+        assert "".join(p for owners, parts in made for o, p in zip(owners, parts, strict=True) if o == i) == (text or "")
+
+
+def test_counting_takes_the_library_s_batches(monkeypatch):
+    made = tokens.load(WORDS, len)
+    assert not made.direct and tokens.load(WORDS, tokens.id_bytes).direct
+    words = [f"wörd{i}" for i in range(3000)]
+    sizes = []
+
+    class Watched:
+        def encode_batch(self, run, add_special_tokens):
+            sizes.append(sum(map(pieces.utf8_length, run)))
+            return PLAIN.encode_batch(run, add_special_tokens=add_special_tokens)
+
+        model = property(lambda self: pytest.fail("a word went to the model alone"))
+
+    made.tokenizer = Watched()
+    found, codes, _ = made.encode([" ".join(words)])
+    assert [found[c] for c in codes] == [len(PLAIN.encode(w, add_special_tokens=False).ids) for w in words]
+    assert len(sizes) > 1 and max(sizes) <= tokens.BATCH_BYTES + 10
+
+
 def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_ENTRIES", 10)
     made = tokens.encoder(WORDS)
