@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from planmart.llm.common import written
 from planmart.llm.pieces import texts_of
-from planmart.llm.tokens import text_ids
+from planmart.llm.tokens import RUN_CHARS, text_ids
 
 FAN = 64                      # partitions (or groups) whose leftovers meet in one task
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long, full boolean"
@@ -81,7 +81,7 @@ def _pieces(docs: DataFrame, path: str, end_id: int, size: int, open_windows: in
                  for n, c in zip(names, zip(*rows, strict=True), strict=True)], names)
 
         for batch in batches:
-            ids_of = (ids for texts in texts_of(batch.column("text")) for ids in text_ids(texts, path))
+            ids_of = (ids for texts in texts_of(batch.column("text"), RUN_CHARS) for ids in text_ids(texts, path))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
                 ids += end
                 total = len(ids) // 4

@@ -12,6 +12,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,7 @@ from planmart.llm.pieces import of_worker, runs, split, texts_of, utf8_length
 
 CACHE_ENTRIES = 500_000
 BATCH_BYTES = 16 << 10   # of words that the library encodes at a time, about
-
-
-END = (".", ",")
-
+RUN_CHARS = 3 << 20      # characters of text whose ids are held together, about
 
 def _byte_level() -> dict[int, int]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
@@ -39,6 +37,7 @@ BYTE_LEVEL = _byte_level()
 
 #: Latin characters that normalization leaves alone and whose lower case is one character.
 PLAIN_BELOW, NOT_PLAIN = "\u0250", "\u0130"
+OTHER_LETTERS = re.compile("[^\x00-\u012f\u0131-\u024f]")
 
 
 class WordEncoder:
@@ -58,6 +57,11 @@ class WordEncoder:
         # whether one word of plain letters may go straight to the model, as bytes in their byte-level form;
         # counting takes the library's batches throughout
         probes = ("Hello", "\u00c9clair", "na\u00efvet\u00e9", "\u00f1and\u00fa", "stra\u00dfe", "\u0142\u00f3d\u017a")
+        # symbols that never join a letter or digit before them
+        def ids(text: str) -> list[int]:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+
+        self.ends = "".join(c for c in punctuation if all(ids(w + x) == ids(w) + ids(x) for w in ("ab", "1", "\u00e9") for x in (c, c + c)))
         self.direct = keep is not len and all(self.letters(w) == tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
 
     def letters(self, word: str) -> list[int]:
@@ -68,27 +72,38 @@ class WordEncoder:
 
     def prepared(self, text: str) -> str:
         """Lower case where the tokenizer does the same, for fewer different words to remember."""
-        return text.lower() if text.isascii() and "<" not in text else text
-
-    def learn(self, words: set[str]) -> dict[str, object]:
-        """Encode `words`; one that ends in full stops or commas as its stem and that run."""
-        cut = {w: n for w in words if w[-1:] in END and (n := self.stem(w)) < len(w)}
-        parts = words.difference(cut)
-        parts.update(w[:n] for w, n in cut.items())
-        parts.update(w[n:] for w, n in cut.items())
-        ids, keep = self.encode_all(parts), self.keep
-        return {w: keep(ids[w[:cut[w]]] + ids[w[cut[w]:]]) if w in cut else keep(ids[w]) for w in words}
+        return text.lower() if "<" not in text and (text.isascii() or OTHER_LETTERS.search(text) is None) else text
+
+    def learn(self, words: list[str]) -> dict[str, object]:
+        """What `keep` makes of `words`.  One that ends in symbols is its stem and that run, and only these
+        are remembered: a word takes one entry, whatever stands behind it."""
+        cuts = [self.stem(w) for w in words]
+        parts = {w[:n] for w, n in zip(words, cuts, strict=True)}
+        parts.update(w[n:] for w, n in zip(words, cuts, strict=True) if n < len(w))
+        known, older = self.known, self.older
+        made = {p: x for p in parts if (x := known.get(p)) is not None}
+        new = {p: x for p in parts.difference(made) if (x := older.get(p)) is not None}
+        keep = self.keep
+        new.update((p, keep(ids)) for p, ids in self.encode_all(parts.difference(made, new)).items())
+        if len(known) + len(new) > CACHE_ENTRIES // 2:
+            self.known, self.older = {}, known
+        if len(new) <= CACHE_ENTRIES // 2:                # else one run of more different words than that
+            self.known.update(new)
+        made.update(new)
+        return {w: made[w[:n]] + made[w[n:]] if n < len(w) else made[w] for w, n in zip(words, cuts, strict=True)}
 
     def stem(self, word: str) -> int:
-        """Where the trailing run of full stops and commas begins; the end, if what
-        stands before it might join it in one pre-token."""
-        n = len(word.rstrip(".,"))
+        """Where the trailing run of symbols begins; the end, if what stands before it might join
+        it in one pre-token."""
+        if word[-1:] not in self.ends:
+            return len(word)
+        n = len(word.rstrip(self.ends))
         if n and word[n - 1].isalnum() and word[n - 1] < PLAIN_BELOW and word[n - 1] != NOT_PLAIN and not any(s in word for s in self.specials):
             return n
         return len(word)
 
     def encode_all(self, parts: set[str]) -> dict[str, list[int]]:
-        out, others = {"": []}, []
+        out, others = ({"": []} if "" in parts else {}), []
         if self.direct:
             tokenize, letters = self.tokenizer.model.tokenize, self.letters
             for p in parts:
@@ -113,15 +128,9 @@ class WordEncoder:
         words, codes, offsets = split(list(map(self.prepared, parts)))
         found = list(map(self.known.get, words))
         missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            again = {i: x for i in missing if (x := self.older.get(words[i])) is not None}
-            made = self.learn({words[i] for i in missing if i not in again})
-            if len(self.known) + len(missing) > CACHE_ENTRIES // 2:
-                self.known, self.older = {}, self.known
-            for i in missing:
-                found[i] = self.known[words[i]] = again[i] if i in again else made[words[i]]
-            if len(self.known) > CACHE_ENTRIES // 2:      # one run of more different words than that
-                self.known = {}
+        made = self.learn([words[i] for i in missing])
+        for i in missing:
+            found[i] = made[words[i]]
         return found, codes, offsets
 
 
@@ -218,7 +227,7 @@ def text_ids(texts: list[str | None], path: str) -> Iterator[bytes]:
             yield b"".join(held)
             at, held = at + 1, []
 
-    for owners, parts in runs(texts):
+    for owners, parts in runs(texts, size=RUN_CHARS):
         found, codes, offsets = made.encode(parts)
         sizes = np.array([len(x) // 4 for x in found], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)

@@ -94,3 +94,22 @@ def test_token_counts_rows(session):
         type(got[0])(doc_id=3, n_bytes=0, n_tokens=0, over_limit=False),
         type(got[0])(doc_id=4, n_bytes=0, n_tokens=0, over_limit=False)]))
     assert tokens.token_counts(df.limit(0), WORDS).count() == 0
+
+
+def test_symbols_behind_a_word_take_no_entry_of_their_own():
+    """A word is remembered once, whatever stands behind it; capitals of plain Latin letters share it too."""
+    made = tokens.load(WORDS, tokens.id_bytes)
+    words = ["éclair", "Éclair", "éclair,", "éclair%%%", "ÉCLAIR?!", "abc)'", "abc", "don't.", "it's", "'s,", "3.5%", "İx.", "...", "<|endoftext|>."]
+    found, codes, offsets = made.encode([" ".join(words), "", " "])
+    expected = [tokens.id_bytes(made.tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
+    assert [found[c] for c in codes[offsets[0]:offsets[1]]] == expected
+    assert sum(w.startswith(("éclair", "abc")) for w in made.known) == 2
+    again, codes, offsets = made.encode([" ".join(reversed(words))])
+    assert [again[c] for c in codes] == expected[::-1]
+
+
+def test_ids_of_texts_in_short_runs(monkeypatch):
+    monkeypatch.setattr(tokens, "RUN_CHARS", 50)
+    text = "Some wörds, and then more: it's 1.5 or so... \n" * 40 + "x" * 300 + " end."
+    assert list(tokens.text_ids([text, None, "a b"], WORDS)) == [
+        tokens.id_bytes(PLAIN.encode(t or "", add_special_tokens=False).ids) for t in (text, None, "a b")]
