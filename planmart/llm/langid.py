@@ -2,14 +2,12 @@
 
 A known word counts with its log frequency in each language.  An unseen word
 backs off: its longest n-grams first, and where none of them is known the next
-shorter ones.  The model is fitted on a bounded, documented sample of labelled
-texts and holds a bounded number of words and n-grams, so it can be sent to
-every task; prediction reads every whole text.
+shorter ones.  The model counts every labelled text and holds a bounded number of
+words and n-grams, so it can be sent to every task; prediction reads every whole text.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,16 +21,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import bounded_sample, hash_share, written
-from planmart.llm.pieces import of_worker, runs, split, texts_of
+from planmart.llm.common import hash_share, written
+from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, texts_of, trim
 
-FIT_TEXTS = 1000        # sampled texts per language, at most (about)
-KNOWN_WORDS = 30_000    # most frequent words of the sample
-KNOWN_GRAMS = 30_000    # most frequent n-grams of the sample
+FIT_TEXTS = 1000        # texts that a language with more of them weighs as much as
+SEEN = 0.5              # times an item stands in so many texts of a language that has it
+COUNTED = 200_000       # words that a task counts before it hands the counts on
+KNOWN_WORDS = 30_000    # most frequent words
+KNOWN_GRAMS = 30_000    # most frequent n-grams
 LONGEST = 4             # n-grams of 4, 3, 2 and 1 characters, word ends marked
 SMOOTH = 0.5
 ASIDE = 0.2             # share of the labelled texts that `keep_known` learns its limits from, not its model
-ASIDE_TEXTS = 1000      # of them, per language, at most (about)
+BINS = 10_000           # shares of backed words are counted to this part
 LEAST_OWN = 0.001       # share of a language's own texts that its limit may be above
 DEVIATIONS = 4.0        # robust standard deviations below its median that a language's own texts may lie
 REMEMBERED = 200_000    # pieces of text whose scores a worker remembers, at most,
@@ -220,23 +220,20 @@ class Scorer:
 
 def _top(counts: DataFrame, limit: int) -> list:
     """The `limit` most frequent items with their counts by language (bounded, so it may reach the driver)."""
+    weighted = F.round(F.sum(F.col("n") * F.col("share")), 6)      # sums of doubles differ in their last digits by order
     return (counts.groupBy("item")
-            .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+            .agg(weighted.alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
             .orderBy(F.desc("n"), "item").limit(limit).collect())
 
 
-def _logs(items: list, langs: list[str], totals: dict[str, float]) -> np.ndarray:
-    size = len(items) + 1
-    out = np.empty((len(items), len(langs)))
-    for j, lang in enumerate(langs):
-        base = math.log(totals.get(lang, 0.0) + SMOOTH * size)
-        for i, row in enumerate(items):
-            out[i, j] = math.log(row["by"].get(lang, 0.0) + SMOOTH) - base
-    return out
+def _weighed(items: list, langs: list[str], share: dict[str, float]) -> np.ndarray:
+    """How often each item stands in FIT_TEXTS texts of each language (in all of them, if there are fewer)."""
+    return np.array([[row["by"].get(lang, 0) * share[lang] for lang in langs] for row in items],
+                    float).reshape(len(items), len(langs))
 
 
-def _seen(items: list, langs: list[str]) -> np.ndarray:
-    return np.array([[row["by"].get(lang, 0) > 0 for lang in langs] for row in items], bool).reshape(len(items), len(langs))
+def _logs(found: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    return np.log(found + SMOOTH) - np.log(totals + SMOOTH * (len(found) + 1))
 
 
 _COUNTS = "kind string, lang string, item string, n long"
@@ -250,24 +247,38 @@ def _count_batches(kind: str, found: dict[str, Counter]) -> Iterator[pa.RecordBa
             ["kind", "lang", "item", "n"])
 
 
-def fit(labelled: DataFrame, texts: int = FIT_TEXTS, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAMS) -> Model:
+def fit(labelled: DataFrame, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAMS) -> Model:
     """A model from `labelled` (text, lang); rows without text or lang don't count.
 
-    At most about `texts` texts per language are used (chosen by the text's
-    hash), each word weighing as many texts as its own stands for in the
-    sample only, so frequent languages don't outweigh rare ones.  Each
-    partition counts its words, the counts meet by word, and n-grams are counted
+    Every word of every text is counted.  A language with more than FIT_TEXTS texts weighs
+    as much as one with so many (its counts are scaled down), so frequent languages don't
+    outweigh rare ones and a few wrong labels among many texts don't make an item seen.
+    Each task counts its words, the counts meet by word, and n-grams are counted
     once for each word, weighted by its count.
     """
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = bounded_sample(rows.where("text IS NOT NULL AND lang IS NOT NULL"), "lang", texts, F.col("text"))
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
 
     def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        found: dict[str, Counter] = {}
         for batch in batches:
-            found: dict[str, Counter] = {}
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(words_of(text))
-            yield from _count_batches("w", found)
+            for part in slices_of(batch, "text", RUN_CHARS):
+                texts: dict[str, list[str]] = {}
+                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
+                    texts.setdefault(lang, []).append(text)
+                for lang, own in texts.items():
+                    counts = found.setdefault(lang, Counter())
+                    for _, parts in runs(own, size=RUN_CHARS):
+                        pieces, codes, _ = split([p.lower() for p in parts])
+                        for piece, n in zip(pieces, np.bincount(codes, minlength=len(pieces)).tolist(), strict=True):
+                            for word in piece_words(piece):
+                                counts[word] += n
+                if sum(map(len, found.values())) > COUNTED:
+                    yield from _count_batches("w", found)
+                    found = {}
+        yield from _count_batches("w", found)
+        trim()
 
     def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,7 +290,9 @@ def fit(labelled: DataFrame, texts: int = FIT_TEXTS, words: int = KNOWN_WORDS, n
                         into[g] += n
             yield from _count_batches("g", found)
 
-    of_words = written(rows.select("text", "lang").mapInArrow(word_counts, _COUNTS)
+    texts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = {lang: min(1.0, FIT_TEXTS / n) for lang, n in texts.items()}
+    of_words = written(rows.mapInArrow(word_counts, _COUNTS)
                        .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
     of_grams = (of_words.select("item", "lang", "n").mapInArrow(gram_counts, _COUNTS)
                 .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
@@ -287,11 +300,16 @@ def fit(labelled: DataFrame, texts: int = FIT_TEXTS, words: int = KNOWN_WORDS, n
     totals = {(r["kind"], r["lang"]): float(r["n"])
               for r in counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted({lang for _, lang in totals})
+    if not langs:
+        return Model([])
+    shares = F.create_map(*[F.lit(x) for lang in langs for x in (lang, share[lang])])
+    counts = counts.withColumn("share", shares[F.col("lang")])
     known = _top(counts.where("kind = 'w'"), words)
     found = _top(counts.where("kind = 'g'"), n_grams)
-    of = lambda kind: {lang: totals.get((kind, lang), 0.0) for lang in langs}
+    of = lambda kind: np.array([totals.get((kind, lang), 0.0) * share[lang] for lang in langs])
+    by_word, by_gram = _weighed(known, langs, share), _weighed(found, langs, share)
     return Model(langs, {r["item"]: i for i, r in enumerate(known)}, {r["item"]: i for i, r in enumerate(found)},
-                 _logs(known, langs, of("w")), _logs(found, langs, of("g")), _seen(known, langs), _seen(found, langs))
+                 _logs(by_word, of("w")), _logs(by_gram, of("g")), by_word >= SEEN, by_gram >= SEEN)
 
 
 def predict(text: Column, model: Model, spark) -> Column:
@@ -345,31 +363,69 @@ def backing(text: Column, sent: Broadcast) -> Column:
     return F.arrow_udf(of, kind)(text)
 
 
-def limits(langs: list[str], found: list[tuple[str, list[float]]]) -> list[float]:
-    """The least backing by each language that counts as text in it, from (label, backing) of texts it wasn't learned from.
+def quantile(values: np.ndarray, counts: np.ndarray, q: float) -> float:
+    """The q-quantile of sorted `values` that occur `counts` times, between two of them in proportion."""
+    upto = np.cumsum(counts)
+    at = q * (int(upto[-1]) - 1)
+    low = int(at)
+    below, above = values[np.searchsorted(upto, [low, min(low + 1, int(upto[-1]) - 1)], side="right")]
+    return float(below + (at - low) * (above - below))
+
+
+def _tally(values, counts) -> tuple[np.ndarray, np.ndarray]:
+    found, where = np.unique(np.array(values, float), return_inverse=True)
+    return found, np.bincount(where, np.array(counts, float), len(found)).astype(np.int64)
+
+
+def bounds(langs: list[str], own: dict[str, tuple], middles: dict[tuple[str, int], float]) -> list[float]:
+    """The least backing by each language that counts as text in it, from texts it wasn't learned from:
+    `own` has (shares, how many texts) of the texts of each language by itself, `middles` the median share
+    of the texts of any label by each language.
 
     Midway between the median of its own texts and that of the other language it backs most, which stands
     for a language that wasn't learned; but DEVIATIONS robust deviations below its own texts at least, and
     above LEAST_OWN of them at most, so that they stay.  A language without such texts takes those of all languages; without any, zero.
     """
-    by: dict[str, list[list[float]]] = {}
-    for lang, shares in found:
-        by.setdefault(lang, []).append(shares)
-    every = [shares[j] for j, lang in enumerate(langs) for shares in by.get(lang, [])]
+    have = [own[lang] for lang in langs if lang in own]
+    every = tuple(np.concatenate(x) for x in zip(*have, strict=True)) if have else None
     out = []
     for j, lang in enumerate(langs):
-        own = np.array([shares[j] for shares in by.get(lang, [])] or every)
-        if not len(own):
+        mine = own.get(lang, every)
+        if mine is None:
             out.append(0.0)
             continue
-        middle = float(np.median(own))
-        spread = 1.4826 * float(np.median(np.abs(own - middle)))
-        others = max((float(np.median([shares[j] for shares in rows])) for x, rows in by.items() if x != lang), default=0.0)
-        out.append(max(0.0, min((middle + others) / 2, middle - DEVIATIONS * spread,
-                            float(np.quantile(own, LEAST_OWN)))))
+        values, counts = _tally(*mine)
+        middle = quantile(values, counts, 0.5)
+        spread = 1.4826 * quantile(*_tally(np.abs(values - middle), counts), 0.5)
+        others = max((m for (x, k), m in middles.items() if k == j and x != lang), default=0.0)
+        out.append(max(0.0, min((middle + others) / 2, middle - DEVIATIONS * spread, quantile(values, counts, LEAST_OWN))))
     return out
 
 
+def limits(langs: list[str], found: list[tuple[str, list[float]]]) -> list[float]:
+    """`bounds` from (label, backing) of single texts."""
+    by: dict[str, np.ndarray] = {x: np.array([shares for y, shares in found if y == x], float) for x in {x for x, _ in found}}
+    own = {lang: (by[lang][:, j], np.ones(len(by[lang]))) for j, lang in enumerate(langs) if lang in by}
+    return bounds(langs, own, {(x, j): float(np.median(rows[:, j])) for x, rows in by.items() for j in range(len(langs))})
+
+
+def limits_of(tried: DataFrame, langs: list[str]) -> list[float]:
+    """`bounds` from every row of `tried` (lang, backing); shares are counted to 1 / BINS, so what reaches
+    the driver doesn't grow with the texts."""
+    counts = written(tried.select("lang", F.posexplode("backing").alias("j", "share"))
+                     .groupBy("lang", "j", F.round(F.col("share") * BINS).cast("int").alias("bin"))
+                     .agg(F.count(F.lit(1)).alias("n")))
+    middles = counts.groupBy("lang", "j").agg(F.percentile("bin", F.lit(0.5), F.col("n")).alias("m"))
+    own: dict[str, list] = {}
+    mine = F.lit(False)
+    for j, lang in enumerate(langs):
+        mine = mine | ((F.col("j") == j) & (F.col("lang") == lang))
+    for r in counts.where(mine).collect():
+        own.setdefault(r["lang"], []).append((r["bin"] / BINS, r["n"]))
+    return bounds(langs, {lang: tuple(np.array(x, float) for x in zip(*rows, strict=True)) for lang, rows in own.items()},
+                  {(r["lang"], r["j"]): r["m"] / BINS for r in middles.collect()})
+
+
 def keep_known(docs: DataFrame, labelled: DataFrame, least: float = 0.5) -> DataFrame:
     """Rows of `docs` whose language is told with a posterior of `least` or more and backs
     enough of their words (`limits`); all columns.
@@ -383,15 +439,14 @@ def keep_known(docs: DataFrame, labelled: DataFrame, least: float = 0.5) -> Data
     rest = labelled.where(F.coalesce(~aside, F.lit(True)))
     model = fit(rest)
     names, sent = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
-    # written, so that the filter on the function's result isn't moved ahead of the choice of the sample
-    sample = written(bounded_sample(labelled.where(aside).select(text.alias("text"), F.col("lang").cast("string").alias("lang"))
-                            .where("text IS NOT NULL AND lang IS NOT NULL"), "lang", ASIDE_TEXTS, F.col("text")).select("text", "lang"))
-    tried = sample.select("lang", backing(F.col("text"), sent).alias("_p")).where(F.col("_p.lang_pred") != UNKNOWN)
-    bounds = limits(model.langs, [(r["lang"], r["backing"]) for r in tried.select("lang", "_p.backing").collect()])
+    held = (labelled.where(aside).select(text.alias("text"), F.col("lang").cast("string").alias("lang"))
+            .where("text IS NOT NULL AND lang IS NOT NULL"))
+    tried = held.select("lang", backing(F.col("text"), sent).alias("_p")).where(F.col("_p.lang_pred") != UNKNOWN)
+    least_backing = limits_of(tried.select("lang", "_p.backing"), model.langs)
     found = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
                         backing(text, sent).alias("_p"))
     enough = F.lit(False)
     for j, lang in enumerate(model.langs):
-        enough = enough | ((F.col("_p.lang_pred") == lang) & (F.col("_p.backing")[j] >= bounds[j]))
+        enough = enough | ((F.col("_p.lang_pred") == lang) & (F.col("_p.backing")[j] >= least_backing[j]))
     return (found.where((F.col("_p.lang_pred") != UNKNOWN) & (F.col("_p.score") >= least) & enough)
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))

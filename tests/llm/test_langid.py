@@ -138,3 +138,27 @@ def test_limits_of_backing():
     assert langid.limits(["a", "b"], close)[0] == pytest.approx(0.95 - 4 * 1.4826 * 0.05)
     assert langid.limits(["a", "b"], [("a", [0.8, 0.0])]) == pytest.approx([0.4, 0.4])
     assert langid.limits(["a"], []) == [0.0]
+
+
+def test_every_text_is_counted(session):
+    """A language's every text takes part, however many there are; a frequent one doesn't outweigh a rare one."""
+    n = langid.FIT_TEXTS + 500
+    rows = [(f"common w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "en") for i in range(n)] + [("selten haus", "de")] * 3
+    rows += [("selten", "en")] * 2
+    model = langid.fit(session.createDataFrame(rows, "text string, lang string"))
+    assert len(model.words) == n + 3
+    share = langid.FIT_TEXTS / (n + 2)
+    en, de = model.langs.index("en"), model.langs.index("de")
+    assert model.word_logs[model.words["common"], en] - model.word_logs[model.words["haus"], en] == pytest.approx(
+        math.log(n * share + 0.5) - math.log(0.5))
+    assert model.word_seen[model.words["selten"]].tolist() == [True, True] and model.word_seen[model.words["haus"], en] == 0
+    assert model.word_logs[model.words["selten"], de] > model.word_logs[model.words["selten"], en]
+
+
+def test_limits_count_every_text(session):
+    rng = random.Random(3)
+    found = [("a", [round(rng.uniform(0.6, 1), 4), round(rng.uniform(0.1, 0.5), 4)]) for _ in range(3000)]
+    found += [("b", [round(rng.uniform(0.2, 0.7), 4), round(rng.uniform(0.8, 1), 4)]) for _ in range(30)] + [("c", [0.1, 0.2])]
+    df = session.createDataFrame(found, "lang string, backing array<double>")
+    assert langid.limits_of(df, ["a", "b"]) == pytest.approx(langid.limits(["a", "b"], found))
+    assert langid.limits_of(df.limit(0), ["a", "b"]) == [0.0, 0.0]
