@@ -106,3 +106,11 @@ def test_plans_read_the_state_and_not_the_feed(spark, small_dir, kept):
         assert "lineitem" not in got._jdf.queryExecution().executedPlan().toString()
     with plan.persisted():
         assert plan.all_transactional().count() == 6812
+
+
+def test_both_weeks_come_from_one_join(spark, small_dir):
+    before, now = adapters.revenue_weeks(spark, small_dir)
+    for got, expected in ((before, adapters.revenue_prev(spark, small_dir)), (now, adapters.revenue(spark, small_dir))):
+        assert got.schema.simpleString() == expected.schema.simpleString()
+        assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert not [f for df in (before, now) for f in df.inputFiles() if f.startswith(f"file://{small_dir}")]
