@@ -145,17 +145,18 @@ WOW_FIELDS = ("Opportunity_Usage", "Opportunity_Est_Date", "Opportunity_Stage",
 WOW_KEYS = ("Opportunity_ID", "Product")
 
 
-def snapshot_by_id(snapshot: DataFrame) -> DataFrame:
-    """One row per Opportunity_ID and Product: amounts added up, the other fields of the latest row.
+def snapshot_by_id(snapshot: DataFrame, *also: str) -> DataFrame:
+    """One row per Opportunity_ID and Product (and `also`): amounts added up, the other fields of the latest row.
 
     Rows without an amount stay (their amount is NULL).  Aggregating first makes
     the week-to-week join one-to-one, whatever the distribution of rows over ids.
     """
     fields = ("Opportunity_Est_Date", "Opportunity_Stage", "Opportunity_Status", "Project_Status")
-    return (snapshot.groupBy(*WOW_KEYS)
+    keys = (*WOW_KEYS, *also)
+    return (snapshot.groupBy(*keys)
             .agg(F.sum(R.parse_amount("Opportunity_Usage")).alias("Opportunity_Usage"),
                  F.max(F.struct(*fields)).alias("_latest"))
-            .select(*WOW_KEYS, "Opportunity_Usage", *[F.col(f"_latest.{f}").alias(f) for f in fields]))
+            .select(*keys, "Opportunity_Usage", *[F.col(f"_latest.{f}").alias(f) for f in fields]))
 
 
 def wow_tracking(prev: DataFrame, cur: DataFrame) -> DataFrame:
@@ -187,10 +188,14 @@ def wow_fields(snapshots: Sequence[tuple[int, DataFrame]]) -> DataFrame:
     """Week-on-week calculated fields over any number of weekly snapshots.
 
     Rows: each opportunity and product in each week whose previous week also had it.
-    ``lag`` runs in a window per opportunity and product (one row per week).
+    ``lag`` runs in a window per opportunity and product (one row per week).  Rows move once, to
+    their opportunity's partition, and are sorted there for the grouping and the window alike:
+    no task sorts a whole split of a feed.
     """
-    stacked = reduce(DataFrame.unionByName,
-                     [snapshot_by_id(df).withColumn("Week", F.lit(week)) for week, df in snapshots])
+    columns = (*WOW_KEYS, *WOW_FIELDS)
+    rows = reduce(DataFrame.unionByName,
+                  [df.select(*columns, F.lit(week).alias("Week")) for week, df in snapshots])
+    stacked = snapshot_by_id(rows.repartition(*WOW_KEYS), "Week")
     w = Window.partitionBy(*WOW_KEYS).orderBy("Week")
     lagged = stacked.select(
         *WOW_KEYS, "Week", "Opportunity_Usage", "Opportunity_Est_Date",
