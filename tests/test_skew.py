@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from planmart.operators.joins import full_outer_coalesce
-from planmart.plans import marts
+from planmart.plans import insights, marts
 from planmart.plans.clean import KEYS, REVENUE_MEASURES
 from planmart.plans.planning import OPPORTUNITY_MEASURES, Plan
 from planmart.sources import adapters
 from planmart.sources.adapters import Inputs
+from util import make_inputs, opp_row
 
 HOT = "00000001"
 
@@ -128,3 +129,15 @@ def full_joins(plan):
     btr = full_outer_coalesce(bt, plan.run_rate("origin"), KEYS, ("Baseline", "Target"), ("Opportunities_Into_RR",))
     return full_outer_coalesce(plan.revenue_opportunity(), btr, KEYS, (*REVENUE_MEASURES, *OPPORTUNITY_MEASURES),
                                ("Baseline", "Target", "Opportunities_Into_RR"))
+
+
+def test_wow_fields_moves_rows_before_it_sorts_them(spark):
+    """One shuffle, of rows as they come: no task sorts or groups a split of a feed."""
+    week = [opp_row("1", "2001-02-01", "Services: A", str(i), "Active", "10.00") for i in range(50)]
+    df = make_inputs(spark, opportunities=week).opportunities
+    out = insights.wow_fields([(1, df), (2, df)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1
+    below = plan[plan.index("Exchange hashpartitioning("):]
+    assert "Aggregate" not in below and "Sort" not in below
+    assert out.count() == 50
