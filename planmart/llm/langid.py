@@ -294,7 +294,9 @@ def fit(labelled: DataFrame, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAM
     share = {lang: min(1.0, FIT_TEXTS / n) for lang, n in texts.items()}
     of_words = written(rows.mapInArrow(word_counts, _COUNTS)
                        .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
-    of_grams = (of_words.select("item", "lang", "n").mapInArrow(gram_counts, _COUNTS)
+    # counts are small files, but taking words apart is work for all cores
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    of_grams = (of_words.select("item", "lang", "n").repartition(cores).mapInArrow(gram_counts, _COUNTS)
                 .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
     counts = of_words.unionByName(written(of_grams))
     totals = {(r["kind"], r["lang"]): float(r["n"])
