@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +63,22 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Rows go to Python in Arrow batches of about `size` bytes while jobs run inside: by rows alone, a
+    batch of long texts takes tens of MB, and an executor holds several while it makes and sends one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """`df` without columns whose names an operator is about to add (any letter case)."""
     taken = {n.lower() for n in names}

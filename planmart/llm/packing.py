@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planmart.llm.common import written
+from planmart.llm.common import arrow_batches, written
 from planmart.llm.pieces import texts_of
 from planmart.llm.tokens import RUN_CHARS, text_ids
 
@@ -128,7 +128,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, size: int = 4096, open_win
     texts are the end id alone.  Repeated rows are packed each; NULL doc_ids
     stay; other columns are ignored; an empty table gives no rows.
     """
-    pieces = written(_pieces(docs, path, end_id, size, open_windows))
+    with arrow_batches(docs.sparkSession, RUN_CHARS):     # a run of texts each, in the worker and in the executor
+        pieces = written(_pieces(docs, path, end_id, size, open_windows))
     done = pieces.where("full").drop("full").withColumnRenamed("window", "sequence_id")
     loose = written(pieces.where("NOT full").drop("full"))
     part = F.shiftright("window", 30).bitwiseAND(F.lit((1 << 27) - 1))

@@ -27,7 +27,9 @@ def of_worker(key: object, make: Callable[[], object]) -> object:
     """What `make` gives, kept by this Python worker from task to task until another key is asked
     for: a worker that serves one operator after the other remembers for one at a time."""
     if not _SLOT or _SLOT[0][0] != key:
-        _SLOT.clear()
+        if _SLOT:
+            _SLOT.clear()
+            trim()
         _SLOT.append((key, make()))
     return _SLOT[0][1]
 

@@ -51,7 +51,8 @@ class WordEncoder:
 
     def __init__(self, tokenizer, keep: Callable[[list[int]], object]):
         self.tokenizer, self.keep = tokenizer, keep
-        self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        specials = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(specials) or "(?!)").search
         self.known: dict[str, object] = {}
         self.older: dict[str, object] = {}
         # whether one word of plain letters may go straight to the model, as bytes in their byte-level form;
@@ -74,52 +75,51 @@ class WordEncoder:
         """Lower case where the tokenizer does the same, for fewer different words to remember."""
         return text.lower() if "<" not in text and (text.isascii() or OTHER_LETTERS.search(text) is None) else text
 
-    def learn(self, words: list[str]) -> dict[str, object]:
-        """What `keep` makes of `words`.  One that ends in symbols is its stem and that run, and only these
+    def learn(self, words: list[str]) -> list[object]:
+        """What `keep` makes of each of `words`.  One that ends in symbols is its stem and that run, and only these
         are remembered: a word takes one entry, whatever stands behind it."""
-        cuts = [self.stem(w) for w in words]
-        parts = {w[:n] for w, n in zip(words, cuts, strict=True)}
-        parts.update(w[n:] for w, n in zip(words, cuts, strict=True) if n < len(w))
-        known, older = self.known, self.older
+        known, older, ends = self.known, self.older, self.ends
+        cuts = [n if (n := len(w.rstrip(ends))) < len(w) and self.cuts_at(w, n) else 0 for w in words]
+        parts = {w[:n] if n else w for w, n in zip(words, cuts, strict=True)}
+        parts.update({w[n:] for w, n in zip(words, cuts, strict=True) if n})
         made = {p: x for p in parts if (x := known.get(p)) is not None}
-        new = {p: x for p in parts.difference(made) if (x := older.get(p)) is not None}
-        keep = self.keep
-        new.update((p, keep(ids)) for p, ids in self.encode_all(parts.difference(made, new)).items())
+        parts.difference_update(made)
+        new = {p: x for p in parts if (x := older.get(p)) is not None}
+        parts.difference_update(new)
+        new.update(self.encode_all(parts))
         if len(known) + len(new) > CACHE_ENTRIES // 2:
             self.known, self.older = {}, known
         if len(new) <= CACHE_ENTRIES // 2:                # else one run of more different words than that
             self.known.update(new)
         made.update(new)
-        return {w: made[w[:n]] + made[w[n:]] if n < len(w) else made[w] for w, n in zip(words, cuts, strict=True)}
-
-    def stem(self, word: str) -> int:
-        """Where the trailing run of symbols begins; the end, if what stands before it might join
-        it in one pre-token."""
-        if word[-1:] not in self.ends:
-            return len(word)
-        n = len(word.rstrip(self.ends))
-        if n and word[n - 1].isalnum() and word[n - 1] < PLAIN_BELOW and word[n - 1] != NOT_PLAIN and not any(s in word for s in self.specials):
-            return n
-        return len(word)
-
-    def encode_all(self, parts: set[str]) -> dict[str, list[int]]:
-        out, others = ({"": []} if "" in parts else {}), []
+        return [made[w[:n]] + made[w[n:]] if n else made[w] for w, n in zip(words, cuts, strict=True)]
+
+    def cuts_at(self, word: str, n: int) -> bool:
+        """Whether the run of symbols from `n` to the end is taken apart: not if what stands before it
+        might join it in one pre-token."""
+        return n > 0 and (c := word[n - 1]).isalnum() and c < PLAIN_BELOW and c != NOT_PLAIN and not self.special(word)
+
+    def encode_all(self, parts: set[str]) -> dict[str, object]:
+        """What `keep` makes of each part's ids, at once: lists of ids that lived on would be walked
+        over by every collection of garbage."""
+        keep = self.keep
+        out, others = ({"": keep([])} if "" in parts else {}), []
         if self.direct:
             tokenize, letters = self.tokenizer.model.tokenize, self.letters
             for p in parts:
                 if not p.isalpha():
                     others.append(p)
                 elif p.isascii():
-                    out[p] = [t.id for t in tokenize(p.lower())]
+                    out[p] = keep([t.id for t in tokenize(p.lower())])
                 elif max(p) < PLAIN_BELOW and NOT_PLAIN not in p:
-                    out[p] = letters(p)
+                    out[p] = keep(letters(p))
                 else:
                     others.append(p)
         else:
             others = list(parts)
         for _, run in runs(others, None, BATCH_BYTES, utf8_length):
             found = self.tokenizer.encode_batch(run, add_special_tokens=False)
-            out.update((w, e.ids) for w, e in zip(run, found, strict=True))
+            out.update((w, keep(e.ids)) for w, e in zip(run, found, strict=True))
         return out
 
     def encode(self, parts: list[str]) -> tuple[list[object], np.ndarray, np.ndarray]:
@@ -129,8 +129,8 @@ class WordEncoder:
         found = list(map(self.known.get, words))
         missing = [i for i, x in enumerate(found) if x is None]
         made = self.learn([words[i] for i in missing])
-        for i in missing:
-            found[i] = made[words[i]]
+        for i, x in zip(missing, made, strict=True):
+            found[i] = x
         return found, codes, offsets
 
 

@@ -66,3 +66,22 @@ def test_windows_best_fit_and_fullest_out():
     assert out == [1, 0]
     assert w.place(5) == (2, 5)
     assert out == [1, 0, 2]
+
+
+def test_texts_reach_the_workers_in_batches_of_a_run(session, monkeypatch):
+    """One batch of all rows would hold whole splits of long texts, in the worker and in the executor."""
+    held = session.sparkContext.accumulator(0)
+    monkeypatch.setattr(packing, "RUN_CHARS", 100_000)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = session.conf.get(name, None)
+
+    def batches(column, size):
+        held.add(1)
+        return iter([column.to_pylist()])
+
+    monkeypatch.setattr(packing, "texts_of", batches)
+    df = session.range(0, 200, numPartitions=1).selectExpr("id doc_id", "repeat('alpha beta ', 1000) text")
+    docs = [(i, "alpha beta " * 1000) for i in range(200)]
+    check(packing.pack(df, WORDS).collect(), docs, 4096)
+    assert held.value >= 15
+    assert session.conf.get(name, None) == before

@@ -1,3 +1,5 @@
+import weakref
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -113,3 +115,23 @@ def test_ids_of_texts_in_short_runs(monkeypatch):
     text = "Some wörds, and then more: it's 1.5 or so... \n" * 40 + "x" * 300 + " end."
     assert list(tokens.text_ids([text, None, "a b"], WORDS)) == [
         tokens.id_bytes(PLAIN.encode(t or "", add_special_tokens=False).ids) for t in (text, None, "a b")]
+
+
+def test_ids_of_new_words_are_kept_at_once():
+    """Lists of ids that live until a run ends are what garbage collections walk over, again and again."""
+    seen, lists = [], []
+
+    def kept(ids):
+        lists.append(weakref.ref(ids))
+        seen.append(sum(x() is not None for x in lists))
+        return tokens.id_bytes(ids)
+
+    class Ids(list):
+        pass
+
+    made = tokens.load(WORDS, kept)
+    words = [f"ab{c}é" for c in "abcdefghijklmnopqrstuvwxyz"]
+    made.letters = lambda word: Ids([len(word)])
+    found, codes, _ = made.encode([" ".join(words)])
+    assert [found[c] for c in codes] == [tokens.id_bytes([4])] * len(words)
+    assert max(seen) == 1
