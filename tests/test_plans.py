@@ -215,3 +215,9 @@ def test_slices_equal_grouping_the_mart(plan, dims, mode):
 @pytest.mark.parametrize("name", ["revenue_trend", "fee_trend"])
 def test_trends_read_revenue_once(spark, small_dir, name):
     assert physical(E.queries()[name](spark, small_dir)).count("lineitem.parquet") == 1
+
+
+def test_facts_of_a_key_are_gathered_by_one_sort(plan):
+    """A grouped collect_list falls back to sorting, before and after it writes the lists out."""
+    text = physical(plan.all_transactional())
+    assert "collect_list" in text and not re.search(r"ObjectHashAggregate[^\n]*collect_list|SortAggregate[^\n]*collect_list", text)
