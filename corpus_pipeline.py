@@ -42,8 +42,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @importable
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of documents in sequences of 4096 tokens; executors still hold memory of the stages
+    before, so few texts at a time."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), run_chars=1 << 20)
 
 
 STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies),

@@ -58,7 +58,7 @@ def _first_id(level: int, part: int) -> int:
     return level << 57 | part << 30
 
 
-def _pieces(docs: DataFrame, path: str, end_id: int, size: int, open_windows: int) -> DataFrame:
+def _pieces(docs: DataFrame, path: str, end_id: int, size: int, open_windows: int, run_chars: int) -> DataFrame:
     """The pieces of every document with the window each lies in; full: that window is closed."""
     end = int(end_id).to_bytes(4, "little")
     names = [x.split()[0] for x in _PIECES.split(", ")]
@@ -81,7 +81,7 @@ def _pieces(docs: DataFrame, path: str, end_id: int, size: int, open_windows: in
                  for n, c in zip(names, zip(*rows, strict=True), strict=True)], names)
 
         for batch in batches:
-            ids_of = (ids for texts in texts_of(batch.column("text"), RUN_CHARS) for ids in text_ids(texts, path))
+            ids_of = (ids for texts in texts_of(batch.column("text"), run_chars) for ids in text_ids(texts, path, run_chars))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
                 ids += end
                 total = len(ids) // 4
@@ -120,16 +120,19 @@ def _merge(leftovers: DataFrame, size: int, open_windows: int, level: int) -> Da
             .applyInPandas(of, _MOVES))
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 2, size: int = 4096, open_windows: int = 64) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 2, size: int = 4096, open_windows: int = 64,
+         run_chars: int | None = None) -> DataFrame:
     """A row for each piece of each document of `docs` (doc_id, text): doc_id, start,
     length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its ids and `end_id`, cut every `size` ids; NULL and empty
     texts are the end id alone.  Repeated rows are packed each; NULL doc_ids
-    stay; other columns are ignored; an empty table gives no rows.
+    stay; other columns are ignored; an empty table gives no rows.  `run_chars`: about
+    so much text is held at a time; less takes more time and changes no row.
     """
-    with arrow_batches(docs.sparkSession, RUN_CHARS):     # a run of texts each, in the worker and in the executor
-        pieces = written(_pieces(docs, path, end_id, size, open_windows))
+    run_chars = run_chars or RUN_CHARS
+    with arrow_batches(docs.sparkSession, run_chars):     # a run of texts each, in the worker and in the executor
+        pieces = written(_pieces(docs, path, end_id, size, open_windows, run_chars))
     done = pieces.where("full").drop("full").withColumnRenamed("window", "sequence_id")
     loose = written(pieces.where("NOT full").drop("full"))
     part = F.shiftright("window", 30).bitwiseAND(F.lit((1 << 27) - 1))

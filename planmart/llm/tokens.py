@@ -214,8 +214,8 @@ def id_bytes(ids: list[int]) -> bytes:
     return made.tobytes()
 
 
-def text_ids(texts: list[str | None], path: str) -> Iterator[bytes]:
-    """Little-endian ids of each text in order, for files that drop white space."""
+def text_ids(texts: list[str | None], path: str, size: int | None = None) -> Iterator[bytes]:
+    """Little-endian ids of each text in order, for files that drop white space; `size` characters at a time."""
     made = encoder(path, id_bytes)
     if not isinstance(made, WordEncoder):
         raise ValueError(f"ids are given by word; {path} joins white space to words")
@@ -227,7 +227,7 @@ def text_ids(texts: list[str | None], path: str) -> Iterator[bytes]:
             yield b"".join(held)
             at, held = at + 1, []
 
-    for owners, parts in runs(texts, size=RUN_CHARS):
+    for owners, parts in runs(texts, size=size or RUN_CHARS):
         found, codes, offsets = made.encode(parts)
         sizes = np.array([len(x) // 4 for x in found], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
