@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planmart.llm import langid, linefreq, mixing, packing, simhash
-from planmart.llm.common import importable, read_table, written
+from planmart.llm.common import arrow_batches, importable, read_table, written
 
 
 @importable
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; learned from their own labels."""
-    return langid.keep_known(docs, docs.select("text", "lang"))
+    """Documents whose language is told; learned from their own labels.  Written here, so that texts
+    go to the workers a few at a time."""
+    with arrow_batches(spark, langid.RUN_CHARS):
+        return written(langid.keep_known(docs, docs.select("text", "lang")))
 
 
 @importable
@@ -57,6 +59,7 @@ ORACLE_SQL = None
 @importable
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+        docs = docs if name == "language" else written(docs)        # the first stage wrote its rows itself
     return STAGES[-1][1](spark, docs, sf_dir)

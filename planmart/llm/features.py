@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planmart.llm.langid import piece_words, words_of
-from planmart.llm.pieces import of_worker, runs, split
+from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, trim
 
 SYMBOLS = "#*$%&|<>!"
 CAPITALS = bytes(range(65, 91))
 VOCABULARY = 1000
 BEGIN = 4
 REMEMBERED = 200_000
+RUN_CHARS = 1 << 20     # characters of text that are looked at together, about
 LEAST_DOCS = 5          # documents of the sample that hold a feature
 LEAST_CHI = 25.0        # weaker differences between classes are taken for chance
 
@@ -60,14 +61,18 @@ def vocabulary(sample: DataFrame, classes: list[int], limit: int = VOCABULARY, m
     chi-square of presence against class.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        trim()
         for batch in batches:
             found: dict[int, Counter] = {}
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                found.setdefault(y, Counter()).update(feature_set(text, marks))
+            for part in slices_of(batch, "text", RUN_CHARS):
+                for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist(), strict=True):
+                    found.setdefault(y, Counter()).update(feature_set(text, marks))
             for y, counted in found.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(counted), pa.string()), pa.array([y] * len(counted), pa.int32()),
                      pa.array(list(counted.values()), pa.int64())], ["feature", "y", "n"])
+        trim()
 
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     whole = float(sum(totals.values()) or 1)
@@ -97,7 +102,7 @@ class Vectors:
         """(text number, feature, value) of every feature that a text holds, in that order."""
         width = max(1, len(self.index))
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for owners, parts in runs(texts) if self.index else ():
+        for owners, parts in runs(texts, size=RUN_CHARS) if self.index else ():
             pieces, codes, offsets = split([p.lower() for p in parts])
             known = remembered(self.index)
             if len(known) > REMEMBERED:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import hash_share, written
+from planmart.llm.common import arrow_batches, hash_share, written
 from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, texts_of, trim
 
 FIT_TEXTS = 1000        # texts that a language with more of them weighs as much as
@@ -292,8 +292,9 @@ def fit(labelled: DataFrame, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAM
 
     texts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = {lang: min(1.0, FIT_TEXTS / n) for lang, n in texts.items()}
-    of_words = written(rows.mapInArrow(word_counts, _COUNTS)
-                       .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
+    with arrow_batches(labelled.sparkSession, RUN_CHARS):
+        of_words = written(rows.mapInArrow(word_counts, _COUNTS)
+                           .groupBy("kind", "lang", "item").agg(F.sum("n").alias("n")))
     # counts are small files, but taking words apart is work for all cores
     cores = labelled.sparkSession.sparkContext.defaultParallelism
     of_grams = (of_words.select("item", "lang", "n").repartition(cores).mapInArrow(gram_counts, _COUNTS)
@@ -444,7 +445,8 @@ def keep_known(docs: DataFrame, labelled: DataFrame, least: float = 0.5) -> Data
     held = (labelled.where(aside).select(text.alias("text"), F.col("lang").cast("string").alias("lang"))
             .where("text IS NOT NULL AND lang IS NOT NULL"))
     tried = held.select("lang", backing(F.col("text"), sent).alias("_p")).where(F.col("_p.lang_pred") != UNKNOWN)
-    least_backing = limits_of(tried.select("lang", "_p.backing"), model.langs)
+    with arrow_batches(docs.sparkSession, RUN_CHARS):
+        least_backing = limits_of(tried.select("lang", "_p.backing"), model.langs)
     found = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
                         backing(text, sent).alias("_p"))
     enough = F.lit(False)

@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import bounded_sample, hash_share, written
-from planmart.llm.features import Vectors, adam, sample_rows, stacked, vocabulary
+from planmart.llm.common import arrow_batches, bounded_sample, hash_share, written
+from planmart.llm.features import RUN_CHARS, Vectors, adam, sample_rows, stacked, vocabulary
 from planmart.llm.pieces import texts_of
 
 FIT_DOCS = 1500          # sampled documents per domain, at most (about)
@@ -93,7 +93,7 @@ def posteriors(text: Column, model: Softmax) -> Column:
 
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            p = np.concatenate([np.zeros((0, k)), *(model.posterior(vectors, texts) for texts in texts_of(column, 4 << 20))])
+            p = np.concatenate([np.zeros((0, k)), *(model.posterior(vectors, texts) for texts in texts_of(column, RUN_CHARS))])
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel()))
 
     return F.arrow_udf(of, T.ArrayType(T.DoubleType()))(text)
@@ -160,8 +160,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
     domains = list(targets)
     model = fit(labelled_domains(docs, labels), domains)
     text = F.col("text").cast("string")
-    table = written(docs.select("doc_id", token_size(text).alias("tokens"), F.xxhash64(text).alias("h"),
-                                posteriors(text, model).alias("p")))
+    with arrow_batches(docs.sparkSession, RUN_CHARS):
+        table = written(docs.select("doc_id", token_size(text).alias("tokens"), F.xxhash64(text).alias("h"),
+                                    posteriors(text, model).alias("p")))
     rate = rates(table, list(targets.values()), "tokens", "p")
     return (table.withColumn("rate", rate)
             .select("doc_id", F.col("tokens").cast("long").alias("tokens"),
@@ -174,9 +175,10 @@ def take(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS
     model = fit(labelled_domains(docs, labels), list(targets))
     text = F.col("text").cast("string")
     names = docs.columns
-    table = written(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                                F.col("doc_id").alias("id"), F.xxhash64(text).alias("h"), token_size(text).alias("tokens"),
-                                posteriors(text, model).alias("p")))
+    with arrow_batches(docs.sparkSession, RUN_CHARS):
+        table = written(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
+                                    F.col("doc_id").alias("id"), F.xxhash64(text).alias("h"), token_size(text).alias("tokens"),
+                                    posteriors(text, model).alias("p")))
     rate = rates(table, list(targets.values()), "tokens", "p")
     return (table.withColumn("_n", copies(rate, F.col("id"), F.col("h"))).where("_n > 0")
             .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from planmart.llm.common import all_of, without, written
+from planmart.llm.common import all_of, arrow_batches, without, written
 from planmart.llm.components import connected_components
 from planmart.llm.pieces import forget, texts_of
 
@@ -213,9 +213,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, blocks: int =
     All columns of `docs` are returned; NULL doc_ids come after all others.
     """
     names = docs.columns
-    table = written(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
-                                F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-                                fingerprint(F.col("text"), shingle).alias("fp")))
+    with arrow_batches(docs.sparkSession, RUN_BYTES):
+        table = written(docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)],
+                                    F.col("doc_id").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+                                    fingerprint(F.col("text"), shingle).alias("fp")))
     found = near_duplicates(table.select("doc_id", "row", "fp"), max_bits, blocks)
     keep = (found.groupBy("component")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("best"))

@@ -1,8 +1,12 @@
+import itertools
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from planmart.llm import mixing
+from planmart.llm.features import Vectors
 
 
 def table(session, n=400, seed=0):
@@ -73,3 +77,21 @@ def test_documents_follow_their_rates(session):
     assert taken.columns == docs.columns
     assert taken.count() == sum(r.copies for r in rows)
     assert mixing.mix(docs.limit(0), labels).count() == 0
+
+
+def test_many_texts_are_scored_in_little_memory():
+    """Texts of 6 MB, given at once: what is held beside them and the piece table is for RUN_CHARS of them."""
+    rng = np.random.default_rng(1)
+    words = ["".join(x) for x in itertools.product("abcdefghijklm", repeat=3)][:2000]
+    texts = [" ".join(words[i] for i in rng.integers(0, 2000, 4000)) for _ in range(360)]
+    vectors = Vectors(words[:600], marks=False)
+    whole = vectors.matrix(texts[:40])
+    tracemalloc.start()
+    try:
+        found = vectors.matrix(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    n = int(np.searchsorted(found[0], 40))
+    assert all(np.array_equal(a, b[:n]) for a, b in zip(whole, found, strict=True))
+    assert peak < 20 << 20
