@@ -57,9 +57,25 @@ def audit_category_coverage(plan: Plan) -> DataFrame:
                     F.coalesce("In_Targets", F.lit(False)).alias("In_Targets"))
 
 
-def duplicate_keys(df: DataFrame, step: str, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Keys that occur more than once in ``df`` (fan-out risk in a FULL JOIN)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("Row_Count"))
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` by `keys` in so many partitions that a task holds few of them.
+
+    Partitions that Spark makes for a grouping are put together again up to a size in compressed
+    bytes, in which millions of short keys fit; a number that is asked for stays.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
+
+
+def duplicate_keys(df: DataFrame, step: str, keys: Sequence[str] = KEYS, few: bool = False) -> DataFrame:
+    """Keys that occur more than once in ``df`` (fan-out risk in a FULL JOIN).
+
+    ``few``: no key has many rows, as in a step that was grouped before.  Then its rows are dealt
+    out as they are, because counts before the shuffle would hold every key and save nothing.
+    """
+    rows = dealt(df, *keys) if few else df
+    return (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("Row_Count"))
             .filter(F.col("Row_Count") > 1)
             .select(F.lit(step).alias("Step"), *keys, "Row_Count"))
 
@@ -75,8 +91,10 @@ def audit_key_uniqueness(plan: Plan) -> DataFrame:
                ("sellers", i.sellers.select(F.col("Store_ID").alias("Account_No"), none.alias("Fiscal_Month"))),
                ("months", plan.cal.month_dim().select(none.alias("Account_No"), "Fiscal_Month"))]
     steps += [(name, df.withColumn("Product_Category", none)) for name, df in lookups]
+    # targets and lookups may repeat a key without bound; the other steps have a row per date or month of a key
+    any_number = {"target", "accounts", "sellers", "months"}
     return reduce(DataFrame.unionByName,
-                  [duplicate_keys(df.select(*KEYS), name) for name, df in steps])
+                  [duplicate_keys(df.select(*KEYS), name, few=name not in any_number) for name, df in steps])
 
 
 # -- Q5: the row ledger ------------------------------------------------------------------
