@@ -112,6 +112,10 @@ def _tallied(df: DataFrame, **counts) -> DataFrame:
     return df.select(*KEYS, *[(counts[c] if c in counts else F.lit(0)).cast("long").alias(c) for c in (*_PER_KEY, *_PLAIN)])
 
 
+def _summed(tallies: DataFrame) -> DataFrame:
+    return tallies.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in (*_PER_KEY, *_PLAIN)])
+
+
 def _revenue_tally(plan: Plan) -> DataFrame:
     rows = (clean.split_measures(plan.inputs.revenue, plan.opts)
             .groupBy("Account_No", F.col("Fiscal_Month").alias("_date"), F.col("Product_Category_2").alias("Product_Category"))
@@ -141,6 +145,7 @@ def _opportunity_tally(plan: Plan) -> DataFrame:
     rows = to_fiscal_month(plan.inputs.opportunities, plan.cal, "Opportunity_Est_Date", keep_date=True, wide=True).withColumns({
         "Account_No": F.col("Store_No"), "Product_Category": R.categorise("Product", R.OPPORTUNITY_CATEGORY_RULES, opts.collation)})
     kind = rows.select(detail.alias("d")).schema["d"].dataType
+    rows = dealt(rows, "Opportunity_ID", "Account_No", "Opportunity_Est_Date")      # a row has up to four groups, most of them its own
     keys = ("Account_No", "Product_Category", "Fiscal_Month")
     summed = used & active if opts.drop_inactive_in_summary else used
     tags = F.array_compact(F.array(
@@ -160,9 +165,9 @@ def _opportunity_tally(plan: Plan) -> DataFrame:
     spread = spread.join(months, F.col("_est") == F.col("_id"), "left")
     own = F.col("_est") == -1
     spread = spread.withColumn("Fiscal_Month", F.when(own, F.col("Fiscal_Month")).otherwise(F.col("_month")))
-    return _tallied(spread, p3=(own & (step == "p3")).cast("int"), rr=(~own).cast("int"),
-                    opportunities_raw=F.when(own & (step == "raw"), F.col("_n")).otherwise(0),
-                    p10_origins=(own & (step == "origin")).cast("int"), p14=(own & (step == "p14")).cast("int"))
+    return _summed(_tallied(spread, p3=(own & (step == "p3")).cast("int"), rr=(~own).cast("int"),
+                            opportunities_raw=F.when(own & (step == "raw"), F.col("_n")).otherwise(0),
+                            p10_origins=(own & (step == "origin")).cast("int"), p14=(own & (step == "p14")).cast("int")))
 
 
 def row_ledger(plan: Plan) -> DataFrame:
@@ -172,8 +177,9 @@ def row_ledger(plan: Plan) -> DataFrame:
     count, and what is shuffled has been added up by planning key.  The calendar
     has one row per day and month, as everywhere.
     """
-    parts = [_revenue_tally(plan), _opportunity_tally(plan), _tallied(plan.p8, p8=F.lit(1))]
-    by_key = reduce(DataFrame.unionByName, parts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in (*_PER_KEY, *_PLAIN)])
+    # a key has few rows by now: those of its dates from the revenue, one from each of the others
+    parts = [_revenue_tally(plan), _opportunity_tally(plan), _summed(_tallied(plan.p8, p8=F.lit(1)))]
+    by_key = _summed(dealt(reduce(DataFrame.unionByName, parts), *KEYS))
     lost = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in KEYS])
 
     def full(a: str, b: str):

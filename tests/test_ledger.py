@@ -67,3 +67,9 @@ def test_ledgers_are_kept_by_run(spark, small_dir):
         assert {r["Run"]: r["count"] for r in kept.groupBy("Run").count().collect()} == {"week 24": 14, "week 25": 14}
     finally:
         spark.sql("DROP DATABASE t_ledger CASCADE")
+
+
+def test_the_keys_of_the_ledger_are_dealt_to_many_tasks(spark, small_dir):
+    """Not put together again up to a size in compressed bytes: opportunities before their groups, tallies by key."""
+    df = quality.row_ledger(Plan(adapters.load(spark, small_dir)))
+    assert df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 2
