@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planmart.llm.langid import piece_words, words_of
-from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, trim
+from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, strings, trim
 
 SYMBOLS = "#*$%&|<>!"
 CAPITALS = bytes(range(65, 91))
@@ -66,7 +66,7 @@ def vocabulary(sample: DataFrame, classes: list[int], limit: int = VOCABULARY, m
         for batch in batches:
             found: dict[int, Counter] = {}
             for part in slices_of(batch, "text", RUN_CHARS):
-                for text, y in zip(part.column("text").to_pylist(), part.column("y").to_pylist(), strict=True):
+                for text, y in zip(strings(part.column("text")), part.column("y").to_pylist(), strict=True):
                     found.setdefault(y, Counter()).update(feature_set(text, marks))
             for y, counted in found.items():
                 yield pa.RecordBatch.from_arrays(
@@ -139,12 +139,17 @@ class Pieces(dict):
 
     def __init__(self, index: dict[str, int]):
         super().__init__()
-        self.index = index
+        self.words = index.get
+        self.begins = {n[:-1]: i for n, i in index.items() if n.endswith("-")}.get
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        words = piece_words(piece)
-        names = [*words, *(w[:BEGIN] + "-" for w in words if len(w) > BEGIN)]
-        found = self[piece] = tuple(i for n in names if (i := self.index.get(n)) is not None)
+        found: tuple[int, ...] = ()
+        for word in piece_words(piece):
+            if (i := self.words(word)) is not None:
+                found += (i,)
+            if len(word) > BEGIN and (i := self.begins(word[:BEGIN])) is not None:
+                found += (i,)
+        self[piece] = found
         return found
 
 

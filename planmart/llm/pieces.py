@@ -55,7 +55,7 @@ def texts_of(column: pa.Array, size: int | None = None) -> Iterator[list[str | N
         held = int(ends[start - 1]) if start else 0
         end = int(np.searchsorted(ends, held + (size or RUN_CHARS), side="right"))
         end = min(max(end, start + 1), start + ROWS)
-        yield column.slice(start, end - start).to_pylist()
+        yield strings(column.slice(start, end - start))
         start = end
     trim()
 
@@ -109,10 +109,15 @@ def runs(texts: list[str | None], spaces: re.Pattern | None = SPACE, size: int |
         yield owners, parts
 
 
+def strings(column: pa.Array) -> list[str | None]:
+    """A column of strings as a list; quicker than `to_pylist`, which makes a scalar of each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def split(parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(different pieces, for each piece its number among them, where each part's pieces begin and
     the last ends): pieces lie between ASCII white space; '' may be among them."""
     lists = pc.ascii_split_whitespace(pa.array(parts, pa.large_string()))
     coded = lists.flatten().dictionary_encode()
     offsets = lists.offsets.to_numpy()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), offsets - offsets[0]
+    return strings(coded.dictionary), coded.indices.to_numpy(), offsets - offsets[0]

@@ -1,12 +1,15 @@
 import itertools
+import time
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from planmart.llm import mixing
-from planmart.llm.features import Vectors
+from planmart.llm.features import Pieces, Vectors
+from planmart.llm.pieces import split
 
 
 def table(session, n=400, seed=0):
@@ -95,3 +98,27 @@ def test_many_texts_are_scored_in_little_memory():
     n = int(np.searchsorted(found[0], 40))
     assert all(np.array_equal(a, b[:n]) for a, b in zip(whole, found, strict=True))
     assert peak < 20 << 20
+
+
+def test_different_pieces_are_split_quickly():
+    """Taking texts apart costs less than making an Arrow scalar of each different piece."""
+    pieces = ["".join(x) for x in itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4)][:200_000]
+    column, text = pa.array(pieces), " ".join(pieces)
+
+    def seconds(of, *args):
+        spent = []
+        for _ in range(3):
+            start = time.process_time()
+            of(*args)
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    assert split([text])[0] == pieces
+    assert seconds(split, [text]) < seconds(column.to_pylist)
+
+
+def test_features_of_a_piece():
+    names = ["anna", "anna-", "bett-", "ß", "<words 1>"]
+    known = Pieces({n: i for i, n in enumerate(names)})
+    found = {p: sorted(known[p]) for p in ("anna", "annas,", "bettina-anna", "(ß)", "bett", "anna-", "<words", "")}
+    assert found == {"anna": [0], "annas,": [1], "bettina-anna": [0, 2], "(ß)": [3], "bett": [], "anna-": [0], "<words": [], "": []}
