@@ -12,9 +12,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from planmart.llm.common import arrow_batches, hash_share, written
-from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, texts_of, trim
+from planmart.llm.pieces import forget, of_worker, runs, slices_of, split, strings, texts_of, trim
 
 FIT_TEXTS = 1000        # texts that a language with more of them weighs as much as
 SEEN = 0.5              # times an item stands in so many texts of a language that has it
@@ -37,6 +39,7 @@ LEAST_OWN = 0.001       # share of a language's own texts that its limit may be
 DEVIATIONS = 4.0        # robust standard deviations below its median that a language's own texts may lie
 REMEMBERED = 200_000    # pieces of text whose scores a worker remembers, at most,
 REMEMBERED_BYTES = 32 << 20     # and the bytes of those scores
+POINT_BITS = 21         # of a Unicode code point
 AT_ONCE = 4096          # pieces whose words and n-grams are held while they are scored
 RUN_CHARS = 2 << 20     # characters of text that are looked at together, about
 UNKNOWN = "und"
@@ -63,6 +66,48 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def marked_places(words: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """The marked words one after the other, and at each of its places the character's code point, the
+    number of the word and how many of the word's characters begin there."""
+    marked = "^" + "$^".join(words) + "$" if words else ""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), lengths)
+    points = np.frombuffer(marked.encode("utf-32-le"), np.uint32).astype(np.int64)
+    return marked, points, owner, np.cumsum(lengths)[owner] - np.arange(len(points))
+
+
+class KnownGrams:
+    """The n-grams of `ids`, found at all places of many words at once.
+
+    An n-gram is looked up by a number: the place of its beginning, one character shorter, among the
+    known beginnings of that length, and its last code point.
+    """
+
+    def __init__(self, ids: dict[str, int]):
+        starts: dict[str, int] = {"": 0}
+        #: For each size the numbers of the beginnings so long, and the n-gram that each is, -1 if none.
+        self.sizes: list[tuple[pa.Array, np.ndarray]] = []
+        for n in range(1, LONGEST + 1):
+            found = sorted({g[:n] for g in ids if len(g) >= n})
+            keys = [(starts[g[:-1]] << POINT_BITS) + ord(g[-1]) for g in found]
+            self.sizes.append((pa.array(keys, pa.int64()), np.array([ids.get(g, -1) for g in found], np.int64)))
+            starts = {g: i for i, g in enumerate(found)}
+
+    def of(self, words: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, the words' numbers in ascending order, ids of the known n-grams there), the longest first."""
+        _, points, owner, left = marked_places(words)
+        at, start = np.arange(len(points)), np.zeros(len(points), np.int64)
+        out = []
+        for n, (keys, ids) in enumerate(self.sizes, 1):
+            inside = left[at] >= n
+            at, start = at[inside], start[inside]
+            start = pc.index_in(pa.array((start << POINT_BITS) + points[at + n - 1]), keys).fill_null(-1).to_numpy().astype(np.int64)
+            at, start = at[start >= 0], start[start >= 0]
+            known = ids[start] >= 0
+            out.append((n, owner[at[known]], ids[start[known]]))
+        yield from reversed(out)
+
+
 @dataclass
 class Model:
     """Log frequencies by language, of known words and of known n-grams."""
@@ -74,8 +119,10 @@ class Model:
     word_seen: np.ndarray | None = None
     gram_seen: np.ndarray | None = None
     word_backed: np.ndarray | None = field(default=None, init=False)
+    known_grams: KnownGrams = field(init=False)
 
     def __post_init__(self) -> None:
+        self.known_grams = KnownGrams(self.gram_ids)
         # how much each language backs the known words, once for the model
         if self.word_seen is not None and len(self.words):
             self.word_backed = np.where(self.word_seen, 1.0, self.of_grams(list(self.words))[1])
@@ -84,41 +131,26 @@ class Model:
         """A row for each word: the mean log frequency of its longest known n-grams (zero if none is
         known), and by language the share of its 3- and 4-grams seen in it."""
         logs, backed = np.zeros((len(words), len(self.langs))), np.zeros((len(words), len(self.langs)))
-        get = self.gram_ids.get
-        at: list[int] = []          # words with known n-grams of the longest size, how many, and these
-        sizes: list[int] = []
-        flat: list[int] = []
-        long_sizes = np.zeros(len(words), np.int64)
-        long_flat: list[int] = []
-        for k, word in enumerate(words):
-            marked = f"^{word}$"
-            longest: list[int] = []
-            for n in range(LONGEST, 0, -1):
-                if n < 3 and longest:
-                    break
-                ids = [i for j in range(len(marked) - n + 1) if (i := get(marked[j:j + n])) is not None]
-                if n >= 3:
-                    long_flat += ids
-                    long_sizes[k] += len(ids)
-                longest = longest or ids
-            if longest:
-                at.append(k)
-                sizes.append(len(longest))
-                flat += longest
-        if at:
-            n = np.array(sizes)
-            logs[at] = np.add.reduceat(self.gram_logs[flat], np.cumsum(n) - n) / n[:, None]
-        if long_flat:
-            some = np.flatnonzero(long_sizes)
-            n = long_sizes[some]
-            backed[some] = np.add.reduceat(self.gram_seen[long_flat].astype(float), np.cumsum(n) - n)
+        without = np.ones(len(words), bool)         # words without a known n-gram of a longer size
+        for n, owner, ids in self.known_grams.of(words):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            some = owner[first]
+            if n >= 3 and len(some):
+                backed[some] += np.add.reduceat(self.gram_seen[ids].astype(float), first)
+            longest = without[owner]
+            without[some] = False
+            owner, ids = owner[longest], ids[longest]
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            if len(first):
+                sizes = np.diff(first, append=len(owner))
+                logs[owner[first]] = np.add.reduceat(self.gram_logs[ids], first) / sizes[:, None]
         return logs, backed / np.array([[2 * len(w) - 1] for w in words])     # 3- and 4-grams of ^word$
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A row for each word: its log frequencies if it is known, else those of its n-grams; and by language
         whether it backs the word: 1 if the word was seen in it, else the share of the word's n-grams."""
         logs, backed = np.zeros((len(words), len(self.langs))), np.zeros((len(words), len(self.langs)))
-        ids = np.fromiter((self.words.get(w, -1) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
         known, unseen = np.flatnonzero(ids >= 0), np.flatnonzero(ids < 0)
         if len(known):
             logs[known], backed[known] = self.word_logs[ids[known]], self.word_backed[ids[known]]
@@ -149,15 +181,12 @@ class Scorer:
         out = np.zeros((len(pieces), self.width))
         n = len(self.model.langs)
         for i in range(0, len(pieces), AT_ONCE):
-            groups = [piece_words(x) for x in pieces[i:i + AT_ONCE]]
-            number: dict[str, int] = {}
-            owner, at = [], []
-            for k, words in enumerate(groups, i):
-                for w in words:
-                    owner.append(k)
-                    at.append(number.setdefault(w, len(number)))
-            if owner:
-                logs, backed = self.model.score_words(list(number))
+            groups = list(map(piece_words, pieces[i:i + AT_ONCE]))
+            words = pa.array(chain.from_iterable(groups), pa.string()).dictionary_encode()
+            if len(words):
+                owner = np.repeat(np.arange(i, i + len(groups)), np.fromiter(map(len, groups), np.int64, len(groups)))
+                at = words.indices.to_numpy()
+                logs, backed = self.model.score_words(strings(words.dictionary))
                 np.add.at(out[:, :n], owner, logs[at])
                 np.add.at(out[:, n:2 * n], owner, backed[at])
                 np.add.at(out[:, 2 * n], owner, 1.0)
@@ -167,14 +196,15 @@ class Scorer:
     def rows_of(self, pieces: list[str]) -> np.ndarray:
         """Rows of these different pieces, from the table or worked out now."""
         out = np.empty((len(pieces), self.width))
-        at = np.fromiter((self.new.get(x, -1) for x in pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.new.get, pieces, repeat(-1)), np.int64, len(pieces))
         out[at >= 0] = self.new_rows[at[at >= 0]]
         missing = np.flatnonzero(at < 0)
-        at = np.fromiter((self.old.get(pieces[i], -1) for i in missing), np.int64, len(missing))
+        others = list(map(pieces.__getitem__, missing.tolist()))
+        at = np.fromiter(map(self.old.get, others, repeat(-1)), np.int64, len(others))
         out[missing[at >= 0]] = self.old_rows[at[at >= 0]]
-        unseen = missing[at < 0]
+        unseen = np.flatnonzero(at < 0)
         if len(unseen):
-            out[unseen] = self.learn([pieces[i] for i in unseen])
+            out[missing[unseen]] = self.learn(list(map(others.__getitem__, unseen.tolist())))
         for i in range(0, len(missing), self.half):
             part = missing[i:i + self.half]
             if len(self.new) + len(part) > self.half:
@@ -182,7 +212,7 @@ class Scorer:
                 self.new_rows, self.old_rows = self.old_rows, self.new_rows
             first = len(self.new)
             self.new_rows[first:first + len(part)] = out[part]
-            self.new.update((pieces[k], first + j) for j, k in enumerate(part.tolist()))
+            self.new.update(zip(others[i:i + self.half], count(first)))
         return out
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,15 +295,17 @@ def fit(labelled: DataFrame, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAM
         for batch in batches:
             for part in slices_of(batch, "text", RUN_CHARS):
                 texts: dict[str, list[str]] = {}
-                for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist(), strict=True):
+                for text, lang in zip(strings(part.column("text")), strings(part.column("lang")), strict=True):
                     texts.setdefault(lang, []).append(text)
                 for lang, own in texts.items():
                     counts = found.setdefault(lang, Counter())
                     for _, parts in runs(own, size=RUN_CHARS):
                         pieces, codes, _ = split([p.lower() for p in parts])
-                        for piece, n in zip(pieces, np.bincount(codes, minlength=len(pieces)).tolist(), strict=True):
-                            for word in piece_words(piece):
-                                counts[word] += n
+                        groups = list(map(piece_words, pieces))
+                        sizes = np.fromiter(map(len, groups), np.int64, len(groups))
+                        times = np.repeat(np.bincount(codes, minlength=len(pieces)), sizes).tolist()
+                        for word, n in zip(chain.from_iterable(groups), times, strict=True):
+                            counts[word] += n
                 if sum(map(len, found.values())) > COUNTED:
                     yield from _count_batches("w", found)
                     found = {}
@@ -282,13 +314,22 @@ def fit(labelled: DataFrame, words: int = KNOWN_WORDS, n_grams: int = KNOWN_GRAM
 
     def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, Counter] = {}
-            for word, lang, n in zip(*(batch.column(c).to_pylist() for c in ("item", "lang", "n")), strict=True):
-                into = found.setdefault(lang, Counter())
-                for size in range(1, LONGEST + 1):
-                    for g in grams(word, size):
-                        into[g] += n
-            yield from _count_batches("g", found)
+            langs = batch.column("lang").dictionary_encode()
+            marked, points, owner, left = marked_places(strings(batch.column("item")))
+            lang, times = langs.indices.to_numpy()[owner], batch.column("n").to_numpy()[owner]
+            # n-grams of a language are numbered by the number of their beginning and their last character
+            at, number = np.arange(len(points)), lang.astype(np.int64)
+            for size in range(1, LONGEST + 1):
+                inside = left[at] >= size
+                at, number = at[inside], number[inside]
+                coded = pa.array((number << POINT_BITS) + points[at + size - 1]).dictionary_encode()
+                number = coded.indices.to_numpy().astype(np.int64)
+                some = np.zeros(len(coded.dictionary), np.int64)
+                some[number] = at       # a place where it stands
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(["g"] * len(some), pa.string()), langs.dictionary.take(pa.array(lang[some])),
+                     pa.array([marked[i:i + size] for i in some.tolist()], pa.string()),
+                     pa.array(np.bincount(number, times[at], len(some)).astype(np.int64))], ["kind", "lang", "item", "n"])
 
     texts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = {lang: min(1.0, FIT_TEXTS / n) for lang, n in texts.items()}

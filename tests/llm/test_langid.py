@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,51 @@ def test_limits_count_every_text(session):
     df = session.createDataFrame(found, "lang string, backing array<double>")
     assert langid.limits_of(df, ["a", "b"]) == pytest.approx(langid.limits(["a", "b"], found))
     assert langid.limits_of(df.limit(0), ["a", "b"]) == [0.0, 0.0]
+
+
+class Asked(dict):
+    """A dict that counts how often it is asked for a key."""
+    times = 0
+
+    def get(self, *args):
+        self.times += 1
+        return super().get(*args)
+
+
+def test_n_grams_of_many_words_are_found_at_once():
+    """What the n-grams of unseen words give, without a look-up in Python for each of them."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgß𐐨中", k=rng.randint(1, 9))) for _ in range(3000)]
+    every = sorted({g for w in words[:300] for n in range(1, 5) for g in langid.grams(w, n)})
+    known = Asked((g, i) for i, g in enumerate(rng.sample(every, len(every) // 3)))
+    logs, seen = np.random.default_rng(5).normal(size=(len(known), 2)), np.random.default_rng(6).random((len(known), 2)) < 0.5
+    model = langid.Model(["a", "b"], {}, known, None, logs, None, seen)
+    known.times = 0
+    found, backed = model.of_grams(words)
+    assert known.times <= len(words)
+    for word, row, shares in zip(words, found, backed, strict=True):
+        ids = {n: [known[g] for g in langid.grams(word, n) if g in known] for n in range(1, 5)}
+        longest = next((ids[n] for n in range(4, 0, -1) if ids[n]), [])
+        assert row.tolist() == pytest.approx((logs[longest].sum(axis=0) / max(1, len(longest))).tolist())
+        assert shares.tolist() == pytest.approx((seen[ids[4] + ids[3]].sum(axis=0) / (2 * len(word) - 1)).tolist())
+
+
+def test_n_grams_are_counted_by_word(session):
+    """Counts of n-grams by language, of words that stand more than once, over several batches."""
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abß𐐨", k=rng.randint(1, 5))) for _ in range(400)]
+    rows = [(" ".join(words[i:i + 40]), lang) for i in range(0, 400, 20) for lang in ("x", "y")[:1 + i // 20 % 2]]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = session.conf.get(name)
+    session.conf.set(name, 7)
+    try:
+        model = langid.fit(session.createDataFrame(rows, "text string, lang string"))
+    finally:
+        session.conf.set(name, before)
+    counts = {lang: Counter(g for t, x in rows if x == lang for w in langid.words_of(t) for n in range(1, 5) for g in langid.grams(w, n))
+              for lang in ("x", "y")}
+    assert set(model.gram_ids) == set(counts["x"]) | set(counts["y"])
+    for j, own in enumerate(counts.values()):
+        size = own.total() + 0.5 * (len(model.gram_ids) + 1)
+        expected = [math.log(own[g] + 0.5) - math.log(size) for g in model.gram_ids]
+        assert model.gram_logs[:, j].tolist() == pytest.approx(expected)
