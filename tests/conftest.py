@@ -19,3 +19,11 @@ def spark():
 @pytest.fixture(scope="session")
 def small_dir():
     return SMALL
+
+
+@pytest.fixture(scope="module", autouse=True)
+def views_of_a_module_end_with_it(spark):
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
