@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from planmart.operators.fiscal import Calendar
-from planmart.plans import insights, marts
+from planmart.plans import clean, insights, marts
 from planmart.plans.planning import Plan
-from planmart.sources import adapters
+from planmart.sources import adapters, files
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
             "PythonUDF")
@@ -221,3 +221,38 @@ def test_facts_of_a_key_are_gathered_by_one_sort(plan):
     """A grouped collect_list falls back to sorting, before and after it writes the lists out."""
     text = physical(plan.all_transactional())
     assert "collect_list" in text and not re.search(r"ObjectHashAggregate[^\n]*collect_list|SortAggregate[^\n]*collect_list", text)
+
+
+def test_facts_without_targets_meet_the_lookups_where_they_are(spark, plan):
+    """With broadcasts off, the merged facts aren't shuffled again, neither for the targets nor for the
+    account lookups: only those whose key has targets are."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        calendar = Calendar(F.broadcast(plan.inputs.calendar.df), unique_days=True)
+        df = marts.revenue_summary(Plan(replace(plan.inputs, calendar=calendar)))
+        assert df.count() == 6812
+        lines = physical(df).split("== Initial Plan ==")[0].splitlines()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    lookup = next(i for i, x in enumerate(lines) if "SortMergeJoin [Account_No" in x)
+    facts = lines[lookup:next(i for i, x in enumerate(lines) if i > lookup and "Window [" in x)]
+    assert not [x for x in facts if "Exchange" in x or "Union" in x]
+
+
+def test_a_stored_plan_gives_the_same_mart_and_leaves_no_files(spark, small_dir):
+    inputs = adapters.load(spark, small_dir)
+    a = marts.revenue_summary(Plan(inputs))
+    with Plan(inputs).stored() as stored:
+        path = stored.p1.inputFiles()[0].rpartition("/")[0]
+        b = marts.revenue_summary(stored).select(*a.columns)
+        assert files.exists(spark, path)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert not files.exists(spark, path)
+    assert stored.all_transactional().count() == 6812        # from the feed again
+    given = clean.clean_revenue(inputs.revenue, with_activity=True)
+    with Plan(inputs, p1=given).stored() as kept:
+        assert kept._p1_shared is given

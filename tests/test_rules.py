@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from planmart.functions import rules as R
+from planmart.operators.joins import cogroup_full_outer, full_outer_coalesce, full_outer_marked, marks
 from planmart.options import PlanOptions
 from planmart.plans import clean, quality
 from planmart.plans.planning import Plan
@@ -241,6 +242,21 @@ def _tgt(acct, cat, month, amount):
     return (acct, cat, D(month), M(amount))
 
 
+def test_targets_meet_marked_facts_as_in_the_full_join(spark):
+    """Keys that repeat on both sides, that one side lacks, and NULL parts, which never match."""
+    facts = spark.createDataFrame([("A", "m", 1), ("A", "m", 2), ("B", "m", 3), ("B", None, 4), (None, "m", 5)],
+                                  "k string, month string, v int")
+    rows = spark.createDataFrame([("A", "m", 10), ("A", "m", 20), ("A", "m", None), ("C", "m", 30), ("B", None, 40),
+                                  (None, "m", 50), (None, None, 60)], "k string, month string, t int")
+    keys = ("k", "month")
+    base = cogroup_full_outer([(facts, {0: ("v",)}), (marks(rows, keys), {1: ("_marked",)})], keys, partition_by="k")
+    parts = full_outer_marked(base, rows, keys, ("v",), ("t",))
+    want = full_outer_coalesce(facts, rows, keys, ("v",), ("t",))
+    same = lambda *dfs: sorted(map(str, (tuple(r) for df in dfs for r in df.select(*keys, "v", "t").collect())))
+    assert same(*parts) == same(want) and len(same(want)) == 6 + 1 + 1 + 2 + 3
+    assert same(parts[0]) == sorted(map(str, [("B", "m", 3, 0), ("B", None, 4, 0), (None, "m", 5, 0)]))
+
+
 def test_cogroup_cross_product_and_null_keys_match_nested_joins(spark):
     """K9: several dates of one fiscal month on two inputs fan out as a cross
     product; K10: NULL-month rows of different inputs never merge."""

@@ -1,8 +1,12 @@
 """Versioned views: readers, failed builds, checks inside the writing plan."""
 
+import glob
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from planmart.options import PlanOptions
 from planmart.plans import marts
 from planmart.plans.planning import Plan
@@ -105,6 +109,38 @@ def test_a_new_catalog_attaches_the_newest_build(spark, store):
     assert again.publish(weeks(spark, 4), "m").count() == 1 and again.current("m").number == 3
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {x for folder in folders for x in glob.glob(f"{folder}/**/shuffle_*", recursive=True)}
+
+
+def test_publish_view_frees_the_shuffles_behind_it(spark, small_dir, monkeypatch):
+    """Those of the revenue aggregate are gone before the merge is written, the others before the view is
+    read; the mart's rows, the widest, are in none."""
+    def gone(before):
+        until = time.time() + 20                                 # Spark frees them in the background
+        while (left := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.2)
+        return not left
+
+    start, staged = shuffle_files(spark), []
+    whole = MartStore.stage
+    monkeypatch.setattr(MartStore, "stage", lambda self, df, *a, **k: (staged.append((gone(start), df)), whole(self, df, *a, **k))[1])
+    rows = E.queries()["publish_view"](spark, small_dir)
+    assert gone(start)
+    assert len(staged) == 1 and staged[0][0]
+    assert rows.count() == marts.revenue_summary(Plan(adapters.load(spark, small_dir))).where("Fiscal_Year = 'FY2001'").count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_build_without_rebalance_has_the_files_of_its_tasks(spark, store):
+    rows_ = weeks(spark, *range(1, 7)).withColumn("Fiscal_Year", F.lit("07")).repartition(3, "w")
+    tasks = rows_.select(F.spark_partition_id()).distinct().count()
+    got = store.publish(rows_, "m", ("Fiscal_Year",), rebalance=False)
+    assert tasks > 1 and len(got.inputFiles()) == tasks
+    assert rows(got) == rows(rows_) and got.dtypes == rows_.dtypes
+
+
 # -- both marts, with the checks of their plans ------------------------------------------
 
 
